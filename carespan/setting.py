@@ -6,6 +6,7 @@ result is a function of its inputs.
 
 from __future__ import annotations
 
+from calendar import monthrange
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
@@ -24,6 +25,12 @@ class Period:
     end: date
 
 
+def months_later(day: date, months: int) -> date:
+    """The same day some months on (back, if negative), the last of a shorter month."""
+    years, month = divmod(day.year * 12 + day.month - 1 + months, 12)
+    return date(years, month + 1, min(day.day, monthrange(years, month + 1)[1]))
+
+
 def _as_date(value) -> date:
     return value if isinstance(value, date) else date.fromisoformat(value)
 
