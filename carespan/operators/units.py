@@ -53,15 +53,18 @@ def _lowest_ids(dimension: DataFrame, key: str, first: str, second: str) -> Data
     return dimension.join(lowest, same).select(key, "_lowest")
 
 
-def unit_keys(df: DataFrame, T: Tables, team: str = "inner") -> DataFrame:
+def unit_keys(df: DataFrame, T: Tables, team: str | None = "inner") -> DataFrame:
     """Map facility and team ids to one id per distinct name; ids without a row drop out.
 
-    With ``team="left"`` rows without a known team stay, their team id is NULL.
+    With ``team="left"`` rows without a known team stay, their team id is NULL; with None teams are
+    left as they are.
     """
     facilities = _lowest_ids(T["facility"], "facility_id", "facility_name", "cnes")
-    teams = _lowest_ids(T["team"], "team_id", "team_name", "ine")
     df = df.join(facilities, "facility_id").drop("facility_id")
     df = df.withColumnRenamed("_lowest", "facility_id")
+    if team is None:
+        return df
+    teams = _lowest_ids(T["team"], "team_id", "team_name", "ine")
     df = df.join(teams, "team_id", team).drop("team_id")
     return df.withColumnRenamed("_lowest", "team_id")
 
