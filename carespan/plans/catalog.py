@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from carespan.operators import practice_indicators as practice
 from carespan.operators import ratio_indicators as ratios
+from carespan.operators.outreach import CONTACT, OUTREACH
+from carespan.operators.units import TEAM
+from carespan.setting import Setting
+from carespan.sources.tables import Tables
 
 INDICATORS = {
     "c1": ratios.indicator_c1, "c2": practice.indicator_c2, "c3": practice.indicator_c3,
@@ -12,3 +21,28 @@ INDICATORS = {
     "b3": ratios.indicator_b3, "b4": ratios.indicator_b4, "b5": ratios.indicator_b5,
     "b6": ratios.indicator_b6, "m1": ratios.indicator_m1, "m2": ratios.indicator_m2,
 }
+
+
+def indicator_rows(name: str, T: Tables, s: Setting) -> DataFrame:
+    """One indicator in the shape all of them share."""
+    return INDICATORS[name](T, s).select(
+        F.lit(name).alias("indicador"), *TEAM, "numerator", "denominator", "value", "classificacao",
+        F.lit(s.period.start).alias("inicio"), F.lit(s.period.end).alias("fim"),
+    )
+
+
+def indicator_long(T: Tables, s: Setting, names=tuple(INDICATORS)) -> DataFrame:
+    """All indicators, one row per indicator and team."""
+    return reduce(DataFrame.unionByName, [indicator_rows(n, T, s) for n in names])
+
+
+def outreach_rows(name: str, T: Tables, s: Setting) -> DataFrame:
+    """One worklist in the shape all of them share; a list without a team has none in its rows."""
+    rows = OUTREACH[name](T, s)
+    team = [c if c in rows.columns else F.lit(None).cast("string").alias(c) for c in TEAM]
+    return rows.select(F.lit(name).alias("condicao"), *team, *CONTACT)
+
+
+def outreach_all(T: Tables, s: Setting, names=tuple(OUTREACH)) -> DataFrame:
+    """All worklists, tagged with their condition."""
+    return reduce(DataFrame.unionByName, [outreach_rows(n, T, s) for n in names])
