@@ -68,7 +68,8 @@ def indigenous():
 
 
 def foreigners():
-    return [_chosen("r.nationality_id = 3")], f"{_short(f'coalesce({COUNTRY}, chr(0)[1:0]) AS pais_origem')}, 1 AS flag_cns_valido {_cohort_from()}".replace("chr(0)[1:0]", "''")
+    country = f"coalesce({COUNTRY}, '') AS pais_origem"
+    return [_chosen("r.nationality_id = 3")], f"{_short(country)}, 1 AS flag_cns_valido {_cohort_from()}"
 
 
 def foreigners_detail(more: str = ""):

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from oracle.base import complete
 from oracle.indicators import INDICATORS
+from oracle.marts import MARTS
 from oracle.people import PEOPLE
 from oracle.worklists import WORKLISTS
 
 
 def texts() -> dict[str, str]:
     built = {f"ind_{name}": make() for name, make in INDICATORS.items()}
-    for group in (PEOPLE, WORKLISTS):
+    for group in (PEOPLE, WORKLISTS, MARTS):
         built.update({name: make() for name, make in group.items()})
     return {name: complete(*parts) for name, parts in built.items()}

@@ -53,7 +53,7 @@ def difference(df, con, text: str) -> str | None:
     if sorted(df.columns) != sorted(expected_names):
         return f"columns {sorted(df.columns)} / {sorted(expected_names)}"
     for field in df.schema:
-        want = TYPES.get(field.dataType.simpleString(), field.dataType.simpleString())
+        want = TYPES.get(field.dataType.simpleString(), field.dataType.simpleString().upper())
         if want != expected_types[field.name]:
             return f"type of {field.name}: {want} / {expected_types[field.name]}"
     got = rows_of(df.collect(), df.columns)
