@@ -110,18 +110,29 @@ MARTS = {
 }
 
 
+_opened: dict[tuple, tuple] = {}
+
+
+def _tables(spark, sf_dir):
+    """The tables of a directory, opened once per session."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _opened:
+        _opened[key] = (spark, open_derived(tune(spark), sf_dir))
+    return _opened[key][1]
+
+
 def _written(write, read) -> Callable[[SparkSession, str], DataFrame]:
     """A query that writes a mart into a fresh shared folder and returns what it reads back."""
 
     def run(spark, sf_dir):
-        path = write(open_derived(tune(spark), sf_dir), SETTING, shared_folder(spark))
+        path = write(_tables(spark, sf_dir), SETTING, shared_folder(spark))
         return read(spark, path) if read else spark.read.parquet(path)
 
     return run
 
 
 def _over(build) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(open_derived(tune(spark), sf_dir), SETTING)
+    return lambda spark, sf_dir: build(_tables(spark, sf_dir), SETTING)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -49,7 +49,7 @@ def _care(T: Tables, s: Setting, people: DataFrame | None) -> DataFrame:
         return F.col("event_date") >= F.lit(months_later(s.as_of, -months))
 
     year = months_later(s.as_of, -12)
-    encounters = encounter_marks(T, s, year, None).select(
+    encounters = encounter_marks(T, s, year, None, "med_nurse_benefit").select(
         "person_id", flag(since(6)).alias("seen"), flag(F.col("measured")).alias("weighed"),
         flag(F.col("med_nurse_benefit") & since(3)).alias("prenatal"),
     ).where((F.col("seen") == 1) | (F.col("weighed") == 1))

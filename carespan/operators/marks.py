@@ -18,29 +18,29 @@ from carespan.setting import Setting
 from carespan.sources.lake import within
 from carespan.sources.tables import Tables
 
-OCCUPATION_SETS = ("med_nurse", "med_nurse_wide", "med_nurse_benefit", "community_agent", "anthropometry", "dental_team")
-
+SALTS = 16
 
 def with_occupation(events: DataFrame, T: Tables, s: Setting, *sets: str) -> DataFrame:
     """Add one boolean per occupation set; false for an occupation without a row."""
     marks = T["occupation"].select(
         "occupation_id", *[starts_with_any(F.col("cbo"), getattr(s.codes, n)).alias(n) for n in sets]
     )
-    known = [F.coalesce(F.col(n), F.lit(False)).alias(n) for n in sets]
-    kept = [c for c in events.columns if c != "occupation_id"]
-    return events.join(marks, "occupation_id", "left").select(*kept, *known)
+    known = [F.coalesce(F.col(n), F.lit(False)) for n in sets]
+    return events.join(marks, "occupation_id", "left").withColumns(dict(zip(sets, known))).drop("occupation_id")
 
 
-def encounter_marks(T: Tables, s: Setting, start: date | None, end: date | None) -> DataFrame:
+def encounter_marks(T: Tables, s: Setting, start: date | None, end: date | None, *sets: str) -> DataFrame:
+    """Encounters with one boolean per named occupation set."""
     events = within(T["encounter"], start, end).select(
         "person_id", "event_date", "occupation_id", "icd_codes", "icpc_codes",
         (F.col("systolic").isNotNull() | F.col("diastolic").isNotNull()).alias("pressure"),
         (F.col("weight").isNotNull() & F.col("height").isNotNull()).alias("measured"),
     )
-    return with_occupation(events, T, s, *OCCUPATION_SETS)
+    return with_occupation(events, T, s, *sets)
 
 
-def visit_marks(T: Tables, s: Setting, start: date | None, end: date | None) -> DataFrame:
+def visit_marks(T: Tables, s: Setting, start: date | None, end: date | None, *sets: str) -> DataFrame:
+    """Home visits with one boolean per named occupation set."""
     events = within(T["home_visit"], start, end).select(
         "person_id", "event_date", "occupation_id",
         F.col("blood_pressure").isNotNull().alias("pressure"),
@@ -49,7 +49,7 @@ def visit_marks(T: Tables, s: Setting, start: date | None, end: date | None) ->
             (F.col("newborn_followup") == 1) | (F.col("child_followup") == 1), F.lit(False)
         ).alias("child_visit"),
     )
-    return with_occupation(events, T, s, "community_agent", "anthropometry")
+    return with_occupation(events, T, s, *sets)
 
 
 def procedure_marks(T: Tables, s: Setting, start: date | None, end: date | None, *sets: str) -> DataFrame:
@@ -71,6 +71,17 @@ def stacked(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def events_of(people: DataFrame, events: DataFrame) -> DataFrame:
+    """Join people (one or few rows each) with their events, before these are grouped by day.
+
+    Both sides carry a salt made from the day of the event, so the rows of one person are spread over
+    several tasks however many there are.
+    """
+    spread = people.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = events.withColumn("salt", F.pmod(F.hash("event_date"), F.lit(SALTS)))
+    return salted.join(spread, ["person_id", "salt"]).drop("salt")
+
+
 def spread_enough(visits: str, first: str, last: str, s: Setting) -> Column:
     """Two visits or more, the last at least 30 days after the first."""
     if s.gap_mode == "days":

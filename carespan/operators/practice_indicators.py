@@ -6,8 +6,8 @@ tasks before they are shuffled by person, so neither a long history nor one pers
 of the rows weighs on a single task:
 
 * practices with fixed dates (C4 to C7) reduce straight to one row per person;
-* practices counted from a birth or a pregnancy (C2, C3) reduce to one row per person and day first,
-  which bounds what any person brings to the join with the cohort.
+* practices counted from a birth or a pregnancy (C2, C3) keep the events of the cohort only and reduce
+  to one row per person and day, which bounds what any person brings to the join with the dates.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import Window
 
 from carespan.functions.scalars import flag, matches_any, ratio
 from carespan.operators.marks import (
-    dose_marks, encounter_marks, procedure_marks, spread_enough, stacked, visit_marks,
+    dose_marks, encounter_marks, events_of, procedure_marks, spread_enough, stacked, visit_marks,
     with_occupation,
 )
 from carespan.operators.population import linked_people, live_persons, valid_links
@@ -94,11 +94,11 @@ def chronic_flags(T: Tables, s: Setting) -> DataFrame:
     end = s.period.end
     half, year = F.lit(end - timedelta(days=183)), end - timedelta(days=366)
     recent = F.col("event_date") >= half
-    encounters = encounter_marks(T, s, year, end).select(
+    encounters = encounter_marks(T, s, year, end, "med_nurse").select(
         "person_id", flag(F.col("med_nurse") & recent).alias("a"),
         flag(F.col("pressure") & recent).alias("b"), flag(F.col("measured")).alias("c"),
     ).where((F.col("a") == 1) | (F.col("b") == 1) | (F.col("c") == 1))
-    visits = visit_marks(T, s, year, end).select(
+    visits = visit_marks(T, s, year, end, "community_agent").select(
         "person_id", flag(F.col("pressure") & recent).alias("b"), flag(F.col("measured")).alias("c"),
         F.when(F.col("community_agent"), F.col("event_date")).alias("visit_day"),
     )
@@ -154,10 +154,10 @@ def practices_c6(T: Tables, s: Setting) -> DataFrame:
     end = s.period.end
     year = end - timedelta(days=366)
     weighed = F.col("measured") & F.col("anthropometry")
-    encounters = encounter_marks(T, s, year, end).select(
+    encounters = encounter_marks(T, s, year, end, "med_nurse", "anthropometry").select(
         "person_id", flag(F.col("med_nurse")).alias("a"), flag(weighed).alias("b")
     ).where((F.col("a") == 1) | (F.col("b") == 1))
-    visits = visit_marks(T, s, year, end).select(
+    visits = visit_marks(T, s, year, end, "community_agent", "anthropometry").select(
         "person_id", flag(weighed).alias("b"),
         F.when(F.col("community_agent"), F.col("event_date")).alias("visit_day"),
     )
@@ -208,7 +208,7 @@ def practices_c7(T: Tables, s: Setting) -> DataFrame:
     about = matches_any(F.col("icd_codes"), s.codes.sexual_health_icd) | matches_any(
         F.col("icpc_codes"), s.codes.sexual_health_icpc
     )
-    encounters = encounter_marks(T, s, back(366), end).where(F.col("med_nurse") & about).select(
+    encounters = encounter_marks(T, s, back(366), end, "med_nurse").where(F.col("med_nurse") & about).select(
         "person_id", F.lit(1).alias("c")
     )
     done = stacked(procedures, doses, encounters).groupBy("person_id").agg(
@@ -245,13 +245,6 @@ def indicator_c7(T: Tables, s: Setting) -> DataFrame:
 # ---- child development ----
 
 
-def _by_day(*parts: DataFrame, **counts) -> DataFrame:
-    """One row per person and day: how many rows of each kind."""
-    return stacked(*parts).groupBy("person_id", "event_date").agg(
-        *[F.sum(c).alias(n) for n, c in counts.items()]
-    )
-
-
 def practices_c2(T: Tables, s: Setting) -> DataFrame:
     """Children of up to two years at the end of the period."""
     end = s.period.end
@@ -259,16 +252,17 @@ def practices_c2(T: Tables, s: Setting) -> DataFrame:
     people = unit_keys(linked_people(T, s, F.col("birth_date") >= F.lit(born)), T)
     children = people.select("person_id", *UNIT_IDS, "birth_date").distinct()
     cohort = children.select("person_id", *UNIT_IDS).distinct()
-    births = children.select("person_id", "birth_date").distinct()
-    earliest = F.min("birth_date").over(Window.partitionBy("person_id"))
-    births = births.withColumn("earliest", earliest)
+    # a person registered with several birth dates is one row with all of them
+    births = children.groupBy("person_id").agg(
+        F.collect_set("birth_date").alias("births"), F.min("birth_date").alias("earliest")
+    )
 
     # the oldest child counted was born two years before the end, so nothing earlier matters
-    encounters = encounter_marks(T, s, born, None).select(
+    encounters = encounter_marks(T, s, born, None, "med_nurse", "anthropometry").select(
         "person_id", "event_date", flag(F.col("med_nurse")).alias("seen"),
         flag(F.col("measured") & F.col("anthropometry")).alias("weighed"),
     ).where((F.col("seen") == 1) | (F.col("weighed") == 1))
-    visits = visit_marks(T, s, born, None).select(
+    visits = visit_marks(T, s, born, None, "community_agent").select(
         "person_id", "event_date", flag(F.col("measured")).alias("weighed"),
         flag(F.col("community_agent") & F.col("child_visit")).alias("visited"),
     ).where((F.col("weighed") == 1) | (F.col("visited") == 1))
@@ -280,25 +274,28 @@ def practices_c2(T: Tables, s: Setting) -> DataFrame:
         "person_id", "event_date", *[flag(F.col(v)).alias(v) for v in vaccines]
     )
     kinds = ("seen", "weighed", "visited", *vaccines)
-    days = _by_day(encounters, visits, procedures, doses, **{k: F.col(k) for k in kinds})
-
-    age = F.datediff("event_date", "birth_date")
-    ended = F.col("event_date") <= F.lit(end)
-    # a person registered with two birth dates meets each day twice: back to one row per day
-    lived = days.join(births, "person_id").groupBy("person_id", "event_date").agg(
-        F.max("earliest").alias("earliest"),
-        *[F.max(k).alias(k) for k in kinds],
-        _any(age.between(0, 30)).alias("first_month"),
-        _any(age.between(0, 180)).alias("half_year"),
+    day = F.col("event_date")
+
+    def by_age(days):
+        return F.exists("births", lambda b: (day >= b) & (day <= F.date_add(b, days)))
+
+    lived = (
+        events_of(births, stacked(encounters, visits, procedures, doses))
+        .withColumns({"first_month": flag(by_age(30)), "half_year": flag(by_age(180))})
+        .groupBy("person_id", "event_date").agg(
+            *[F.sum(k).alias(k) for k in kinds],
+            *[F.max(c).alias(c) for c in ("earliest", "first_month", "half_year")],
+        )
     )
-    alive = F.col("event_date") >= F.col("earliest")
+    ended = day <= F.lit(end)
+    alive = day >= F.col("earliest")
     visiting = (F.col("half_year") == 1) & (F.col("visited") > 0)
     sums = lived.groupBy("person_id").agg(
         _any((F.col("seen") > 0) & (F.col("first_month") == 1)).alias("pratica_a"),
         F.sum(flag((F.col("seen") > 0) & alive & ended)).alias("seen_days"),
         F.sum(flag((F.col("weighed") > 0) & alive & ended)).alias("weighed_days"),
         F.sum(F.when(visiting, F.col("visited"))).alias("visits"),
-        F.min(F.when(visiting, F.col("event_date"))).alias("first_visit"),
+        F.min(F.when(visiting, day)).alias("first_visit"),
         F.max("earliest").alias("earliest"),
         *[F.sum(v).alias(v) for v in vaccines],
     )
@@ -360,11 +357,11 @@ def practices_c3(T: Tables, s: Setting) -> DataFrame:
     cohort = _pregnancy_cohort(T, s)
     keys = ["person_id", "pregnancy_no"]
 
-    encounters = encounter_marks(T, s, start, end).select(
+    encounters = encounter_marks(T, s, start, end, "med_nurse_wide").select(
         "person_id", "event_date", flag(F.col("med_nurse_wide")).alias("seen"),
         flag(F.col("pressure")).alias("pressure"), flag(F.col("measured")).alias("weighed"),
     )
-    visits = visit_marks(T, s, start, end).select(
+    visits = visit_marks(T, s, start, end, "community_agent").select(
         "person_id", "event_date", flag(F.col("community_agent")).alias("visited"),
         flag(F.col("pressure")).alias("pressure"), flag(F.col("measured")).alias("weighed"),
     )
@@ -382,7 +379,11 @@ def practices_c3(T: Tables, s: Setting) -> DataFrame:
         T, s, "dental_team",
     ).where("dental_team").select("person_id", "event_date", F.lit(1).alias("dental"))
     kinds = ("seen", "visited", "pressure", "weighed", "test1", "test3", "dtpa", "dental")
-    days = _by_day(encounters, visits, procedures, doses, dental, **{k: F.col(k) for k in kinds})
+    dates = ["start_date", "puerperium_start", "puerperium_end", "pregnant_until"]
+    events = stacked(encounters, visits, procedures, doses, dental)
+    days = events_of(cohort.select(*keys, *dates), events).groupBy(*keys, *dates, "event_date").agg(
+        *[F.sum(k).alias(k) for k in kinds]
+    )
 
     day, begin = F.col("event_date"), F.col("start_date")
     until = F.col("pregnant_until")
@@ -393,9 +394,8 @@ def practices_c3(T: Tables, s: Setting) -> DataFrame:
         return F.col(kind) > 0
 
     # the days of one pregnancy are bounded by the length of the period
-    met = days.join(cohort.select(*keys, "start_date", "puerperium_start", "puerperium_end", "pregnant_until"), "person_id")
     first_seen = F.min(F.when(pregnant & some("seen"), day)).over(Window.partitionBy(*keys))
-    met = met.withColumn("first_seen", first_seen)
+    met = days.withColumn("first_seen", first_seen)
     sums = met.groupBy(*keys).agg(
         _any(some("seen") & day.between(begin, F.date_add(begin, 84))).alias("pratica_a"),
         F.sum(F.when(pregnant, F.col("seen"))).alias("seen"),

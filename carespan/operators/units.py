@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from carespan.functions.scalars import in_list, valid_team
 from carespan.setting import Setting
@@ -45,12 +46,9 @@ def named(df: DataFrame, T: Tables, team: str | None = "inner", valid_only: bool
     return df
 
 
-def _lowest_ids(dimension: DataFrame, key: str, first: str, second: str) -> DataFrame:
-    lowest = dimension.groupBy(F.col(first).alias("_a"), F.col(second).alias("_b")).agg(
-        F.min(key).alias("_lowest")
-    )
-    same = F.col(first).eqNullSafe(F.col("_a")) & F.col(second).eqNullSafe(F.col("_b"))
-    return dimension.join(lowest, same).select(key, "_lowest")
+def _lowest_ids(dimension: DataFrame, key: str, *names: str) -> DataFrame:
+    """Each id of a dimension with the lowest id of the same names (NULLs count as the same)."""
+    return dimension.select(key, F.min(key).over(Window.partitionBy(*names)).alias("_lowest"))
 
 
 def unit_keys(df: DataFrame, T: Tables, team: str | None = "inner") -> DataFrame:
