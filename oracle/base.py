@@ -22,7 +22,8 @@ TEAM = "unidade_saude, cnes, no_equipe, nu_ine"
 # Facility ids 0 to 19 are in scope.
 LINKED = f"""linked AS (
   SELECT p.person_id, p.name, p.cns, p.cpf, p.sex_id, r.registration_id, r.birth_date, l.facility_id,
-    l.team_id, f.facility_name AS unidade_saude, f.cnes, t.team_name AS no_equipe, t.ine AS nu_ine
+    l.team_id, f.facility_name AS unidade_saude, f.cnes, t.team_name AS no_equipe, t.ine AS nu_ine,
+    t.team_id AS known_team
   FROM person_link AS l
   JOIN registration AS r ON r.registration_id = l.registration_id
   JOIN person AS p ON p.person_id = r.person_id
@@ -57,9 +58,9 @@ def inside(great, good, enough) -> str:
     )
 
 
-def complete(parts: list[str], select: str) -> str:
-    """A full query: the derived views it names, its own parts, then its SELECT."""
+def complete(parts: list[str], select: str, view=view_sql) -> str:
+    """A full query: the views of the tables it names, its own parts, then its SELECT."""
     body = " ".join(parts) + " " + select
     needed = [t for t in COLUMNS if re.search(rf"\b(FROM|JOIN) {t}\b", body)]
-    views = [f"{t} AS ({view_sql(t)})" for t in needed]
+    views = [f"{t} AS ({view(t)})" for t in needed]
     return "WITH " + ",\n".join(views + parts) + "\n" + select

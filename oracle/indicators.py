@@ -51,9 +51,12 @@ def b1():
       SELECT u.*, (SELECT count(DISTINCT d.person_id) FROM dental_procedure AS d
           WHERE d.facility_id = u.facility_id AND d.team_id = u.team_id
             AND d.occupation_id = 5 AND d.procedure_id = 18 AND d.event_date {PERIOD}) AS numerator,
-        (SELECT nullif(count(DISTINCT l.person_id), 0) FROM linked AS l WHERE l.facility_id = u.facility_id) AS denominator
+        (SELECT nullif(count(DISTINCT l.person_id), 0) FROM linked AS l WHERE l.facility_id = u.facility_id) AS denominator,
+        (SELECT count(*) FROM dental_procedure AS d
+          WHERE d.facility_id = u.facility_id AND d.team_id = u.team_id
+            AND d.occupation_id = 5 AND d.procedure_id = 18 AND d.event_date {PERIOD}) AS visits
       FROM units AS u WHERE {VALID})""",
-      f"result AS (SELECT *, {half_up('numerator', 'denominator')} AS value FROM counted WHERE numerator > 0)"], _classified("result", above(5, 3, 1))
+      f"result AS (SELECT *, {half_up('numerator', 'denominator')} AS value FROM counted WHERE visits > 0)"], _classified("result", above(5, 3, 1))
 
 
 def b2():
@@ -63,9 +66,12 @@ def b2():
             AND d.occupation_id = 5 AND d.procedure_id = 18 AND d.event_date {PERIOD}) AS denominator,
         (SELECT count(DISTINCT e.person_id) FROM dental_encounter AS e
           WHERE e.facility_id = u.facility_id AND e.team_id = u.team_id
-            AND e.occupation_id = 5 AND e.treatment_completed = 1 AND e.event_date {PERIOD}) AS numerator
+            AND e.occupation_id = 5 AND e.treatment_completed = 1 AND e.event_date {PERIOD}) AS numerator,
+        (SELECT count(*) FROM dental_procedure AS d
+          WHERE d.facility_id = u.facility_id AND d.team_id = u.team_id
+            AND d.occupation_id = 5 AND d.procedure_id = 18 AND d.event_date {PERIOD}) AS visits
       FROM units AS u WHERE u.facility_id < 20)""",
-      f"result AS (SELECT *, {half_up('numerator', 'denominator')} AS value FROM counted WHERE denominator > 0)"], _classified("result", STANDARD)
+      f"result AS (SELECT *, coalesce({half_up('numerator', 'denominator')}, 0.0) AS value FROM counted WHERE visits > 0)"], _classified("result", STANDARD)
 
 
 def _dental(base: str, counted: str):
@@ -99,7 +105,7 @@ AGE = f"(year({AS_OF}) - year(birth_date) - CASE WHEN (month(birth_date), day(bi
 
 def b4():
     return [UNITS, LINKED, f"""counted AS (
-      SELECT facility_id, team_id, {TEAM}, sum(participants) AS numerator, count(*) AS atividades,
+      SELECT facility_id, team_id, {TEAM}, coalesce(sum(participants), 0) AS numerator, count(*) AS atividades,
         any_value(children) AS denominator
       FROM group_activity AS g JOIN units USING (facility_id, team_id)
       LEFT JOIN (SELECT facility_id, count(DISTINCT person_id) AS children FROM linked WHERE {AGE} BETWEEN 6 AND 12 GROUP BY 1)
@@ -266,10 +272,10 @@ def c7():
 
 
 def c2_parts():
-    births = f"births AS (SELECT DISTINCT person_id, birth_date FROM linked WHERE birth_date >= {END} - INTERVAL 2 YEAR AND no_equipe IS NOT NULL)"
+    births = f"births AS (SELECT DISTINCT person_id, birth_date FROM linked WHERE birth_date >= {END} - INTERVAL 2 YEAR AND known_team IS NOT NULL)"
     cohort = f"""cohort AS (SELECT DISTINCT person_id, {TEAM},
         (SELECT min(b.birth_date) FROM births AS b WHERE b.person_id = l.person_id) AS born
-      FROM linked AS l WHERE birth_date >= {END} - INTERVAL 2 YEAR AND no_equipe IS NOT NULL)"""
+      FROM linked AS l WHERE birth_date >= {END} - INTERVAL 2 YEAR AND known_team IS NOT NULL)"""
 
     def after(days):
         return f"EXISTS (SELECT 1 FROM births AS b WHERE b.person_id = x.person_id AND x.event_date BETWEEN b.birth_date AND b.birth_date + {days})"

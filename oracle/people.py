@@ -186,8 +186,8 @@ def documents():
 
 
 def cns_quality():
-    return [], f"""SELECT f.facility_name AS unidade_saude, f.cnes, count(*) FILTER (r.cns IS NOT NULL AND {_cns_ok('r.cns')}) AS validos,
-      count(*) FILTER (r.cns IS NOT NULL AND NOT {_cns_ok('r.cns')}) AS invalidos, count(*) FILTER (r.cns IS NULL) AS ausentes
+    return [], f"""SELECT f.facility_name AS unidade_saude, f.cnes, count(*) FILTER (trim(r.cns) <> '' AND {_cns_ok('r.cns')}) AS validos,
+      count(*) FILTER (trim(r.cns) <> '' AND NOT {_cns_ok('r.cns')}) AS invalidos, count(*) FILTER (coalesce(trim(r.cns), '') = '') AS ausentes
       FROM registration AS r LEFT JOIN (SELECT DISTINCT l.registration_id, l.facility_id FROM person_link AS l WHERE {IN_FORCE}) AS k
         ON k.registration_id = r.registration_id
       LEFT JOIN facility AS f ON f.facility_id = k.facility_id GROUP BY k.facility_id, f.facility_name, f.cnes"""

@@ -9,8 +9,13 @@ from oracle.people import PEOPLE
 from oracle.worklists import WORKLISTS
 
 
-def texts() -> dict[str, str]:
+def checks() -> dict[str, tuple]:
+    """Query name -> (parts, select)."""
     built = {f"ind_{name}": make() for name, make in INDICATORS.items()}
     for group in (PEOPLE, WORKLISTS, MARTS):
         built.update({name: make() for name, make in group.items()})
-    return {name: complete(*parts) for name, parts in built.items()}
+    return built
+
+
+def texts(**options) -> dict[str, str]:
+    return {name: complete(*parts, **options) for name, parts in checks().items()}

@@ -56,15 +56,19 @@ def o_c1():
 
 
 def o_b1():
-    return [LINKED], f"""SELECT DISTINCT {TEAM}, {CONTACT} FROM linked AS i WHERE (person_id, facility_id) NOT IN (
-      SELECT (person_id, facility_id) FROM dental_procedure WHERE occupation_id = 5 AND event_date {PERIOD})"""
+    return [LINKED], f"""SELECT DISTINCT {TEAM}, {CONTACT} FROM linked AS i WHERE NOT EXISTS (
+      SELECT 1 FROM dental_procedure AS d JOIN facility AS f ON f.facility_id = d.facility_id
+      WHERE d.person_id = i.person_id AND f.facility_name = i.unidade_saude AND f.cnes = i.cnes AND f.facility_id < 20
+        AND d.occupation_id = 5 AND d.event_date {PERIOD})"""
 
 
 def o_b2():
-    return [UNITS, BIRTHS, f"""open_cases AS (
-      SELECT DISTINCT person_id, {TEAM} FROM dental_procedure AS d JOIN units USING (facility_id, team_id)
-      WHERE facility_id < 20 AND occupation_id = 5 AND procedure_id = 18 AND event_date {PERIOD}
-        AND NOT EXISTS (SELECT 1 FROM dental_encounter AS e WHERE e.person_id = d.person_id AND e.facility_id = d.facility_id
+    return [BIRTHS, f"""open_cases AS (
+      SELECT DISTINCT d.person_id, f.facility_name AS unidade_saude, f.cnes, t.team_name AS no_equipe, t.ine AS nu_ine
+      FROM dental_procedure AS d JOIN facility AS f ON f.facility_id = d.facility_id LEFT JOIN team AS t ON t.team_id = d.team_id
+      WHERE d.facility_id < 20 AND d.occupation_id = 5 AND d.procedure_id = 18 AND d.event_date {PERIOD}
+        AND NOT EXISTS (SELECT 1 FROM dental_encounter AS e JOIN facility AS o ON o.facility_id = e.facility_id
+          WHERE e.person_id = d.person_id AND o.facility_name = f.facility_name AND o.cnes = f.cnes AND o.facility_id < 20
           AND e.occupation_id = 5 AND e.treatment_completed = 1 AND e.event_date {PERIOD}))"""], f"""
       SELECT {TEAM}, {CONTACT} FROM open_cases JOIN person USING (person_id) LEFT JOIN births USING (person_id)"""
 
@@ -135,7 +139,8 @@ def access_gap():
     return parts + [p for p in own if p != UNITS and not p.startswith("listed")] + [p.replace("listed AS", "called AS") for p in own if p.startswith("listed")] + [
         f"teams AS ({select})", f"people AS ({listed.replace('FROM listed', 'FROM called')})", levels,
     ], f"""SELECT {TEAM}, value AS atual, {bands} AS classificacao, nivel, meta, CAST(faltam AS BIGINT) AS faltam, tipo,
-      (SELECT count(*) FROM people AS p WHERE p.cnes = g.cnes AND p.unidade_saude = g.unidade_saude AND p.no_equipe = g.no_equipe AND p.nu_ine = g.nu_ine)
+      (SELECT count(*) FROM people AS p WHERE p.cnes = g.cnes AND p.unidade_saude = g.unidade_saude AND p.no_equipe IS NOT DISTINCT FROM g.no_equipe
+          AND p.nu_ine IS NOT DISTINCT FROM g.nu_ine)
         AS total_pacientes_para_busca FROM gaps AS g"""
 
 
