@@ -12,8 +12,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from carespan.operators import benefits, cohorts, population, quality, rollups, units  # noqa: E402
-from carespan.operators.outreach import OUTREACH, access_gap, outreach_list  # noqa: E402
+from carespan.operators import benefits, cohorts, listing, population, quality, rollups, units  # noqa: E402
+from carespan.operators.outreach import OUTREACH, access_gap, outreach_b1, outreach_list  # noqa: E402
+from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_columns  # noqa: E402
 from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all  # noqa: E402
 from carespan.plans import marts  # noqa: E402
 from carespan.session import shared_folder, tune  # noqa: E402
@@ -40,6 +41,11 @@ def _totals(T, s):
     return cohorts.cohort_totals(cohorts.indigenous_cohort(T, s), *flags)
 
 
+def _flags(name, T, s):
+    rows = PERSON_PRACTICES[name](T, s)
+    return rows.select("person_id", "team_id", *practice_columns(name))
+
+
 # query name -> function of (tables, setting)
 BUILDS = {
     **{f"ind_{name}": build for name, build in INDICATORS.items()},
@@ -69,6 +75,20 @@ BUILDS = {
     "rollup_city": rollups.city_summary,
     "indicator_long": indicator_long,
     "band_distribution": lambda T, s: rollups.band_distribution(indicator_long(T, s)),
+    **{f"practice_flags_{n}": (lambda T, s, n=n: _flags(n, T, s)) for n in PERSON_PRACTICES},
+    # the options of operators above
+    "ind_c4_integer_gap": lambda T, s: INDICATORS["c4"](T, s.but(gap_mode="yyyymmdd")),
+    "quality_cns_strict": lambda T, s: quality.cns_quality(T, s, strict=True),
+    "outreach_b1_by_person": lambda T, s: outreach_b1(T, s, by="person"),
+    "outreach_c1_team": lambda T, s: outreach_list("c1", T, s, unit="nation_0", team="Supplier#000000000"),
+    "benefit_page_unit": lambda T, s: benefits.benefit_page(T, s, after_id=0, size=50, unit="Nation_1"),
+    # what a reader does with a list
+    "list_unit_filter": lambda T, s: listing.filter_unit(INDICATORS["c1"](T, s), "000001"),
+    "list_search": lambda T, s: listing.search_rows(cohorts.foreigner_cohort(T, s), "rn c"),
+    "list_sorted": lambda T, s: listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True),
+    "list_ordered": lambda T, s: listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"),
+    "list_masked": lambda T, s: listing.masked(cohorts.homeless_cohort(T, s)),
+    "list_json": lambda T, s: listing.json_rows(units.facilities(T, s)),
 }
 
 

@@ -348,7 +348,8 @@ def _pregnancy_cohort(T: Tables, s: Setting) -> DataFrame:
     )
     before_birth = F.coalesce(F.date_sub("puerperium_start", 1), F.lit(s.as_of))
     last_day = F.coalesce(F.col("puerperium_end"), F.date_add("puerperium_start", 42))
-    return rows.withColumns({"pregnant_until": before_birth, "puerperium_end": last_day})
+    rows = rows.withColumns({"pregnant_until": before_birth, "puerperium_end": last_day})
+    return unit_keys(rows, T, team="left")
 
 
 def practices_c3(T: Tables, s: Setting) -> DataFrame:
@@ -422,8 +423,7 @@ def indicator_c3(T: Tables, s: Setting) -> DataFrame:
     """Pregnancy and puerperium: practice A is worth 10 points, the others 9 each, of 100."""
     practices = practice_columns("c3")
     points = F.col("pratica_a") * 10 + _total(practices[1:]) * 9
-    rows = unit_keys(practices_c3(T, s), T, team="left")
-    counts = _team_counts(rows, T, "c3", "left").withColumn("numerator", points)
+    counts = _team_counts(practices_c3(T, s), T, "c3", "left").withColumn("numerator", points)
     return scored(counts, "c3", ratio(F.col("numerator"), F.col("denominator"), scale=1), *practices)
 
 

@@ -360,6 +360,11 @@ def c3():
     ], _classified("result", STANDARD, _names(letters))
 
 
+PRACTICE_PARTS = {
+    "c2": (c2_parts, "abcde"), "c3": (c3_parts, "abcdefghijk"), "c4": (c4_parts, "abcdef"),
+    "c5": (c5_parts, "abcd"), "c6": (c6_parts, "abcd"), "c7": (c7_parts, "abcd"),
+}
+
 INDICATORS = {
     "c1": c1, "c2": c2, "c3": c3, "c4": c4, "c5": c5, "c6": c6, "c7": c7,
     "b1": b1, "b2": b2, "b3": b3, "b4": b4, "b5": b5, "b6": b6, "m1": m1, "m2": m2,

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import indicators as ind
 from oracle.base import AS_OF, half_up
+from oracle.indicators import PRACTICE_PARTS
 from oracle.people import LIVE, documents, duplicates, foreigners_detail, stale
 from oracle.worklists import _merged, indicator_long, outreach_all
 
@@ -19,12 +19,6 @@ def indicators():
       FROM ({rows}) AS w"""
 
 
-PRACTICES = {
-    "c2": (ind.c2_parts, "abcde"), "c3": (ind.c3_parts, "abcdefghijk"), "c4": (ind.c4_parts, "abcdef"),
-    "c5": (ind.c5_parts, "abcd"), "c6": (ind.c6_parts, "abcd"), "c7": (ind.c7_parts, "abcd"),
-}
-
-
 def _score(name: str, letters: str) -> str:
     if name == "c7":
         return "20 * pratica_a + 30 * pratica_b + 30 * pratica_c + 20 * pratica_d"
@@ -35,7 +29,7 @@ def _score(name: str, letters: str) -> str:
 
 def person_practices():
     makes = {}
-    for name, (parts_of, letters) in PRACTICES.items():
+    for name, (parts_of, letters) in PRACTICE_PARTS.items():
         done = ", ".join(f"CASE WHEN pratica_{x} = 1 THEN '{x.upper()}' END" for x in letters)
         select = f"""SELECT person_id AS paciente_id, (SELECT p.cns FROM person AS p WHERE p.person_id = m.person_id) AS cns, nu_ine,
           200107 AS competencia, '{name.upper()}' AS cd_indicador, CAST({_score(name, letters)} AS DECIMAL(5,2)) AS pontuacao,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from oracle.base import complete
 from oracle.indicators import INDICATORS
 from oracle.marts import MARTS
+from oracle.options import OPTIONS
 from oracle.people import PEOPLE
 from oracle.worklists import WORKLISTS
 
@@ -12,7 +13,7 @@ from oracle.worklists import WORKLISTS
 def checks() -> dict[str, tuple]:
     """Query name -> (parts, select)."""
     built = {f"ind_{name}": make() for name, make in INDICATORS.items()}
-    for group in (PEOPLE, WORKLISTS, MARTS):
+    for group in (PEOPLE, WORKLISTS, OPTIONS, MARTS):
         built.update({name: make() for name, make in group.items()})
     return built
 
