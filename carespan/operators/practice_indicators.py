@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from carespan.functions.scalars import flag, matches_any, ratio
+from carespan.codes import STANDARD_BANDS
+from carespan.functions.scalars import band, flag, matches_any, ratio
 from carespan.operators.marks import (
     dose_marks, encounter_marks, events_of, procedure_marks, spread_enough, stacked, visit_marks,
     with_occupation,
@@ -69,61 +70,138 @@ def _total(columns) -> Column:
     return reduce(Column.__add__, [F.col(c) for c in columns])
 
 
-# ---- chronic conditions: diabetes and hypertension ----
+# ---- diabetes, hypertension, older people: care within a year of the end of the period ----
+
+# Kind of care behind each practice; "visited" is two agent's visits 30 days apart.
+YEARLY = {
+    "c4": {
+        "a": "seen_lately", "b": "pressure_lately", "c": "weighed", "d": "visited", "e": "hba1c",
+        "f": "diabetic_foot",
+    },
+    "c5": {"a": "seen_lately", "b": "pressure_lately", "c": "weighed", "d": "visited"},
+    "c6": {"a": "seen", "b": "weighed_by_team", "c": "visited", "d": "influenza"},
+}
+LATELY, YEAR = 183, 366
+
+
+def yearly_care(T: Tables, s: Setting, names=tuple(YEARLY)) -> DataFrame:
+    """Per person, the kinds of care that the named indicators ask for, in one pass over the events."""
+    kinds = {kind for name in names for kind in YEARLY[name].values()} - {"visited"}
+    end = s.period.end
+    year = end - timedelta(days=YEAR)
+    lately = F.col("event_date") >= F.lit(end - timedelta(days=LATELY))
+
+    def marked(rows, *columns, **tests):
+        chosen = [flag(test).alias(kind) for kind, test in tests.items() if kind in kinds]
+        return rows.select("person_id", *chosen, *columns)
+
+    seen, pressure, weighed = F.col("med_nurse"), F.col("pressure"), F.col("measured")
+    by_team = weighed & F.col("anthropometry")
+    encounters = encounter_marks(T, s, year, end, "med_nurse", "anthropometry").where(
+        seen | weighed | (pressure & lately)
+    )
+    visits = visit_marks(T, s, year, end, "community_agent", "anthropometry")
+    visit_day = F.when(F.col("community_agent"), F.col("event_date")).alias("visit_day")
+    sets = ["weight_height"]
+    sets += ["blood_pressure"] * ("pressure_lately" in kinds)
+    sets += [x for x in ("hba1c", "diabetic_foot") if x in kinds]
+    procedures = procedure_marks(T, s, year, end, *sets)
+    parts = [
+        marked(
+            encounters, seen=seen, seen_lately=seen & lately, pressure_lately=pressure & lately,
+            weighed=weighed, weighed_by_team=by_team,
+        ),
+        marked(visits, visit_day, pressure_lately=pressure & lately, weighed=weighed, weighed_by_team=by_team),
+        marked(
+            procedures, pressure_lately=(F.col("blood_pressure") == 1) & lately,
+            weighed=F.col("weight_height") == 1, weighed_by_team=F.col("weight_height") == 1,
+            hba1c=F.col("hba1c") == 1, diabetic_foot=F.col("diabetic_foot") == 1,
+        ),
+    ]
+    if "influenza" in kinds:
+        parts.append(marked(dose_marks(T, s, year, end, "influenza"), influenza=F.col("influenza")))
+    care = stacked(*parts).groupBy("person_id").agg(
+        *[F.max(kind).alias(kind) for kind in sorted(kinds)], F.count("visit_day").alias("visits"),
+        F.min("visit_day").alias("first"), F.max("visit_day").alias("last"),
+    )
+    return care.withColumn("visited", flag(spread_enough("visits", "first", "last", s)))
 
 
 def condition_encounters(T: Tables, s: Setting, icd, icpc) -> DataFrame:
     """Encounters since the starting date of the rules that name the condition."""
-    return within(T["encounter"], s.codes.condition_since).where(
-        matches_any(F.col("icd_codes"), icd) | matches_any(F.col("icpc_codes"), icpc)
-    )
+    return within(T["encounter"], s.codes.condition_since).where(_names_condition(icd, icpc))
 
 
-def _condition_cohort(T: Tables, s: Setting, icd, icpc) -> DataFrame:
-    """Live people with the condition, in the team of the latest encounter that names it."""
-    events = condition_encounters(T, s, icd, icpc).where(in_scope(s))
-    newest = F.max(F.struct("event_date", "encounter_id", *UNIT_IDS)).alias("newest")
-    latest = unit_keys(events, T).groupBy("person_id").agg(newest)
-    return latest.select("person_id", *[f"newest.{c}" for c in UNIT_IDS]).join(
-        live_persons(T).select("person_id"), "person_id", "left_semi"
-    )
+def _names_condition(icd, icpc) -> Column:
+    return matches_any(F.col("icd_codes"), icd) | matches_any(F.col("icpc_codes"), icpc)
 
 
-def chronic_flags(T: Tables, s: Setting) -> DataFrame:
-    """Practices of the last half year and year for everyone with such an event."""
-    end = s.period.end
-    half, year = F.lit(end - timedelta(days=183)), end - timedelta(days=366)
-    recent = F.col("event_date") >= half
-    encounters = encounter_marks(T, s, year, end, "med_nurse").select(
-        "person_id", flag(F.col("med_nurse") & recent).alias("a"),
-        flag(F.col("pressure") & recent).alias("b"), flag(F.col("measured")).alias("c"),
-    ).where((F.col("a") == 1) | (F.col("b") == 1) | (F.col("c") == 1))
-    visits = visit_marks(T, s, year, end, "community_agent").select(
-        "person_id", flag(F.col("pressure") & recent).alias("b"), flag(F.col("measured")).alias("c"),
-        F.when(F.col("community_agent"), F.col("event_date")).alias("visit_day"),
-    )
-    procedures = procedure_marks(
-        T, s, year, end, "blood_pressure", "weight_height", "hba1c", "diabetic_foot"
-    ).select(
-        "person_id", flag((F.col("blood_pressure") == 1) & recent).alias("b"),
-        F.col("weight_height").alias("c"), F.col("hba1c").alias("e"), F.col("diabetic_foot").alias("f"),
+def condition_people(T: Tables, s: Setting, names=("c4", "c5")) -> DataFrame:
+    """Live people with the conditions, each in the team of the latest encounter that names it.
+
+    One pass over the encounters serves both conditions.
+    """
+    tests = {
+        "c4": _names_condition(s.codes.diabetes_icd, s.codes.diabetes_icpc),
+        "c5": _names_condition(s.codes.hypertension_icd, s.codes.hypertension_icpc),
+    }
+    row = F.struct("event_date", "encounter_id", *UNIT_IDS)
+    events = within(T["encounter"], s.codes.condition_since).where(
+        reduce(Column.__or__, [tests[n] for n in names]) & in_scope(s)
     )
-    sums = stacked(encounters, visits, procedures).groupBy("person_id").agg(
-        *[F.max(letter).alias(f"pratica_{letter}") for letter in "abcef"],
-        F.count("visit_day").alias("visits"), F.min("visit_day").alias("first"),
-        F.max("visit_day").alias("last"),
+    latest = unit_keys(events, T).groupBy("person_id").agg(
+        *[F.max(F.when(tests[n], row)).alias(n) for n in names]
     )
-    return sums.withColumn("pratica_d", flag(spread_enough("visits", "first", "last", s)))
+    live = latest.join(live_persons(T).select("person_id"), "person_id", "left_semi")
+    cases = [F.struct(F.lit(n).alias("indicador"), F.col(n).alias("row")) for n in names]
+    people = live.select("person_id", F.explode(F.array(*cases)).alias("case")).where("case.row IS NOT NULL")
+    return people.select("case.indicador", "person_id", *[F.col(f"case.row.{c}") for c in UNIT_IDS])
+
+
+def older_people(s: Setting) -> Column:
+    return F.col("birth_date") <= F.add_months(F.lit(s.as_of), -12 * 60)
+
+
+def _yearly_practices(T: Tables, s: Setting, name: str, cohort: DataFrame) -> DataFrame:
+    done = [F.col(kind).alias(f"pratica_{x}") for x, kind in YEARLY[name].items()]
+    flags = yearly_care(T, s, (name,)).select("person_id", *done)
+    return _flagged(cohort, flags, ["person_id"], name)
 
 
 def practices_c4(T: Tables, s: Setting) -> DataFrame:
-    cohort = _condition_cohort(T, s, s.codes.diabetes_icd, s.codes.diabetes_icpc)
-    return _flagged(cohort, chronic_flags(T, s), ["person_id"], "c4")
+    return _yearly_practices(T, s, "c4", condition_people(T, s, ("c4",)).drop("indicador"))
 
 
 def practices_c5(T: Tables, s: Setting) -> DataFrame:
-    cohort = _condition_cohort(T, s, s.codes.hypertension_icd, s.codes.hypertension_icpc)
-    return _flagged(cohort, chronic_flags(T, s), ["person_id"], "c5")
+    return _yearly_practices(T, s, "c5", condition_people(T, s, ("c5",)).drop("indicador"))
+
+
+def practices_c6(T: Tables, s: Setting) -> DataFrame:
+    return _yearly_practices(T, s, "c6", _linked_cohort(T, s, older_people(s)))
+
+
+def yearly_people(T: Tables, s: Setting) -> DataFrame:
+    """The cohorts of C4, C5 and C6 in one table with every kind of care: the events are read once."""
+    older = _linked_cohort(T, s, older_people(s)).withColumn("indicador", F.lit("c6"))
+    cohort = condition_people(T, s).unionByName(older)
+    kinds = sorted({kind for practices in YEARLY.values() for kind in practices.values()})
+    filled = [F.coalesce(F.col(k), F.lit(0)).alias(k) for k in kinds]
+    return cohort.join(yearly_care(T, s), "person_id", "left").select(*cohort.columns, *filled)
+
+
+def yearly_indicators(T: Tables, s: Setting) -> DataFrame:
+    """C4, C5 and C6 at once: indicator, team, practices done, people, value and class."""
+    points, practices = F.lit(None).cast("int"), F.lit(None).cast("int")
+    for name, kinds in YEARLY.items():
+        points = F.when(F.col("indicador") == name, _total(kinds.values())).otherwise(points)
+        practices = F.when(F.col("indicador") == name, len(kinds)).otherwise(practices)
+    counts = yearly_people(T, s).groupBy("indicador", *UNIT_IDS).agg(
+        F.sum(points).alias("numerator"), F.count("*").alias("denominator")
+    )
+    value = ratio(F.col("numerator"), F.col("denominator") * practices)
+    return named(counts, T, team="left").withColumn("value", value).withColumn(
+        "classificacao", band(F.col("value"), STANDARD_BANDS)
+    )
 
 
 def _plain_score(rows: DataFrame, T: Tables, name: str, team: str, scale: int, per_person: int) -> DataFrame:
@@ -143,37 +221,6 @@ def indicator_c5(T: Tables, s: Setting) -> DataFrame:
     return _plain_score(practices_c5(T, s), T, "c5", "inner", 100, 4)
 
 
-# ---- older people ----
-
-
-def older_people(s: Setting) -> Column:
-    return F.col("birth_date") <= F.add_months(F.lit(s.as_of), -12 * 60)
-
-
-def practices_c6(T: Tables, s: Setting) -> DataFrame:
-    end = s.period.end
-    year = end - timedelta(days=366)
-    weighed = F.col("measured") & F.col("anthropometry")
-    encounters = encounter_marks(T, s, year, end, "med_nurse", "anthropometry").select(
-        "person_id", flag(F.col("med_nurse")).alias("a"), flag(weighed).alias("b")
-    ).where((F.col("a") == 1) | (F.col("b") == 1))
-    visits = visit_marks(T, s, year, end, "community_agent", "anthropometry").select(
-        "person_id", flag(weighed).alias("b"),
-        F.when(F.col("community_agent"), F.col("event_date")).alias("visit_day"),
-    )
-    procedures = procedure_marks(T, s, year, end, "weight_height").select(
-        "person_id", F.col("weight_height").alias("b")
-    )
-    doses = dose_marks(T, s, year, end, "influenza").select("person_id", F.lit(1).alias("d"))
-    sums = stacked(encounters, visits, procedures, doses).groupBy("person_id").agg(
-        *[F.max(letter).alias(f"pratica_{letter}") for letter in "abd"],
-        F.count("visit_day").alias("visits"), F.min("visit_day").alias("first"),
-        F.max("visit_day").alias("last"),
-    )
-    flags = sums.withColumn("pratica_c", flag(spread_enough("visits", "first", "last", s)))
-    return _flagged(_linked_cohort(T, s, older_people(s)), flags, ["person_id"], "c6")
-
-
 def indicator_c6(T: Tables, s: Setting) -> DataFrame:
     """Care of people of 60 and over: four practices."""
     return _plain_score(practices_c6(T, s), T, "c6", "left", 100, 4)

@@ -79,6 +79,14 @@ def indicator_m2(T: Tables, s: Setting) -> DataFrame:
     return scored(contact_counts(T, s), "m2", ratio(F.col("numerator"), F.col("denominator"), scale=1))
 
 
+def contact_indicators(T: Tables, s: Setting) -> DataFrame:
+    """M1 and M2 at once, from one count."""
+    value = ratio(F.col("numerator"), F.col("denominator"), scale=1)
+    counts = contact_counts(T, s).withColumn("value", value)
+    names = F.explode(F.array(F.lit("m1"), F.lit("m2"))).alias("indicador")
+    return counts.select("*", names, band(F.col("value"), BANDS["m1"]).alias("classificacao"))
+
+
 def procedures_of(T: Tables, **sets) -> DataFrame:
     """Procedure ids with one 0/1 column per code set, only ids in some set."""
     marks = [flag(in_list(F.col("code"), codes)).alias(name) for name, codes in sets.items()]

@@ -23,17 +23,35 @@ INDICATORS = {
 }
 
 
-def indicator_rows(name: str, T: Tables, s: Setting) -> DataFrame:
-    """One indicator in the shape all of them share."""
-    return INDICATORS[name](T, s).select(
-        F.lit(name).alias("indicador"), *TEAM, "numerator", "denominator", "value", "classificacao",
+# Indicators that share their pass over the events when several are asked for.
+TOGETHER = {
+    ("c4", "c5", "c6"): practice.yearly_indicators,
+    ("m1", "m2"): ratios.contact_indicators,
+}
+
+
+def _long(rows: DataFrame, s: Setting) -> DataFrame:
+    return rows.select(
+        "indicador", *TEAM, "numerator", "denominator", "value", "classificacao",
         F.lit(s.period.start).alias("inicio"), F.lit(s.period.end).alias("fim"),
     )
 
 
+def indicator_parts(T: Tables, s: Setting, names=tuple(INDICATORS)) -> list[DataFrame]:
+    """The named indicators in the shape all share, in as few tables as their passes allow."""
+    left, parts = list(names), []
+    for group, build in TOGETHER.items():
+        if len(set(group) & set(left)) > 1:
+            rows = build(T, s)
+            parts.append(_long(rows.where(F.col("indicador").isin(*left)), s))
+            left = [n for n in left if n not in group]
+    single = [INDICATORS[n](T, s).withColumn("indicador", F.lit(n)) for n in left]
+    return [_long(rows, s) for rows in single] + parts
+
+
 def indicator_long(T: Tables, s: Setting, names=tuple(INDICATORS)) -> DataFrame:
     """All indicators, one row per indicator and team."""
-    return reduce(DataFrame.unionByName, [indicator_rows(n, T, s) for n in names])
+    return reduce(DataFrame.unionByName, indicator_parts(T, s, names))
 
 
 def outreach_rows(name: str, T: Tables, s: Setting) -> DataFrame:

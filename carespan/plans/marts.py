@@ -14,10 +14,12 @@ from carespan.functions.scalars import blank, display_date, flag, ratio
 from carespan.operators.cohorts import foreigner_cohort
 from carespan.operators.outreach import OUTREACH
 from carespan.operators.population import latest_registration, live_persons
-from carespan.operators.practice_indicators import PERSON_PRACTICES, WOMEN_AGES, practice_columns
+from carespan.operators.practice_indicators import (
+    PERSON_PRACTICES, PRACTICES, WOMEN_AGES, YEARLY, practice_columns, yearly_people,
+)
 from carespan.operators.quality import document_flags, inconsistencies, stale_pregnancies
 from carespan.operators.units import facility_names, team_names
-from carespan.plans.catalog import INDICATORS, indicator_rows, outreach_rows
+from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_rows
 from carespan.setting import Setting
 from carespan.sources.tables import Tables
 
@@ -51,8 +53,8 @@ def write_foreigners(T: Tables, s: Setting, path: str) -> str:
 
 def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS)) -> str:
     """Indicators in long form, one partition per indicator and month of the period's end."""
-    for name in names:
-        rows = indicator_rows(name, T, s).select(
+    for part in indicator_parts(T, s, names):
+        rows = part.select(
             "nu_ine", "cnes", _month(F.col("fim")).alias("competencia"),
             F.upper("indicador").alias("cd_indicador"),
             F.col("numerator").cast("decimal(12,4)").alias("numerador"),
@@ -63,9 +65,8 @@ def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS))
     return path
 
 
-def _score(name: str) -> Column:
+def _score(name: str, practices: list[Column]) -> Column:
     """Points of one person, of 100."""
-    practices = [F.col(p) for p in practice_columns(name)]
     if name == "c7":
         weights = [w for _, _, w in WOMEN_AGES.values()]
     elif name == "c3":
@@ -75,17 +76,42 @@ def _score(name: str) -> Column:
     return sum((p * w for p, w in zip(practices, weights)), F.lit(0)).cast("double")
 
 
+def _scored(name: str, letters, practices: list[Column]) -> list[Column]:
+    marks = [x for letter, p in zip(letters, practices) for x in (F.lit(letter.upper()), p == 1)]
+    return [_score(name, practices).cast("decimal(5,2)").alias("pontuacao"), F.create_map(*marks).alias("boas_praticas")]
+
+
+def person_practice_rows(name: str, T: Tables, s: Setting) -> DataFrame:
+    """Score and practice map of one indicator's people."""
+    practices = [F.col(p) for p in practice_columns(name)]
+    scores = _scored(name, PRACTICES[name], practices)
+    return PERSON_PRACTICES[name](T, s).select(F.lit(name).alias("indicador"), "person_id", "team_id", *scores)
+
+
+def yearly_practice_rows(T: Tables, s: Setting) -> DataFrame:
+    """The same for C4, C5 and C6 in one pass over the events."""
+    score, done = F.lit(None).cast("decimal(5,2)"), F.lit(None).cast("map<string,boolean>")
+    for name, kinds in YEARLY.items():
+        own, own_map = _scored(name, kinds, [F.col(k) for k in kinds.values()])
+        mine = F.col("indicador") == name
+        score, done = F.when(mine, own).otherwise(score), F.when(mine, own_map).otherwise(done)
+    return yearly_people(T, s).select(
+        "indicador", "person_id", "team_id", score.alias("pontuacao"), done.alias("boas_praticas")
+    )
+
+
 def write_person_practices(T: Tables, s: Setting, path: str, names=tuple(PERSON_PRACTICES)) -> str:
     """Person, team and indicator with the score and a map of practice to done or not."""
     people = T["person"].select("person_id", "cns")
-    for name in names:
-        marks = [x for p in practice_columns(name) for x in (F.lit(p[-1].upper()), F.col(p) == 1)]
-        rows = PERSON_PRACTICES[name](T, s).join(people, "person_id").join(team_names(T), "team_id", "left")
-        rows = rows.select(
+    if set(YEARLY) <= set(names):
+        parts = [person_practice_rows(n, T, s) for n in names if n not in YEARLY] + [yearly_practice_rows(T, s)]
+    else:
+        parts = [person_practice_rows(n, T, s) for n in names]
+    for part in parts:
+        rows = part.join(people, "person_id").join(team_names(T), "team_id", "left").select(
             F.col("person_id").alias("paciente_id"), "cns", "nu_ine",
-            _month(F.lit(s.period.end)).alias("competencia"), F.lit(name.upper()).alias("cd_indicador"),
-            _score(name).cast("decimal(5,2)").alias("pontuacao"),
-            F.create_map(*marks).alias("boas_praticas"), _loaded(s),
+            _month(F.lit(s.period.end)).alias("competencia"), F.upper("indicador").alias("cd_indicador"),
+            "pontuacao", "boas_praticas", _loaded(s),
         )
         _replace(rows, path, "cd_indicador", "competencia")
     return path

@@ -35,7 +35,7 @@ def test_runtime_settings(spark):
 
 def test_events_are_reduced_before_the_shuffle(spark):
     """A person's events are one row per map task before they are exchanged."""
-    plan = plan_of(practice_indicators.chronic_flags(open_derived(spark, SF), SETTING))
+    plan = plan_of(practice_indicators.yearly_care(open_derived(spark, SF), SETTING))
     exchange = plan.index("Exchange hashpartitioning(person_id")
     assert "partial_max" in plan[exchange:] and plan.count("Exchange hashpartitioning") == 1
 
