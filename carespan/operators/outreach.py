@@ -15,12 +15,15 @@ from carespan.functions.scalars import age_years, band, blank, flag, in_list, ra
 from carespan.operators.listing import filter_team, filter_unit
 from carespan.operators.marks import with_occupation
 from carespan.operators.population import contact_columns, linked_people
-from carespan.operators.practice_indicators import active_pregnancies, condition_encounters, older_people
+from carespan.operators.practice_indicators import (
+    active_pregnancies, condition_encounters, names_condition, older_people,
+)
 from carespan.operators.ratio_indicators import (
     access_counts, completed_treatments, first_dental_visits, in_period, preventive_base, procedures_of,
 )
 from carespan.operators.units import FACILITY, TEAM, in_scope, named, team_names, unit_keys
 from carespan.setting import Setting
+from carespan.sources.lake import within
 from carespan.sources.tables import Tables
 
 CONTACT = ["paciente_id", "nome", "cns", "cpf", "data_nascimento"]
@@ -114,12 +117,61 @@ def outreach_c6(T: Tables, s: Setting) -> DataFrame:
     return _unseen(T, _linked(T, s, older_people(s)), _seen_by_code(T, s, "med_nurse"))
 
 
+def _women_from_nine(s: Setting) -> Column:
+    return (F.col("sex_id") == s.codes.female_sex) & (
+        F.col("birth_date") <= F.add_months(F.lit(s.as_of), -12 * 9)
+    )
+
+
 def outreach_c7(T: Tables, s: Setting) -> DataFrame:
     """Women from 9 years on not seen by a doctor or nurse."""
-    women = (F.col("sex_id") == s.codes.female_sex) & (
-        F.col("birth_date") <= F.add_months(F.lit(s.as_of), -12 * 9)
+    return _unseen(T, _linked(T, s, _women_from_nine(s)), _seen_by_id(T, s))
+
+
+LINKED_LISTS = ("c2", "c3", "c4", "c5", "c6", "c7")
+
+
+def linked_worklists(T: Tables, s: Setting) -> DataFrame:
+    """The worklists of C2 to C7 at once, tagged with their condition.
+
+    The linked people are built once, and the encounters are read once for who was seen (by each of the
+    three rules of who counts as doctor or nurse) and once for who has a condition.
+    """
+    c = s.codes
+    by_id = in_list(F.col("occupation_id"), c.med_nurse_ids)
+    contacts = in_period(T, "encounter", s).select(
+        "person_id", "occupation_id", flag(by_id).alias("seen_by_id")
     )
-    return _unseen(T, _linked(T, s, women), _seen_by_id(T, s))
+    contacts = with_occupation(contacts, T, s, "med_nurse", "med_nurse_wide")
+    seen = contacts.groupBy("person_id").agg(
+        F.max("seen_by_id").alias("seen_by_id"), F.max(flag(F.col("med_nurse"))).alias("seen"),
+        F.max(flag(F.col("med_nurse_wide"))).alias("seen_wide"),
+    )
+    diabetes = names_condition(c.diabetes_icd, c.diabetes_icpc)
+    hypertension = names_condition(c.hypertension_icd, c.hypertension_icpc)
+    ill = within(T["encounter"], c.condition_since).where(diabetes | hypertension).groupBy("person_id").agg(
+        F.max(flag(diabetes)).alias("diabetes"), F.max(flag(hypertension)).alias("hypertension")
+    )
+    pregnant = active_pregnancies(T, s).select("person_id").distinct().withColumn("pregnant", F.lit(1))
+    people = _linked(T, s)
+    for marks in (seen, ill, pregnant):
+        people = people.join(marks, "person_id", "left")
+
+    birth = F.col("birth_date")
+    wanted = {
+        "c2": (age_years(s.as_of, birth) <= 2, "seen_by_id"),
+        "c3": ((F.col("pregnant") == 1) & birth.isNotNull(), "seen_wide"),
+        "c4": (F.col("diabetes") == 1, "seen_wide"),
+        "c5": (F.col("hypertension") == 1, "seen_wide"),
+        "c6": (older_people(s), "seen"),
+        "c7": (_women_from_nine(s), "seen_by_id"),
+    }
+    lists = [
+        F.when(belongs & (F.coalesce(F.col(mark), F.lit(0)) == 0), F.lit(name))
+        for name, (belongs, mark) in wanted.items()
+    ]
+    rows = people.withColumn("condicao", F.explode(F.array_compact(F.array(*lists))))
+    return named(rows, T, team="left").select("condicao", *TEAM, *_contact())
 
 
 def outreach_b1(T: Tables, s: Setting, by: str = "facility") -> DataFrame:

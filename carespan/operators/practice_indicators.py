@@ -129,10 +129,10 @@ def yearly_care(T: Tables, s: Setting, names=tuple(YEARLY)) -> DataFrame:
 
 def condition_encounters(T: Tables, s: Setting, icd, icpc) -> DataFrame:
     """Encounters since the starting date of the rules that name the condition."""
-    return within(T["encounter"], s.codes.condition_since).where(_names_condition(icd, icpc))
+    return within(T["encounter"], s.codes.condition_since).where(names_condition(icd, icpc))
 
 
-def _names_condition(icd, icpc) -> Column:
+def names_condition(icd, icpc) -> Column:
     return matches_any(F.col("icd_codes"), icd) | matches_any(F.col("icpc_codes"), icpc)
 
 
@@ -142,8 +142,8 @@ def condition_people(T: Tables, s: Setting, names=("c4", "c5")) -> DataFrame:
     One pass over the encounters serves both conditions.
     """
     tests = {
-        "c4": _names_condition(s.codes.diabetes_icd, s.codes.diabetes_icpc),
-        "c5": _names_condition(s.codes.hypertension_icd, s.codes.hypertension_icpc),
+        "c4": names_condition(s.codes.diabetes_icd, s.codes.diabetes_icpc),
+        "c5": names_condition(s.codes.hypertension_icd, s.codes.hypertension_icpc),
     }
     row = F.struct("event_date", "encounter_id", *UNIT_IDS)
     events = within(T["encounter"], s.codes.condition_since).where(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from carespan.operators import practice_indicators as practice
 from carespan.operators import ratio_indicators as ratios
-from carespan.operators.outreach import CONTACT, OUTREACH
+from carespan.operators.outreach import CONTACT, LINKED_LISTS, OUTREACH, linked_worklists
 from carespan.operators.units import TEAM
 from carespan.setting import Setting
 from carespan.sources.tables import Tables
@@ -54,13 +54,22 @@ def indicator_long(T: Tables, s: Setting, names=tuple(INDICATORS)) -> DataFrame:
     return reduce(DataFrame.unionByName, indicator_parts(T, s, names))
 
 
-def outreach_rows(name: str, T: Tables, s: Setting) -> DataFrame:
-    """One worklist in the shape all of them share; a list without a team has none in its rows."""
+def _tagged(name: str, T: Tables, s: Setting) -> DataFrame:
+    """A worklist in the shape all share; one without a team has none in its rows."""
     rows = OUTREACH[name](T, s)
     team = [c if c in rows.columns else F.lit(None).cast("string").alias(c) for c in TEAM]
     return rows.select(F.lit(name).alias("condicao"), *team, *CONTACT)
 
 
+def outreach_parts(T: Tables, s: Setting, names=tuple(OUTREACH)) -> list[DataFrame]:
+    """The named worklists, those over linked people from one pass if several are asked for."""
+    shared = [n for n in names if n in LINKED_LISTS]
+    if len(shared) < 2:
+        return [_tagged(n, T, s) for n in names]
+    rows = linked_worklists(T, s).where(F.col("condicao").isin(*shared))
+    return [rows] + [_tagged(n, T, s) for n in names if n not in shared]
+
+
 def outreach_all(T: Tables, s: Setting, names=tuple(OUTREACH)) -> DataFrame:
     """All worklists, tagged with their condition."""
-    return reduce(DataFrame.unionByName, [outreach_rows(n, T, s) for n in names])
+    return reduce(DataFrame.unionByName, outreach_parts(T, s, names))

@@ -1,8 +1,7 @@
 """Batch jobs that write the marts: full refreshes of Parquet tables.
 
-Marts of many indicators or worklists are written one at a time into their own partition, so a job
-never plans the union of all of them, and a failed run is repeated from the indicator it stopped at.
-Load dates are the as-of date of the run.
+Marts of many indicators or worklists are written in several jobs, one per pass over the events, so no
+job plans the union of all of them. Load dates are the as-of date of the run.
 """
 
 from __future__ import annotations
@@ -19,7 +18,7 @@ from carespan.operators.practice_indicators import (
 )
 from carespan.operators.quality import document_flags, inconsistencies, stale_pregnancies
 from carespan.operators.units import facility_names, team_names
-from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_rows
+from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_parts
 from carespan.setting import Setting
 from carespan.sources.tables import Tables
 
@@ -36,32 +35,37 @@ def _loaded(s: Setting, name: str = "dt_carga") -> Column:
     return F.lit(s.as_of).alias(name)
 
 
-def _replace(df: DataFrame, path: str, *partitions: str) -> None:
-    """Overwrite a table, or only the partitions that the rows belong to."""
-    writer = df.write.mode("overwrite")
-    if partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
-    writer.parquet(path)
+def _replace(path: str, parts: list[DataFrame], *partitions: str) -> None:
+    """Replace a table by the given parts: the first write clears it, the others append."""
+    for number, rows in enumerate(parts):
+        writer = rows.write.mode("append" if number else "overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+
+
+def _of_month(path: str, s: Setting) -> str:
+    """Folder of the month of the period's end; read at ``path``, it is the column competencia."""
+    return f"{path}/competencia={s.period.end:%Y%m}"
 
 
 def write_foreigners(T: Tables, s: Setting, path: str) -> str:
     """Foreigners with their checks, by load date."""
     rows = foreigner_cohort(T, s, detail=True).withColumn("dt_carga", _loaded(s))
-    rows.write.mode("overwrite").partitionBy("dt_carga").parquet(path)
+    _replace(path, [rows], "dt_carga")
     return path
 
 
 def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS)) -> str:
-    """Indicators in long form, one partition per indicator and month of the period's end."""
-    for part in indicator_parts(T, s, names):
-        rows = part.select(
-            "nu_ine", "cnes", _month(F.col("fim")).alias("competencia"),
-            F.upper("indicador").alias("cd_indicador"),
+    """Indicators in long form by month of the period's end; the month is replaced as a whole."""
+    parts = [
+        part.select(
+            "nu_ine", "cnes", F.upper("indicador").alias("cd_indicador"),
             F.col("numerator").cast("decimal(12,4)").alias("numerador"),
             F.col("denominator").cast("decimal(12,4)").alias("denominador"),
             F.col("value").cast("decimal(10,4)").alias("vl_indicador"), "classificacao", _loaded(s),
         )
-        _replace(rows, path, "cd_indicador", "competencia")
+        for part in indicator_parts(T, s, names)
+    ]
+    _replace(_of_month(path, s), parts, "cd_indicador")
     return path
 
 
@@ -107,13 +111,14 @@ def write_person_practices(T: Tables, s: Setting, path: str, names=tuple(PERSON_
         parts = [person_practice_rows(n, T, s) for n in names if n not in YEARLY] + [yearly_practice_rows(T, s)]
     else:
         parts = [person_practice_rows(n, T, s) for n in names]
-    for part in parts:
-        rows = part.join(people, "person_id").join(team_names(T), "team_id", "left").select(
+    rows = [
+        part.join(people, "person_id").join(team_names(T), "team_id", "left").select(
             F.col("person_id").alias("paciente_id"), "cns", "nu_ine",
-            _month(F.lit(s.period.end)).alias("competencia"), F.upper("indicador").alias("cd_indicador"),
-            "pontuacao", "boas_praticas", _loaded(s),
+            F.upper("indicador").alias("cd_indicador"), "pontuacao", "boas_praticas", _loaded(s),
         )
-        _replace(rows, path, "cd_indicador", "competencia")
+        for part in parts
+    ]
+    _replace(_of_month(path, s), rows, "cd_indicador")
     return path
 
 
@@ -122,12 +127,14 @@ def write_outreach(T: Tables, s: Setting, path: str, names=tuple(OUTREACH)) -> s
     areas = latest_registration(
         T, s, registrations=T["registration"].select("registration_id", "person_id", "micro_area")
     ).select(F.col("person_id").alias("paciente_id"), "micro_area")
-    for name in names:
-        rows = outreach_rows(name, T, s).join(areas, "paciente_id", "left").select(
+    parts = [
+        part.join(areas, "paciente_id", "left").select(
             "paciente_id", "cns", "cpf", "nome", "condicao", "nu_ine", "micro_area", _absent("telefone"),
             _absent("acs_responsavel"), F.lit(0).alias("prioridade"), _loaded(s, "dt_geracao"),
         )
-        _replace(rows, path, "condicao")
+        for part in outreach_parts(T, s, names)
+    ]
+    _replace(path, parts, "condicao")
     return path
 
 
@@ -161,7 +168,7 @@ def inconsistency_rows(T: Tables, s: Setting) -> DataFrame:
 
 
 def write_inconsistencies(T: Tables, s: Setting, path: str) -> str:
-    _replace(inconsistency_rows(T, s), path)
+    _replace(path, [inconsistency_rows(T, s)])
     return path
 
 
@@ -239,9 +246,9 @@ def write_conformed(T: Tables, s: Setting, path: str, names=tuple(CONFORMED)) ->
         rows = CONFORMED[name](T, s)
         if name == "fato_atendimento":
             spread = F.pmod(F.xxhash64("paciente_id", "dt_atendimento"), F.lit(16))
-            _replace(rows.repartition("competencia", spread), f"{path}/{name}", "competencia")
+            _replace(f"{path}/{name}", [rows.repartition("competencia", spread)], "competencia")
         else:
-            _replace(rows, f"{path}/{name}")
+            _replace(f"{path}/{name}", [rows])
     return path
 
 
