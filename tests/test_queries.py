@@ -1,4 +1,6 @@
-"""Every registered query beside its DuckDB text on the smallest test files."""
+"""Every registered query beside its DuckDB text on the smallest test files, and its plan."""
+
+import re
 
 import pytest
 
@@ -7,6 +9,9 @@ from tests.compare import database, difference
 
 SF = "/root/testdata/sf0.001"
 TEXTS = entry.oracle_sql()
+FORBIDDEN = (
+    "CartesianProduct|BroadcastNestedLoopJoin|BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas"
+)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +21,9 @@ def con():
 
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, con, name):
-    assert difference(entry.queries()[name](spark, SF), con, TEXTS[name]) is None
+    df = entry.queries()[name](spark, SF)
+    assert difference(df, con, TEXTS[name]) is None
+    assert not re.search(FORBIDDEN, df._jdf.queryExecution().executedPlan().toString())
 
 
 def test_entry(spark):
