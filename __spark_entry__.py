@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from carespan.operators import benefits, cohorts, listing, population, quality, rollups, units  # noqa: E402
 from carespan.operators.outreach import OUTREACH, access_gap, outreach_b1, outreach_list  # noqa: E402
 from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_columns  # noqa: E402
-from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all  # noqa: E402
+from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all, service_rows  # noqa: E402
 from carespan.plans import marts  # noqa: E402
 from carespan.session import shared_folder, tune  # noqa: E402
 from carespan.sources.derived import SETTING, open_derived  # noqa: E402
@@ -82,6 +82,8 @@ BUILDS = {
     "outreach_b1_by_person": lambda T, s: outreach_b1(T, s, by="person"),
     "outreach_c1_team": lambda T, s: outreach_list("c1", T, s, unit="nation_0", team="Supplier#000000000"),
     "benefit_page_unit": lambda T, s: benefits.benefit_page(T, s, after_id=0, size=50, unit="Nation_1"),
+    **{f"service_{n}": (lambda T, s, n=n: service_rows(n, T, s)) for n in ("b4", "c3", "c7", "m2")},
+    "service_c1_unit": lambda T, s: service_rows("c1", T, s, unit="nation_1"),
     # what a reader does with a list
     "list_unit_filter": lambda T, s: listing.filter_unit(INDICATORS["c1"](T, s), "000001"),
     "list_search": lambda T, s: listing.search_rows(cohorts.foreigner_cohort(T, s), "rn c"),
@@ -123,6 +125,9 @@ MARTS = {
     "mart_patients": (
         lambda T, s, path: marts.write_conformed(T, s, path, ("dim_paciente",)) + "/dim_paciente", None
     ),
+    "mart_teams": (
+        lambda T, s, path: marts.write_conformed(T, s, path, ("dim_equipe",)) + "/dim_equipe", None
+    ),
     "mart_encounters": (
         lambda T, s, path: marts.write_conformed(T, s, path, ("fato_atendimento",)) + "/fato_atendimento", None
     ),

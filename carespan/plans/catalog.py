@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from carespan.operators import practice_indicators as practice
 from carespan.operators import ratio_indicators as ratios
+from carespan.operators.listing import filter_unit, ordered
 from carespan.operators.outreach import CONTACT, LINKED_LISTS, OUTREACH, linked_worklists
 from carespan.operators.units import TEAM
 from carespan.setting import Setting
@@ -61,6 +62,36 @@ def _tagged(name: str, T: Tables, s: Setting) -> DataFrame:
     return rows.select(F.lit(name).alias("condicao"), *team, *CONTACT)
 
 
+# Field names of the service's answers, as (numerator, denominator, value).
+FIELDS = {
+    "c1": ("programada", "total_atendimentos", "perc_programada"),
+    "b1": ("pessoas_1a_consulta", "total_pessoas", "percentual"),
+    "b2": ("pessoas_tratamento_concluido", "pessoas_1a_consulta", "percentual"),
+    "b3": ("exodontias", "total_procedimentos", "percentual"),
+    "b4": ("total_participantes", "total_criancas", "percentual"),
+    "b5": ("preventivos", "total_procedimentos", "percentual"),
+    "b6": ("tra_art", "total_restauradores", "percentual"),
+    "m1": ("total_atendimentos", "pessoas_atendidas", "media_atend_por_pessoa"),
+    "m2": ("total_acoes", "pessoas_atendidas", "media_acoes_por_pessoa"),
+    "c2": ("soma_praticas", "total_criancas", "percentual"),
+    "c3": ("soma_pontos", "total_gestacoes", "percentual"),
+    "c4": ("soma_praticas", "total_pessoas", "percentual"),
+    "c5": ("soma_praticas", "total_pessoas", "percentual"),
+    "c6": ("soma_praticas", "total_pessoas", "percentual"),
+    "c7": (None, None, "percentual"),
+}
+
+
+def service_rows(name: str, T: Tables, s: Setting, unit: str | None = None) -> DataFrame:
+    """An indicator under the service's field names, for units matching a text, by unit and team."""
+    rows = INDICATORS[name](T, s)
+    for ours, theirs in zip(("numerator", "denominator", "value"), FIELDS[name]):
+        rows = rows.withColumnRenamed(ours, theirs) if theirs else rows.drop(ours)
+    rows = rows.withColumnRenamed("atividades", "total_atividades")
+    rows = rows if unit is None else filter_unit(rows, unit)
+    return ordered(rows, "unidade_saude", "no_equipe")
+
+
 def outreach_parts(T: Tables, s: Setting, names=tuple(OUTREACH)) -> list[DataFrame]:
     """The named worklists, those over linked people from one pass if several are asked for."""
     shared = [n for n in names if n in LINKED_LISTS]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from carespan.functions.scalars import blank, display_date, flag, ratio
 from carespan.operators.cohorts import foreigner_cohort
 from carespan.operators.outreach import OUTREACH
-from carespan.operators.population import latest_registration, live_persons
+from carespan.operators.population import latest_registration, live_persons, valid_links
 from carespan.operators.practice_indicators import (
     PERSON_PRACTICES, PRACTICES, WOMEN_AGES, YEARLY, practice_columns, yearly_people,
 )
@@ -190,7 +190,15 @@ def dim_paciente(T: Tables, s: Setting) -> DataFrame:
 
 
 def dim_equipe(T: Tables, s: Setting) -> DataFrame:
-    return team_names(T).select("nu_ine", "no_equipe", _absent("tp_equipe"), _loaded(s))
+    """Teams with the facility that most of their links in force name."""
+    links = valid_links(T, s.as_of).where(F.col("facility_id").isNotNull())
+    counts = links.groupBy("team_id", "facility_id").agg(F.count("*").alias("links"))
+    home = counts.groupBy("team_id").agg(F.max(F.struct("links", "facility_id")).alias("home"))
+    home = home.select("team_id", "home.facility_id").join(facility_names(T), "facility_id", "left")
+    return team_names(T).join(home, "team_id", "left").select(
+        "nu_ine", "no_equipe", _absent("tp_equipe"), "cnes", F.col("unidade_saude").alias("no_unidade"),
+        _loaded(s),
+    )
 
 
 def dim_unidade(T: Tables, s: Setting) -> DataFrame:

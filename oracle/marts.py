@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from oracle.base import AS_OF, half_up
 from oracle.indicators import PRACTICE_PARTS
-from oracle.people import LIVE, documents, duplicates, foreigners_detail, stale
+from oracle.people import IN_FORCE, LIVE, documents, duplicates, foreigners_detail, stale
 from oracle.worklists import _merged, indicator_long, outreach_all
 
 
@@ -74,6 +74,14 @@ def patients():
         1 - p.deceased AS st_vivo, {AS_OF} AS dt_carga FROM person AS p LEFT JOIN newest AS n ON n.person_id = p.person_id"""
 
 
+def teams():
+    return [f"""homes AS (SELECT l.team_id, l.facility_id FROM person_link AS l WHERE {IN_FORCE} AND l.facility_id IS NOT NULL
+        GROUP BY l.team_id, l.facility_id
+        QUALIFY row_number() OVER (PARTITION BY l.team_id ORDER BY count(*) DESC, l.facility_id DESC) = 1)"""], f"""
+      SELECT t.ine AS nu_ine, t.team_name AS no_equipe, {NONE} AS tp_equipe, f.cnes, f.facility_name AS no_unidade, {AS_OF} AS dt_carga
+      FROM team AS t LEFT JOIN homes AS h ON h.team_id = t.team_id LEFT JOIN facility AS f ON f.facility_id = h.facility_id"""
+
+
 def encounters():
     return [], f"""SELECT e.person_id AS paciente_id, p.cns AS cns_paciente, {NONE} AS cns_profissional, t.ine AS nu_ine, f.cnes AS cnes_unidade,
         CAST(e.visit_type_id AS VARCHAR) AS tp_atendimento, {NONE} AS ds_tipo_demanda, {NONE} AS co_sigtap,
@@ -94,6 +102,6 @@ def dimensions():
 
 MARTS = {
     "mart_foreigners": foreigners, "mart_indicators": indicators, "mart_person_practices": person_practices,
-    "mart_worklists": worklists, "mart_inconsistencies": inconsistencies, "mart_patients": patients,
+    "mart_worklists": worklists, "mart_inconsistencies": inconsistencies, "mart_patients": patients, "mart_teams": teams,
     "mart_encounters": encounters, "mart_dimensions": dimensions,
 }

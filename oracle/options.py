@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import LINKED, PERIOD, TEAM
-from oracle.indicators import PRACTICE_PARTS, b3, c1, c4
+from oracle.indicators import PRACTICE_PARTS, b3, b4, c1, c3, c4, c7, m2
 from oracle.people import cns_quality, conditions, facilities, foreigners, homeless
 from oracle.worklists import CONTACT, o_c1
 
@@ -67,6 +67,17 @@ def masked():
     return parts, f"SELECT * EXCLUDE (cns, cpf, nome), {stars('cns')}, {stars('cpf')}, {initials} FROM ({select}) AS q"
 
 
+def _service(make, names: dict, unit: str = "true"):
+    parts, select = make()
+    renamed = ", ".join(f"{ours} AS {theirs}" for ours, theirs in names.items())
+    return parts, f"SELECT * RENAME ({renamed}) FROM ({select}) AS q WHERE {unit}"
+
+
+def service_c7():
+    parts, select = c7()
+    return parts, f"SELECT * EXCLUDE (numerator, denominator) RENAME (value AS percentual) FROM ({select}) AS q"
+
+
 def as_json():
     parts, select = facilities()
     return parts, f"""SELECT '{{"id":' || id || ',"nome":"' || nome || '","cnes":"' || cnes || '"}}' AS json FROM ({select}) AS q"""
@@ -78,4 +89,16 @@ OPTIONS = {
     "outreach_c1_team": one_team, "benefit_page_unit": unit_page, "list_unit_filter": unit_filter,
     "list_search": search, "list_sorted": homeless, "list_ordered": b3, "list_masked": masked,
     "list_json": as_json,
+    "service_b4": lambda: _service(b4, {
+        "numerator": "total_participantes", "denominator": "total_criancas", "value": "percentual",
+        "atividades": "total_atividades",
+    }),
+    "service_c3": lambda: _service(c3, {"numerator": "soma_pontos", "denominator": "total_gestacoes", "value": "percentual"}),
+    "service_c7": service_c7,
+    "service_m2": lambda: _service(m2, {
+        "numerator": "total_acoes", "denominator": "pessoas_atendidas", "value": "media_acoes_por_pessoa",
+    }),
+    "service_c1_unit": lambda: _service(c1, {
+        "numerator": "programada", "denominator": "total_atendimentos", "value": "perc_programada",
+    }, "unidade_saude ILIKE '%nation$_1%' ESCAPE '$'"),
 }

@@ -3,6 +3,7 @@
 from datetime import date
 
 from carespan.plans import marts
+from carespan.plans.mart_tables import MART_COLUMNS, create_tables, load_partitions
 from carespan.setting import Period
 from carespan.sources.derived import SETTING, open_derived
 from tests.golden import S, linked, make
@@ -39,10 +40,23 @@ def test_nightly_run(spark, tmp_path):
         spark, **linked({"person_id": 1, "birth_date": date(1950, 1, 1), "nationality_id": 3}),
         encounter=[{"person_id": 1, "event_date": date(2024, 1, 1), "visit_type_id": 2}],
     )
-    marts.refresh_all(T, S, str(tmp_path))
-    tables = {p.name for p in tmp_path.iterdir()}
+    spark.sql(f"CREATE DATABASE marts LOCATION '{tmp_path}/db'")
+    root = tmp_path / "marts"
+    try:
+        create_tables(spark, "marts", str(root))
+        create_tables(spark, "marts", str(root))  # nothing to do the second time
+        marts.refresh_all(T, S, str(root))
+        load_partitions(spark, "marts")
+        for name in MART_COLUMNS:
+            declared = dict(spark.read.table(f"marts.{name}").dtypes)
+            written = dict(spark.read.parquet(f"{root}/{name}").dtypes)
+            assert written == declared, name
+        assert spark.read.table("marts.busca_ativa").where("condicao = 'b1'").count() == 1
+    finally:
+        spark.sql("DROP DATABASE marts CASCADE")
+    tables = {p.name for p in root.iterdir()}
     assert tables == {
         "fato_estrangeiros", "fato_indicadores", "fato_boas_praticas", "busca_ativa", "inconsistencias", *marts.CONFORMED,
     }
-    row = spark.read.parquet(f"{tmp_path}/fato_boas_praticas").where("cd_indicador = 'C6'").collect()[0]
+    row = spark.read.parquet(f"{root}/fato_boas_praticas").where("cd_indicador = 'C6'").collect()[0]
     assert row["boas_praticas"] == {"A": True, "B": False, "C": False, "D": False} and float(row["pontuacao"]) == 25.0
