@@ -20,6 +20,7 @@ from carespan.operators.quality import document_flags, inconsistencies, stale_pr
 from carespan.operators.units import facility_names, team_names
 from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_parts
 from carespan.setting import Setting
+from carespan.sources.lake import gathered
 from carespan.sources.tables import Tables
 
 
@@ -246,15 +247,11 @@ CONFORMED = {
 
 
 def write_conformed(T: Tables, s: Setting, path: str, names=tuple(CONFORMED)) -> str:
-    """Dimension and fact tables, each in its own folder; encounters by month.
-
-    Encounters of one month are spread over several tasks by person before the write.
-    """
+    """Dimension and fact tables, each in its own folder; encounters by month."""
     for name in names:
         rows = CONFORMED[name](T, s)
         if name == "fato_atendimento":
-            spread = F.pmod(F.xxhash64("paciente_id", "dt_atendimento"), F.lit(16))
-            _replace(f"{path}/{name}", [rows.repartition("competencia", spread)], "competencia")
+            _replace(f"{path}/{name}", [gathered(rows, "competencia")], "competencia")
         else:
             _replace(f"{path}/{name}", [rows])
     return path

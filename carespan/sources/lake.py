@@ -17,22 +17,22 @@ from carespan.sources.tables import Tables
 MONTH = "event_month"
 
 
-def write_lake(tables: Tables, path: str, names=None) -> None:
-    """Write canonical tables under ``path``, replacing what is there.
+def gathered(rows: DataFrame, column: str) -> DataFrame:
+    """Rows brought together by a partition column before a write.
 
-    Rows of an event table are spread by month and person before the write, so one month is written by
-    several tasks (a busy month or person does not end up in a single file).
+    The rebalance hint sizes the tasks by what was shuffled: small months share one task, a large one is
+    split over as many as its bytes ask for, so neither tiny files nor one overlong task come of it.
     """
+    return rows.hint("rebalance", column)
+
+
+def write_lake(tables: Tables, path: str, names=None) -> None:
+    """Write canonical tables under ``path``, replacing what is there."""
     for name in names or COLUMNS:
         table = tables[name].select(*COLUMNS[name])
         if name in FACTS:
-            key = "person_id" if "person_id" in COLUMNS[name] else "activity_id"
-            spread = F.pmod(F.xxhash64(key, "event_date"), F.lit(16))
-            (
-                table.withColumn(MONTH, F.date_format("event_date", "yyyy-MM"))
-                .repartition(MONTH, spread)
-                .write.mode("overwrite").partitionBy(MONTH).parquet(f"{path}/{name}")
-            )
+            table = gathered(table.withColumn(MONTH, F.date_format("event_date", "yyyy-MM")), MONTH)
+            table.write.mode("overwrite").partitionBy(MONTH).parquet(f"{path}/{name}")
         else:
             table.write.mode("overwrite").parquet(f"{path}/{name}")
 

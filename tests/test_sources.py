@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from carespan.operators import listing, practice_indicators, ratio_indicators
 from carespan.sources.derived import SETTING, open_derived
-from carespan.sources.lake import open_bucketed, open_lake, save_bucketed, within, write_lake
+from carespan.sources.lake import gathered, open_bucketed, open_lake, save_bucketed, within, write_lake
 from carespan.sources.operational import SOURCE_COLUMNS, open_operational
 from carespan.sources.schemas import COLUMNS, FACTS
 from tests.compare import rows_of
@@ -130,3 +130,8 @@ def test_masked_list(spark):
     row = listing.masked(homeless_cohort(T, S)).collect()[0]
     assert (row["nome"], row["cns"], row["cpf"]) == ("A.M", "*" * 12 + "005", "")
     assert AS_OF == S.as_of
+
+
+def test_large_months_are_split_for_the_write(spark, derived):
+    plan = plan_of(gathered(derived["group_activity"].withColumn("m", F.month("event_date")), "m"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
