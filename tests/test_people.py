@@ -163,3 +163,16 @@ def test_city_mean_is_unweighted(spark):
     assert (city["value"], city["numerator"], city["denominator"], city["classificacao"]) == (45.0, 9, 11, "Bom")
     teams = ratio_indicators.indicator_c1(T, s)
     assert sum(r["denominator"] for r in rollups.rollup_units(teams).collect()) == 11
+
+
+def test_scope_of_all_facilities(spark):
+    units = [{"facility_id": i, "facility_name": f"U{i}", "cnes": str(i)} for i in (1, 2)]
+    T = make(
+        spark, **linked({"person_id": 1}), facility=units,
+        encounter=[{"person_id": 1, "event_date": date(2024, 1, 1), "facility_id": i} for i in (1, 2, 3, None)],
+    )
+
+    def seen(scope):
+        return sorted(r["cnes"] for r in ratio_indicators.indicator_c1(T, S.but(scope=scope)).collect())
+
+    assert seen((1,)) == ["1"] and seen(None) == ["1", "2"] and seen(()) == []
