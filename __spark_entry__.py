@@ -21,6 +21,14 @@ from carespan.session import shared_folder, tune  # noqa: E402
 from carespan.sources.derived import SETTING, open_derived  # noqa: E402
 from oracle.queries import texts  # noqa: E402
 
+try:  # the text operators can be left out as a whole
+    from carespan.llm.registry import QUERIES as TEXT_QUERIES  # noqa: E402
+    from carespan.llm.registry import SQL as TEXT_SQL  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("carespan.llm", "carespan.llm.registry", "corpus_pipeline"):
+        raise
+    TEXT_QUERIES, TEXT_SQL = {}, {}
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """Access indicator per team on the smallest test files."""
@@ -165,10 +173,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         **{name: _over(build) for name, build in BUILDS.items()},
         **{name: _written(*mart) for name, mart in MARTS.items()},
+        **TEXT_QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB text per query, over the test files registered as views."""
     known = queries()
-    return {name: text for name, text in texts().items() if name in known}
+    return {name: text for name, text in {**texts(), **TEXT_SQL}.items() if name in known}
