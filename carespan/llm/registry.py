@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from carespan.llm import (
-    decontamination, license_rules, mixing, ngram_join, quality_rules, secret_scan, sharding, token_counts,
+    decontamination, html_text, license_rules, mixing, ngram_join, pii, quality_rules, secret_scan, sharding,
+    token_counts,
 )
 from carespan.session import tune
 
 _MODULES = (
-    secret_scan, quality_rules, ngram_join, token_counts, sharding, mixing, license_rules, decontamination,
+    secret_scan, quality_rules, ngram_join, token_counts, pii, html_text, sharding, mixing, license_rules,
+    decontamination,
 )
 
 
@@ -17,4 +20,7 @@ def _tuned(query):
 
 
 QUERIES = {name: _tuned(query) for module in _MODULES for name, query in module.QUERIES.items()}
+QUERIES["pipeline"] = corpus_pipeline.run
 SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

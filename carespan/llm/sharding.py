@@ -133,6 +133,22 @@ def sharded(docs: DataFrame, shards: int = SHARDS, keep: tuple = ("doc_id",)) ->
     )
 
 
+def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The documents with their own columns, `shard` and `slot` (which replace columns of these names).
+
+    Shards and slots are settled on narrow rows; the texts are shuffled once, to meet them.
+    """
+    key = F.xxhash64("doc_id", "text")
+    narrow = sharded(docs.select("doc_id", "text", key.alias("key")), shards, ("key",)).select("key", "shard", "slot")
+
+    def placed(rows, *order):
+        return rows.withColumn("__place", F.row_number().over(Window.partitionBy("__key").orderBy(*order)))
+
+    left = placed(docs.drop("shard", "slot").withColumn("__key", key), "__key")
+    right = placed(settle(narrow).withColumnRenamed("key", "__key"), "shard", "slot")
+    return left.join(right, ["__key", "__place"]).drop("__key", "__place")
+
+
 def op7_sharding(spark, sf_dir) -> DataFrame:
     return sharded(table(spark, sf_dir, "documents"))
 
