@@ -29,11 +29,11 @@ from carespan.llm.components import components
 
 WORDS = 5
 SKETCH_BITS = 18
-BITMAP_BYTES = 64
+MIN_BITMAP_BITS = 512
 BAND_RATIO = 1.25  # neighbouring bands hold all sizes that 80 % allows
 ALPHABET = 1 << 18  # words whose hashes a task keeps at hand
-SCANNED = "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, cell int, times bigint"
-ARRAYS = "row_key bigint, node bigint, n int, bits array<bigint>, hashes binary"
+SCANNED = "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, bits array<bigint>, cell int, times bigint"
+ARRAYS = "row_key bigint, node bigint, hashes binary"
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -81,40 +81,47 @@ def prefix_length(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
 
-def bitmap(hashes: np.ndarray) -> list[int]:
-    """Each shingle flips the bit that its hash names."""
-    bits = np.bincount((hashes >> np.uint64(7)) % np.uint64(8 * BITMAP_BYTES), minlength=8 * BITMAP_BYTES) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64).tolist()
+def bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Each shingle flips the bit that its hash names. As wide as the set is large, in 64-bit words.
+
+    A wide bitmap folds into a narrow one: its second half is laid over the first.
+    """
+    width = max(MIN_BITMAP_BITS, 1 << int(len(hashes) - 1).bit_length())
+    bits = np.bincount((hashes % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def _set_scan(batches):
     """Rows of documents (cell null), then the task's counts per sketch cell (cell set)."""
     shingler, seen, cells = Shingler(), set(), np.zeros(1 << SKETCH_BITS, np.int64)
     shift = np.uint64(64 - SKETCH_BITS)
-    names = ["doc_id", "row_key", "n_shingles", "node", "cell", "times"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    names = ["doc_id", "row_key", "n_shingles", "node", "bits", "cell", "times"]
+    types = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.int32(), pa.int64()]
     for batch in batches:
         for part in portions(batch, 2):
-            sizes, nodes = [], []
+            sizes, nodes, bits, fresh = [], [], [], []
             for raw in part.column(2).to_pylist():
                 hashes = shingler(raw)
                 node = set_name(hashes) if len(hashes) else None
                 sizes.append(len(hashes))
                 nodes.append(node)
+                bits.append(bitmap(hashes) if len(hashes) else None)
                 if node is not None and node not in seen:
                     seen.add(node)
-                    cells += np.bincount((hashes >> shift).astype(np.int64), minlength=len(cells))
+                    fresh.append(hashes)
+            if fresh:
+                cells += np.bincount((np.concatenate(fresh) >> shift).astype(np.int64), minlength=len(cells))
             none = pa.nulls(part.num_rows)
-            columns = [part.column(0), part.column(1), sizes, nodes, none, none]
+            columns = [part.column(0), part.column(1), sizes, nodes, bits, none, none]
             yield pa.RecordBatch.from_arrays(
                 [c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types)], names=names
             )
     filled = np.flatnonzero(cells)
     for at in range(0, len(filled), 10_000):
         some = filled[at:at + 10_000]
-        none = pa.nulls(len(some), pa.int64())
+        none = [pa.nulls(len(some), t) for t in types[:5]]
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(some, pa.int32()), pa.array(cells[some], pa.int64())], names=names
+            [*none, pa.array(some, pa.int32()), pa.array(cells[some], pa.int64())], names=names
         )
 
 
@@ -166,11 +173,9 @@ def _array_scan(wanted: bytes):
                 sets = [shingler(raw) for raw in part.column(1).to_pylist()]
                 columns = [
                     part.column(0), pa.array([set_name(h) for h in sets], pa.int64()),
-                    pa.array([len(h) for h in sets], pa.int32()),
-                    pa.array([bitmap(h) for h in sets], pa.list_(pa.int64())),
                     pa.array([h.tobytes() for h in sets], pa.binary()),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, names=["row_key", "node", "n", "bits", "hashes"])
+                yield pa.RecordBatch.from_arrays(columns, names=["row_key", "node", "hashes"])
 
     return run
 
@@ -216,28 +221,41 @@ def _shared_postings(postings: Callable[[bytes | None], DataFrame]) -> DataFrame
     return settle(found.distinct().withColumn("band", F.floor(F.log(BAND_RATIO, F.col("n"))).cast("int")))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, arrays_of: Callable[[bytes], DataFrame]) -> DataFrame:
+def _differing_bits(x: Column, y: Column) -> Column:
+    """Bits that differ in two bitmaps, the wider folded onto the narrower. Sizes near each other need one fold."""
+    width = F.least(F.size(x), F.size(y))
+
+    def folded(bits):
+        half = F.zip_with(F.slice(bits, 1, width), F.slice(bits, width + 1, width), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(bits) > width, half).otherwise(bits)
+
+    return F.aggregate(
+        F.zip_with(folded(x), folded(y), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, k: s + k
+    )
+
+
+def _links(pairs: DataFrame, nodes: DataFrame, arrays_of: Callable[[bytes], DataFrame]) -> DataFrame:
     """The pairs (a, b) of sets that are similar enough, settled.
 
-    Only texts of sets in pairs give arrays: one row per set is named in a bitmap of bounded size, and
-    what passes it by chance is joined away.
+    Pairs are thinned by the bound that sizes and bitmaps give. Only texts of sets in the pairs left
+    give arrays: one row per set is named in a bitmap of bounded size, and what passes it by chance is
+    joined away.
     """
-    pairs = settle(pairs)
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    rows = settle(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key")))
-    arrays = arrays_of(key_bitmap(rows, "row_key"))
-    arrays = settle(arrays.join(rows, ["node", "row_key"], "left_semi").drop("row_key"))
-
-    def side(s, *columns):
-        return arrays.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
-
-    marked = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    differ = F.aggregate(
-        F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
-    )
+
+    def side(rows, s, *columns):
+        return rows.select(F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns])
+
+    marked = pairs.join(side(nodes, "a", "n", "bits"), "a").join(side(nodes, "b", "n", "bits"), "b")
     both = F.col("n_a") + F.col("n_b")
-    close = marked.where(_near(F.col("n_a"), F.col("n_b")) & (9 * (both - differ) >= 8 * both)).select("a", "b")
-    whole = settle(close).join(side("b", "hashes"), "b").join(side("a", "hashes"), "a")
+    differ = _differing_bits(F.col("bits_a"), F.col("bits_b"))
+    close = settle(
+        marked.where(_near(F.col("n_a"), F.col("n_b")) & (9 * (both - differ) >= 8 * both)).select("a", "b")
+    )
+    used = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    rows = settle(nodes.select("node", "row_key").join(used, "node", "left_semi"))
+    arrays = arrays_of(key_bitmap(rows, "row_key")).join(rows, ["node", "row_key"], "left_semi")
+    arrays = settle(arrays.select("node", "hashes"))
+    whole = close.join(side(arrays, "b", "hashes"), "b").join(side(arrays, "a", "hashes"), "a")
     return settle(whole.select("a", "b", "hashes_a", "hashes_b").mapInArrow(_verify, "a bigint, b bigint"))
 
 
@@ -283,7 +301,9 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     own = docs.select("doc_id", row_key, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("raw"))
     scanned = settle(own.mapInArrow(_set_scan, SCANNED))
     levels = _crowded(scanned)
-    sets = scanned.where("cell is null").drop("cell", "times")
+    sets = scanned.where("cell is null").drop("cell", "times", "bits")
+    one = F.min(F.struct("row_key", F.col("n_shingles").alias("n"), "bits")).alias("one")
+    nodes = settle(scanned.where("node is not null").groupBy("node").agg(one).select("node", "one.*"))
     postings = _shared_postings(
         lambda wanted: own.select("raw").mapInArrow(_prefix_scan(levels, wanted), "shingle bigint, node bigint, n int")
     )
@@ -291,9 +311,9 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     def arrays_of(wanted: bytes) -> DataFrame:
         return own.select("row_key", "raw").mapInArrow(_array_scan(wanted), ARRAYS)
 
-    links = _links(_tile_stars(postings), sets, arrays_of)
+    links = _links(_tile_stars(postings), nodes, arrays_of)
     roots = components(links)
-    more = _links(_across_components(postings, roots), sets, arrays_of)
+    more = _links(_across_components(postings, roots), nodes, arrays_of)
     roots = components(links.unionByName(more))
     placed = sets.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
     placed = settle(placed.select("doc_id", "row_key", "n_shingles", "group"))
