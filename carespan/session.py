@@ -15,6 +15,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Batches to Python workers are bounded by bytes, as rows may hold very long texts.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
