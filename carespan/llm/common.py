@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 
 from carespan.session import shared_folder
 
-PORTION_BYTES = 8 << 20
+PORTION_BYTES = 2 << 20
 NAMED_BITS = 1 << 24
 
 
