@@ -20,9 +20,9 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 MIN_CHARS_FOR_CLASSES = 200
-MIN_WORDS_FOR_COMMON = 60
+MIN_WORDS_FOR_COMMON = 120
 MAX_CLASS_DISTANCE = 0.25
-MAX_COMMON_DISTANCE = 0.6
+MAX_COMMON_DISTANCE = 0.3
 SYMBOLS = "#*$%&|<>"
 
 # Frequent words, the bins of the word histogram (one more bin holds all others).
