@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from carespan.llm.common import settle
@@ -22,6 +22,25 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
 
 
+def _round(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The settled edges after both steps, and what tells two states apart (observed while writing)."""
+    state = Observation()
+    seen = _small_star(_large_star(edges)).observe(
+        state, F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(a, b))").alias("x")
+    )
+    return settle(seen), state.get
+
+
+def gathered_roots(links: DataFrame) -> DataFrame:
+    """Node to a smaller node of its component, after one round: what shares a root is connected."""
+    edges, _ = _round(_oriented(links))
+    return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+
+
+def _oriented(links: DataFrame) -> DataFrame:
+    return links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Node to the smallest node of its component, for nodes that are not their component's smallest.
 
@@ -29,12 +48,9 @@ def components(links: DataFrame) -> DataFrame:
     settled in the shared folder; the rounds grow with the logarithm of the longest chain. A node with
     very many links is combined in map tasks and its join is split by the engine.
     """
-    edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    edges = settle(edges)
-    state = None
+    edges, state = settle(_oriented(links)), None
     while True:
-        edges = settle(_small_star(_large_star(edges)))
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(a, b))")).first()
+        edges, now = _round(edges)
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         state = now

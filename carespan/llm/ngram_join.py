@@ -5,9 +5,10 @@
 2. A second pass emits each set's prefix: of any two sets that are similar enough, both prefixes hold a
    common shingle, in whatever fixed order shingles are taken. Shingles of crowded sketch cells come
    last, so passages that many documents share seldom bring documents together.
-3. Sets that share a prefix shingle meet in tiles (shingle, size band). In the first round each meets
-   only the tile's smallest set; in the second, sets of different components that are still in a
-   common shingle's tiles meet each other. Members of one component are never paired again.
+3. Sets that share a prefix shingle meet in tiles (shingle, size band), where enough of both may follow
+   the shingle. In the first round each meets only two sets of the tile, so a group of near copies grows
+   together without its pairs; in the second, sets that this hasn't joined and that hold a shingle in
+   common all meet.
 4. A pair is tested by size, then by its bitmaps (each shingle flips one bit, so the bits that differ
    bound the overlap from above), and last by the exact intersection of the sorted arrays.
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carespan.llm.common import is_named, key_bitmap, named_bits, portions, settle, table
-from carespan.llm.components import components
+from carespan.llm.components import components, gathered_roots
 
 WORDS = 5
 SKETCH_BITS = 18
@@ -33,6 +34,7 @@ MIN_BITMAP_BITS = 512
 BAND_RATIO = 1.25  # neighbouring bands hold all sizes that 80 % allows
 ALPHABET = 1 << 18  # words whose hashes a task keeps at hand
 SCANNED = "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, bits array<bigint>, cell int, times bigint"
+POSTINGS = "shingle bigint, node bigint, n int, place int"
 ARRAYS = "row_key bigint, node bigint, hashes binary"
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -126,7 +128,7 @@ def _set_scan(batches):
 
 
 def _prefix_scan(levels: bytes, wanted: bytes | None):
-    """Postings (shingle, node, size) of each set's prefix; a batch emits equal sets once.
+    """Postings (shingle, node, size, place) of each set's prefix; a batch emits equal sets once.
 
     With a bitmap, only shingles that it names.
     """
@@ -138,7 +140,7 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
         for batch in batches:
             seen = set()
             for part in portions(batch, 0):
-                keys, nodes, sizes = [], [], []
+                keys, nodes, sizes, places = [], [], [], []
                 for raw in part.column(0).to_pylist():
                     hashes = shingler(raw)
                     node = set_name(hashes)
@@ -147,15 +149,18 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
                     seen.add(node)
                     crowd = level[(hashes >> shift).astype(np.int64)]
                     first = np.argsort(crowd, kind="stable")[:prefix_length(len(hashes))]
-                    prefix = hashes[first].view(np.int64)
+                    prefix, place = hashes[first].view(np.int64), np.arange(len(first), dtype=np.int32)
                     if bits is not None:
-                        prefix = prefix[is_named(bits, prefix)]
+                        named = is_named(bits, prefix)
+                        prefix, place = prefix[named], place[named]
                     keys.append(prefix)
+                    places.append(place)
                     nodes.append(np.full(len(prefix), node, np.int64))
                     sizes.append(np.full(len(prefix), len(hashes), np.int32))
                 if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(v)) for v in (keys, nodes, sizes)], names=["shingle", "node", "n"]
+                        [pa.array(np.concatenate(v)) for v in (keys, nodes, sizes, places)],
+                        names=["shingle", "node", "n", "place"],
                     )
 
     return run
@@ -209,6 +214,34 @@ def _near(n: Column, m: Column) -> Column:
     return 5 * F.least(n, m) >= 4 * F.greatest(n, m)
 
 
+def _overlap(n: Column, m: Column) -> Column:
+    """The least overlap of similar sets of these sizes: 4/9 of their sum, rounded up."""
+    return F.call_function("div", 4 * (n + m) + 8, F.lit(9))
+
+
+def _may_meet(x: str, y: str) -> Column:
+    """Whether the shingle may be the first that two similar sets have in common.
+
+    All they have in common comes from its places on, so enough of both must follow.
+    """
+    n, m = F.col(f"n_{x}"), F.col(f"n_{y}")
+    least = _overlap(n, m)
+    return _near(n, m) & (F.col(f"place_{x}") <= n - least) & (F.col(f"place_{y}") <= m - least)
+
+
+def _possible(postings: DataFrame) -> DataFrame:
+    """Postings of sets for which the tile, or the one of the band below, has a set that may be met.
+
+    The smaller the other set, the later the place may be; the smallest of these tiles decides.
+    """
+    least = postings.groupBy("shingle", "band").agg(F.min("n").alias("least"))
+    below = least.select("shingle", (F.col("band") + 1).alias("band"), F.col("least").alias("below"))
+    smallest = F.greatest(F.coalesce("below", "least"), F.call_function("div", 4 * F.col("n") + 4, F.lit(5)))
+    rows = postings.join(least, ["shingle", "band"]).join(below, ["shingle", "band"], "left")
+    kept = rows.where(F.col("place") <= F.col("n") - _overlap(F.col("n"), smallest))
+    return kept.drop("least", "below")
+
+
 def _shared_postings(postings: Callable[[bytes | None], DataFrame]) -> DataFrame:
     """Postings of prefix shingles that two sets hold, settled with their size band.
 
@@ -218,7 +251,8 @@ def _shared_postings(postings: Callable[[bytes | None], DataFrame]) -> DataFrame
     ends = postings(None).groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     shared = settle(ends.where("low < high").select("shingle"))
     found = postings(key_bitmap(shared, "shingle")).join(shared, "shingle")
-    return settle(found.distinct().withColumn("band", F.floor(F.log(BAND_RATIO, F.col("n"))).cast("int")))
+    banded = found.distinct().withColumn("band", F.floor(F.log(BAND_RATIO, F.col("n"))).cast("int"))
+    return settle(_possible(settle(banded)))
 
 
 def _differing_bits(x: Column, y: Column) -> Column:
@@ -260,19 +294,29 @@ def _links(pairs: DataFrame, nodes: DataFrame, arrays_of: Callable[[bytes], Data
 
 
 def _tile_stars(postings: DataFrame) -> DataFrame:
-    """First round: in each tile (shingle, band), its smallest set with each other."""
-    least = postings.groupBy("shingle", "band").agg(F.min("node").alias("a"))
-    return postings.join(least, ["shingle", "band"]).where("a < node").select("a", F.col("node").alias("b")).distinct()
+    """Two sets of each tile (shingle, band), picked by hash, with each other set of the tile."""
+    order = F.struct(F.xxhash64("node", "shingle"), "node", "n", "place")
+    hub = F.explode(F.array(F.min(order), F.max(order))).alias("h")
+    hubs = postings.groupBy("shingle", "band").agg(hub).select(
+        "shingle", "band", *[F.col(f"h.{c}").alias(f"{c}_hub") for c in ("node", "n", "place")]
+    )
+    rows = postings.withColumnsRenamed({"n": "n_own", "place": "place_own"}).join(hubs, ["shingle", "band"])
+    rows = rows.where((F.col("node") != F.col("node_hub")) & _may_meet("own", "hub"))
+    return rows.select(F.least("node", "node_hub").alias("a"), F.greatest("node", "node_hub").alias("b")).distinct()
+
+
+def _undecided(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings with their set's component, of shingles that several components hold."""
+    members = postings.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    mixed = members.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
+    return settle(members.join(mixed.select("shingle"), "shingle", "left_semi"))
 
 
-def _across_components(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """Second round: sets of different components that hold a shingle in common and may be near in size.
+def _across_components(members: DataFrame) -> DataFrame:
+    """Sets of different components that hold a shingle in common and may be near in size.
 
     Components meet first, so the members of one are not paired with each other.
     """
-    members = postings.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-    mixed = members.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
-    members = settle(members.join(mixed.select("shingle"), "shingle", "left_semi"))
     tiles = members.groupBy("shingle", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
 
     def side(s):
@@ -283,10 +327,11 @@ def _across_components(postings: DataFrame, roots: DataFrame) -> DataFrame:
     ).select("shingle", "comp_a", "comp_b")
 
     def rows(s):
-        return members.select("shingle", F.col("comp").alias(f"comp_{s}"), F.col("node").alias(s), F.col("n").alias(f"n_{s}"))
+        named = {"comp": f"comp_{s}", "node": s, "n": f"n_{s}", "place": f"place_{s}"}
+        return members.drop("band").withColumnsRenamed(named)
 
     pairs = meet.join(rows("a"), ["shingle", "comp_a"]).join(rows("b"), ["shingle", "comp_b"])
-    return pairs.where(_near(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+    return pairs.where(_may_meet("a", "b")).select("a", "b").distinct()
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
@@ -305,15 +350,15 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     one = F.min(F.struct("row_key", F.col("n_shingles").alias("n"), "bits")).alias("one")
     nodes = settle(scanned.where("node is not null").groupBy("node").agg(one).select("node", "one.*"))
     postings = _shared_postings(
-        lambda wanted: own.select("raw").mapInArrow(_prefix_scan(levels, wanted), "shingle bigint, node bigint, n int")
+        lambda wanted: own.select("raw").mapInArrow(_prefix_scan(levels, wanted), POSTINGS)
     )
 
     def arrays_of(wanted: bytes) -> DataFrame:
         return own.select("row_key", "raw").mapInArrow(_array_scan(wanted), ARRAYS)
 
     links = _links(_tile_stars(postings), nodes, arrays_of)
-    roots = components(links)
-    more = _links(_across_components(postings, roots), nodes, arrays_of)
+    roots = settle(gathered_roots(links))
+    more = _links(_across_components(_undecided(postings, roots)), nodes, arrays_of)
     roots = components(links.unionByName(more))
     placed = sets.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
     placed = settle(placed.select("doc_id", "row_key", "n_shingles", "group"))
