@@ -5,11 +5,10 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
-from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from carespan.operators import benefits, cohorts, listing, population, quality, rollups, units  # noqa: E402
@@ -18,7 +17,10 @@ from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_co
 from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all, service_rows  # noqa: E402
 from carespan.plans import marts  # noqa: E402
 from carespan.session import shared_folder, tune  # noqa: E402
-from carespan.sources.derived import SETTING, open_derived  # noqa: E402
+from carespan.setting import period_bounds  # noqa: E402
+from carespan.sources.derived import SETTING, open_derived, operational_reader  # noqa: E402
+from carespan.sources.lake import open_lake, write_lake  # noqa: E402
+from carespan.sources.operational import open_operational  # noqa: E402
 from oracle.queries import texts  # noqa: E402
 
 try:  # the text operators can be left out as a whole
@@ -44,6 +46,12 @@ def _joined(df: DataFrame, separator: str = ";") -> DataFrame:
     ])
 
 
+def _numbered(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns of a sorted list with their place in it; a list is what a reader is shown."""
+    placed = df.select(*columns, F.monotonically_increasing_id().alias("at"))
+    return placed.select(*columns, F.row_number().over(Window.orderBy("at")).alias("posicao"))
+
+
 def _totals(T, s):
     flags = ("flag_cpf_presente", "flag_vinculo_unidade", "flag_atendimento_recente")
     return cohorts.cohort_totals(cohorts.indigenous_cohort(T, s), *flags)
@@ -68,8 +76,8 @@ BUILDS = {
     "cohort_disability_physical": lambda T, s: _joined(cohorts.disability_cohort(T, s, "fisica"), ", "),
     "cohort_disability_cognitive": lambda T, s: _joined(cohorts.disability_cohort(T, s, "mental"), ", "),
     "population_stats": cohorts.population_stats,
-    "quality_duplicates": lambda T, s: _joined(quality.duplicate_persons(T, s)),
-    "quality_newborn_names": lambda T, s: _joined(quality.newborn_placeholder_names(T, s)),
+    "quality_duplicates": quality.duplicate_persons,
+    "quality_newborn_names": quality.newborn_placeholder_names,
     "quality_stale_pregnancies": quality.stale_pregnancies,
     "quality_document_flags": lambda T, s: quality.document_flags(T),
     "quality_cns": quality.cns_quality,
@@ -86,6 +94,7 @@ BUILDS = {
     **{f"practice_flags_{n}": (lambda T, s, n=n: _flags(n, T, s)) for n in PERSON_PRACTICES},
     # the options of operators above
     "ind_c4_integer_gap": lambda T, s: INDICATORS["c4"](T, s.but(gap_mode="yyyymmdd")),
+    "ind_c1_period": lambda T, s: INDICATORS["c1"](T, s.but(period=period_bounds("2000-08-01", "2001-07-31"))),
     "quality_cns_strict": lambda T, s: quality.cns_quality(T, s, strict=True),
     "outreach_b1_by_person": lambda T, s: outreach_b1(T, s, by="person"),
     "outreach_c1_team": lambda T, s: outreach_list("c1", T, s, unit="nation_0", team="Supplier#000000000"),
@@ -97,6 +106,13 @@ BUILDS = {
     "list_search": lambda T, s: listing.search_rows(cohorts.foreigner_cohort(T, s), "rn c"),
     "list_sorted": lambda T, s: listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True),
     "list_ordered": lambda T, s: listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"),
+    "list_sorted_places": lambda T, s: _numbered(
+        listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True), "unidade_saude"
+    ),
+    "list_ordered_places": lambda T, s: _numbered(
+        listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"), "unidade_saude", "no_equipe"
+    ),
+    "service_m2_places": lambda T, s: _numbered(service_rows("m2", T, s), "unidade_saude", "no_equipe"),
     "list_masked": lambda T, s: listing.masked(cohorts.homeless_cohort(T, s)),
     "list_json": lambda T, s: listing.json_rows(units.facilities(T, s)),
 }
@@ -107,21 +123,16 @@ def _practices_read(spark, path):
     return spark.read.parquet(path).withColumn("boas_praticas", F.array_join(F.map_keys(done), ","))
 
 
-def _sizes(spark, path):
-    keys = {
-        "dim_equipe": "nu_ine", "dim_unidade": "cnes", "dim_sigtap": "co_sigtap",
-        "fato_vacinacao": "cns", "fato_visita_domiciliar": "cns",
-    }
-    parts = [
-        spark.read.parquet(f"{path}/{table}").agg(
-            F.lit(table).alias("tabela"), F.count("*").alias("linhas"), F.countDistinct(key).alias("chaves")
-        )
-        for table, key in keys.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+def _conformed(table):
+    return lambda T, s, path: marts.write_conformed(T, s, path, (table,)) + f"/{table}", None
 
 
-SMALL = ("dim_equipe", "dim_unidade", "dim_sigtap", "fato_vacinacao", "fato_visita_domiciliar")
+def _lake_b4(T, s, path):
+    """Child brushing over the lake, loaded from the operational schema with its bridge of practices."""
+    source = open_operational(operational_reader(T))
+    write_lake(source, path, ("facility", "team", "group_activity", "person", "registration", "person_link", "occupation"))
+    return path
+
 
 # query name -> (function that writes the mart under a path, function that reads it back)
 MARTS = {
@@ -130,16 +141,14 @@ MARTS = {
     "mart_person_practices": (marts.write_person_practices, _practices_read),
     "mart_worklists": (marts.write_outreach, None),
     "mart_inconsistencies": (marts.write_inconsistencies, None),
-    "mart_patients": (
-        lambda T, s, path: marts.write_conformed(T, s, path, ("dim_paciente",)) + "/dim_paciente", None
-    ),
-    "mart_teams": (
-        lambda T, s, path: marts.write_conformed(T, s, path, ("dim_equipe",)) + "/dim_equipe", None
-    ),
-    "mart_encounters": (
-        lambda T, s, path: marts.write_conformed(T, s, path, ("fato_atendimento",)) + "/fato_atendimento", None
-    ),
-    "mart_dimensions": (lambda T, s, path: marts.write_conformed(T, s, path, SMALL), _sizes),
+    "mart_patients": _conformed("dim_paciente"),
+    "mart_teams": _conformed("dim_equipe"),
+    "mart_encounters": _conformed("fato_atendimento"),
+    "mart_units": _conformed("dim_unidade"),
+    "mart_procedures": _conformed("dim_sigtap"),
+    "mart_vaccinations": _conformed("fato_vacinacao"),
+    "mart_home_visits": _conformed("fato_visita_domiciliar"),
+    "lake_b4": (_lake_b4, lambda spark, path: INDICATORS["b4"](open_lake(spark, path), SETTING)),
 }
 
 

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from carespan.codes import NO_DATA, OPEN_END
+from carespan.codes import NO_DATA
 
 _TESTS = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operator.le}
 
@@ -54,11 +54,6 @@ def age_years(as_of: date, birth: Column) -> Column:
     return F.call_function("div", F.lit(today) - date_number(birth), F.lit(10000)).cast("int")
 
 
-def born_by(as_of: date, birth: Column, years: int) -> Column:
-    """Born at least ``years`` calendar years before ``as_of``."""
-    return birth <= F.add_months(F.lit(as_of), -12 * years)
-
-
 def starts_with_any(code: Column, prefixes) -> Column:
     hit = F.lit(False)
     for prefix in prefixes:
@@ -123,8 +118,3 @@ def labels_of(labels: dict[str, str]) -> Column:
 
 def display_date(day: Column) -> Column:
     return F.date_format(day, "dd/MM/yyyy")
-
-
-def real_date(day: Column) -> Column:
-    """The date, NULL for the open-end sentinel."""
-    return F.when(day != F.lit(OPEN_END), day)

@@ -14,10 +14,7 @@ from carespan.operators.units import facility_names
 from carespan.setting import Setting, months_later
 from carespan.sources.tables import Tables
 
-LISTS = ["ids", "cns_list", "cpf_list", "equipe_list", "unidade_list"]
-WHOLE_GROUP = 1000
-ID_RANGE = 10_000
-SALTS = 32
+MEMBER = ["paciente_id", "cns", "cpf", "no_equipe", "unidade_saude"]
 
 
 def _profiles(T: Tables, s: Setting) -> DataFrame:
@@ -27,52 +24,26 @@ def _profiles(T: Tables, s: Setting) -> DataFrame:
     )
     people = live_persons(T).select("person_id", "name", "cns", "cpf").join(newest, "person_id", "left")
     return with_units(people, T).select(
-        "person_id", F.col("name").alias("nome"), "birth_date",
-        F.struct(
-            "person_id", F.col("person_id").cast("string").alias("ids"),
-            blank(F.col("cns")).alias("cns_list"), blank(F.col("cpf")).alias("cpf_list"),
-            blank(F.col("no_equipe")).alias("equipe_list"),
-            blank(F.col("unidade_saude")).alias("unidade_list"),
-        ).alias("member"),
+        F.col("person_id").alias("paciente_id"), F.col("name").alias("nome"), "birth_date",
+        *[blank(F.col(c)).alias(c) for c in MEMBER[1:]],
     )
 
 
-def _aligned(members) -> list:
-    """The lists of a group, all in the order of the person's id."""
-    return [members.getField(n).alias(n) for n in LISTS]
+def duplicate_persons(T: Tables, s: Setting) -> DataFrame:
+    """Live people who share name and birth date, one row per person with the size of the group.
 
-
-def duplicate_persons(T: Tables, s: Setting, whole_group: int = WHOLE_GROUP, id_range: int = ID_RANGE) -> DataFrame:
-    """Live people who share name and birth date, one row per group with aligned lists.
-
-    A group of up to ``whole_group`` people is one row (``lote`` 0). A larger one is given as several
-    rows, one per range of ids, so its lists stay bounded however many people share a name; read in
-    the order of ``lote`` they are the whole list. ``quantidade`` is always the size of the whole
-    group. People are spread by a salt to meet the size of their group, so a hot name is no hot task.
+    The group is its name and birth date. Sizes are combined in map tasks; people meet the size of
+    their group in a join whose hot keys are split at run time.
     """
     people = _profiles(T, s).where(F.col("birth_date").isNotNull())
-    sizes = people.groupBy("nome", "birth_date").agg(F.count("*").cast("int").alias("quantidade"))
+    sizes = people.groupBy("nome", "birth_date").agg(F.count("*").alias("quantidade"))
     sizes = sizes.where(F.col("quantidade") > 1).select(
-        F.col("nome").alias("group_name"), F.col("birth_date").alias("group_birth"), "quantidade",
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("group_salt"),
-    )
-    same_group = (
-        F.col("nome").eqNullSafe(F.col("group_name")) & (F.col("birth_date") == F.col("group_birth"))
-        & (F.col("salt") == F.col("group_salt"))
-    )
-    salted = people.withColumn("salt", F.pmod(F.hash("person_id"), F.lit(SALTS)))
-    lote = F.when(F.col("quantidade") <= whole_group, F.lit(0).cast("long")).otherwise(
-        F.floor(F.col("person_id") / id_range)
-    )
-    groups = (
-        salted.join(sizes, same_group)
-        .groupBy("nome", "birth_date", "quantidade", lote.alias("lote"))
-        .agg(F.sort_array(F.collect_list("member")).alias("members"))
+        F.col("nome").alias("group_name"), F.col("birth_date").alias("group_birth"), "quantidade"
     )
-    return groups.select(
-        F.lit("duplicados").alias("tipo"), "nome",
-        F.col("birth_date").cast("string").alias("data_nascimento"), "quantidade", "lote",
-        *_aligned(F.col("members")),
+    same_group = F.col("nome").eqNullSafe(F.col("group_name")) & (F.col("birth_date") == F.col("group_birth"))
+    return people.join(sizes, same_group).select(
+        F.lit("duplicados").alias("tipo"), "nome", F.col("birth_date").cast("string").alias("data_nascimento"),
+        "quantidade", *MEMBER,
     )
 
 
@@ -81,8 +52,7 @@ def newborn_placeholder_names(T: Tables, s: Setting) -> DataFrame:
     people = _profiles(T, s).where(F.col("nome").rlike(r"(?i)^RN\s"))
     return people.select(
         F.lit("rn_de").alias("tipo"), "nome", blank(F.col("birth_date")).alias("data_nascimento"),
-        F.lit(1).alias("quantidade"), F.lit(0).cast("long").alias("lote"),
-        *_aligned(F.array("member")),
+        F.lit(1).cast("long").alias("quantidade"), *MEMBER,
     )
 
 

@@ -6,7 +6,10 @@ job plans the union of all of them. Load dates are the as-of date of the run.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carespan.functions.scalars import blank, display_date, flag, ratio
@@ -20,7 +23,7 @@ from carespan.operators.quality import document_flags, inconsistencies, stale_pr
 from carespan.operators.units import facility_names, team_names
 from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_parts
 from carespan.setting import Setting
-from carespan.sources.lake import gathered
+from carespan.sources.lake import gathered, within
 from carespan.sources.tables import Tables
 
 
@@ -36,11 +39,44 @@ def _loaded(s: Setting, name: str = "dt_carga") -> Column:
     return F.lit(s.as_of).alias(name)
 
 
+def _publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written folder in the place of a table.
+
+    Folders are renamed: the old table stays whole until the new one is complete, and is put back if the
+    new one can't take its place.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs
+    new, table, old = jvm.Path(staged), jvm.Path(path), jvm.Path(f"{staged}-old")
+    files = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = files.exists(table)
+    if had and not files.rename(table, old):
+        raise OSError(f"{path} can't be moved aside")
+    if not files.rename(new, table):
+        if had:
+            files.rename(old, table)
+        raise OSError(f"{staged} can't take the place of {path}")
+    if had:
+        files.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
 def _replace(path: str, parts: list[DataFrame], *partitions: str) -> None:
-    """Replace a table by the given parts: the first write clears it, the others append."""
-    for number, rows in enumerate(parts):
-        writer = rows.write.mode("append" if number else "overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    """Replace a table by the given parts, which are written beside it and published in one step.
+
+    If a part fails, the table is as it was; names with a leading underscore are not read as data.
+    """
+    spark = parts[0].sparkSession
+    parent, _, name = path.rstrip("/").rpartition("/")
+    staged = f"{parent}/_staged_{name.replace('=', '-')}_{uuid.uuid4().hex}"
+    try:
+        for rows in parts:
+            writer = rows.write.mode("append")
+            (writer.partitionBy(*partitions) if partitions else writer).parquet(staged)
+        _publish(spark, staged, path)
+    except Exception:
+        where = spark._jvm.org.apache.hadoop.fs.Path(staged)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        raise
 
 
 def _of_month(path: str, s: Setting) -> str:
@@ -148,10 +184,7 @@ def inconsistency_rows(T: Tables, s: Setting) -> DataFrame:
             kind.alias("tp_inconsistencia"), text.alias("descricao"), _loaded(s, "dt_deteccao"),
         )
 
-    names = inconsistencies(T, s).select(
-        "tipo", "nome", "data_nascimento",
-        F.explode(F.arrays_zip("cns_list", "cpf_list")).alias("member"),
-    ).select("*", F.col("member.cns_list").alias("cns"), F.col("member.cpf_list").alias("cpf"))
+    names = inconsistencies(T, s)
     stale = stale_pregnancies(T, s)
     papers = document_flags(T).join(
         T["registration"].select("registration_id", "person_id", "cns", "cpf"), "registration_id"
@@ -183,7 +216,8 @@ def dim_paciente(T: Tables, s: Setting) -> DataFrame:
     return T["person"].join(newest, "person_id", "left").select(
         F.col("person_id").alias("paciente_id"), "cns", "cpf", F.col("name").alias("nome"),
         F.col("birth_date").alias("data_nascimento"),
-        F.when(F.col("sex_id") == s.codes.female_sex, "F").otherwise("M").alias("sexo"), _absent("nome_mae"),
+        F.when(F.col("sex_id") == s.codes.female_sex, "F").when(F.col("sex_id") == s.codes.male_sex, "M").alias("sexo"),
+        _absent("nome_mae"),
         F.col("nationality_id").alias("nacionalidade"), F.col("country_id").alias("pais_nascimento"),
         "micro_area", F.col("ethnicity_id").alias("etnia"), flag(F.col("deceased") == 0).alias("st_vivo"),
         _loaded(s),
@@ -214,8 +248,8 @@ def _with_cns(events: DataFrame, T: Tables, name: str = "cns") -> DataFrame:
     return events.join(T["person"].select("person_id", F.col("cns").alias(name)), "person_id", "left")
 
 
-def fato_atendimento(T: Tables, s: Setting) -> DataFrame:
-    events = T["encounter"].select("person_id", "event_date", "visit_type_id", "facility_id", "team_id")
+def fato_atendimento(T: Tables, s: Setting, since: date | None = None) -> DataFrame:
+    events = within(T["encounter"], since).select("person_id", "event_date", "visit_type_id", "facility_id", "team_id")
     events = _with_cns(events, T, "cns_paciente").join(facility_names(T), "facility_id", "left").join(team_names(T), "team_id", "left")
     return events.select(
         F.col("person_id").alias("paciente_id"), "cns_paciente", _absent("cns_profissional"), "nu_ine",
@@ -246,22 +280,35 @@ CONFORMED = {
 }
 
 
-def write_conformed(T: Tables, s: Setting, path: str, names=tuple(CONFORMED)) -> str:
+def write_encounters(T: Tables, s: Setting, path: str, since: date | None = None) -> str:
+    """Encounters by month. With ``since``, only the months from its own on are replaced.
+
+    Such a refresh reads no earlier month of the lake. Months of the new rows are put in place when all
+    of them are written; a month that has no rows any more keeps its old ones.
+    """
+    if since is None:
+        _replace(path, [gathered(fato_atendimento(T, s), "competencia")], "competencia")
+    else:
+        rows = gathered(fato_atendimento(T, s, since.replace(day=1)), "competencia")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("competencia").parquet(path)
+    return path
+
+
+def write_conformed(T: Tables, s: Setting, path: str, names=tuple(CONFORMED), since: date | None = None) -> str:
     """Dimension and fact tables, each in its own folder; encounters by month."""
     for name in names:
-        rows = CONFORMED[name](T, s)
         if name == "fato_atendimento":
-            _replace(f"{path}/{name}", [gathered(rows, "competencia")], "competencia")
+            write_encounters(T, s, f"{path}/{name}", since)
         else:
-            _replace(f"{path}/{name}", [rows])
+            _replace(f"{path}/{name}", [CONFORMED[name](T, s)])
     return path
 
 
-def refresh_all(T: Tables, s: Setting, root: str) -> None:
-    """The nightly run: every mart under one folder."""
+def refresh_all(T: Tables, s: Setting, root: str, since: date | None = None) -> None:
+    """The nightly run: every mart under one folder; of the encounters the months from ``since`` on."""
     write_foreigners(T, s, f"{root}/fato_estrangeiros")
     write_indicators(T, s, f"{root}/fato_indicadores")
     write_person_practices(T, s, f"{root}/fato_boas_praticas")
     write_outreach(T, s, f"{root}/busca_ativa")
     write_inconsistencies(T, s, f"{root}/inconsistencias")
-    write_conformed(T, s, root)
+    write_conformed(T, s, root, since=since)

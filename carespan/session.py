@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,7 +29,7 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under the one the cluster names in spark.checkpoint.dir.
 
-    Where the setting is missing (a local test session) a temporary folder takes its place.
+    Where the setting is missing the warehouse folder takes its place, which all executors share, too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="carespan-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/carespan-{uuid.uuid4().hex}"

@@ -6,12 +6,15 @@ The expressions use only syntax that Spark SQL and DuckDB share, so ``view_sql``
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carespan.codes import CodeSets
 from carespan.setting import Period, Setting
+from carespan.sources.operational import SOURCE_COLUMNS
 from carespan.sources.schemas import COLUMNS
 from carespan.sources.tables import Tables
 
@@ -55,7 +58,7 @@ def _registration(id_expression):
         "person_id": "c_custkey",
         "cns": "CASE WHEN c_custkey % 7 = 0 THEN CAST(NULL AS STRING) ELSE lpad(CAST(700000000000005 + c_custkey * 11 AS STRING), 15, '0') END",
         "cpf": "CASE WHEN c_custkey % 9 = 0 THEN CAST(NULL AS STRING) WHEN c_custkey % 9 = 1 THEN '00000000000' ELSE lpad(CAST(c_custkey AS STRING), 11, '1') END",
-        "birth_date": f"CASE WHEN c_custkey % 70 = 69 THEN CAST(NULL AS DATE) WHEN c_custkey % 30 = 11 THEN DATE '1970-01-01' WHEN c_custkey % 10 = 0 THEN {NOW} - CAST((c_custkey * 37) % 730 AS INT) ELSE {NOW} - CAST((c_custkey * 7919) % 30000 AS INT) END",
+        "birth_date": f"CASE WHEN c_custkey % 70 = 69 THEN CAST(NULL AS DATE) WHEN c_custkey % 30 = 11 THEN DATE '1970-01-01' WHEN c_custkey % 97 = 13 THEN DATE '1980-02-03' WHEN c_custkey % 10 = 0 THEN {NOW} - CAST((c_custkey * 37) % 730 AS INT) ELSE {NOW} - CAST((c_custkey * 7919) % 30000 AS INT) END",
         "race_id": "c_custkey % 6",
         "nationality_id": "CASE WHEN c_custkey % 11 = 0 THEN 3 ELSE 1 END",
         "ethnicity_id": "c_custkey % 5",
@@ -106,10 +109,10 @@ PARTS = {
     "country": [("nation", None, {"country_id": "n_nationkey", "country_name": "n_name"})],
     "person": [("customer", None, {
         "person_id": "c_custkey",
-        "name": "CASE WHEN c_custkey % 40 = 5 THEN 'RN ' || c_name WHEN c_custkey % 30 = 11 THEN 'PESSOA REPETIDA' ELSE c_name END",
+        "name": "CASE WHEN c_custkey % 40 = 5 THEN 'RN ' || c_name WHEN c_custkey % 30 = 11 THEN 'PESSOA REPETIDA' WHEN c_custkey % 97 = 13 THEN 'GRUPO ' || CAST(c_custkey % 7 % 5 AS STRING) ELSE c_name END",
         "cns": _registration("c_custkey")["cns"],
         "cpf": _registration("c_custkey")["cpf"],
-        "sex_id": "c_custkey % 2 + 1",
+        "sex_id": "CASE WHEN c_custkey % 41 = 7 THEN CAST(NULL AS INT) WHEN c_custkey % 43 = 8 THEN 3 ELSE c_custkey % 2 + 1 END",
         "deceased": "CASE WHEN c_custkey % 50 = 49 THEN 1 ELSE 0 END",
         "deleted": "CASE WHEN c_custkey % 60 = 59 THEN 1 WHEN c_custkey % 2 = 0 THEN 0 ELSE CAST(NULL AS INT) END",
     })],
@@ -155,8 +158,16 @@ PARTS = {
             "lmp_date": "CAST(NULL AS DATE)",
         }),
     ],
-    "home_visit": [("events", "event_type IN ('view', 'click')", {
-        "visit_id": "event_id",
+    "home_visit": [("customer", "c_custkey % 18 = 9", {
+        "person_id": "c_custkey",
+        "event_date": f"{NOW} - CAST({_PREGNANT} - 290 AS INT)",
+        "occupation_id": "3",
+        "newborn_followup": "1",
+        "child_followup": "0",
+        "weight": "CAST(NULL AS DOUBLE)",
+        "height": "CAST(NULL AS DOUBLE)",
+        "blood_pressure": "CAST(NULL AS STRING)",
+    }), ("events", "event_type IN ('view', 'click')", {
         "person_id": "user_id",
         "event_date": f"{NOW} - CAST((event_id * 17) % 720 + 1 AS INT)",
         "occupation_id": "CASE WHEN event_id % 3 = 0 THEN 4 ELSE 3 END",
@@ -166,8 +177,11 @@ PARTS = {
         "height": "CASE WHEN event_id % 6 = 0 THEN CAST(0.7 AS DOUBLE) END",
         "blood_pressure": "CASE WHEN event_id % 5 = 0 THEN '120/80' END",
     })],
-    "vaccination": [("events", "event_type IN ('signup', 'purchase', 'error')", {
-        "dose_id": "event_id",
+    "vaccination": [("customer", "c_custkey % 18 = 3", {
+        "person_id": "c_custkey",
+        "event_date": f"{NOW} - CAST({_PREGNANT} - 150 AS INT)",
+        "vaccine_codes": "'|57|'",
+    }), ("events", "event_type IN ('signup', 'purchase', 'error')", {
         "person_id": "user_id",
         "event_date": f"{NOW} - CAST((event_id * 19) % 720 + 1 AS INT)",
         "vaccine_codes": "CASE event_id % 8 WHEN 0 THEN '|22|42|' WHEN 1 THEN '|24|' WHEN 2 THEN '|26|' WHEN 3 THEN '|33|' WHEN 4 THEN '|57|' WHEN 5 THEN '|67|' WHEN 6 THEN '|29|' ELSE '|58|' END",
@@ -189,13 +203,11 @@ PARTS = {
         }),
     ],
     "procedure_event": [("lineitem JOIN orders ON l_orderkey = o_orderkey", "l_partkey % 26 >= 19", {
-        "procedure_event_id": "l_orderkey * 10 + l_linenumber",
         "person_id": "o_custkey",
         "event_date": "l_shipdate",
         "procedure_id": "l_partkey % 26",
     })],
     "dental_procedure": [("lineitem JOIN orders ON l_orderkey = o_orderkey", "l_partkey % 26 <= 18", {
-        "dental_id": "l_orderkey * 10 + l_linenumber",
         "person_id": "o_custkey",
         "event_date": "l_shipdate",
         "facility_id": "l_suppkey % 25",
@@ -204,7 +216,6 @@ PARTS = {
         "procedure_id": "l_partkey % 26",
     })],
     "dental_encounter": [("orders", None, {
-        "dental_encounter_id": "o_orderkey",
         "person_id": "o_custkey",
         "event_date": "o_orderdate",
         "facility_id": f"o_orderkey % {_TEAMS} % 25",
@@ -222,7 +233,6 @@ PARTS = {
         "occupation_id": "5 + o_orderkey % 3",
     })],
     "benefit_roll": [("customer", None, {
-        "roll_id": "c_custkey",
         "document": "lpad(CAST(c_custkey AS STRING), 11, '1')",
         "document_type": "CASE WHEN c_custkey % 5 = 4 THEN 'NIS' ELSE 'CPF' END",
         "roll_name": "upper(c_name)",
@@ -264,3 +274,33 @@ def open_derived(spark: SparkSession, directory: str) -> Tables:
         )
 
     return Tables({table: opener(table) for table in COLUMNS})
+
+
+def operational_reader(tables: Tables) -> Callable[[str], DataFrame]:
+    """Reader of operational source tables made back from canonical ones, YYYYMMDD integers for dates."""
+    raw = {}
+    for name, (source, columns) in SOURCE_COLUMNS.items():
+        cells = []
+        for canonical, column in columns.items():
+            value = F.col(canonical)
+            if column.endswith("#"):
+                value = F.date_format(value, "yyyyMMdd").cast("int")
+            elif column.endswith("!"):
+                value = value.cast("string")
+            cells.append(value.alias(column.rstrip("#!")))
+        raw[source] = tables[name].select(*cells)
+    activity = tables["group_activity"]
+    key = F.concat(F.lit("u"), F.col("activity_id").cast("string"))
+    raw["tb_atividade_coletiva"] = activity.select(
+        F.col("activity_id").alias("co_seq_atividade_coletiva"), key.alias("co_unico_atividade_coletiva")
+    )
+    raw["rl_ativ_col_pratica_saude"] = activity.select(
+        F.col("activity_id").alias("co_atividade_coletiva"), F.col("practice_id").alias("co_pratica_saude")
+    )
+    raw["tb_fat_atividade_coletiva"] = activity.select(
+        key.alias("nu_uuid_ficha"), F.col("participants").alias("nu_participantes"),
+        F.date_format("event_date", "yyyyMMdd").cast("int").alias("co_dim_tempo"),
+        F.col("facility_id").alias("co_dim_unidade_saude"), F.col("team_id").alias("co_dim_equipe"),
+        F.col("occupation_id").alias("co_dim_cbo"),
+    )
+    return raw.__getitem__

@@ -100,6 +100,10 @@ ACTIVITY_FACT = "tb_fat_atividade_coletiva"
 ACTIVITY_HEADER = "tb_atividade_coletiva"
 ACTIVITY_PRACTICE = "rl_ativ_col_pratica_saude"
 
+EVENT_TABLES = frozenset(
+    [source for source, columns in SOURCE_COLUMNS.values() if "event_date" in columns] + [ACTIVITY_FACT]
+)
+
 Reader = Callable[[str], DataFrame]
 
 
@@ -107,7 +111,8 @@ def jdbc_reader(spark: SparkSession, url: str, properties: dict, splits: dict[st
     """Reader of source tables over JDBC.
 
     ``splits`` gives (column, lowest, highest, number of partitions) for tables to be read in parallel;
-    event tables split well on their YYYYMMDD column.
+    event tables split well on their YYYYMMDD column. An event table without a split is refused, as it
+    would come through one connection into one task.
     """
 
     def read(table: str) -> DataFrame:
@@ -117,6 +122,8 @@ def jdbc_reader(spark: SparkSession, url: str, properties: dict, splits: dict[st
                 url, table, column=column, lowerBound=lowest, upperBound=highest, numPartitions=parts,
                 properties=properties,
             )
+        if table in EVENT_TABLES:
+            raise ValueError(f"no split is given for the event table {table}")
         return spark.read.jdbc(url, table, properties=properties)
 
     return read

@@ -36,27 +36,27 @@ COLUMNS = {
         "icd_codes": "string", "icpc_codes": "string", "lmp_date": "date",
     },
     "home_visit": {
-        "visit_id": "bigint", "person_id": "bigint", "event_date": "date", "occupation_id": "int",
+        "person_id": "bigint", "event_date": "date", "occupation_id": "int",
         "newborn_followup": "int", "child_followup": "int", "weight": "double", "height": "double",
         "blood_pressure": "string",
     },
     "vaccination": {
-        "dose_id": "bigint", "person_id": "bigint", "event_date": "date", "vaccine_codes": "string",
+        "person_id": "bigint", "event_date": "date", "vaccine_codes": "string",
     },
     "pregnancy": {
         "person_id": "bigint", "pregnancy_no": "int", "start_date": "date",
         "puerperium_start": "date", "puerperium_end": "date",
     },
     "procedure_event": {
-        "procedure_event_id": "bigint", "person_id": "bigint", "event_date": "date",
+        "person_id": "bigint", "event_date": "date",
         "procedure_id": "int",
     },
     "dental_procedure": {
-        "dental_id": "bigint", "person_id": "bigint", "event_date": "date", "facility_id": "int",
+        "person_id": "bigint", "event_date": "date", "facility_id": "int",
         "team_id": "bigint", "occupation_id": "int", "procedure_id": "int",
     },
     "dental_encounter": {
-        "dental_encounter_id": "bigint", "person_id": "bigint", "event_date": "date",
+        "person_id": "bigint", "event_date": "date",
         "facility_id": "int", "team_id": "bigint", "occupation_id": "int",
         "treatment_completed": "int",
     },
@@ -65,7 +65,7 @@ COLUMNS = {
         "facility_id": "int", "team_id": "bigint", "occupation_id": "int",
     },
     "benefit_roll": {
-        "roll_id": "bigint", "document": "string", "document_type": "string", "roll_name": "string",
+        "document": "string", "document_type": "string", "roll_name": "string",
         "cycle": "date",
     },
 }

@@ -69,7 +69,7 @@ NONE = "CAST(NULL AS VARCHAR)"
 
 def patients():
     return [f"""newest AS (SELECT * FROM registration QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY registration_id DESC) = 1)"""], f"""
-      SELECT p.person_id AS paciente_id, p.cns, p.cpf, p.name AS nome, n.birth_date AS data_nascimento, CASE p.sex_id WHEN 2 THEN 'F' ELSE 'M' END AS sexo,
+      SELECT p.person_id AS paciente_id, p.cns, p.cpf, p.name AS nome, n.birth_date AS data_nascimento, CASE p.sex_id WHEN 2 THEN 'F' WHEN 1 THEN 'M' END AS sexo,
         {NONE} AS nome_mae, n.nationality_id AS nacionalidade, n.country_id AS pais_nascimento, n.micro_area, n.ethnicity_id AS etnia,
         1 - p.deceased AS st_vivo, {AS_OF} AS dt_carga FROM person AS p LEFT JOIN newest AS n ON n.person_id = p.person_id"""
 
@@ -90,18 +90,27 @@ def encounters():
       LEFT JOIN team AS t ON t.team_id = e.team_id"""
 
 
-def dimensions():
-    """Sizes and key sums of the smaller conformed tables."""
-    return [], f"""
-      SELECT 'dim_equipe' AS tabela, count(*) AS linhas, count(DISTINCT ine) AS chaves FROM team
-      UNION ALL SELECT 'dim_unidade', count(*), count(DISTINCT cnes) FROM facility
-      UNION ALL SELECT 'dim_sigtap', count(*), count(DISTINCT code) FROM procedure_code
-      UNION ALL SELECT 'fato_vacinacao', count(*), count(DISTINCT p.cns) FROM vaccination AS v LEFT JOIN person AS p ON p.person_id = v.person_id
-      UNION ALL SELECT 'fato_visita_domiciliar', count(*), count(DISTINCT p.cns) FROM home_visit AS v LEFT JOIN person AS p ON p.person_id = v.person_id"""
+def units():
+    return [], f"SELECT cnes, facility_name AS no_unidade, {NONE} AS tp_unidade, {AS_OF} AS dt_carga FROM facility"
+
+
+def procedures():
+    return [], f"SELECT code AS co_sigtap, {NONE} AS no_procedimento, {NONE} AS categoria, {AS_OF} AS dt_carga FROM procedure_code"
+
+
+def vaccinations():
+    return [], f"""SELECT p.cns, {NONE} AS co_sigtap, v.vaccine_codes AS ds_vacina, {NONE} AS dose, v.event_date AS dt_aplicacao,
+      {NONE} AS fonte, {AS_OF} AS dt_carga FROM vaccination AS v LEFT JOIN person AS p ON p.person_id = v.person_id"""
+
+
+def home_visits():
+    return [], f"""SELECT p.cns, {NONE} AS cns_acs, {NONE} AS nu_ine, v.event_date AS dt_visita, {NONE} AS tp_visita, {AS_OF} AS dt_carga
+      FROM home_visit AS v LEFT JOIN person AS p ON p.person_id = v.person_id"""
 
 
 MARTS = {
     "mart_foreigners": foreigners, "mart_indicators": indicators, "mart_person_practices": person_practices,
     "mart_worklists": worklists, "mart_inconsistencies": inconsistencies, "mart_patients": patients, "mart_teams": teams,
-    "mart_encounters": encounters, "mart_dimensions": dimensions,
+    "mart_encounters": encounters, "mart_units": units, "mart_procedures": procedures,
+    "mart_vaccinations": vaccinations, "mart_home_visits": home_visits,
 }

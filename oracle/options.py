@@ -78,6 +78,13 @@ def service_c7():
     return parts, f"SELECT * EXCLUDE (numerator, denominator) RENAME (value AS percentual) FROM ({select}) AS q"
 
 
+def _places(make, *columns, descending=False):
+    """Places in a list: missing values last, or as empty text where the list is sorted by one text."""
+    parts, select = make()
+    order = f"coalesce({columns[0]}, '') DESC" if descending else ", ".join(f"{c} ASC NULLS LAST" for c in columns)
+    return parts, f"SELECT {', '.join(columns)}, CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS posicao FROM ({select}) AS q"
+
+
 def as_json():
     parts, select = facilities()
     return parts, f"""SELECT '{{"id":' || id || ',"nome":"' || nome || '","cnes":"' || cnes || '"}}' AS json FROM ({select}) AS q"""
@@ -88,7 +95,10 @@ OPTIONS = {
     "ind_c4_integer_gap": integer_gap, "quality_cns_strict": strict, "outreach_b1_by_person": by_person,
     "outreach_c1_team": one_team, "benefit_page_unit": unit_page, "list_unit_filter": unit_filter,
     "list_search": search, "list_sorted": homeless, "list_ordered": b3, "list_masked": masked,
-    "list_json": as_json,
+    "list_json": as_json, "ind_c1_period": c1, "lake_b4": b4,
+    "list_sorted_places": lambda: _places(homeless, "unidade_saude", descending=True),
+    "list_ordered_places": lambda: _places(b3, "unidade_saude", "no_equipe"),
+    "service_m2_places": lambda: _places(m2, "unidade_saude", "no_equipe"),
     "service_b4": lambda: _service(b4, {
         "numerator": "total_participantes", "denominator": "total_criancas", "value": "percentual",
         "atividades": "total_atividades",

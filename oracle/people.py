@@ -151,22 +151,19 @@ def _profiles() -> str:
     return _newest("true").replace("JOIN registration AS r", "LEFT JOIN registration AS r", 1).replace("r.registration_id DESC,", "r.registration_id DESC NULLS LAST,")
 
 
-def _list(expression: str) -> str:
-    return f"string_agg({expression}, ';' ORDER BY person_id)"
+MEMBER = """person_id AS paciente_id, coalesce(cns, '') AS cns, coalesce(cpf, '') AS cpf, coalesce(team_name, '') AS no_equipe,
+      coalesce(facility_name, '') AS unidade_saude"""
 
 
 def duplicates():
     return [_profiles()], f"""SELECT 'duplicados' AS tipo, name AS nome, CAST(birth_date AS VARCHAR) AS data_nascimento,
-      CAST(count(*) AS INTEGER) AS quantidade, CAST(0 AS BIGINT) AS lote, {_list('CAST(person_id AS VARCHAR)')} AS ids,
-      {_list("coalesce(cns, '')")} AS cns_list, {_list("coalesce(cpf, '')")} AS cpf_list,
-      {_list("coalesce(team_name, '')")} AS equipe_list, {_list("coalesce(facility_name, '')")} AS unidade_list
-      FROM newest WHERE birth_date IS NOT NULL GROUP BY name, birth_date HAVING count(*) > 1"""
+      count(*) OVER (PARTITION BY name, birth_date) AS quantidade, {MEMBER}
+      FROM newest WHERE birth_date IS NOT NULL QUALIFY count(*) OVER (PARTITION BY name, birth_date) > 1"""
 
 
 def newborns():
-    return [_profiles()], """SELECT 'rn_de' AS tipo, name AS nome, coalesce(CAST(birth_date AS VARCHAR), '') AS data_nascimento,
-      1 AS quantidade, CAST(0 AS BIGINT) AS lote, CAST(person_id AS VARCHAR) AS ids, coalesce(cns, '') AS cns_list,
-      coalesce(cpf, '') AS cpf_list, coalesce(team_name, '') AS equipe_list, coalesce(facility_name, '') AS unidade_list
+    return [_profiles()], f"""SELECT 'rn_de' AS tipo, name AS nome, coalesce(CAST(birth_date AS VARCHAR), '') AS data_nascimento,
+      CAST(1 AS BIGINT) AS quantidade, {MEMBER}
       FROM newest WHERE upper(name[1:2]) = 'RN' AND regexp_matches(name[3:3], '\\s')"""
 
 

@@ -119,13 +119,13 @@ def build(seed: int, people: int = 160, events: int = 6000) -> dict[str, dict]:
     }
     measured, some = make.measures(e)
     tables["home_visit"] = {
-        "visit_id": list(range(e)), "person_id": make.owners(e), "event_date": make.days(e),
+        "person_id": make.owners(e), "event_date": make.days(e),
         "occupation_id": pick(e, [0, 2, 3, 4, 5, 99]), "newborn_followup": pick(e, [0, 1, None]),
         "child_followup": pick(e, [0, 1, None]), **measured, "blood_pressure": some("120/80", 0.3),
     }
     codes = ["09", "17", "29", "22", "24", "56", "26", "59", "107", "57", "33", "77", "67", "93", "1"]
     tables["vaccination"] = {
-        "dose_id": list(range(e)), "person_id": make.owners(e), "event_date": make.days(e),
+        "person_id": make.owners(e), "event_date": make.days(e),
         "vaccine_codes": ["|" + "|".join(pick(int(k), codes)) + "|" for k in rng.integers(1, 4, e)],
     }
     g = people
@@ -139,15 +139,15 @@ def build(seed: int, people: int = 160, events: int = 6000) -> dict[str, dict]:
         "puerperium_end": [a + timedelta(days=int(k)) if a and rng.random() < 0.6 else None for a, k in zip(after, ends)],
     }
     tables["procedure_event"] = {
-        "procedure_event_id": list(range(e)), "person_id": make.owners(e), "event_date": make.days(e, 1200),
+        "person_id": make.owners(e), "event_date": make.days(e, 1200),
         "procedure_id": pick(e, [*range(26), 99]),
     }
     tables["dental_procedure"] = {
-        "dental_id": list(range(e)), "person_id": make.owners(e), "event_date": make.days(e), **make.units(e),
+        "person_id": make.owners(e), "event_date": make.days(e), **make.units(e),
         "occupation_id": pick(e, [5, 6, 7, 1]), "procedure_id": pick(e, [*range(26), 99]),
     }
     tables["dental_encounter"] = {
-        "dental_encounter_id": list(range(e)), "person_id": make.owners(e), "event_date": make.days(e), **make.units(e),
+        "person_id": make.owners(e), "event_date": make.days(e), **make.units(e),
         "occupation_id": pick(e, [5, 6, 7, 1]), "treatment_completed": pick(e, [0, 0, 0, 0, 0, 0, 0, 0, 0, 1, None]),
     }
     tables["group_activity"] = {
@@ -156,7 +156,7 @@ def build(seed: int, people: int = 160, events: int = 6000) -> dict[str, dict]:
     }
     b = 2 * people
     tables["benefit_roll"] = {
-        "roll_id": list(range(b)), "document": pick(b, [c for c in cpf if c is not None]),
+        "document": pick(b, [c for c in cpf if c is not None]),
         "document_type": pick(b, ["CPF", "CPF", "NIS"]), "roll_name": pick(b, ["X", "Y", "Z"]),
         "cycle": pick(b, [date(2001, 6, 1), date(2001, 7, 1)]),
     }

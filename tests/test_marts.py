@@ -2,6 +2,9 @@
 
 from datetime import date
 
+import pytest
+from pyspark.sql import functions as F
+
 from carespan.plans import marts
 from carespan.plans.mart_tables import MART_COLUMNS, create_tables, load_partitions
 from carespan.setting import Period
@@ -35,6 +38,37 @@ def test_a_list_that_became_empty_leaves_no_rows(spark, tmp_path):
     assert {r["condicao"] for r in spark.read.parquet(path).collect()} == {"b1"}
 
 
+def test_a_failing_part_leaves_the_old_table_whole(spark, tmp_path):
+    path = str(tmp_path / "mart" / "table")
+    good = spark.range(3).withColumn("k", F.lit("a"))
+    marts._replace(path, [good], "k")
+    bad = spark.range(3).select("id", F.raise_error(F.lit("no")).cast("string").alias("k"))
+    with pytest.raises(Exception, match="no"):
+        marts._replace(path, [spark.range(5).withColumn("k", F.lit("b")), bad], "k")
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in (tmp_path / "mart").iterdir()] == ["table"]
+    marts._replace(path, [spark.range(5).withColumn("k", F.lit("b"))], "k")
+    assert {r["k"] for r in spark.read.parquet(path).collect()} == {"b"}
+
+
+def test_only_the_months_from_a_date_on_are_replaced(spark, tmp_path):
+    T, path = open_derived(spark, SF), str(tmp_path / "encounters")
+    marts.write_encounters(T, SETTING, path)
+    whole = spark.read.parquet(path)
+    first = {tuple(r) for r in whole.groupBy("competencia").count().collect()}
+    before = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "encounters").glob("competencia=*")}
+    marts.write_encounters(T, SETTING, path, since=date(2001, 5, 20))
+    assert {tuple(r) for r in spark.read.parquet(path).groupBy("competencia").count().collect()} == first
+    after = {p.name: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "encounters").glob("competencia=*")}
+    changed = {n for n in after if after[n] != before[n]}
+    assert changed and min(changed) == "competencia=200105"
+
+
+def test_unknown_sex_is_not_male(spark):
+    T = make(spark, **linked(*[{"person_id": i, "sex_id": x} for i, x in enumerate((1, 2, 3, None))]))
+    assert {r["paciente_id"]: r["sexo"] for r in marts.dim_paciente(T, S).collect()} == {0: "M", 1: "F", 2: None, 3: None}
+
+
 def test_nightly_run(spark, tmp_path):
     T = make(
         spark, **linked({"person_id": 1, "birth_date": date(1950, 1, 1), "nationality_id": 3}),

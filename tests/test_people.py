@@ -59,20 +59,21 @@ def test_duplicates(spark):
     d = date(1980, 1, 1)
     T = make(spark, **same_name(d, date(1981, 1, 1), d, None, None))
     rows = quality.duplicate_persons(T, S).collect()
-    assert [(r["quantidade"], r["ids"], r["cns_list"]) for r in rows] == [(2, ["0", "2"], ["C0", "C2"])]
+    assert sorted((r["quantidade"], r["paciente_id"], r["cns"]) for r in rows) == [(2, 0, "C0"), (2, 2, "C2")]
 
 
-def test_large_groups_come_in_bounded_rows(spark):
-    T = make(spark, **same_name(*[date(1980, 1, 1)] * 25))
-    rows = sorted(quality.duplicate_persons(T, S, whole_group=10, id_range=10).collect(), key=lambda r: r["lote"])
-    assert [len(r["ids"]) for r in rows] == [10, 10, 5] and {r["quantidade"] for r in rows} == {25}
-    assert [i for r in rows for i in r["ids"]] == [str(i) for i in range(25)]
+def test_large_groups_have_the_shape_of_small_ones(spark):
+    T = make(spark, **same_name(*[date(1980, 1, 1)] * 1200, *[date(1990, 1, 1)] * 2))
+    rows = quality.duplicate_persons(T, S)
+    assert rows.columns == ["tipo", "nome", "data_nascimento", "quantidade", "paciente_id", "cns", "cpf", "no_equipe", "unidade_saude"]
+    found = rows.groupBy("data_nascimento", "quantidade").count().collect()
+    assert sorted(map(tuple, found)) == [("1980-01-01", 1200, 1200), ("1990-01-01", 2, 2)]
 
 
 def test_newborn_names(spark):
     names = ["RN MARIA", "rn maria", "RNA", "RN\tANA", "MARIA RN "]
     T = make(spark, **linked(*[{"person_id": i, "name": n} for i, n in enumerate(names)]))
-    assert sorted(r["ids"][0] for r in quality.newborn_placeholder_names(T, S).collect()) == ["0", "1", "3"]
+    assert sorted(r["paciente_id"] for r in quality.newborn_placeholder_names(T, S).collect()) == [0, 1, 3]
 
 
 def test_stale_pregnancies(spark):

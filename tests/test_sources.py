@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from carespan.operators import listing, practice_indicators, ratio_indicators
-from carespan.sources.derived import SETTING, open_derived
+from carespan.sources.derived import SETTING, open_derived, operational_reader
 from carespan.sources.lake import gathered, open_bucketed, open_lake, save_bucketed, within, write_lake
-from carespan.sources.operational import SOURCE_COLUMNS, open_operational
+from carespan.sources.operational import EVENT_TABLES, jdbc_reader, open_operational
 from carespan.sources.schemas import COLUMNS, FACTS
 from tests.compare import rows_of
 from tests.golden import AS_OF, S, linked, make
@@ -54,54 +54,42 @@ def test_bucketed_tables_need_no_shuffle_by_person(spark, derived, tmp_path):
         tables = open_bucketed(spark, "bucketed")
         joined = tables["vaccination"].join(tables["person"].hint("merge"), "person_id").groupBy("person_id").count()
         assert "Exchange" not in plan_of(joined)
-        assert joined.agg(F.sum("count")).collect()[0][0] == 602
+        assert joined.agg(F.sum("count")).collect()[0][0] == derived["vaccination"].count()
+        # the months of a period only, and still no exchange by person
+        save_bucketed(derived, "bucketed", 4)
+        tables = open_bucketed(spark, "bucketed")
+        plan = plan_of(practice_indicators.yearly_care(tables, SETTING))
+        assert "(event_month" in plan.split("PartitionFilters")[1]
+        assert same(practice_indicators.indicator_c4(tables, SETTING), practice_indicators.indicator_c4(derived, SETTING))
+        year = within(tables["vaccination"], date(2001, 1, 1), date(2001, 3, 31))
+        plan = plan_of(year.groupBy("person_id").count())
+        assert "(event_month" in plan.split("PartitionFilters")[1] and "Exchange" not in plan
     finally:
         spark.sql("DROP DATABASE bucketed CASCADE")
 
 
-def raw_tables(spark, tables):
-    """Source tables made back from canonical ones, with YYYYMMDD integers for dates."""
-    raw = {}
-    for name, (source, columns) in SOURCE_COLUMNS.items():
-        cells = []
-        for canonical, column in columns.items():
-            value = F.col(canonical)
-            if column.endswith("#"):
-                value = F.date_format(value, "yyyyMMdd").cast("int")
-            elif column.endswith("!"):
-                value = value.cast("string")
-            cells.append(value.alias(column.rstrip("#!")))
-        raw[source] = tables[name].select(*cells)
-    activity = tables["group_activity"]
-    key = F.concat(F.lit("u"), F.col("activity_id").cast("string"))
-    raw["tb_atividade_coletiva"] = activity.select(
-        F.col("activity_id").alias("co_seq_atividade_coletiva"), key.alias("co_unico_atividade_coletiva")
-    )
-    raw["rl_ativ_col_pratica_saude"] = activity.select(
-        F.col("activity_id").alias("co_atividade_coletiva"), F.col("practice_id").alias("co_pratica_saude")
-    )
-    raw["tb_fat_atividade_coletiva"] = activity.select(
-        key.alias("nu_uuid_ficha"), F.col("participants").alias("nu_participantes"),
-        F.date_format("event_date", "yyyyMMdd").cast("int").alias("co_dim_tempo"),
-        F.col("facility_id").alias("co_dim_unidade_saude"), F.col("team_id").alias("co_dim_equipe"),
-        F.col("occupation_id").alias("co_dim_cbo"),
-    )
-    return raw
-
-
-def test_operational_schema(spark, derived):
-    raw = raw_tables(spark, derived)
-    tables = open_operational(raw.__getitem__)
-    for name in ("person_link", "encounter", "pregnancy", "dental_encounter", "group_activity", "benefit_roll"):
-        kept = [c for c in COLUMNS[name] if c in tables[name].columns]
-        assert same(tables[name].select(*kept), derived[name].select(*kept)), name
+def test_operational_schema(spark, derived, tmp_path):
+    read = operational_reader(derived)
+    tables = open_operational(read)
+    write_lake(tables, str(tmp_path))
+    lake = open_lake(spark, str(tmp_path))
+    for name in COLUMNS:
+        assert same(lake[name].select(*COLUMNS[name]), derived[name]), name
     for build in (ratio_indicators.indicator_b4, practice_indicators.indicator_c3):
         assert same(build(tables, SETTING), build(derived, SETTING))
-    year = open_operational(raw.__getitem__, since=date(2001, 1, 1), until=date(2001, 3, 31))["vaccination"]
+    year = open_operational(read, since=date(2001, 1, 1), until=date(2001, 3, 31))["vaccination"]
     low, high = year.agg(F.min("event_date"), F.max("event_date")).collect()[0]
     assert date(2001, 1, 1) <= low and high <= date(2001, 3, 31)
 
 
+def test_event_tables_are_not_read_through_one_connection(spark):
+    read = jdbc_reader(spark, "jdbc:none", {})
+    assert "tb_fat_atendimento_individual" in EVENT_TABLES
+    for table in EVENT_TABLES:
+        with pytest.raises(ValueError):
+            read(table)
+
+
 def test_listing(spark):
     df = spark.createDataFrame(
         [("Norte", "10", 2, ["a"], date(2024, 1, 2)), (None, "20", None, ["b", "c"], None), ("norte 2", "30", 1, [], date(2023, 1, 1))],
