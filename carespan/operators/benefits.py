@@ -26,11 +26,14 @@ def beneficiaries(T: Tables) -> DataFrame:
     return live_persons(T).select("person_id", "name", "cns", "cpf").join(documents, "cpf")
 
 
-def _current_units(T: Tables, s: Setting, people: DataFrame | None) -> DataFrame:
+def _named(rows: DataFrame, people: list[int] | None) -> DataFrame:
+    """The rows of some people, of all if none are named."""
+    return rows if people is None else rows.where(F.col("person_id").isin(people))
+
+
+def _current_units(T: Tables, s: Setting, people: list[int] | None) -> DataFrame:
     """Per person: earliest birth date on record, and the unit of the newest link in force."""
-    owners = T["registration"].select("registration_id", "person_id", "birth_date")
-    if people is not None:
-        owners = owners.join(people, "person_id", "left_semi")
+    owners = _named(T["registration"].select("registration_id", "person_id", "birth_date"), people)
     links = valid_links(T, s.as_of).select(
         "registration_id", "valid_from", "link_id", "facility_id", "team_id"
     )
@@ -42,7 +45,7 @@ def _current_units(T: Tables, s: Setting, people: DataFrame | None) -> DataFrame
     return rows.select("person_id", "birth_date", "link.facility_id", "link.team_id")
 
 
-def _care(T: Tables, s: Setting, people: DataFrame | None) -> DataFrame:
+def _care(T: Tables, s: Setting, people: list[int] | None) -> DataFrame:
     """Per person: what happened within the months that each condition looks back."""
 
     def since(months):
@@ -59,24 +62,20 @@ def _care(T: Tables, s: Setting, people: DataFrame | None) -> DataFrame:
         F.col("start_date").isNotNull() & (ended.isNull() | (ended >= F.lit(s.as_of)))
     ).select("person_id", F.lit(1).alias("pregnant"))
     parts = [encounters, doses, pregnancies]
-    if people is not None:
-        parts = [p.join(people, "person_id", "left_semi") for p in parts]
+    parts = [_named(p, people) for p in parts]
     kinds = ["seen", "weighed", "prenatal", "dose", "pregnant"]
     return stacked(*parts).groupBy("person_id").agg(
         *[F.max(F.coalesce(F.col(k), F.lit(0))).alias(k) for k in kinds]
     )
 
 
-def benefit_conditions(T: Tables, s: Setting, people: DataFrame | None = None) -> DataFrame:
+def benefit_conditions(T: Tables, s: Setting, people: list[int] | None = None) -> DataFrame:
     """Beneficiaries with their unit and four pending-check flags.
 
-    ``people`` limits the work to some person ids; the events are then filtered before they are
-    grouped, so a page costs no full pass over everyone's history.
+    ``people`` limits the work to the person ids of a page. They are a filter on every table, so a page
+    groups no one else's history.
     """
-    rows = beneficiaries(T)
-    if people is not None:
-        rows = rows.join(people, "person_id", "left_semi")
-    rows = rows.join(_current_units(T, s, people), "person_id", "left").join(
+    rows = _named(beneficiaries(T), people).join(_current_units(T, s, people), "person_id", "left").join(
         _care(T, s, people), "person_id", "left"
     )
 
@@ -95,17 +94,22 @@ def benefit_conditions(T: Tables, s: Setting, people: DataFrame | None = None) -
     )
 
 
-def benefit_page(T: Tables, s: Setting, after_id: int = 0, size: int = 500, unit: str | None = None) -> DataFrame:
+def benefit_page(
+    T: Tables, s: Setting, after_id: int = 0, size: int = 500, unit: str | None = None, conditions: DataFrame | None = None,
+) -> DataFrame:
     """The next ``size`` beneficiaries by person id after ``after_id``.
 
-    Paging by key: a page costs the same wherever it lies, and the ids are picked before the events
-    are read. With a unit filter the conditions come first, as the unit decides who is listed.
+    Paging by key: a page costs the same wherever it lies. The ids of the page, ``size`` at most, are
+    picked first and named to every scan. With a unit filter the conditions come first, as the unit
+    decides who is listed; a reader of many such pages gives the written ``conditions`` to page over.
     """
-    if unit is not None:
-        rows = filter_unit(benefit_conditions(T, s), unit, "no_unidade_saude", "nu_cnes")
+    if unit is not None or conditions is not None:
+        rows = benefit_conditions(T, s) if conditions is None else conditions
+        rows = rows if unit is None else filter_unit(rows, unit, "no_unidade_saude", "nu_cnes")
         return rows.where(F.col("person_id") > after_id).orderBy("person_id").limit(size)
     ids = beneficiaries(T).select("person_id").where(F.col("person_id") > after_id)
-    return benefit_conditions(T, s, ids.orderBy("person_id").limit(size))
+    page = [r["person_id"] for r in ids.orderBy("person_id").limit(size).collect()]
+    return benefit_conditions(T, s, page)
 
 
 def benefit_totals(conditions: DataFrame, page_size: int = 500) -> DataFrame:

@@ -45,7 +45,10 @@ def _cohort_rows(T: Tables, s: Setting, where: Column) -> DataFrame:
     """Active, current registrations fulfilling the condition: a row per link in force, with flags."""
     chosen = current_registrations(T, s, active_registrations(T, s).where(where))
     links = valid_links(T, s.as_of).select("registration_id", "link_id", "facility_id", "team_id")
-    recent = within(T["encounter"], months_later(s.as_of, -12)).select("person_id").distinct()
+    # only the cohort's encounters are told apart by person
+    recent = within(T["encounter"], months_later(s.as_of, -12)).select("person_id").join(
+        chosen.select("person_id"), "person_id", "left_semi"
+    ).distinct()
     rows = (
         chosen.join(T["person"].select("person_id", "name"), "person_id")
         .join(recent.withColumn("seen", F.lit(1)), "person_id", "left")

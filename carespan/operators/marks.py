@@ -18,8 +18,6 @@ from carespan.setting import Setting
 from carespan.sources.lake import within
 from carespan.sources.tables import Tables
 
-SALTS = 16
-
 def with_occupation(events: DataFrame, T: Tables, s: Setting, *sets: str) -> DataFrame:
     """Add one boolean per occupation set; false for an occupation without a row."""
     marks = T["occupation"].select(
@@ -72,14 +70,12 @@ def stacked(*parts: DataFrame) -> DataFrame:
 
 
 def events_of(people: DataFrame, events: DataFrame) -> DataFrame:
-    """Join people (one or few rows each) with their events, before these are grouped by day.
+    """Join people (one or few rows each) with their events.
 
-    Both sides carry a salt made from the day of the event, so the rows of one person are spread over
-    several tasks however many there are.
+    Both sides are dealt by person, and the groupings by person and day that follow use that layout. A
+    person with very many events is split at run time by the skew rule of the session.
     """
-    spread = people.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = events.withColumn("salt", F.pmod(F.hash("event_date"), F.lit(SALTS)))
-    return salted.join(spread, ["person_id", "salt"]).drop("salt")
+    return events.join(people, "person_id")
 
 
 def spread_enough(visits: str, first: str, last: str, s: Setting) -> Column:

@@ -46,7 +46,9 @@ def _listed(rows: DataFrame, T: Tables) -> DataFrame:
 
 def _with_contact(rows: DataFrame, T: Tables) -> DataFrame:
     """Add the person's data, and a row per distinct birth date of the person's registrations."""
-    births = T["registration"].select("person_id", "birth_date").distinct()
+    births = T["registration"].select("person_id", "birth_date").join(
+        rows.select("person_id"), "person_id", "left_semi"
+    ).distinct()
     people = T["person"].select("person_id", "name", "cns", "cpf")
     return rows.join(people, "person_id").join(births, "person_id", "left")
 

@@ -279,12 +279,18 @@ def indicator_c7(T: Tables, s: Setting) -> DataFrame:
     counts = _team_counts(practices_c7(T, s), T, "c7", "left", *bases).withColumns(
         {"numerator": _total(practices), "denominator": _total(bases)}
     )
+    # All shares over the product of the bases, in whole numbers, so that a tie rounds as it should.
+    def whole(name):
+        return F.coalesce(F.col(name), F.lit(0)).cast("decimal(9,0)")
+
+    over = {x: F.greatest(whole(f"base_{x}"), F.lit(1).cast("decimal(9,0)")) for x in WOMEN_AGES}
+    bases_product = reduce(Column.__mul__, over.values())
     parts = [
-        F.coalesce(F.col(f"pratica_{x}") / F.nullif(F.col(f"base_{x}"), F.lit(0)), F.lit(0.0)) * weight
+        reduce(Column.__mul__, [over[y] for y in WOMEN_AGES if y != x], whole(f"pratica_{x}") * weight)
         for x, (_, _, weight) in WOMEN_AGES.items()
     ]
-    # the small addend keeps exact ties at the third decimal from rounding down in binary
-    value = F.round(reduce(Column.__add__, parts) + F.lit(1e-9), 2)
+    hundredths = F.call_function("div", reduce(Column.__add__, parts) * 200 + bases_product, bases_product * 2)
+    value = hundredths / F.lit(100.0)
     both = [c for x in WOMEN_AGES for c in (f"base_{x}", f"pratica_{x}")]
     return scored(counts, "c7", value, *both)
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.codes import BANDS, ENOUGH, GOOD, GREAT, REGULAR
-from carespan.functions.scalars import band, ratio
-from carespan.operators.ratio_indicators import access_counts, contact_counts, first_dental_visits
+from carespan.functions.scalars import band, in_list, ratio
+from carespan.operators.ratio_indicators import first_dental_visits, in_period
 from carespan.operators.units import in_scope, named, unit_keys
 from carespan.setting import Setting
 from carespan.sources.tables import Tables
@@ -31,41 +33,67 @@ def first_visit_counts(T: Tables, s: Setting) -> DataFrame:
     return named(people, T).withColumn("denominator", F.lit(None).cast("long"))
 
 
+def _access_and_contact_counts(T: Tables, s: Setting) -> DataFrame:
+    """Team rows of C1 and M1 from one pass over the encounters, grouped by person first."""
+    by = {
+        "c1": in_list(F.col("occupation_id"), s.codes.med_nurse_ids),
+        "m1": in_list(F.col("occupation_id"), s.codes.multi_professional_ids),
+    }
+    scheduled = by["c1"] & in_list(F.col("visit_type_id"), s.codes.scheduled_visit_types)
+    events = in_period(T, "encounter", s).where((by["c1"] | by["m1"]) & in_scope(s))
+    per_person = unit_keys(events, T).groupBy(*UNIT_IDS, "person_id").agg(
+        F.count_if(scheduled).alias("scheduled"), F.count_if(by["c1"]).alias("access"),
+        F.count_if(by["m1"]).alias("contacts"),
+    )
+    met = (F.col("contacts") > 0) & F.col("person_id").isNotNull()
+    counts = per_person.groupBy(*UNIT_IDS).agg(
+        *[F.sum(c).alias(c) for c in ("scheduled", "access", "contacts")], F.count_if(met).alias("people"),
+    )
+    rows = F.explode(F.array(
+        F.struct(F.lit("c1").alias("indicador"), F.col("scheduled").alias("numerator"), F.col("access").alias("denominator"), F.col("access").alias("events")),
+        F.struct(F.lit("m1").alias("indicador"), F.col("contacts").alias("numerator"), F.col("people").alias("denominator"), F.col("contacts").alias("events")),
+    )).alias("r")
+    return named(counts.select(*UNIT_IDS, rows), T).where("r.events > 0").select(
+        "r.indicador", "unidade_saude", "cnes", "r.numerator", "r.denominator"
+    )
+
+
 def city_summary(T: Tables, s: Setting) -> DataFrame:
     """Units and the city for C1, B1 and M1.
 
     The city's C1 and M1 are unweighted means of the unit values; its B1 is the sum over teams, so a
     person seen by two teams counts twice.
     """
-    units = {
-        "c1": rollup_units(access_counts(T, s)),
-        "b1": rollup_units(first_visit_counts(T, s)),
-        "m1": rollup_units(contact_counts(T, s), scale=1),
-    }
-    parts = []
-    for name, rows in units.items():
+    first = first_visit_counts(T, s).select(
+        F.lit("b1").alias("indicador"), "unidade_saude", "cnes", "numerator", "denominator"
+    )
+    num, den = F.col("numerator"), F.col("denominator")
+    value = F.when(F.col("indicador") == "c1", ratio(num, den, empty=0)).when(
+        F.col("indicador") == "m1", ratio(num, den, scale=1, empty=0)
+    )
+    units = _access_and_contact_counts(T, s).unionByName(first).groupBy("indicador", "unidade_saude").agg(
+        F.max("cnes").alias("cnes"), F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"),
+    ).withColumn("value", value)
+    label = F.lit(None).cast("string")
+    parts = [units.select(
+        "indicador", F.lit("unidade").alias("nivel"), "unidade_saude", "cnes", "numerator", "denominator", "value",
+        label.alias("classificacao"),
+    )]
+    for name in ("c1", "b1", "m1"):
         valued = name != "b1"
-        value = F.col("value") if valued else F.lit(None).cast("double")
-        label = F.lit(None).cast("string")
-        parts.append(rows.select(
-            F.lit(name).alias("indicador"), F.lit("unidade").alias("nivel"), "unidade_saude", "cnes",
-            "numerator", "denominator", value.alias("value"), label.alias("classificacao"),
-        ))
-        mean: Column = F.coalesce(F.round(F.avg("value") + F.lit(1e-9), 2), F.lit(0.0)) if valued else F.max(value)
-        city = rows.agg(
+        # unit values have two places, so their mean is one of whole hundredths
+        hundredths = F.sum(F.round(F.col("value") * 100).cast("long"))
+        mean: Column = ratio(hundredths, F.count("value") * 100, scale=1, empty=0) if valued else F.max("value")
+        city = units.where(F.col("indicador") == name).agg(
             F.coalesce(F.sum("numerator"), F.lit(0)).alias("numerator"),
             F.sum("denominator").alias("denominator"), mean.alias("value"),
         )
         parts.append(city.select(
             F.lit(name).alias("indicador"), F.lit("municipio").alias("nivel"),
-            F.lit(None).cast("string").alias("unidade_saude"), F.lit(None).cast("string").alias("cnes"),
-            "numerator", "denominator", "value",
+            label.alias("unidade_saude"), label.alias("cnes"), "numerator", "denominator", "value",
             (band(F.col("value"), BANDS[name]) if valued else label).alias("classificacao"),
         ))
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return reduce(DataFrame.unionByName, parts)
 
 
 def band_distribution(indicators: DataFrame) -> DataFrame:

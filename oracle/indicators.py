@@ -184,8 +184,9 @@ def chronic_cohort(icd: str, icpc: str) -> str:
       QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY event_date DESC, encounter_id DESC) = 1)"""
 
 
-DIABETES = ("E1(0|1|4)", "T(89|90)")
-HYPERTENSION = ("I1[01235]|O1[01]", "K8[67]")
+# Codes of the conditions (ICD-10, ICPC-2).
+DIABETES = ("E10|E11|E14", "T89|T90")
+HYPERTENSION = ("I10|I11|I12|I13|I15|O10|O11", "K86|K87")
 
 
 def _chronic_marks():
@@ -237,6 +238,7 @@ def _aged(low: int, high: int) -> str:
     return f"birth_date <= {END} - INTERVAL {low} YEAR AND birth_date > {END} - INTERVAL {high} YEAR"
 
 
+# Patterns of sexual and reproductive health (ICD-10, ICPC-2).
 C7_ICD = (
     r"N80[0-9]?|N91[0-5]?|N92[0-6]?|N93[089]?|N94[0-689]?|N95[0-389]?|N96|N97[0-489]?|O0[34]|R102|T742|"
     r"Y05[0-9]|Z12[34]|Z20[56]|Z30[0-59]?|Z31[0-689]?|Z320|Z600|Z630|Z640|Z70[0-389]?|Z717|Z725"
@@ -261,13 +263,16 @@ def c7_parts():
 def c7():
     bases = ", ".join(f"CAST(sum(base_{x}) AS BIGINT) AS base_{x}" for x in "abcd")
     weights = {"a": 20, "b": 30, "c": 30, "d": 20}
-    value = " + ".join(
-        f"coalesce(pratica_{x} / CAST(nullif(base_{x}, 0) AS DOUBLE), 0) * {w}" for x, w in weights.items()
+    base = {x: f"CAST(greatest(coalesce(base_{x}, 0), 1) AS HUGEINT)" for x in "abcd"}
+    product = " * ".join(base.values())
+    points = " + ".join(
+        " * ".join([f"{w} * coalesce(pratica_{x}, 0)", *(base[y] for y in "abcd" if y != x)]) for x, w in weights.items()
     )
+    value = f"CAST((200 * ({points}) + {product}) // (2 * {product}) AS DOUBLE) / 100"
     return c7_parts() + [
         f"counted AS (SELECT {TEAM}, {_sums('abcd')}, {bases} FROM marked GROUP BY ALL)",
         "result AS (SELECT *, pratica_a + pratica_b + pratica_c + pratica_d AS numerator,"
-        f" base_a + base_b + base_c + base_d AS denominator, round({value} + 1e-9, 2) AS value FROM counted)",
+        f" base_a + base_b + base_c + base_d AS denominator, {value} AS value FROM counted)",
     ], _classified("result", STANDARD, "base_a, base_b, base_c, base_d, " + _names("abcd"))
 
 

@@ -165,7 +165,7 @@ def rollup_city():
           CAST(sum(numerator) AS BIGINT) AS numerator, CAST(sum(denominator) AS BIGINT) AS denominator FROM {name}_teams GROUP BY 1) AS q)""")
         selects.append(f"""SELECT '{name}' AS indicador, 'unidade' AS nivel, unidade_saude, cnes, numerator, denominator, value,
           CAST(NULL AS VARCHAR) AS classificacao FROM {name}_units""")
-        mean = "CAST(NULL AS DOUBLE)" if bands is None else "round(avg(value) + 1e-9, 2)"
+        mean = "CAST(NULL AS DOUBLE)" if bands is None else half_up("CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT)", "(100 * count(value))", 1)
         selects.append(f"""SELECT '{name}', 'municipio', NULL, NULL, numerator, denominator, value, {bands or 'NULL'} FROM (
           SELECT CAST(sum(numerator) AS BIGINT) AS numerator, CAST(sum(denominator) AS BIGINT) AS denominator, {mean} AS value FROM {name}_units) AS q""")
     return parts, " UNION ALL ".join(selects)

@@ -232,3 +232,30 @@ def test_occupations_decide(spark):
         ],
     )
     assert flags(p.practices_c6(T, S), "abcd") == {1: "a", 2: "b", 3: ""}
+
+
+def test_c7_rounds_exact_ties_up(spark):
+    T = make(
+        spark, **linked(*[{"person_id": i, "birth_date": date(1990, 1, 1)} for i in range(1, 33)]),
+        procedure_event=[{"person_id": 1, "event_date": date(2024, 1, 1), "procedure_id": 23}],
+    )
+    assert p.indicator_c7(T, S).collect()[0]["value"] == 0.63  # 20 / 32 = 0.625
+
+
+def test_city_means_round_exact_ties_up(spark):
+    def seen(facility, visits, scheduled):
+        return [
+            {"encounter_id": 10 * facility + i, "person_id": i, "event_date": date(2024, 1, 1), "facility_id": facility,
+             "team_id": facility, "visit_type_id": 2 if i < scheduled else 1} for i in range(visits)
+        ]
+
+    T = make(
+        spark, facility=[{"facility_id": i, "facility_name": f"U{i}", "cnes": f"{i}"} for i in (1, 2)],
+        team=[{"team_id": i, "team_name": f"T{i}", "ine": f"{i}"} for i in (1, 2)],
+        encounter=seen(1, 3, 1) + seen(2, 4, 1),
+    )
+    from carespan.operators.rollups import city_summary
+
+    rows = {(r["indicador"], r["unidade_saude"]): r["value"] for r in city_summary(T, S.but(scope=(1, 2))).collect()}
+    assert (rows["c1", "U1"], rows["c1", "U2"]) == (33.33, 25.0)
+    assert rows["c1", None] == 29.17  # 29.165
