@@ -7,6 +7,7 @@ from carespan.llm import (
     decontamination, html_text, license_rules, mixing, ngram_join, pii, quality_rules, secret_scan, sharding,
     token_counts,
 )
+from carespan.llm.checks import TEXTS
 from carespan.session import tune
 
 _MODULES = (
@@ -21,6 +22,6 @@ def _tuned(query):
 
 QUERIES = {name: _tuned(query) for module in _MODULES for name, query in module.QUERIES.items()}
 QUERIES["pipeline"] = corpus_pipeline.run
-SQL = {name: text for module in _MODULES for name, text in module.SQL.items()}
+SQL = {name: text for module in _MODULES for name, text in module.SQL.items()} | TEXTS
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
