@@ -32,7 +32,6 @@ WORDS = 5
 SKETCH_BITS = 18
 MIN_BITMAP_BITS = 512
 BAND_RATIO = 1.25  # neighbouring bands hold all sizes that 80 % allows
-ALPHABET = 1 << 18  # words whose hashes a task keeps at hand
 SCANNED = "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, bits array<bigint>, cell int, times bigint"
 POSTINGS = "shingle bigint, node bigint, n int, place int"
 ARRAYS = "row_key bigint, node bigint, hashes binary"
@@ -41,36 +40,23 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
-class Shingler:
+def shingles(raw: bytes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
-
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, raw: bytes) -> np.ndarray:
-        words = raw.lower().split()  # of bytes: A-Z only, at ASCII white space only
-        n = len(words)
-        if not n:
-            return np.empty(0, np.uint64)
-        known, name = self.known, xxhash.xxh3_64_intdigest
-        if len(known) > ALPHABET:
-            known.clear()
-        codes = np.empty(n, np.uint64)
-        for i, w in enumerate(words):
-            code = known.get(w)
-            if code is None:
-                code = known[w] = name(w)
-            codes[i] = code
-        width = min(n, WORDS)
-        mixed = np.full(n - width + 1, width, np.uint64)
-        for i in range(width):
-            mixed += codes[i:n - width + 1 + i] * _FACTORS[i]
-        mixed ^= mixed >> np.uint64(30)
-        mixed *= _MIX[0]
-        mixed ^= mixed >> np.uint64(27)
-        mixed *= _MIX[1]
-        mixed ^= mixed >> np.uint64(31)
-        return np.unique(mixed)
+    words = raw.lower().split()  # of bytes: A-Z only, at ASCII white space only
+    n = len(words)
+    if not n:
+        return np.empty(0, np.uint64)
+    codes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+    width = min(n, WORDS)
+    mixed = np.full(n - width + 1, width, np.uint64)
+    for i in range(width):
+        mixed += codes[i:n - width + 1 + i] * _FACTORS[i]
+    mixed ^= mixed >> np.uint64(30)
+    mixed *= _MIX[0]
+    mixed ^= mixed >> np.uint64(27)
+    mixed *= _MIX[1]
+    mixed ^= mixed >> np.uint64(31)
+    return np.unique(mixed)
 
 
 def set_name(hashes: np.ndarray) -> int:
@@ -95,7 +81,7 @@ def bitmap(hashes: np.ndarray) -> np.ndarray:
 
 def _set_scan(batches):
     """Rows of documents (cell null), then the task's counts per sketch cell (cell set)."""
-    shingler, seen, cells = Shingler(), set(), np.zeros(1 << SKETCH_BITS, np.int64)
+    seen, cells = set(), np.zeros(1 << SKETCH_BITS, np.int64)
     shift = np.uint64(64 - SKETCH_BITS)
     names = ["doc_id", "row_key", "n_shingles", "node", "bits", "cell", "times"]
     types = [*[pa.int64()] * 4, pa.list_(pa.int64()), pa.int32(), pa.int64()]
@@ -103,7 +89,7 @@ def _set_scan(batches):
         for part in portions(batch, 2):
             sizes, nodes, bits, fresh = [], [], [], []
             for raw in part.column(2).to_pylist():
-                hashes = shingler(raw)
+                hashes = shingles(raw)
                 node = set_name(hashes) if len(hashes) else None
                 sizes.append(len(hashes))
                 nodes.append(node)
@@ -134,7 +120,7 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
     """
 
     def run(batches):
-        shingler, level = Shingler(), np.frombuffer(levels, np.uint8)
+        level = np.frombuffer(levels, np.uint8)
         bits = named_bits(wanted) if wanted else None
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in batches:
@@ -142,7 +128,7 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
             for part in portions(batch, 0):
                 keys, nodes, sizes, places = [], [], [], []
                 for raw in part.column(0).to_pylist():
-                    hashes = shingler(raw)
+                    hashes = shingles(raw)
                     node = set_name(hashes)
                     if not len(hashes) or node in seen:
                         continue
@@ -170,12 +156,12 @@ def _array_scan(wanted: bytes):
     """Arrays of the rows that a bitmap of row keys names."""
 
     def run(batches):
-        shingler, bits = Shingler(), named_bits(wanted)
+        bits = named_bits(wanted)
         for batch in batches:
             keys = batch.column(0)
             named = batch.filter(pa.array(is_named(bits, keys.to_numpy())))
             for part in portions(named, 1):
-                sets = [shingler(raw) for raw in part.column(1).to_pylist()]
+                sets = [shingles(raw) for raw in part.column(1).to_pylist()]
                 columns = [
                     part.column(0), pa.array([set_name(h) for h in sets], pa.int64()),
                     pa.array([h.tobytes() for h in sets], pa.binary()),

@@ -40,8 +40,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
-_EDGE_BYTES = _EDGES.encode()
+EDGES = ".,;:!?\"'()[]{}<>|*#$%&"
+_EDGE_BYTES = EDGES.encode()
 
 
 def luhn(digits: str) -> bool:
@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def term_of(word: str) -> str:
     """A word without marks at its ends, A-Z as a-z."""
-    return word.strip(_EDGES).encode().lower().decode()
+    return word.strip(EDGES).encode().lower().decode()
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
@@ -112,7 +112,7 @@ def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
                 continue
             term = term_of(m[0])
             if len(term) >= MIN_TERM_CHARS:
-                a += len(m[0]) - len(m[0].lstrip(_EDGES))
+                a += len(m[0]) - len(m[0].lstrip(EDGES))
                 found.append((entity, line, term, a, a + len(term)))
     return found
 

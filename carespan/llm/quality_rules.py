@@ -88,6 +88,11 @@ def _histograms(raw: bytes, words: list, kinds: np.ndarray, bins: dict) -> tuple
     return classes, common
 
 
+def _shares(counts: list) -> list | None:
+    total = sum(counts)
+    return [c / total for c in counts] if total else None
+
+
 def _histogram_scan():
     kinds, bins = _class_table(), {w.encode(): i for i, w in enumerate(BINS)}
     return lambda texts: [_histograms(t, t.split(), kinds, bins) for t in texts]
@@ -110,45 +115,41 @@ def _rule_scan():
         classes, common = _histograms(raw, words, kinds, bins)
         return (
             len(words), int(seen[starts & ~spaces].sum()), int(seen[symbols].sum()), again,
-            repeated_words(words), classes, common,
+            repeated_words(words), sum(classes), _shares(classes), _shares(common),
         )
 
     return lambda texts: [one(t) for t in texts]
 
 
 HISTOGRAMS = "classes array<bigint>, common array<bigint>"
-FOUND = f"n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, {HISTOGRAMS}"
+FOUND = (
+    "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint,"
+    " n_chars bigint, classes array<double>, common array<double>"
+)
 
 
 def references(found: DataFrame) -> DataFrame:
-    """One row per language: the summed histograms of its documents (null is a language of its own)."""
+    """One row per language: the shares of its documents' summed histograms (null is a language, too)."""
     sizes = {"classes": CLASSES, "common": len(BINS) + 1}
     sums = [F.sum(F.col(c)[i]).alias(f"{c}_{i}") for c, n in sizes.items() for i in range(n)]
-    return found.groupBy("lang").agg(*sums).select(
-        F.col("lang").alias("ref_lang"),
-        *[F.array(*[F.col(f"{c}_{i}") for i in range(n)]).alias(f"ref_{c}") for c, n in sizes.items()],
-    )
 
+    def shares(c, n):
+        parts = [F.col(f"{c}_{i}") for i in range(n)]
+        total = reduce(Column.__add__, parts)
+        return F.when(total > 0, F.array(*[p / total for p in parts])).alias(f"ref_{c}")
 
-def _total(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x).cast("double")
+    return found.groupBy("lang").agg(*sums).select(F.col("lang").alias("ref_lang"), *[shares(c, n) for c, n in sizes.items()])
 
 
 def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two count arrays; null if one of them is empty of counts."""
-    p_all, q_all = _total(p), _total(q)
+    """Jensen-Shannon distance of two arrays of shares; null if one of them is."""
 
     def part(x, m):
         return F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
 
-    def add(a, pair):
-        x, y = pair["x"] / p_all, pair["y"] / q_all
-        m = (x + y) / 2
-        return a + part(x, m) / 2 + part(y, m) / 2
-
-    pairs = F.zip_with(p, q, lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")))
-    divergence = F.aggregate(pairs, F.lit(0.0), add)
-    return F.when((p_all > 0) & (q_all > 0), F.sqrt(F.greatest(divergence, F.lit(0.0))))
+    parts = F.zip_with(p, q, lambda x, y: part(x, (x + y) / 2) / 2 + part(y, (x + y) / 2) / 2)
+    divergence = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
+    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
 def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text: str = "text") -> DataFrame:
@@ -176,7 +177,7 @@ def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text:
         "base_failed": (words < MIN_WORDS) | (100 * repeats > REPEAT_PERCENT * words),
     })
     far = [
-        (_total(F.col("classes")) >= MIN_CHARS_FOR_CLASSES) & (F.col("class_distance") > MAX_CLASS_DISTANCE),
+        (F.col("n_chars") >= MIN_CHARS_FOR_CLASSES) & (F.col("class_distance") > MAX_CLASS_DISTANCE),
         (words >= MIN_WORDS_FOR_COMMON) & (F.col("common_distance") > MAX_COMMON_DISTANCE),
     ]
     diverged = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in far])
