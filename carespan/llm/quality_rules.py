@@ -134,9 +134,9 @@ def references(found: DataFrame) -> DataFrame:
     sums = [F.sum(F.col(c)[i]).alias(f"{c}_{i}") for c, n in sizes.items() for i in range(n)]
 
     def shares(c, n):
-        parts = [F.col(f"{c}_{i}") for i in range(n)]
-        total = reduce(Column.__add__, parts)
-        return F.when(total > 0, F.array(*[p / total for p in parts])).alias(f"ref_{c}")
+        counts = F.array(*[F.col(f"{c}_{i}") for i in range(n)])
+        total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x)
+        return F.when(total > 0, F.transform(counts, lambda x: x / total)).alias(f"ref_{c}")
 
     return found.groupBy("lang").agg(*sums).select(F.col("lang").alias("ref_lang"), *[shares(c, n) for c, n in sizes.items()])
 
