@@ -109,10 +109,11 @@ tried AS (SELECT *, CAST({x.MAX_COPIES} * source_size AS DOUBLE) AS most,
     after AS (ORDER BY source_size / weight, weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
 goal AS (SELECT source, n_rows, source_size, least(most, weight * (SELECT arg_min(level, most / weight) FROM tried WHERE level * weight <= most)) AS target FROM tried),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN least({x.MAX_COPIES * x.UNIT}, CAST(round(target / source_size * {x.UNIT}) AS BIGINT)) ELSE 0 END AS expected,
-    {number('source')} % {x.UNIT} AS shift, CAST(ceil(n_rows / {x.CHUNK_ROWS}) AS BIGINT) AS chunks FROM goal),
+    {number('source')} % {x.UNIT} AS shift FROM goal),
+cut AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY source, length(bin(size))) / {x.CHUNK_ROWS}) AS BIGINT) AS chunks FROM d),
 summed AS (SELECT d.doc_id, d.size, source_size, target, expected,
     shift + CAST(sum(expected) OVER (PARTITION BY d.source ORDER BY length(bin(size)), {number('doc_id')} % chunks, size, doc_id) AS BIGINT) AS upto
-  FROM d JOIN e ON e.source IS NOT DISTINCT FROM d.source)
+  FROM cut AS d JOIN e ON e.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, size, source_size, target, CAST((upto // {x.UNIT} - (upto - expected) // {x.UNIT}) AS INTEGER) AS copies,
   (upto // {x.UNIT} - (upto - expected) // {x.UNIT}) * size AS taken FROM summed"""
 

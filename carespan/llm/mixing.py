@@ -65,23 +65,26 @@ def source_targets(rows: DataFrame, weights: tuple = WEIGHTS, max_copies: int =
 def copies(rows: DataFrame, weights: tuple = WEIGHTS, max_copies: int = MAX_COPIES, seed: str = SEED) -> DataFrame:
     """The rows (doc_id, row_key, source, size, ...) with source_size, target and `copies`.
 
-    The rows of a source are cut into chunks of about CHUNK_ROWS by a hash; the sum before a chunk comes
-    from the sums of chunks, the sum within it from a window of bounded length. A hot source has more
-    chunks, not larger ones. Expected copies are the source's target over its size, `max_copies` at most.
+    The rows of a source and number of digits are cut into chunks of about CHUNK_ROWS by a hash; the sum
+    before a chunk comes from the sums of chunks, the sum within it from a window of bounded length. A hot
+    source has more chunks, not larger ones. Expected copies are the source's target over its size, `max_copies` at most.
     """
     targets = settle(source_targets(rows, weights, max_copies))
     rate = F.least(F.lit(max_copies * UNIT), F.round(F.col("target") / F.col("source_size") * UNIT).cast("long"))
     targets = targets.select(
         F.col("source").alias("of_source"), "source_size", "target",
         F.when(F.col("source_size") > 0, rate).otherwise(F.lit(0)).cast("long").alias("expected"),
-        F.ceil(F.col("n_rows") / CHUNK_ROWS).cast("long").alias("chunks"),
         F.pmod(hashed(F.lit(seed), F.col("source")), F.lit(UNIT)).alias("offset"),
     )
-    rows = rows.join(targets, rows["source"].eqNullSafe(targets["of_source"])).drop("of_source")
-    chunked = rows.withColumns({
-        "digits": F.length(F.bin("size")),
-        "chunk": F.pmod(hashed(F.lit(seed), F.col("doc_id")), F.col("chunks")),
-    })
+    rows = rows.withColumn("digits", F.length(F.bin("size")))
+    classes = rows.groupBy(F.col("source").alias("k_source"), F.col("digits").alias("k_digits")).agg(
+        F.ceil(F.count("*") / CHUNK_ROWS).alias("chunks")
+    )
+    classes = settle(classes.join(targets, classes["k_source"].eqNullSafe(targets["of_source"])).drop("of_source"))
+    rows = rows.join(classes, rows["source"].eqNullSafe(classes["k_source"]) & (rows["digits"] == classes["k_digits"]))
+    chunked = rows.drop("k_source", "k_digits").withColumn(
+        "chunk", F.pmod(hashed(F.lit(seed), F.col("doc_id")), F.col("chunks"))
+    )
     # The sum before each chunk, over pages of chunks, so that no window grows with the source.
     page = F.floor(F.col("chunk") / PAGE_CHUNKS).alias("page")
     counts = chunked.groupBy("source", "digits", page, "chunk").agg(F.sum("expected").alias("chunk_sum"))
