@@ -18,6 +18,7 @@ All identities of shingles and sets are 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ SKETCH_BITS = 18
 MIN_BITMAP_BITS = 512
 BAND_RATIO = 1.25  # neighbouring bands hold all sizes that 80 % allows
 SCANNED = "doc_id bigint, row_key bigint, n_shingles bigint, node bigint, bits array<bigint>, cell int, times bigint"
+STAMPS = ("stamp_0", "stamp_1", "stamp_2", "stamp_3")
+MEMBER = ("n", "place", *STAMPS)  # what a posting tells of its set
 POSTINGS = "shingle bigint, node bigint, n int, place int"
 ARRAYS = "row_key bigint, node bigint, hashes binary"
 
@@ -208,11 +211,19 @@ def _overlap(n: Column, m: Column) -> Column:
 def _may_meet(x: str, y: str) -> Column:
     """Whether the shingle may be the first that two similar sets have in common.
 
-    All they have in common comes from its places on, so enough of both must follow.
+    All they have in common comes from its places on, so enough of both must follow; and their stamps,
+    bitmaps folded to four words, must not differ too much.
     """
     n, m = F.col(f"n_{x}"), F.col(f"n_{y}")
     least = _overlap(n, m)
-    return _near(n, m) & (F.col(f"place_{x}") <= n - least) & (F.col(f"place_{y}") <= m - least)
+    placed = (F.col(f"place_{x}") <= n - least) & (F.col(f"place_{y}") <= m - least)
+    differ = [F.bit_count(F.col(f"{s}_{x}").bitwiseXOR(F.col(f"{s}_{y}"))) for s in STAMPS]
+    return _near(n, m) & placed & _bounded(n + m, reduce(Column.__add__, differ))
+
+
+def _bounded(both: Column, differ: Column) -> Column:
+    """Whether sets of these sizes together may overlap enough although so many bits differ."""
+    return 9 * (both - differ) >= 8 * both
 
 
 def _possible(postings: DataFrame) -> DataFrame:
@@ -228,8 +239,8 @@ def _possible(postings: DataFrame) -> DataFrame:
     return kept.drop("least", "below")
 
 
-def _shared_postings(postings: Callable[[bytes | None], DataFrame]) -> DataFrame:
-    """Postings of prefix shingles that two sets hold, settled with their size band.
+def _shared_postings(postings: Callable[[bytes | None], DataFrame], nodes: DataFrame) -> DataFrame:
+    """Postings of prefix shingles that two sets hold, settled with their size band and their set's stamps.
 
     The first pass finds those shingles by an aggregate that is combined in map tasks. The second emits
     the postings again, thinned by a bitmap of bounded size before they are shuffled.
@@ -238,7 +249,13 @@ def _shared_postings(postings: Callable[[bytes | None], DataFrame]) -> DataFrame
     shared = settle(ends.where("low < high").select("shingle"))
     found = postings(key_bitmap(shared, "shingle")).join(shared, "shingle")
     banded = found.distinct().withColumn("band", F.floor(F.log(BAND_RATIO, F.col("n"))).cast("int"))
-    return settle(_possible(settle(banded)))
+    return settle(_possible(settle(banded)).join(nodes.select("node", *STAMPS), "node"))
+
+
+def _stamp(bits: Column, place: int) -> Column:
+    """Every fourth word of a bitmap laid over each other."""
+    words = F.filter(bits, lambda _, i: i % len(STAMPS) == place)
+    return F.aggregate(words, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 
 def _differing_bits(x: Column, y: Column) -> Column:
@@ -268,9 +285,7 @@ def _links(pairs: DataFrame, nodes: DataFrame, arrays_of: Callable[[bytes], Data
     marked = pairs.join(side(nodes, "a", "n", "bits"), "a").join(side(nodes, "b", "n", "bits"), "b")
     both = F.col("n_a") + F.col("n_b")
     differ = _differing_bits(F.col("bits_a"), F.col("bits_b"))
-    close = settle(
-        marked.where(_near(F.col("n_a"), F.col("n_b")) & (9 * (both - differ) >= 8 * both)).select("a", "b")
-    )
+    close = settle(marked.where(_near(F.col("n_a"), F.col("n_b")) & _bounded(both, differ)).select("a", "b"))
     used = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     rows = settle(nodes.select("node", "row_key").join(used, "node", "left_semi"))
     arrays = arrays_of(key_bitmap(rows, "row_key")).join(rows, ["node", "row_key"], "left_semi")
@@ -281,12 +296,12 @@ def _links(pairs: DataFrame, nodes: DataFrame, arrays_of: Callable[[bytes], Data
 
 def _tile_stars(postings: DataFrame) -> DataFrame:
     """Two sets of each tile (shingle, band), picked by hash, with each other set of the tile."""
-    order = F.struct(F.xxhash64("node", "shingle"), "node", "n", "place")
+    order = F.struct(F.xxhash64("node", "shingle"), "node", *MEMBER)
     hub = F.explode(F.array(F.min(order), F.max(order))).alias("h")
     hubs = postings.groupBy("shingle", "band").agg(hub).select(
-        "shingle", "band", *[F.col(f"h.{c}").alias(f"{c}_hub") for c in ("node", "n", "place")]
+        "shingle", "band", *[F.col(f"h.{c}").alias(f"{c}_hub") for c in ("node", *MEMBER)]
     )
-    rows = postings.withColumnsRenamed({"n": "n_own", "place": "place_own"}).join(hubs, ["shingle", "band"])
+    rows = postings.withColumnsRenamed({c: f"{c}_own" for c in MEMBER}).join(hubs, ["shingle", "band"])
     rows = rows.where((F.col("node") != F.col("node_hub")) & _may_meet("own", "hub"))
     return rows.select(F.least("node", "node_hub").alias("a"), F.greatest("node", "node_hub").alias("b")).distinct()
 
@@ -313,7 +328,7 @@ def _across_components(members: DataFrame) -> DataFrame:
     ).select("shingle", "comp_a", "comp_b")
 
     def rows(s):
-        named = {"comp": f"comp_{s}", "node": s, "n": f"n_{s}", "place": f"place_{s}"}
+        named = {"comp": f"comp_{s}", "node": s, **{c: f"{c}_{s}" for c in MEMBER}}
         return members.drop("band").withColumnsRenamed(named)
 
     pairs = meet.join(rows("a"), ["shingle", "comp_a"]).join(rows("b"), ["shingle", "comp_b"])
@@ -334,9 +349,10 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     levels = _crowded(scanned)
     sets = scanned.where("cell is null").drop("cell", "times", "bits")
     one = F.min(F.struct("row_key", F.col("n_shingles").alias("n"), "bits")).alias("one")
-    nodes = settle(scanned.where("node is not null").groupBy("node").agg(one).select("node", "one.*"))
+    nodes = scanned.where("node is not null").groupBy("node").agg(one).select("node", "one.*")
+    nodes = settle(nodes.withColumns({s: _stamp(F.col("bits"), i) for i, s in enumerate(STAMPS)}))
     postings = _shared_postings(
-        lambda wanted: own.select("raw").mapInArrow(_prefix_scan(levels, wanted), POSTINGS)
+        lambda wanted: own.select("raw").mapInArrow(_prefix_scan(levels, wanted), POSTINGS), nodes
     )
 
     def arrays_of(wanted: bytes) -> DataFrame:
