@@ -72,14 +72,14 @@ common AS (SELECT * FROM known UNION ALL SELECT w.row, w.lang, {len(q.BINS)}, le
 classes AS (SELECT row, lang, i AS bin, CAST(v[i] AS DOUBLE) AS x FROM (SELECT row, lang, [{', '.join(counted)}] AS v FROM d), LATERAL (SELECT unnest(range(1, {q.CLASSES + 1})) AS i)),
 far_classes AS ({distance('classes')}),
 far_common AS ({distance('common')}),
-rows AS (SELECT doc_id, len(w) AS n_words, coalesce(CAST(list_sum(list_transform(w, lambda x: len(x))) AS BIGINT), 0) AS word_chars,
+rows AS (SELECT doc_id, w.lang, len(w) AS n_words, coalesce(CAST(list_sum(list_transform(w, lambda x: len(x))) AS BIGINT), 0) AS word_chars,
     len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
     coalesce(c.n, 0) AS n_repeat_words, a.distance AS class_distance, b.distance AS common_distance, a.x AS class_chars
   FROM w LEFT JOIN covered AS c ON c.row = w.row JOIN far_classes AS a ON a.row = w.row JOIN far_common AS b ON b.row = w.row),
 failed AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.REPEAT_PERCENT} * n_words AS base_failed FROM rows)
-SELECT * EXCLUDE (class_chars), NOT base_failed
+SELECT * EXCLUDE (class_chars, lang), NOT base_failed
   AND NOT coalesce(class_chars >= {q.MIN_CHARS_FOR_CLASSES} AND class_distance > {q.MAX_CLASS_DISTANCE}, false)
-  AND NOT coalesce(n_words >= {q.MIN_WORDS_FOR_COMMON} AND common_distance > {q.MAX_COMMON_DISTANCE}, false) AS kept FROM failed"""
+  AND NOT coalesce(n_words >= {q.MIN_WORDS_FOR_COMMON} AND lang IS NOT NULL AND common_distance > {q.MAX_COMMON_DISTANCE}, false) AS kept FROM failed"""
 
 
 def _similar() -> str:

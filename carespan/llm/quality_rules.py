@@ -149,7 +149,8 @@ def js_distance(p: Column, q: Column) -> Column:
 
     parts = F.zip_with(p, q, lambda x, y: part(x, (x + y) / 2) / 2 + part(y, (x + y) / 2) / 2)
     divergence = F.aggregate(parts, F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.greatest(divergence, F.lit(0.0)))
+    # equal arrays may come out a little below 0; a null stays one, which greatest() would not leave
+    return F.sqrt(F.when(divergence < 0, 0.0).otherwise(divergence))
 
 
 def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text: str = "text") -> DataFrame:
@@ -157,8 +158,9 @@ def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text:
 
     Two passes over the whole texts: the references (settled, one row per language), then the rows. The
     rows meet their reference by language; as it is a small table on disk, no text is shuffled for it.
-    Null and empty texts have no words and fail the base rules. A null language is a language of its
-    own. Repeated rows are each judged; an empty table gives none.
+    Null and empty texts have no words and fail the base rules. Documents without a language are compared
+    with each other by character classes, but not rejected by words, as theirs may be in any language.
+    Repeated rows are each judged; an empty table gives none.
     """
     ranked = settle(references(
         map_texts(docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")), _histogram_scan, HISTOGRAMS, ("lang",))
@@ -178,7 +180,7 @@ def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text:
     })
     far = [
         (F.col("n_chars") >= MIN_CHARS_FOR_CLASSES) & (F.col("class_distance") > MAX_CLASS_DISTANCE),
-        (words >= MIN_WORDS_FOR_COMMON) & (F.col("common_distance") > MAX_COMMON_DISTANCE),
+        (words >= MIN_WORDS_FOR_COMMON) & F.col("__lang").isNotNull() & (F.col("common_distance") > MAX_COMMON_DISTANCE),
     ]
     diverged = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in far])
     return rows.select(

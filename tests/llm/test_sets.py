@@ -76,6 +76,13 @@ def test_distance_and_references(spark):
     assert got[8]["class_distance"] > quality_rules.MAX_CLASS_DISTANCE and not got[8]["kept"]
 
 
+def test_a_missing_language_is_no_fault(spark):
+    prose = {"en": "the cat is on the mat and it was not for us to see that ", "de": "der hund und die katze ist nicht in dem haus und das ist gut "}
+    docs = documents(spark, [(" ".join([prose[x]] + [f"{x}{i}w{k} {prose[x]}" for k in range(20)]), "s", None) for i in range(6) for x in prose])
+    got = rows_by(quality_rules.judged(docs))
+    assert all(r["kept"] == (not r["base_failed"]) for r in got.values())
+
+
 def plain_classes(rows):
     """doc_id -> (set size, smallest doc_id that links reach)."""
     sets = [(r["doc_id"], shingle_set(r["text"])) for r in rows]
