@@ -6,6 +6,8 @@ those already seen; the seen are reduced to distinct ids in map tasks before the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -16,7 +18,7 @@ from carespan.operators.listing import filter_team, filter_unit
 from carespan.operators.marks import with_occupation
 from carespan.operators.population import contact_columns, linked_people
 from carespan.operators.practice_indicators import (
-    active_pregnancies, condition_encounters, names_condition, older_people,
+    active_pregnancies, names_condition, older_people,
 )
 from carespan.operators.ratio_indicators import (
     access_counts, completed_treatments, first_dental_visits, in_period, preventive_base, procedures_of,
@@ -53,20 +55,6 @@ def _with_contact(rows: DataFrame, T: Tables) -> DataFrame:
     return rows.join(people, "person_id").join(births, "person_id", "left")
 
 
-def _seen_by_id(T: Tables, s: Setting) -> DataFrame:
-    by = in_list(F.col("occupation_id"), s.codes.med_nurse_ids)
-    return in_period(T, "encounter", s).where(by).select("person_id").distinct()
-
-
-def _seen_by_code(T: Tables, s: Setting, codes: str) -> DataFrame:
-    events = in_period(T, "encounter", s).select("person_id", "occupation_id")
-    return with_occupation(events, T, s, codes).where(codes).select("person_id").distinct()
-
-
-def _unseen(T: Tables, people: DataFrame, seen: DataFrame) -> DataFrame:
-    return _listed(people.join(seen, "person_id", "left_anti"), T)
-
-
 def outreach_c1(T: Tables, s: Setting) -> DataFrame:
     """People seen by a doctor or nurse in the period, but never at a scheduled visit.
 
@@ -86,96 +74,71 @@ def outreach_c1(T: Tables, s: Setting) -> DataFrame:
     return named(_with_contact(rows, T), T).select(*TEAM, *_contact("total_consultas_no_periodo"))
 
 
-def outreach_c2(T: Tables, s: Setting) -> DataFrame:
-    """Children of up to two full years not seen by a doctor or nurse."""
-    return _unseen(T, _linked(T, s, age_years(s.as_of, F.col("birth_date")) <= 2), _seen_by_id(T, s))
-
-
-def outreach_c3(T: Tables, s: Setting) -> DataFrame:
-    """Women with an active pregnancy not seen by a doctor or nurse."""
-    pregnant = active_pregnancies(T, s).select("person_id")
-    people = _linked(T, s, F.col("birth_date").isNotNull()).join(pregnant, "person_id", "left_semi")
-    return _unseen(T, people, _seen_by_code(T, s, "med_nurse_wide"))
-
-
-def _condition_unseen(T: Tables, s: Setting, icd, icpc) -> DataFrame:
-    ill = condition_encounters(T, s, icd, icpc).select("person_id").distinct()
-    people = _linked(T, s).join(ill, "person_id", "left_semi")
-    return _unseen(T, people, _seen_by_code(T, s, "med_nurse_wide"))
-
-
-def outreach_c4(T: Tables, s: Setting) -> DataFrame:
-    """People with diabetes not seen by a doctor or nurse."""
-    return _condition_unseen(T, s, s.codes.diabetes_icd, s.codes.diabetes_icpc)
-
-
-def outreach_c5(T: Tables, s: Setting) -> DataFrame:
-    """People with hypertension not seen by a doctor or nurse."""
-    return _condition_unseen(T, s, s.codes.hypertension_icd, s.codes.hypertension_icpc)
-
-
-def outreach_c6(T: Tables, s: Setting) -> DataFrame:
-    """People of 60 and over not seen by a doctor or nurse."""
-    return _unseen(T, _linked(T, s, older_people(s)), _seen_by_code(T, s, "med_nurse"))
-
-
 def _women_from_nine(s: Setting) -> Column:
     return (F.col("sex_id") == s.codes.female_sex) & (
         F.col("birth_date") <= F.add_months(F.lit(s.as_of), -12 * 9)
     )
 
 
-def outreach_c7(T: Tables, s: Setting) -> DataFrame:
-    """Women from 9 years on not seen by a doctor or nurse."""
-    return _unseen(T, _linked(T, s, _women_from_nine(s)), _seen_by_id(T, s))
-
-
 LINKED_LISTS = ("c2", "c3", "c4", "c5", "c6", "c7")
 
 
-def linked_worklists(T: Tables, s: Setting) -> DataFrame:
-    """The worklists of C2 to C7 at once, tagged with their condition.
+def linked_worklists(T: Tables, s: Setting, names=LINKED_LISTS) -> DataFrame:
+    """Some of the worklists of C2 to C7, tagged with their condition: people not seen by a doctor or nurse.
 
-    The linked people are built once, and the encounters are read once for who was seen (by each of the
-    three rules of who counts as doctor or nurse) and once for who has a condition.
+    C2: children of up to two full years; C3: women with an active pregnancy; C4, C5: people with
+    diabetes, hypertension; C6: people of 60 and over; C7: women from 9 years on. The linked people are
+    built once, and the encounters are read once for who was seen (by each rule of who counts as doctor
+    or nurse that the lists ask for) and once for who has a condition.
     """
-    c = s.codes
-    by_id = in_list(F.col("occupation_id"), c.med_nurse_ids)
-    contacts = in_period(T, "encounter", s).select(
-        "person_id", "occupation_id", flag(by_id).alias("seen_by_id")
-    )
-    contacts = with_occupation(contacts, T, s, "med_nurse", "med_nurse_wide")
-    seen = contacts.groupBy("person_id").agg(
-        F.max("seen_by_id").alias("seen_by_id"), F.max(flag(F.col("med_nurse"))).alias("seen"),
-        F.max(flag(F.col("med_nurse_wide"))).alias("seen_wide"),
-    )
-    diabetes = names_condition(c.diabetes_icd, c.diabetes_icpc)
-    hypertension = names_condition(c.hypertension_icd, c.hypertension_icpc)
-    ill = within(T["encounter"], c.condition_since).where(diabetes | hypertension).groupBy("person_id").agg(
-        F.max(flag(diabetes)).alias("diabetes"), F.max(flag(hypertension)).alias("hypertension")
-    )
-    pregnant = active_pregnancies(T, s).select("person_id").distinct().withColumn("pregnant", F.lit(1))
-    people = _linked(T, s)
-    for marks in (seen, ill, pregnant):
-        people = people.join(marks, "person_id", "left")
-
-    birth = F.col("birth_date")
+    c, birth = s.codes, F.col("birth_date")
     wanted = {
         "c2": (age_years(s.as_of, birth) <= 2, "seen_by_id"),
-        "c3": ((F.col("pregnant") == 1) & birth.isNotNull(), "seen_wide"),
-        "c4": (F.col("diabetes") == 1, "seen_wide"),
-        "c5": (F.col("hypertension") == 1, "seen_wide"),
-        "c6": (older_people(s), "seen"),
+        "c3": ((F.col("pregnant") == 1) & birth.isNotNull(), "med_nurse_wide"),
+        "c4": (F.col("diabetes") == 1, "med_nurse_wide"),
+        "c5": (F.col("hypertension") == 1, "med_nurse_wide"),
+        "c6": (older_people(s), "med_nurse"),
         "c7": (_women_from_nine(s), "seen_by_id"),
     }
+    wanted = {n: wanted[n] for n in names}
+    # lists that only ask for age and sex need no other linked people
+    of_people = [wanted[n][0] for n in names if n in ("c2", "c6", "c7")]
+    people = _linked(T, s, reduce(Column.__or__, of_people) if len(of_people) == len(names) else None)
+
+    rules = sorted({rule for _, rule in wanted.values()})
+    contacts = in_period(T, "encounter", s).select("person_id", "occupation_id").withColumn(
+        "seen_by_id", F.coalesce(in_list(F.col("occupation_id"), c.med_nurse_ids), F.lit(False))
+    )
+    coded = [r for r in rules if r != "seen_by_id"]
+    contacts = with_occupation(contacts, T, s, *coded) if coded else contacts
+    seen = contacts.where(reduce(Column.__or__, [F.col(r) for r in rules])).groupBy("person_id").agg(
+        *[F.max(flag(F.col(r))).alias(r) for r in rules]
+    )
+    marks = [seen]
+    conditions = {
+        "c4": ("diabetes", names_condition(c.diabetes_icd, c.diabetes_icpc)),
+        "c5": ("hypertension", names_condition(c.hypertension_icd, c.hypertension_icpc)),
+    }
+    conditions = [conditions[n] for n in names if n in conditions]
+    if conditions:
+        ill = within(T["encounter"], c.condition_since).where(reduce(Column.__or__, [test for _, test in conditions]))
+        marks.append(ill.groupBy("person_id").agg(*[F.max(flag(test)).alias(name) for name, test in conditions]))
+    if "c3" in names:
+        marks.append(active_pregnancies(T, s).select("person_id").distinct().withColumn("pregnant", F.lit(1)))
+    for rows in marks:
+        people = people.join(rows, "person_id", "left")
     lists = [
-        F.when(belongs & (F.coalesce(F.col(mark), F.lit(0)) == 0), F.lit(name))
-        for name, (belongs, mark) in wanted.items()
+        F.when(belongs & (F.coalesce(F.col(rule), F.lit(0)) == 0), F.lit(name)) for name, (belongs, rule) in wanted.items()
     ]
     rows = people.withColumn("condicao", F.explode(F.array_compact(F.array(*lists))))
     return named(rows, T, team="left").select("condicao", *TEAM, *_contact())
 
 
+def linked_worklist(name: str):
+    """One of the worklists of C2 to C7."""
+    return lambda T, s: linked_worklists(T, s, (name,)).drop("condicao")
+
+
 def outreach_b1(T: Tables, s: Setting, by: str = "facility") -> DataFrame:
     """Linked people without any dentist's procedure in the period.
 
@@ -262,9 +225,8 @@ def outreach_b6(T: Tables, s: Setting) -> DataFrame:
 
 
 OUTREACH = {
-    "c1": outreach_c1, "c2": outreach_c2, "c3": outreach_c3, "c4": outreach_c4, "c5": outreach_c5,
-    "c6": outreach_c6, "c7": outreach_c7, "b1": outreach_b1, "b2": outreach_b2, "b3": outreach_b3,
-    "b5": outreach_b5, "b6": outreach_b6,
+    "c1": outreach_c1, **{name: linked_worklist(name) for name in LINKED_LISTS}, "b1": outreach_b1, "b2": outreach_b2,
+    "b3": outreach_b3, "b5": outreach_b5, "b6": outreach_b6,
 }
 
 

@@ -127,11 +127,6 @@ def yearly_care(T: Tables, s: Setting, names=tuple(YEARLY)) -> DataFrame:
     return care.withColumn("visited", flag(spread_enough("visits", "first", "last", s)))
 
 
-def condition_encounters(T: Tables, s: Setting, icd, icpc) -> DataFrame:
-    """Encounters since the starting date of the rules that name the condition."""
-    return within(T["encounter"], s.codes.condition_since).where(names_condition(icd, icpc))
-
-
 def names_condition(icd, icpc) -> Column:
     return matches_any(F.col("icd_codes"), icd) | matches_any(F.col("icpc_codes"), icpc)
 

@@ -94,11 +94,9 @@ def service_rows(name: str, T: Tables, s: Setting, unit: str | None = None) -> D
 
 def outreach_parts(T: Tables, s: Setting, names=tuple(OUTREACH)) -> list[DataFrame]:
     """The named worklists, those over linked people from one pass if several are asked for."""
-    shared = [n for n in names if n in LINKED_LISTS]
-    if len(shared) < 2:
-        return [_tagged(n, T, s) for n in names]
-    rows = linked_worklists(T, s).where(F.col("condicao").isin(*shared))
-    return [rows] + [_tagged(n, T, s) for n in names if n not in shared]
+    shared = tuple(n for n in names if n in LINKED_LISTS)
+    rows = [linked_worklists(T, s, shared)] if shared else []
+    return rows + [_tagged(n, T, s) for n in names if n not in shared]
 
 
 def outreach_all(T: Tables, s: Setting, names=tuple(OUTREACH)) -> DataFrame:

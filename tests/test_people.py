@@ -149,7 +149,7 @@ def test_numerator_and_outreach_are_apart(spark):
         spark, **linked({"person_id": 1, "birth_date": date(1950, 1, 1)}, {"person_id": 2, "birth_date": date(1950, 1, 1)}),
         encounter=[{"person_id": 1, "event_date": date(2024, 1, 1)}],
     )
-    assert [r["paciente_id"] for r in outreach.outreach_c6(T, S).collect()] == [2]
+    assert [r["paciente_id"] for r in outreach.OUTREACH["c6"](T, S).collect()] == [2]
 
 
 def test_city_mean_is_unweighted(spark):
