@@ -101,12 +101,12 @@ def key_bitmap(keys: DataFrame, column: str, bits: int = NAMED_BITS) -> bytes:
     return bytes(whole)
 
 
-def named_bits(bitmap: bytes) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
-
-
-def is_named(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return bits[np.mod(keys, len(bits))]
+def is_named(bitmap: bytes, keys):
+    """Whether a bitmap names the keys: one key (int), or an array of them. The bitmap stays packed."""
+    if isinstance(keys, int):
+        return bitmap[keys % (8 * len(bitmap)) >> 3] >> (keys & 7) & 1 == 1
+    packed, at = np.frombuffer(bitmap, np.uint8), np.mod(keys, 8 * len(bitmap))
+    return (packed[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 
 def spans_text(spans: Column) -> Column:

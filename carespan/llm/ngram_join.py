@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carespan.llm.common import is_named, key_bitmap, named_bits, portions, settle, table
+from carespan.llm.common import is_named, key_bitmap, portions, settle, table
 from carespan.llm.components import components, gathered_roots
 
 WORDS = 5
@@ -124,7 +124,6 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
 
     def run(batches):
         level = np.frombuffer(levels, np.uint8)
-        bits = named_bits(wanted) if wanted else None
         shift = np.uint64(64 - SKETCH_BITS)
         for batch in batches:
             seen = set()
@@ -139,8 +138,8 @@ def _prefix_scan(levels: bytes, wanted: bytes | None):
                     crowd = level[(hashes >> shift).astype(np.int64)]
                     first = np.argsort(crowd, kind="stable")[:prefix_length(len(hashes))]
                     prefix, place = hashes[first].view(np.int64), np.arange(len(first), dtype=np.int32)
-                    if bits is not None:
-                        named = is_named(bits, prefix)
+                    if wanted is not None:
+                        named = is_named(wanted, prefix)
                         prefix, place = prefix[named], place[named]
                     keys.append(prefix)
                     places.append(place)
@@ -159,10 +158,9 @@ def _array_scan(wanted: bytes):
     """Arrays of the rows that a bitmap of row keys names."""
 
     def run(batches):
-        bits = named_bits(wanted)
         for batch in batches:
             keys = batch.column(0)
-            named = batch.filter(pa.array(is_named(bits, keys.to_numpy())))
+            named = batch.filter(pa.array(is_named(wanted, keys.to_numpy())))
             for part in portions(named, 1):
                 sets = [shingles(raw) for raw in part.column(1).to_pylist()]
                 columns = [

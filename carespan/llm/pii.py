@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carespan.llm.common import (
-    NAMED_BITS, SPAN, key_bitmap, map_texts, named_bits, portions, settle, spans_text, table,
+    SPAN, is_named, key_bitmap, map_texts, portions, settle, spans_text, table,
 )
 
 KINDS = ("email", "ip", "card", "phone")
@@ -140,7 +140,7 @@ def _term_scan(wanted: bytes):
     """(term, documents of the task that hold it) of terms that a bitmap names."""
 
     def run(batches):
-        bits, known, counts = named_bits(wanted), {}, Counter()
+        known, counts = {}, Counter()
 
         def flush():
             yield pa.RecordBatch.from_arrays(
@@ -158,7 +158,7 @@ def _term_scan(wanted: bytes):
                             if len(known) > FLUSH_TERMS:
                                 known.clear()
                             term = word.strip(_EDGE_BYTES)
-                            if not bits[xxhash.xxh64_intdigest(term, 42) % NAMED_BITS]:
+                            if not is_named(wanted, xxhash.xxh64_intdigest(term, 42)):
                                 term = None
                             known[word] = term
                         if term:
