@@ -72,10 +72,13 @@ def stacked(*parts: DataFrame) -> DataFrame:
 def events_of(people: DataFrame, events: DataFrame) -> DataFrame:
     """Join people (one or few rows each) with their events.
 
-    Both sides are dealt by person, and the groupings by person and day that follow use that layout. A
-    person with very many events is split at run time by the skew rule of the session.
+    The key is the person in a struct, so that neither side's layout serves: both reach the join through
+    exchanges of their own, which is what the session's skew rule can split where a person has very
+    many events. What is left, the events of the people asked for, is then combined in map tasks.
     """
-    return events.join(people, "person_id")
+    named = events.where(F.col("person_id").isNotNull()).withColumn("who", F.struct("person_id"))
+    who = people.withColumn("who", F.struct("person_id")).drop("person_id")
+    return named.join(who, "who").drop("who")
 
 
 def spread_enough(visits: str, first: str, last: str, s: Setting) -> Column:

@@ -32,16 +32,15 @@ def _profiles(T: Tables, s: Setting) -> DataFrame:
 def duplicate_persons(T: Tables, s: Setting) -> DataFrame:
     """Live people who share name and birth date, one row per person with the size of the group.
 
-    The group is its name and birth date. Sizes are combined in map tasks; people meet the size of
-    their group in a join whose hot keys are split at run time.
+    The group is its name and birth date. Sizes are combined in map tasks. People meet the size of their
+    group over both in a struct (where a missing name equals another), so the layout of the sizes does
+    not serve and the skew rule can split a hot name.
     """
     people = _profiles(T, s).where(F.col("birth_date").isNotNull())
     sizes = people.groupBy("nome", "birth_date").agg(F.count("*").alias("quantidade"))
-    sizes = sizes.where(F.col("quantidade") > 1).select(
-        F.col("nome").alias("group_name"), F.col("birth_date").alias("group_birth"), "quantidade"
-    )
-    same_group = F.col("nome").eqNullSafe(F.col("group_name")) & (F.col("birth_date") == F.col("group_birth"))
-    return people.join(sizes, same_group).select(
+    group = F.struct("nome", "birth_date").alias("group")
+    sizes = sizes.where(F.col("quantidade") > 1).select(group, "quantidade")
+    return people.select("*", group).join(sizes, "group").select(
         F.lit("duplicados").alias("tipo"), "nome", F.col("birth_date").cast("string").alias("data_nascimento"),
         "quantidade", *MEMBER,
     )

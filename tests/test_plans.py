@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from carespan.operators import practice_indicators
+from carespan.operators import practice_indicators, quality
 from carespan.session import RUNTIME, shared_folder, tune
 from carespan.sources.derived import SETTING, open_derived
 
@@ -39,16 +39,26 @@ def test_dates_reach_the_scan(spark):
     assert "o_totalprice" not in plan  # only the columns in use are read
 
 
-def test_practices_from_births_and_pregnancies_share_one_layout(spark):
-    """Events meet the cohort by person; the groupings by person and day need no exchange of their own."""
+def splittable_joins(plan):
+    """Keys of the sort-merge joins both sides of which come straight from exchanges."""
+    return re.findall(
+        r"SortMergeJoin \[(\w+)#[^\n]*\n[^\n]*Sort \[[^\n]*\n[^\n]*Exchange hashpartitioning[^\n]*ENSURE_REQUIREMENTS", plan
+    )
+
+
+def test_hot_people_and_names_can_be_split(spark):
+    """A third of all events of one person, or of all people under one name: the skew rule can split them."""
     T = open_derived(spark, SF)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for build in (practice_indicators.practices_c2, practice_indicators.practices_c3):
+        for build, key in (
+            (practice_indicators.practices_c2, "who"), (practice_indicators.practices_c3, "who"),
+            (quality.duplicate_persons, "group"),
+        ):
             plan = plan_of(build(T, SETTING))
-            assert "salt" not in plan and "event_date#" not in "".join(
-                line for line in plan.splitlines() if "Exchange hashpartitioning" in line
-            )
+            assert "salt" not in plan and key in splittable_joins(plan)
+            right = plan[plan.index(f"SortMergeJoin [{key}#"):]
+            assert right.count(f"Exchange hashpartitioning({key}#") >= 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
