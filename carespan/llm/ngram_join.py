@@ -362,7 +362,8 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     roots = components(links.unionByName(more))
     placed = sets.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
     placed = settle(placed.select("doc_id", "row_key", "n_shingles", "group"))
-    least = placed.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    # settled, so that the join deals both sides anew and a very large group can be split
+    least = settle(placed.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id")))
     return placed.join(least, "group", "left").select(
         "doc_id", "row_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )

@@ -209,9 +209,9 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     other columns are ignored.
     """
     found = _found(docs, text)
-    risky = disclosure(found, docs, text).where(F.col("disclosed") >= GENERALISE_AT).select(
-        "entity", "term", F.when(F.col("disclosed") >= REMOVE_AT, len(KINDS)).otherwise(len(KINDS) + 1).alias("place")
-    )
+    place = F.when(F.col("disclosed") >= REMOVE_AT, len(KINDS)).otherwise(len(KINDS) + 1).alias("place")
+    # settled, so that the join deals both sides anew and an entity in very many rows can be split
+    risky = settle(disclosure(found, docs, text).where(F.col("disclosed") >= GENERALISE_AT).select("entity", "term", place))
     near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("c")).select("row", "c.*")
     marked = near.join(risky, ["entity", "term"]).groupBy("row", "start", "end").agg(F.min("place").alias("place"))
     kind = F.when(F.col("place") == len(KINDS), VERDICTS[0]).otherwise(VERDICTS[1])

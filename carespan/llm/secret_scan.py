@@ -114,7 +114,8 @@ def secret_scan(docs: DataFrame, owner: str = "source", repository: str = "doc_i
     they do not raise its counts. An empty table gives none; other columns are ignored.
     """
     found = candidates(docs, owner, repository, text)
-    verdicts = ownership(found).where(F.col("verdict").isNotNull()).select("hash", "verdict")
+    # settled, so that the join deals both sides anew and a value in very many rows can be split
+    verdicts = settle(ownership(found).where(F.col("verdict").isNotNull()).select("hash", "verdict"))
     held = found.where(F.size("held") > 0).select("row", F.explode("held").alias("h")).select("row", "h.*")
     place = F.when(F.col("verdict") == "live", len(KINDS)).otherwise(len(KINDS) + 1)
     span = F.struct(
