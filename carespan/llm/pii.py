@@ -2,9 +2,10 @@
 
 Entities are found by pattern in every whole text. What a term discloses of an entity is estimated from
 the corpus: pointwise mutual information of term and entity over the information content of the
-entity, from the numbers of documents that hold each and both. It is 1 for a term that occurs only with
-the entity and 0 for one that is independent of it. Terms beside an entity that disclose too much are
-removed, those that disclose much are generalised.
+entity, from the numbers of documents that hold each and both, wherever they stand there. It is 1 for a
+term that occurs only with the entity and 0 for one that is independent of it. A rare word meets some
+entity by chance, so a pair must also be unlikely among all the terms of its entity. Terms that disclose
+too much are removed in every document that holds the entity, those that disclose much are generalised.
 """
 
 from __future__ import annotations
@@ -24,13 +25,16 @@ from carespan.llm.common import (
 
 KINDS = ("email", "ip", "card", "phone")
 VERDICTS = ("term", "broad")
-WINDOW_WORDS = 6
-MIN_TERM_CHARS = 4
-MIN_LINES = 2  # distinct lines that hold term and entity; copies of one line prove nothing
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.6
+MAX_CHANCE = 0.05  # of a pair as close among all terms of the entity, if they were dealt at random
 FLUSH_TERMS = 100_000
 
+# Read by the DuckDB text only, whose terms are those near an entity in two lines or more.
+WINDOW_WORDS = 6
+MIN_TERM_CHARS = 4
+MIN_LINES = 2
+
 # The patterns of the base kinds. Digit runs are taken whole, so none is tried twice.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)+")
@@ -90,33 +94,40 @@ def term_of(word: str) -> str:
     return word.strip(EDGES).encode().lower().decode()
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """(entity, line, term, start, end) of the words near each entity in its line, no entities themselves."""
-    found = []
+def entities(text: str, spans: list[tuple[int, int, int]]) -> dict[str, int]:
+    """The entities of a text, each with the least of the hashes of the lines it stands in."""
+    found: dict[str, int] = {}
+    hashes: dict[int, tuple[int, int]] = {}  # start of a line -> its end and hash
     for start, kind, end in spans:
         left = text.rfind("\n", 0, start) + 1
-        right = text.find("\n", end)
-        right = len(text) if right < 0 else right
-        before = list(_WORD.finditer(text, left, start))[-WINDOW_WORDS:]
-        after = []
-        for m in _WORD.finditer(text, end, right):
-            after.append(m)
-            if len(after) == WINDOW_WORDS:
-                break
+        right, line = hashes.get(left, (0, 0))
+        if right < end:
+            right = text.find("\n", end)
+            right = len(text) if right < 0 else right
+            line = xxhash.xxh3_64_intdigest(text[left:right]) - (1 << 63)
+            hashes[left] = right, line
         value = text[start:end] if kind == 0 else _NOT_DIGIT.sub("." if kind == 1 else "", text[start:end])
         entity = hashlib.sha256(f"{KINDS[kind]}:{value.lower()}".encode()).hexdigest()[:32]
-        line = xxhash.xxh3_64_intdigest(text[left:right]) - (1 << 63)
-        for m in before + after:
-            a, b = m.span()
-            if any(x < b and a < y for x, _, y in spans):
-                continue
-            term = term_of(m[0])
-            if len(term) >= MIN_TERM_CHARS:
-                a += len(m[0]) - len(m[0].lstrip(EDGES))
-                found.append((entity, line, term, a, a + len(term)))
+        found[entity] = min(line, found.get(entity, line))
     return found
 
 
+def terms(text: str, spans: list[tuple[int, int, int]]):
+    """(term, start, end) of every word that no entity touches; spans are sorted by start."""
+    at, until = 0, 0  # the first span that is not before the word, the largest end so far
+    for m in _WORD.finditer(text):
+        a, b = m.span()
+        while at < len(spans) and spans[at][0] < b:
+            until = max(until, spans[at][2])
+            at += 1
+        if until > a:
+            continue
+        term = term_of(m[0])
+        if term:
+            a += len(m[0]) - len(m[0].lstrip(EDGES))
+            yield term, a, a + len(term)
+
+
 def _scan():
     def one(raw: bytes):
         text = raw.decode()
@@ -124,16 +135,87 @@ def _scan():
         counts = Counter(s[1] for s in spans)
         digest = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
         base = [{"start": a, "place": k, "end": b, "kind": KINDS[k]} for a, k, b in spans]
-        near = [dict(zip(("entity", "line", "term", "start", "end"), c)) for c in contexts(text, spans)]
-        return (*[counts[k] for k in range(4)], hashlib.sha256(digest.encode()).hexdigest(), base, near)
+        held = [{"entity": e, "line": line} for e, line in entities(text, spans).items()]
+        return (*[counts[k] for k in range(4)], hashlib.sha256(digest.encode()).hexdigest(), base, held)
 
     return lambda texts: [one(t) for t in texts]
 
 
 FOUND = (
     "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string,"
-    f" base array<{SPAN}>, near array<struct<entity:string,line:bigint,term:string,start:bigint,end:bigint>>"
+    f" base array<{SPAN}>, held array<struct<entity:string,line:bigint>>"
 )
+PAIRS = "entity string, line bigint, term string, n bigint"
+MARKS = "row_key bigint, entity string, term string, start bigint, end bigint"
+
+
+def pair_key(entity: str, term: str) -> int:
+    return xxhash.xxh64_intdigest(entity + term, 42)
+
+
+def _pair_scan():
+    """(entity, line, term, documents of the task that hold them) of all terms of texts with an entity."""
+
+    def run(batches):
+        counts = Counter()
+
+        def flush():
+            columns = [list(c) for c in zip(*counts)] or [[], [], []]
+            kinds = (pa.string(), pa.int64(), pa.string())
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)] + [pa.array(list(counts.values()), pa.int64())]
+            counts.clear()
+            return pa.RecordBatch.from_arrays(arrays, names=["entity", "line", "term", "n"])
+
+        for batch in batches:
+            for part in portions(batch, 0):
+                for raw in part.column(0).to_pylist():
+                    text = raw.decode()
+                    spans = base_spans(text)
+                    if not spans:
+                        continue
+                    words = {t for t, _, _ in terms(text, spans)}
+                    for entity, line in entities(text, spans).items():
+                        for term in words:
+                            counts[entity, line, term] += 1
+                        if len(counts) > FLUSH_TERMS:
+                            yield flush()
+        yield flush()
+
+    return run
+
+
+def _mark_scan(wanted: bytes):
+    """Places of the terms in texts that hold an entity of theirs, for pairs that a bitmap names."""
+
+    def run(batches):
+        rows: list[tuple] = []
+        names = ["row_key", "entity", "term", "start", "end"]
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
+
+        def flush():
+            columns = [list(c) for c in zip(*rows)] or [[]] * len(names)
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+        for batch in batches:
+            for part in portions(batch, 1):
+                for key, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    text = raw.decode()
+                    spans = base_spans(text)
+                    if not spans:
+                        continue
+                    places: dict[str, list] = {}
+                    for term, a, b in terms(text, spans):
+                        places.setdefault(term, []).append((a, b))
+                    for entity in entities(text, spans):
+                        for term, found in places.items():
+                            if is_named(wanted, pair_key(entity, term)):
+                                rows += [(key, entity, term, a, b) for a, b in found]
+                                if len(rows) > FLUSH_TERMS:
+                                    yield flush()
+        yield flush()
+
+    return run
 
 
 def _term_scan(wanted: bytes):
@@ -171,54 +253,73 @@ def _term_scan(wanted: bytes):
     return run
 
 
+def _chance(n_lines, n_entity_lines, share, n_terms):
+    """Chernoff's bound on that many of the entity's lines meeting a term of that share, times the terms tried."""
+    miss, met = n_entity_lines - n_lines, n_lines / n_entity_lines
+    far = n_lines * F.log(met / share) + F.when(miss > 0, miss * (F.log1p(-met) - F.log1p(-share))).otherwise(0.0)
+    return F.when(met > share, F.least(n_terms * F.exp(-far), F.lit(1.0))).otherwise(1.0)
+
+
 def disclosure(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """entity, term, n_both, n_term, n_entity, disclosed of pairs that occur in MIN_LINES lines or more.
+    """entity, term, n_both, n_term, n_entity, disclosed, chance of pairs that two lines or one unlikely one back.
 
-    All numbers are of documents and taken over all of them: pairs are counted where they stand, then
+    Counts are of documents and taken over all of them: pairs in the documents that hold an entity, then
     the documents of their terms in a second pass, thinned by a bitmap of bounded size. Every count is
-    combined in map tasks.
+    combined in map tasks. `chance` counts distinct lines of the entity instead, as copies of one line
+    prove no more than one.
     """
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("c")).select("row", "c.*")
-    both = near.select("entity", "term", "row").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    lines = near.select("entity", "term", "line").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_lines"))
-    pairs = settle(both.join(lines.where(F.col("n_lines") >= MIN_LINES), ["entity", "term"]).drop("n_lines"))
-    entities = near.select("entity", "row").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = pairs.select("term", F.xxhash64("term").alias("key"))
     raw = docs.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw"))
-    held = raw.mapInArrow(_term_scan(key_bitmap(terms, "key")), "term string, n bigint").groupBy("term").agg(
+    each = raw.mapInArrow(_pair_scan(), PAIRS).groupBy("entity", "line", "term").agg(F.sum("n").alias("n"))
+    pairs = settle(each.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_lines")))
+    tried = pairs.groupBy("entity").agg(F.count("*").alias("n_terms"))
+    near = found.where(F.size("held") > 0).select(F.explode("held").alias("c")).select("c.*")
+    near = near.groupBy("entity", "line").agg(F.count("*").alias("n"))
+    owners = near.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_entity_lines"))
+    # settled, so that the join deals both sides anew and an entity with very many terms can be split
+    owners = settle(owners.join(tried, "entity"))
+    keys = pairs.select(F.xxhash64("term").alias("key"))
+    held = settle(raw.mapInArrow(_term_scan(key_bitmap(keys, "key")), "term string, n bigint").groupBy("term").agg(
         F.sum("n").alias("n_term")
-    )
+    ))
     total = F.lit(float(max(found.count(), 1)))
     information = F.log(total / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
-    return pairs.join(held, "term").join(entities, "entity").withColumn(
-        "disclosed", F.when(information > 0, mutual / information)
-    )
+    share = F.col("n_term") / total
+    chance = _chance(F.col("n_lines"), F.col("n_entity_lines"), share, F.col("n_terms"))
+    rows = pairs.join(held, "term").join(owners, "entity").withColumns({
+        "disclosed": F.when(information > 0, mutual / information), "chance": chance,
+    })
+    return rows.where((F.col("n_lines") > 1) | (F.col("chance") <= MAX_CHANCE)).drop("n_lines", "n_entity_lines", "n_terms")
 
 
 def _found(docs: DataFrame, text: str) -> DataFrame:
     rows = docs.select("doc_id", F.col(text).alias("text"), F.xxhash64("doc_id", text).alias("row_key"))
-    return settle(map_texts(rows, _scan, FOUND, ("doc_id", "row_key")).withColumn("row", F.monotonically_increasing_id()))
+    return settle(map_texts(rows, _scan, FOUND, ("doc_id", "row_key")))
 
 
 def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, row_key, counts of the base kinds, base_sha256, all spans (array), n_term, n_broad.
 
-    `term` marks a word to remove, `broad` one to generalise. Null and empty texts have no spans. Rows
-    that repeat count as documents of their own, but their lines count once. An empty table gives none;
-    other columns are ignored.
+    `term` marks a word to remove, `broad` one to generalise, wherever it stands in a document with the
+    entity. Null and empty texts have no spans. Rows that repeat count as documents of their own, but their
+    lines count once. An empty table gives none; other columns are ignored.
     """
     found = _found(docs, text)
     place = F.when(F.col("disclosed") >= REMOVE_AT, len(KINDS)).otherwise(len(KINDS) + 1).alias("place")
+    near = disclosure(found, docs, text).where((F.col("disclosed") >= GENERALISE_AT) & (F.col("chance") <= MAX_CHANCE))
     # settled, so that the join deals both sides anew and an entity in very many rows can be split
-    risky = settle(disclosure(found, docs, text).where(F.col("disclosed") >= GENERALISE_AT).select("entity", "term", place))
-    near = found.where(F.size("near") > 0).select("row", F.explode("near").alias("c")).select("row", "c.*")
-    marked = near.join(risky, ["entity", "term"]).groupBy("row", "start", "end").agg(F.min("place").alias("place"))
+    risky = settle(near.select("entity", "term", place))
+    wanted = key_bitmap(risky.select(F.xxhash64(F.concat("entity", "term")).alias("key")), "key")
+    raw = docs.select(
+        F.xxhash64("doc_id", text).alias("row_key"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw")
+    )
+    marks = settle(raw.mapInArrow(_mark_scan(wanted), MARKS))
+    marked = marks.join(risky, ["entity", "term"]).groupBy("row_key", "start", "end").agg(F.min("place").alias("place"))
     kind = F.when(F.col("place") == len(KINDS), VERDICTS[0]).otherwise(VERDICTS[1])
-    more = marked.groupBy("row").agg(
+    more = marked.groupBy("row_key").agg(
         F.collect_list(F.struct("start", F.col("place").cast("int").alias("place"), "end", kind.alias("kind"))).alias("more")
     )
-    rows = found.drop("near").join(more, "row", "left")
+    rows = found.drop("held").join(settle(more), "row_key", "left")
     extra = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
 
     def count(name):

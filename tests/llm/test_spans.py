@@ -127,6 +127,67 @@ def test_disclosure_by_hand(spark):
     assert 1 not in by_count  # a single line proves nothing
 
 
+def plain_marks(texts):
+    """(text, kind, start, end) of terms by their definition, over whole documents."""
+    import math
+
+    held, lines, words = [], {}, []
+    for text in texts:
+        text = text or ""
+        spans = pii.base_spans(text)
+        own = {}
+        for a, kind, b in spans:
+            left, right = text.rfind("\n", 0, a) + 1, (text + "\n").find("\n", b)
+            own.setdefault((kind, text[a:b]), []).append(pii.xxhash.xxh3_64_intdigest(text[left:right]) - (1 << 63))
+        held.append({e: min(found) for e, found in own.items()})
+        words.append({})
+        for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
+            core = m[0].strip(pii.EDGES)
+            if core and not any(x < m.end() and m.start() < y for x, _, y in spans):
+                a = m.start() + m[0].index(core)
+                words[-1].setdefault(lower(core), []).append((a, a + len(core)))
+    n, found = len(texts), {}
+    for entity in {e for h in held for e in h}:
+        docs = [i for i in range(n) if entity in held[i]]
+        lines = {held[i][entity] for i in docs}
+        tried = {t for i in docs for t in words[i]}
+        for term in tried:
+            both, n_term = [i for i in docs if term in words[i]], sum(term in w for w in words)
+            met, share = len({held[i][entity] for i in both}) / len(lines), n_term / n
+            far = math.log(met / share) * met + (math.log((1 - met) / (1 - share)) * (1 - met) if met < 1 and share < 1 else 0)
+            chance = len(tried) * math.exp(-len(lines) * far) if met > share else 1
+            if len(docs) < n and chance <= 0.05:
+                disclosed = math.log(len(both) * n / (n_term * len(docs))) / math.log(n / len(docs))
+                for i in both if disclosed >= 0.6 else ():
+                    for a, b in words[i][term]:
+                        found[i, a, b] = min(found.get((i, a, b), "term"), "broad" if disclosed < 0.9 else "term", key=("term", "broad").index)
+    return {(i, kind, a, b) for (i, a, b), kind in found.items()}
+
+
+def test_terms_of_whole_documents(spark):
+    far = "\n".join(["and so on with more of it"] * 5)
+    texts = [
+        f"Ann asks about it\n{far}\nsee ann@mail.example.com here", f"today ann@mail.example.com wrote\n{far}\nwas it Ann or Quillfeather",
+        "only q@mail.example.com knows Zyx", "the q@mail.example.com and a copy the q@mail.example.com", f"a copy\n{far}\n+1 (017) 555-7713 x",
+    ]
+    texts += [f"words about it and so on with more today here the copy only knows asks see wrote a {i}" for i in range(395)]
+    got = rows_by(pii.pii_spans(documents(spark, texts)))
+    marked = {(i, s["kind"], s["start"], s["end"]) for i, r in got.items() for s in r["spans"] if s["kind"] in pii.VERDICTS}
+    assert marked == plain_marks(texts)
+    shown = {(i, texts[i][a:b]) for i, _, a, b in marked}
+    assert {(0, "Ann"), (1, "Ann")} <= shown  # three letters, lines away from the entity
+    assert not any(word in ("it", "more", "today") for _, word in shown)
+
+
+def test_one_line_may_disclose(spark):
+    """An entity of one document gets its rare terms where the corpus is large beside that document."""
+    texts = ["Quillfeather is q@mail.example.com now"] + ["now it is as it was"] * 199
+    marked = [s for s in rows_by(pii.pii_spans(documents(spark, texts)))[0]["spans"] if s["kind"] == "term"]
+    assert [texts[0][s["start"]:s["end"]] for s in marked] == ["Quillfeather"]
+    few = texts[:20]
+    assert not any(s["kind"] in pii.VERDICTS for s in rows_by(pii.pii_spans(documents(spark, few)))[0]["spans"])
+
+
 def plain_license(text):
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(text))
     places = []
