@@ -2,11 +2,13 @@
 
 Per language the corpus gives two reference histograms over all its documents: character classes and
 common words. A document whose histogram lies far from its language's, by Jensen-Shannon distance
-(base 2, so 0 to 1), is rejected; each test asks for a minimum length, below which it says nothing.
+(base 2, so 0 to 1), is rejected; each test asks for a minimum length, below which it says nothing, and
+the limit for common words is wider for short documents.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 from itertools import chain
 
@@ -20,9 +22,11 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 MIN_CHARS_FOR_CLASSES = 200
-MIN_WORDS_FOR_COMMON = 120
+MIN_WORDS_FOR_COMMON = 120  # from here on the limit is MAX_COMMON_DISTANCE
+MIN_WORDS_FOR_SHORT = 40  # from here on it is wider by the spread of a sample of so many words
 MAX_CLASS_DISTANCE = 0.25
 MAX_COMMON_DISTANCE = 0.3
+LISTED = 20  # words of a language's list, the degrees of freedom of its histogram
 SYMBOLS = "#*$%&|<>"
 
 # Frequent words, the bins of the word histogram (one more bin holds all others).
@@ -121,6 +125,17 @@ def _rule_scan():
     return lambda texts: [one(t) for t in texts]
 
 
+def common_limit(words: Column) -> Column:
+    """The largest distance of common words by the number of words, null below MIN_WORDS_FOR_SHORT.
+
+    A sample of n words has an expected divergence from its source of about LISTED / (8 n ln 2) bits. What
+    a shorter text has beyond one of MIN_WORDS_FOR_COMMON words is added to the square of the limit.
+    """
+    spread = LISTED / (8 * math.log(2)) * (1 / F.greatest(words, F.lit(1)) - 1 / MIN_WORDS_FOR_COMMON)
+    wide = F.sqrt(MAX_COMMON_DISTANCE ** 2 + F.greatest(spread, F.lit(0.0)))
+    return F.when(words >= MIN_WORDS_FOR_COMMON, F.lit(MAX_COMMON_DISTANCE)).when(words >= MIN_WORDS_FOR_SHORT, wide)
+
+
 HISTOGRAMS = "classes array<bigint>, common array<bigint>"
 FOUND = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint,"
@@ -180,7 +195,7 @@ def judged(docs: DataFrame, keep: tuple = ("doc_id",), lang: str = "lang", text:
     })
     far = [
         (F.col("n_chars") >= MIN_CHARS_FOR_CLASSES) & (F.col("class_distance") > MAX_CLASS_DISTANCE),
-        (words >= MIN_WORDS_FOR_COMMON) & F.col("__lang").isNotNull() & (F.col("common_distance") > MAX_COMMON_DISTANCE),
+        F.col("__lang").isNotNull() & (F.col("common_distance") > common_limit(words)),
     ]
     diverged = reduce(lambda a, b: a | b, [F.coalesce(f, F.lit(False)) for f in far])
     return rows.select(

@@ -76,6 +76,28 @@ def test_distance_and_references(spark):
     assert got[8]["class_distance"] > quality_rules.MAX_CLASS_DISTANCE and not got[8]["kept"]
 
 
+def test_common_words_of_short_documents(spark):
+    """Texts under a wrong label and long menus are rejected below 120 words, too; prose of any length stays."""
+    rng = np.random.default_rng(4)
+    word = lambda: "w" + "".join(rng.choice(list("abcdefgh"), 5))
+
+    def prose(lang, n):
+        listed = list(dict.fromkeys(quality_rules.COMMON[lang].split()))[:12]
+        odds = 1 / np.arange(1, len(listed) + 1)
+        return " ".join(str(rng.choice(listed, p=odds / odds.sum())) if rng.random() < 0.4 else word() for _ in range(n))
+
+    long = [(prose(lang, 800), "s", lang) for lang in ("en", "de") for _ in range(20)]
+    sizes = (60, 80, 100, 119)
+    wrong = [(prose("de", n), "s", "en") for n in (45, *sizes)]
+    menus = [(" | ".join(word() for _ in range(n // 2)), "s", "en") for n in sizes]
+    right = [(prose("en", n), "s", "en") for n in (25, 45, *sizes) for _ in range(10)]
+    got = rows_by(quality_rules.judged(documents(spark, long + wrong + menus + right)))
+    first = len(long) + len(wrong) + len(menus)
+    assert not any(got[i]["base_failed"] for i in got)
+    assert not any(got[i]["kept"] for i in range(len(long), first))
+    assert all(got[i]["kept"] for i in [*range(len(long)), *range(first, len(got))])
+
+
 def test_a_missing_language_is_no_fault(spark):
     prose = {"en": "the cat is on the mat and it was not for us to see that ", "de": "der hund und die katze ist nicht in dem haus und das ist gut "}
     docs = documents(spark, [(" ".join([prose[x]] + [f"{x}{i}w{k} {prose[x]}" for k in range(20)]), "s", None) for i in range(6) for x in prose])
