@@ -54,13 +54,8 @@ def indexed(items: DataFrame, percent: int = PERCENT) -> DataFrame:
     return rows.withColumn("signature", F.slice("hashes", F.lit(1), F.col("n_item_shingles") - F.col("needed") + 1))
 
 
-def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, item_id, n_item_shingles, n_shared, containment: items of which a document holds enough.
-
-    One row per pair of ids. Documents or items without words are in no pair; an item of fewer than five
-    words is found where it is a whole document. Repeated rows and copies of an id count once, with the
-    largest overlap. Empty tables give no pairs; other columns are ignored.
-    """
+def _leaking(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """doc_id, text_key, item_id, n_item_shingles, n_shared: items of which a text holds enough."""
     index = settle(indexed(items.select("item_id", "text"), percent))
     signature = index.select(
         "item_id", "needed", F.explode("signature").alias("hash")
@@ -83,6 +78,17 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
     pairs = pairs.join(index.select("item_id", "shingles", "n_item_shingles", "needed"), "item_id")
     shared = F.size(F.array_intersect("shingles", "doc_shingles"))
     pairs = pairs.withColumn("n_shared", shared).where(F.col("n_shared") >= F.col("needed"))
+    return pairs.select(found["doc_id"], "text_key", "item_id", "n_item_shingles", "n_shared")
+
+
+def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, item_id, n_item_shingles, n_shared, containment: items of which a document holds enough.
+
+    One row per pair of ids. Documents or items without words are in no pair; an item of fewer than five
+    words is found where it is a whole document. Repeated rows and copies of an id count once, with the
+    largest overlap. Empty tables give no pairs; other columns are ignored.
+    """
+    pairs = _leaking(docs, items, percent)
     best = pairs.groupBy("doc_id", "item_id").agg(
         F.max(F.struct((F.col("n_shared") / F.col("n_item_shingles")).alias("containment"), "n_shared", "n_item_shingles")).alias("b")
     )
@@ -93,9 +99,10 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that hold no item, with their own columns."""
-    bad = settle(leaks(docs, items, percent).select("doc_id").distinct())
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents that hold no item, with their own columns; one that shares the id of a leak stays."""
+    bad = settle(_leaking(docs, items, percent).select("doc_id", "text_key").distinct())
+    leaking = docs["doc_id"].eqNullSafe(bad["doc_id"]) & (F.xxhash64(docs["text"]) == bad["text_key"])
+    return docs.join(bad, leaking, "left_anti")
 
 
 def op10_decontamination(spark, sf_dir) -> DataFrame:

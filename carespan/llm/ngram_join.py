@@ -334,9 +334,10 @@ def _across_components(members: DataFrame) -> DataFrame:
 
 
 def similarity_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id of every row.
+    """doc_id, row_key, n_shingles, component_id, group of every row.
 
-    component_id is the smallest doc_id that links reach. Null texts and texts without words have no
+    component_id is the smallest doc_id that links reach, group the component's own name: null without
+    shingles, and different for components whose smallest ids are null or repeat. Null texts and texts without words have no
     shingles and are linked with nothing: their component is their own id. Equal sets are linked, so
     repeated rows fall together. A null doc_id counts only where a component has no other. Empty tables
     give no rows; other columns are ignored.
@@ -365,7 +366,7 @@ def similarity_classes(docs: DataFrame) -> DataFrame:
     # settled, so that the join deals both sides anew and a very large group can be split
     least = settle(placed.where("group is not null").groupBy("group").agg(F.min("doc_id").alias("component_id")))
     return placed.join(least, "group", "left").select(
-        "doc_id", "row_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", "row_key", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "group"
     )
 
 
@@ -375,9 +376,9 @@ def one_per_class(docs: DataFrame) -> DataFrame:
     Rows without words are alone in their classes and all stay.
     """
     classes = settle(similarity_classes(docs))
-    # One row per class stays; its key is the least of those that share the smallest id.
-    first = classes.where("n_shingles > 0").groupBy("component_id").agg(
-        F.min(F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), F.col("row_key"))).alias("__row_key")
+    # One row per class stays; ids may be null (these come last) or repeat, so the class goes by its own name.
+    first = classes.where("n_shingles > 0").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row_key"))["row_key"].alias("__row_key")
     ).select("__row_key")
     own = F.xxhash64("doc_id", "text")
     rows = docs.withColumn("__row_key", own)
@@ -389,7 +390,7 @@ def one_per_class(docs: DataFrame) -> DataFrame:
 
 
 def op3_ngram_join(spark, sf_dir) -> DataFrame:
-    return similarity_classes(table(spark, sf_dir, "documents")).drop("row_key")
+    return similarity_classes(table(spark, sf_dir, "documents")).drop("row_key", "group")
 
 
 QUERIES = {"op3_ngram_join": op3_ngram_join}

@@ -94,3 +94,22 @@ def test_clean_documents_stay(spark):
     failed = {r["doc_id"] for r in docs.collect() if plain_quality(r["text"])[5]}
     kept = {r["doc_id"] for r in quality_rules.quality_filter(docs).collect()}
     assert kept == set(range(len(good))) - failed
+
+
+def test_null_and_repeated_ids_keep_their_documents(spark):
+    """Distinct texts stay whole where their ids are null or the same; near copies among them go."""
+    from carespan.llm import decontamination, ngram_join
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(40))
+
+    names = ("a", "b", "c", "d")
+    rows = [(None, text(n)) for n in names] + [(7, text(n + "x")) for n in names]
+    copies = [(None, text("a") + " end"), (7, text("cx") + " end"), (3, text("b") + " end"), (None, text("a"))]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows + copies], documents(spark, []).schema).repartition(3)
+    left = ngram_join.one_per_class(docs).collect()
+    assert len(left) == 8 and {r["text"].split()[0] for r in left} == {r[1].split()[0] for r in rows}
+    assert (3, text("b") + " end") in {(r["doc_id"], r["text"]) for r in left}
+    bench = spark.createDataFrame([(1, text("a")), (2, text("bx"))], "item_id bigint, text string")
+    clean = {(r["doc_id"], r["text"]) for r in decontamination.decontaminated(docs, bench).collect()}
+    assert clean == {r for r in rows + copies if r[1].split()[0] not in ("a0", "bx0")}
