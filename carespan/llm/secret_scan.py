@@ -1,8 +1,9 @@
 """Operator 1: secrets in texts, told apart by how widely the corpus owns them.
 
 Candidates are found in every whole text and hashed. Per hash the corpus gives the distinct
-repositories and owners that hold it: a value that many owners hold is a copied example, one that a
-single owner holds and that looks random is taken for a live credential.
+repositories and owners that hold it: a value that many owners or many repositories hold is a copied
+example, one that few repositories of a single owner hold and that looks random is taken for a live
+credential.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from carespan.llm.common import SPAN, map_texts, settle, spans_text, table
 KINDS = ("assign", "access", "hex")
 VERDICTS = ("live", "example")
 WIDE_OWNERS = 3
+WIDE_REPOSITORIES = 10
 MIN_ENTROPY = 3.0
 MIN_LIVE_CHARS = 16
 
@@ -100,7 +102,8 @@ def ownership(found: DataFrame) -> DataFrame:
     owners = seen.groupBy("hash", "owner").agg(F.lit(1).alias("one")).groupBy("hash").agg(
         F.count("one").alias("n_owners")
     )
-    verdict = F.when(F.col("n_owners") >= WIDE_OWNERS, "example").when(
+    wide = (F.col("n_owners") >= WIDE_OWNERS) | (F.col("n_repositories") >= WIDE_REPOSITORIES)
+    verdict = F.when(wide, "example").when(
         (F.col("n_owners") == 1) & F.col("random"), "live"
     )
     return repositories.join(owners, "hash").withColumn("verdict", verdict)

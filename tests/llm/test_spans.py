@@ -127,6 +127,25 @@ def test_disclosure_by_hand(spark):
     assert 1 not in by_count  # a single line proves nothing
 
 
+def test_secrets_by_repositories(spark):
+    """A sample key all over one source is no live value; nor is one all over two sources without a verdict."""
+    many = secret_scan.WIDE_REPOSITORIES
+    near, twice = SHOWN[::-1], LIVE[::-1]
+    docs = documents(spark, [
+        *[(f"see {SHOWN} in {i}", "hot", "en") for i in range(4 * many)],
+        *[(f"see {near} in {i}", "hot", "en") for i in range(many - 1)],
+        *[(f"see {twice} in {i}", f"s{i % 2}", "en") for i in range(many)],
+        (f"token = {LIVE}", "hot", "en"),
+    ])
+    owned = {r["hash"]: r for r in secret_scan.ownership(secret_scan.candidates(docs)).collect()}
+    verdicts = {v: owned[hashlib.sha256(v.encode()).hexdigest()] for v in (SHOWN, near, twice, LIVE)}
+    assert [(r["n_repositories"], r["n_owners"], r["verdict"]) for r in verdicts.values()] == [
+        (4 * many, 1, "example"), (many - 1, 1, "live"), (many, 2, "example"), (1, 1, "live"),
+    ]
+    got = rows_by(secret_scan.secret_scan(docs))
+    assert (got[0]["n_live"], got[0]["n_example"]) == (0, 1) and got[4 * many]["n_live"] == 1
+
+
 def plain_marks(texts):
     """(text, kind, start, end) of terms by their definition, over whole documents."""
     import math
