@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import corpus_pipeline
 from carespan.llm import (
-    decontamination, html_text, license_rules, mixing, ngram_join, pii, quality_rules, secret_scan, sharding,
-    token_counts,
+    decontamination, html_text, license_rules, manifest, mixing, ngram_join, packing, periodic_runs, pii,
+    quality_rules, secret_scan, sharding, token_counts,
 )
 from carespan.llm.checks import TEXTS
 from carespan.session import tune
 
 _MODULES = (
     secret_scan, quality_rules, ngram_join, token_counts, pii, html_text, sharding, mixing, license_rules,
-    decontamination,
+    decontamination, manifest, packing, periodic_runs,
 )
 
 
