@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from carespan.operators import benefits, cohorts, listing, population, quality, rollups, units  # noqa: E402
@@ -16,7 +16,8 @@ from carespan.operators.outreach import OUTREACH, access_gap, outreach_b1, outre
 from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_columns  # noqa: E402
 from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all, service_rows  # noqa: E402
 from carespan.plans import marts  # noqa: E402
-from carespan.session import shared_folder, tune  # noqa: E402
+from carespan.plans.benefit_list import BenefitList, write_benefit_list  # noqa: E402
+from carespan.session import drop_at_end, shared_folder, tune  # noqa: E402
 from carespan.setting import period_bounds  # noqa: E402
 from carespan.sources.derived import SETTING, open_derived, operational_reader  # noqa: E402
 from carespan.sources.lake import open_lake, write_lake  # noqa: E402
@@ -46,10 +47,14 @@ def _joined(df: DataFrame, separator: str = ";") -> DataFrame:
     ])
 
 
-def _numbered(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns of a sorted list with their place in it; a list is what a reader is shown."""
-    placed = df.select(*columns, F.monotonically_increasing_id().alias("at"))
-    return placed.select(*columns, F.row_number().over(Window.orderBy("at")).alias("posicao"))
+def _placed(df: DataFrame, *order) -> DataFrame:
+    """Rows with their place in the order; rows it leaves equal are equal here."""
+    places = listing.numbered(df, *(order or listing.ascending(*df.columns)))
+    return places.withColumn("posicao", F.col("posicao").cast("int"))
+
+
+def _by_unit_descending(df: DataFrame) -> DataFrame:
+    return _placed(df.select("unidade_saude"), listing.sort_key(df, "unidade_saude", True))
 
 
 def _totals(T, s):
@@ -62,6 +67,18 @@ def _flags(name, T, s):
     return rows.select("person_id", "team_id", *practice_columns(name))
 
 
+_lists: dict[int, tuple] = {}
+
+
+def _benefit_list(T, s) -> BenefitList:
+    """The written benefit list of a set of tables: written once, then read page by page."""
+    if id(T) not in _lists:
+        spark = T["person"].sparkSession
+        path = drop_at_end(spark, write_benefit_list(T, s, shared_folder(spark)))
+        _lists[id(T)] = (T, BenefitList(spark, path))
+    return _lists[id(T)][1]
+
+
 # query name -> function of (tables, setting)
 BUILDS = {
     **{f"ind_{name}": build for name, build in INDICATORS.items()},
@@ -82,7 +99,8 @@ BUILDS = {
     "quality_document_flags": lambda T, s: quality.document_flags(T),
     "quality_cns": quality.cns_quality,
     "benefit_conditions": benefits.benefit_conditions,
-    "benefit_page": lambda T, s: benefits.benefit_page(T, s, after_id=100, size=500),
+    "benefit_page": lambda T, s: _benefit_list(T, s).after(100, 500),
+    "benefit_page_number": lambda T, s: _benefit_list(T, s).page(3, 20),
     "benefit_totals": lambda T, s: benefits.benefit_totals(benefits.benefit_conditions(T, s)),
     **{f"outreach_{n}": (lambda T, s, n=n: outreach_list(n, T, s)) for n in OUTREACH},
     "outreach_all": outreach_all,
@@ -98,7 +116,10 @@ BUILDS = {
     "quality_cns_strict": lambda T, s: quality.cns_quality(T, s, strict=True),
     "outreach_b1_by_person": lambda T, s: outreach_b1(T, s, by="person"),
     "outreach_c1_team": lambda T, s: outreach_list("c1", T, s, unit="nation_0", team="Supplier#000000000"),
-    "benefit_page_unit": lambda T, s: benefits.benefit_page(T, s, after_id=0, size=50, unit="Nation_1"),
+    "benefit_page_unit": lambda T, s: _benefit_list(T, s).after(0, 50, "Nation_1"),
+    "benefit_page_number_unit": lambda T, s: _benefit_list(T, s).page(2, 5, "Nation_1"),
+    "benefit_totals_unit": lambda T, s: _benefit_list(T, s).totals(unit="Nation_1"),
+    "benefit_list": lambda T, s: _benefit_list(T, s).rows.drop("posicao", "bloco"),
     **{f"service_{n}": (lambda T, s, n=n: service_rows(n, T, s)) for n in ("b4", "c3", "c7", "m2")},
     "service_c1_unit": lambda T, s: service_rows("c1", T, s, unit="nation_1"),
     # what a reader does with a list
@@ -106,13 +127,9 @@ BUILDS = {
     "list_search": lambda T, s: listing.search_rows(cohorts.foreigner_cohort(T, s), "rn c"),
     "list_sorted": lambda T, s: listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True),
     "list_ordered": lambda T, s: listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"),
-    "list_sorted_places": lambda T, s: _numbered(
-        listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True), "unidade_saude"
-    ),
-    "list_ordered_places": lambda T, s: _numbered(
-        listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"), "unidade_saude", "no_equipe"
-    ),
-    "service_m2_places": lambda T, s: _numbered(service_rows("m2", T, s), "unidade_saude", "no_equipe"),
+    "list_sorted_places": lambda T, s: _by_unit_descending(cohorts.homeless_cohort(T, s)),
+    "list_ordered_places": lambda T, s: _placed(INDICATORS["b3"](T, s).select("unidade_saude", "no_equipe")),
+    "service_m2_places": lambda T, s: _placed(service_rows("m2", T, s).select("unidade_saude", "no_equipe")),
     "list_masked": lambda T, s: listing.masked(cohorts.homeless_cohort(T, s)),
     "list_json": lambda T, s: listing.json_rows(units.facilities(T, s)),
 }
@@ -167,7 +184,9 @@ def _written(write, read) -> Callable[[SparkSession, str], DataFrame]:
     """A query that writes a mart into a fresh shared folder and returns what it reads back."""
 
     def run(spark, sf_dir):
-        path = write(_tables(spark, sf_dir), SETTING, shared_folder(spark))
+        root = shared_folder(spark)
+        path = write(_tables(spark, sf_dir), SETTING, root)
+        drop_at_end(spark, root)
         return read(spark, path) if read else spark.read.parquet(path)
 
     return run

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.functions.scalars import blank, flag
@@ -112,10 +112,14 @@ def benefit_page(
     return benefit_conditions(T, s, page)
 
 
-def benefit_totals(conditions: DataFrame, page_size: int = 500) -> DataFrame:
-    """One row: beneficiaries, pages, pending checks by kind and in all."""
+def benefit_totals(conditions: DataFrame, page_size: int = 500, counted: Column | None = None) -> DataFrame:
+    """One row: beneficiaries, pages, pending checks by kind and in all.
+
+    ``counted`` is the number of beneficiaries where rows are counts already.
+    """
+    counted = F.count("*") if counted is None else F.coalesce(counted, F.lit(0).cast("long"))
     sums = conditions.agg(
-        F.count("*").alias("total"),
+        counted.alias("total"),
         *[F.coalesce(F.sum(p), F.lit(0)).alias(p) for p in PENDING],
     )
     pages = F.call_function("div", F.col("total") + (page_size - 1), F.lit(page_size))

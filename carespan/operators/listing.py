@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.functions.scalars import blank
+from carespan.session import written
 
 
 def filter_unit(df: DataFrame, text: str, name: str = "unidade_saude", code: str | None = "cnes") -> DataFrame:
@@ -38,19 +39,49 @@ def search_rows(df: DataFrame, text: str, columns=None) -> DataFrame:
 NUMBERS = ("int", "bigint", "smallint", "tinyint", "double", "float")
 
 
-def sort_rows(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
-    """Sort by one column: numbers by value, all else as text with missing values as empty text."""
+def sort_key(df: DataFrame, column: str, descending: bool = False) -> Column:
+    """Order of one column: numbers by value, all else as text with missing values as empty text."""
     kind = dict(df.dtypes)[column]
     if kind in NUMBERS or kind.startswith("decimal"):
         key = F.col(column)
-        return df.orderBy(key.desc_nulls_last() if descending else key.asc_nulls_first())
+        return key.desc_nulls_last() if descending else key.asc_nulls_first()
     key = _text(df, column)
-    return df.orderBy(key.desc() if descending else key.asc())
+    return key.desc() if descending else key.asc()
+
+
+def sort_rows(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
+    """Sort by one column: numbers by value, all else as text with missing values as empty text."""
+    return df.orderBy(sort_key(df, column, descending))
+
+
+def ascending(*columns: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in columns]
 
 
 def ordered(df: DataFrame, *columns: str) -> DataFrame:
     """Ascending order with missing values last."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    return df.orderBy(*ascending(*columns))
+
+
+def numbered(df: DataFrame, *order: Column, name: str = "posicao", first: int = 1) -> DataFrame:
+    """The rows with their gapless place in an order, as a long from ``first`` on.
+
+    Rows are dealt into ranges of the order and sorted within them; a row's place is its place in the
+    range and the rows of the ranges before, of which the driver sees one count each. Rows that the order
+    leaves equal are told apart by where they stood, so a value that very many share is spread over ranges, too.
+    """
+    rows = df.withColumn("_row", F.monotonically_increasing_id())
+    keys = [*order, F.col("_row")]
+    at = F.monotonically_increasing_id()  # the range in the upper bits, the place in the lower 33
+    ranged = written(rows.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_row").withColumns({
+        "_range": F.shiftright(at, 33), "_at": at.bitwiseAND(F.lit((1 << 33) - 1)),
+    }))
+    before, offsets = first, []
+    for part in sorted(ranged.groupBy("_range").count().collect()):
+        offsets.append((part["_range"], before))
+        before += part["count"]
+    starts = ranged.sparkSession.createDataFrame(offsets, "_range bigint, _start bigint")
+    return ranged.join(starts, "_range").withColumn(name, F.col("_start") + F.col("_at")).drop("_range", "_at", "_start")
 
 
 def page_after(df: DataFrame, key: str, after, size: int) -> DataFrame:

@@ -46,6 +46,22 @@ def unit_page():
       ORDER BY person_id LIMIT 50"""
 
 
+def numbered_page(size: int, skipped: int, unit: str = "true"):
+    parts, select = conditions()
+    return parts, f"SELECT * FROM ({select}) AS q WHERE {unit} ORDER BY person_id LIMIT {size} OFFSET {skipped}"
+
+
+NATION_1 = "no_unidade_saude LIKE 'NATION\\_1%' ESCAPE '\\'"
+
+
+def unit_totals():
+    parts, select = conditions()
+    kinds = ("pendencia_consulta", "pendencia_vacina", "pendencia_peso_altura", "pendencia_prenatal")
+    sums = ", ".join(f"CAST(coalesce(sum({k}), 0) AS BIGINT) AS {k}" for k in kinds)
+    return parts, f"""SELECT count(*) AS total, {sums}, CAST(coalesce(sum({' + '.join(kinds)}), 0) AS BIGINT) AS total_pendencias,
+      greatest(1, (count(*) + 499) // 500) AS total_paginas FROM ({select}) AS q WHERE {NATION_1}"""
+
+
 def unit_filter():
     parts, select = c1()
     return parts, f"SELECT * FROM ({select}) AS q WHERE cnes LIKE '%000001%'"
@@ -93,7 +109,9 @@ def as_json():
 OPTIONS = {
     **{f"practice_flags_{name}": (lambda name=name: _practices(name)) for name in PRACTICE_PARTS},
     "ind_c4_integer_gap": integer_gap, "quality_cns_strict": strict, "outreach_b1_by_person": by_person,
-    "outreach_c1_team": one_team, "benefit_page_unit": unit_page, "list_unit_filter": unit_filter,
+    "outreach_c1_team": one_team, "benefit_page_unit": unit_page,
+    "benefit_page_number": lambda: numbered_page(20, 40), "benefit_page_number_unit": lambda: numbered_page(5, 5, NATION_1),
+    "benefit_totals_unit": unit_totals, "benefit_list": conditions, "list_unit_filter": unit_filter,
     "list_search": search, "list_sorted": homeless, "list_ordered": b3, "list_masked": masked,
     "list_json": as_json, "ind_c1_period": c1, "lake_b4": b4,
     "list_sorted_places": lambda: _places(homeless, "unidade_saude", descending=True),

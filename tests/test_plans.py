@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from carespan.operators import practice_indicators, quality
+from carespan.operators import benefits, practice_indicators, quality
 from carespan.session import RUNTIME, shared_folder, tune
 from carespan.sources.derived import SETTING, open_derived
 
@@ -64,7 +64,7 @@ def test_hot_people_and_names_can_be_split(spark):
 
 
 def test_a_page_of_benefits_names_its_people_to_the_scans(spark):
-    page = plan_of(entry.queries()["benefit_page"](spark, SF))
+    page = plan_of(benefits.benefit_page(open_derived(spark, SF), SETTING, after_id=100, size=500))
     assert page.count("Exchange") < plan_of(entry.queries()["benefit_conditions"](spark, SF)).count("Exchange") + 1
     assert "o_custkey" in "".join(x for x in page.split("PushedFilters")[1:])
 
