@@ -6,8 +6,8 @@ longest first, and puts each into the open window with the least room that is en
 over room (0 to the window) finds it in logarithmic time. A task holds a block's open windows, nothing else.
 
 Texts are cut before white space that follows another character, where no pre-token of a byte-level BPE
-reaches across. The ids of such chunks are kept by the worker; chunks that are new to it are joined and
-encoded together, and the bytes that each id stands for tell where the next chunk begins.
+reaches across. The ids of such chunks are kept by the worker, as most stand in many documents; chunks that
+are new to it are joined and encoded together, and the bytes that each id stands for tell where the next one begins.
 """
 
 from __future__ import annotations
@@ -17,29 +17,57 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from carespan.llm.common import portions, settle, table
-from carespan.llm.token_counts import pieces as text_pieces
 from carespan.llm.token_counts import vocabulary_path
 
 WINDOW = 2048
 END_ID = 1
 BLOCK_PIECES = 10_000
 MAX_TASKS = 16_384
-KEPT_CHUNKS = 300_000
-KEPT_CHARS = 64
-TOGETHER_CHARS = 1 << 16
+KEPT_CHUNKS = 400_000
+KEPT_BYTES = 64
+TOGETHER_CHUNKS = 4000
+BATCH_BYTES = 4 << 20
 # Cut where white space follows a character that no engine takes for white space.
 _CHUNK = re.compile(r"[ \t\n\r]*(?:[^ \t\n\r]+(?:(?<!\S)[ \t\n\r]+)?)+|[ \t\n\r]+")
-_JOINABLE = re.compile(r"[ \t\n\r].*\S\Z", re.DOTALL)
+_SPACE_AFTER_SPACE = re.compile(r"\s[ \n]")
+_CUT_BEFORE = np.frombuffer(b" \t\n\r", np.uint8)
+_ASCII_SPACE = np.frombuffer(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f ", np.uint8)
+
+
+def marked(text: str) -> str:
+    """The text (without NUL) with a NUL at each place to cut: before white space that follows another character.
+
+    Where no space or line end follows other white space, which is the rule, each of them is such a place.
+    """
+    if _SPACE_AFTER_SPACE.search(text):
+        return "\0".join(_CHUNK.findall(text))
+    return text.replace(" ", "\0 ").replace("\n", "\0\n")
+
+
+def _binary(parts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """An array of binary values from all their bytes and where each one ends."""
+    offsets = np.concatenate((np.zeros(1, np.int64), ends.astype(np.int64)))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(parts)])
+
+
+def _offsets(array) -> np.ndarray:
+    """Where the values of a binary or text array start and the last one ends, in its buffer."""
+    return np.frombuffer(array.buffers()[1], np.int64)[array.offset:array.offset + len(array) + 1]
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit numbers, with the chunks seen before kept."""
+    """Token ids of texts as little-endian 32-bit numbers, with the chunks seen before kept.
+
+    Chunks and ids are kept in two generations of Arrow arrays: when the younger is full it becomes the
+    older, from which a chunk that comes again is taken over.
+    """
 
     def __init__(self, path: str | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,53 +76,85 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path or vocabulary_path())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.model._resize_cache(0)  # chunks reach it once, so its own store only costs time
         words = self.tokenizer.get_vocab(with_added_tokens=True)
         self.bytes_of = np.zeros(max(words.values()) + 1, np.int64)
         for word, number in words.items():  # a character of the vocabulary stands for one byte
             self.bytes_of[number] = len(word)
-        self.known: dict[str, bytes] = {}
+        nothing = (pa.array([], pa.large_string()), pa.array([], pa.large_binary()))
+        self.known, self.older = nothing, nothing
+
+    def _alone(self, texts: list[str]) -> pa.LargeBinaryArray:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return pa.array([np.array(f.ids, "<u4").tobytes() for f in found], pa.large_binary())
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _together(self, chunks: pa.LargeStringArray) -> list[pa.LargeBinaryArray]:
         """Ids of chunks that may stand one after another: each starts with white space and ends without."""
-        batch, start, size = [], 0, 0
-        for i, chunk in enumerate(chunks):
-            size += len(chunk)
-            if size >= TOGETHER_CHARS or i == len(chunks) - 1:
-                batch.append(chunks[start:i + 1])
-                start, size = i + 1, 0
-        texts = ["".join(b) for b in batch]
-        for group, found in zip(batch, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4")
-            ends = np.cumsum([len(c) if c.isascii() else len(c.encode()) for c in group])
-            reached = np.cumsum(self.bytes_of[ids])
-            cuts = np.searchsorted(reached, ends) + 1
-            if not np.array_equal(reached[cuts - 1], ends):
+        found = []
+        for at in range(0, len(chunks), TOGETHER_CHUNKS):
+            part = chunks.slice(at, TOGETHER_CHUNKS)
+            offsets = _offsets(part)
+            text = bytes(memoryview(part.buffers()[2])[offsets[0]:offsets[-1]]).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            ends, reached = offsets[1:] - offsets[0], np.cumsum(self.bytes_of[ids])
+            last = np.searchsorted(reached, ends)
+            if not np.array_equal(reached[last], ends):
                 raise ValueError("a token reaches across chunks")
-            packed, before = ids.tobytes(), 0
-            for chunk, cut in zip(group, cuts.tolist()):
-                self.known[chunk] = packed[4 * before:4 * cut]
-                before = cut
+            found.append(_binary(ids.view(np.uint8), 4 * (last + 1)))
+        return found
+
+    def _ids_of(self, chunks: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct chunks, those kept or encoded now."""
+        if len(self.known[0]) > KEPT_CHUNKS:
+            self.known, self.older = (pa.array([], pa.large_string()), pa.array([], pa.large_binary())), self.known
+        at = pc.fill_null(pc.index_in(chunks, self.known[0]), -1).to_numpy().astype(np.int64)
+        unknown = chunks.filter(pa.array(at < 0))
+        place = pc.index_in(unknown, self.older[0])
+        again = pc.is_valid(place)
+        new = unknown.filter(pc.invert(again))
+        offsets = _offsets(new)
+        data = np.frombuffer(new.buffers()[2] or b"", np.uint8)
+        filled = np.diff(offsets) > 0
+        first, last = np.zeros(len(new), np.uint8), np.zeros(len(new), np.uint8)
+        first[filled], last[filled] = data[offsets[:-1][filled]], data[offsets[1:][filled] - 1]
+        joinable = np.isin(first, _CUT_BEFORE) & ~np.isin(last, _ASCII_SPACE) & filled
+        foreign = np.flatnonzero(joinable & (last > 127))
+        joinable[foreign] = [not c[-1].isspace() for c in new.take(pa.array(foreign)).to_pylist()]
+        fit = new.filter(pa.array(joinable))
+        rest = new.filter(pa.array(~joinable))
+        parts = [
+            (unknown.filter(again), self.older[1].take(place.filter(again))),
+            (rest, self._alone(rest.to_pylist())),
+            (fit, pa.concat_arrays([pa.array([], pa.large_binary()), *self._together(fit)])),
+        ]
+        # what was unknown follows what is known, in the order of the parts
+        came = again.to_numpy(zero_copy_only=False)
+        kind = np.zeros(len(unknown), np.int64)
+        kind[~came] = 1 + joinable
+        order = np.empty(len(unknown), np.int64)
+        order[np.argsort(kind, kind="stable")] = np.arange(len(unknown))
+        at[at < 0] = len(self.known[0]) + order
+        every = [pa.concat_arrays([self.known[i], *(p[i] for p in parts)]) for i in (0, 1)]
+        found = every[1].take(pa.array(at))
+        short = pc.less_equal(pc.binary_length(every[0]), KEPT_BYTES)
+        self.known = (every[0].filter(short), every[1].filter(short))
+        return found
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        cut = [[_CHUNK.findall(piece) for piece in text_pieces(text)] for text in texts]
-        new: set[str] = set()
-        for parts in cut:
-            for chunks in parts:
-                new.update(chunks)
-        new.difference_update(self.known.keys())
-        joinable = [c for c in new if _JOINABLE.match(c)]
-        if joinable:
-            self._learn(joinable)
-        alone = list(new.difference(joinable))
-        for chunk, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[chunk] = np.array(found.ids, "<u4").tobytes()
-        get = self.known.__getitem__
-        found = [b"".join(b"".join(map(get, chunks)) for chunks in parts) for parts in cut]
-        for chunk in new:
-            if len(chunk) > KEPT_CHARS:
-                del self.known[chunk]
+        """Ids of whole texts. Chunks are cut, told apart and put together again by Arrow."""
+        plain = [i for i, t in enumerate(texts) if "\0" not in t]
+        found: list[bytes] = [b""] * len(texts)
+        if plain:
+            cut = pc.split_pattern(pa.array([marked(texts[i]) for i in plain], pa.large_string()), "\0")
+            chunks = cut.values.dictionary_encode()
+            packed = self._ids_of(chunks.dictionary).take(chunks.indices)
+            ends = _offsets(packed)[cut.offsets.to_numpy()]
+            whole = memoryview(packed.buffers()[2] or b"")
+            for i, start, end in zip(plain, ends[:-1], ends[1:]):
+                found[i] = bytes(whole[start:end])
+        odd = [i for i, t in enumerate(texts) if "\0" in t]
+        for i, own in zip(odd, self._alone([texts[i] for i in odd]).to_pylist()):
+            found[i] = own
         return found
 
 
@@ -126,7 +186,7 @@ def token_pieces(
         encoder = _encoder(path)
         for batch in batches:
             at = batch.num_columns - 1
-            for part in portions(batch, at):
+            for part in portions(batch, at, BATCH_BYTES):
                 rows, starts, lengths, ids, totals = [], [], [], [], []
                 for row, found in enumerate(encoder.ids([t.decode() for t in part.column(at).to_pylist()])):
                     whole = found + end

@@ -54,8 +54,8 @@ def test_kept_chunks_are_bounded(tokenizer, monkeypatch):
     for _ in range(20):
         texts = [" ".join("".join(rng.choice("abcde") for _ in range(rng.randint(1, 90))) for _ in range(20)) for _ in range(3)]
         assert [numbers(x) for x in encoder.ids(texts)] == [plain_ids(tokenizer, t)[:-1] for t in texts]
-        assert all(len(c) <= packing.KEPT_CHARS for c in encoder.known)
-        assert len(encoder.known) <= 50 + 60
+        assert all(len(c.encode()) <= packing.KEPT_BYTES for c in encoder.known[0].to_pylist())
+        assert len(encoder.known[0]) <= 50 + 60 and len(encoder.known[0]) == len(encoder.known[1])
 
 
 def plain_best_fit(lengths, window):
