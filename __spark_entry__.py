@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,9 +20,13 @@ from carespan.plans import marts  # noqa: E402
 from carespan.plans.benefit_list import BenefitList, write_benefit_list  # noqa: E402
 from carespan.session import drop_at_end, shared_folder, tune  # noqa: E402
 from carespan.setting import period_bounds  # noqa: E402
-from carespan.sources.derived import SETTING, open_derived, operational_reader  # noqa: E402
+from carespan.plans.mart_tables import switch_catalog  # noqa: E402
+from carespan.sources import changes  # noqa: E402
+from carespan.sources.derived import SETTING, earlier, open_derived, operational_reader  # noqa: E402
 from carespan.sources.lake import open_lake, write_lake  # noqa: E402
 from carespan.sources.operational import open_operational  # noqa: E402
+from carespan.sources.published import Published  # noqa: E402
+from carespan.sources.schemas import COLUMNS, FACTS  # noqa: E402
 from oracle.queries import texts  # noqa: E402
 
 try:  # the text operators can be left out as a whole
@@ -151,6 +156,52 @@ def _lake_b4(T, s, path):
     return path
 
 
+def _lake_of(name):
+    """An event table of a lake that saw an earlier state of the source and was brought up to date by changes."""
+
+    def write(T, s, path):
+        published = changes.lake(T[name].sparkSession, path)
+        for state in (earlier(T), T):
+            changes.load_changes(open_operational(operational_reader(state)), published, (name,))
+        return path
+
+    return write, lambda spark, path: changes.open_published(changes.lake(spark, path))[name].select(*COLUMNS[name])
+
+
+REPORTED = ("encounter", "group_activity", "vaccination")  # with a key of one column, of two, and without
+
+
+def _lake_report(spark, path):
+    published = changes.lake(spark, path)
+    return reduce(DataFrame.unionByName, [changes.load_report(published, name, 1, 2) for name in REPORTED])
+
+
+def _two_loads(T, s, path):
+    published = changes.lake(T["encounter"].sparkSession, path)
+    for state in (earlier(T), T):
+        changes.load_changes(state, published, REPORTED)
+    return path
+
+
+def _refreshed_encounters(T, s, path):
+    """Encounters refreshed after a change of the source: late, removed and corrected rows, a month that ended empty."""
+    for state in (earlier(T), T):
+        marts.refresh_all(state, s, path, names=("fato_atendimento",))
+    return path
+
+
+def _read_mart(name):
+    return lambda spark, path: marts.read_mart(Published(spark, path), name)
+
+
+def _declared_mart(spark, path):
+    """The inconsistencies, read through their table in the catalog."""
+    database = f"marts_{os.path.basename(path).replace('-', '_')}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{path}/catalogo'")
+    switch_catalog(spark, database, Published(spark, path))
+    return spark.read.table(f"{database}.inconsistencias")
+
+
 # query name -> (function that writes the mart under a path, function that reads it back)
 MARTS = {
     "mart_foreigners": (marts.write_foreigners, None),
@@ -165,6 +216,12 @@ MARTS = {
     "mart_procedures": _conformed("dim_sigtap"),
     "mart_vaccinations": _conformed("fato_vacinacao"),
     "mart_home_visits": _conformed("fato_visita_domiciliar"),
+    "mart_encounters_refresh": (_refreshed_encounters, _read_mart("fato_atendimento")),
+    "mart_declared": (
+        lambda T, s, path: marts.refresh_all(T, s, path, names=("inconsistencias", "dim_unidade")).root, _declared_mart,
+    ),
+    **{f"lake_{name}": _lake_of(name) for name in FACTS},
+    "lake_changes": (_two_loads, _lake_report),
     "lake_b4": (_lake_b4, lambda spark, path: INDICATORS["b4"](open_lake(spark, path), SETTING)),
 }
 

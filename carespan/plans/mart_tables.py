@@ -7,6 +7,9 @@ carry beside the declared ones.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import _parse_datatype_string
+
+from carespan.sources.published import INDEX, Published
 
 # Mart table -> its columns.
 MART_COLUMNS = {
@@ -63,11 +66,44 @@ PARTITIONS = {
 }
 
 
+def declared(name: str) -> str:
+    """Columns of a mart, with those that ours carries beside the declared ones."""
+    return f"{MART_COLUMNS[name]}, {EXTRA[name]}" if name in EXTRA else MART_COLUMNS[name]
+
+
+def switch_catalog(spark: SparkSession, database: str, published: Published) -> None:
+    """Have the marts of a database be those of the newest run.
+
+    A mart is a view: the files of all runs, a table partitioned by run, joined with the index of the
+    current run, which prunes the runs and months that are not current. The index is one view for all
+    marts, so replacing it switches all of them at once; until then readers see the marts of before.
+    """
+    runs = published.runs()
+    index = f"CREATE OR REPLACE VIEW {database}.{INDEX} AS SELECT * FROM parquet.`{published.index_path(runs[-1])}`"
+    if not spark.catalog.tableExists(f"{database}.{INDEX}"):
+        spark.sql(index)
+    held = {e.tabela: e.mensal for e in published.index()}
+    for name, monthly in held.items():
+        parts = ", ".join(["run", *([PARTITIONS[name]] if name in PARTITIONS else [])])
+        files, columns = f"{database}.{name}_arquivos", _parse_datatype_string(declared(name)).fieldNames()
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {files} ({declared(name)}, run string) USING parquet"
+            f" PARTITIONED BY ({parts}) LOCATION '{published.root}/{name}'"
+        )
+        spark.catalog.recoverPartitions(files)
+        if not spark.catalog.tableExists(f"{database}.{name}"):
+            same = " AND CAST(f.competencia AS string) <=> i.mes" if monthly else ""
+            spark.sql(
+                f"CREATE VIEW {database}.{name} AS SELECT {', '.join(f'f.{c}' for c in columns)} FROM {files} AS f"
+                f" JOIN {database}.{INDEX} AS i ON f.run = i.run{same} WHERE i.tabela = '{name}'"
+            )
+    spark.sql(index)  # the switch
+
+
 def create_tables(spark: SparkSession, database: str, root: str) -> None:
     """Declare the marts under ``root`` in a database of the catalog, where they are not yet."""
-    for name, columns in MART_COLUMNS.items():
-        if name in EXTRA:
-            columns = f"{columns}, {EXTRA[name]}"
+    for name in MART_COLUMNS:
+        columns = declared(name)
         parts = f" PARTITIONED BY ({PARTITIONS[name]})" if name in PARTITIONS else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet{parts} LOCATION '{root}/{name}'"

@@ -1,7 +1,8 @@
-"""Batch jobs that write the marts: full refreshes of Parquet tables.
+"""Batch jobs that write the marts.
 
-Marts of many indicators or worklists are written in several jobs, one per pass over the events, so no
-job plans the union of all of them. Load dates are the as-of date of the run.
+``refresh_all`` writes all of them and publishes them in one step; the functions ``write_*`` replace a
+single table in a folder. Marts of many indicators or worklists are written in several jobs, one per pass
+over the events, so no job plans the union of all of them. Load dates are the as-of date of the run.
 """
 
 from __future__ import annotations
@@ -22,8 +23,11 @@ from carespan.operators.practice_indicators import (
 from carespan.operators.quality import document_flags, inconsistencies, stale_pregnancies
 from carespan.operators.units import facility_names, team_names
 from carespan.plans.catalog import INDICATORS, indicator_parts, outreach_parts
+from carespan.plans.mart_tables import MART_COLUMNS, declared
+from carespan.session import files_of
 from carespan.setting import Setting
 from carespan.sources.lake import gathered, within
+from carespan.sources.published import Published, Run
 from carespan.sources.tables import Tables
 
 
@@ -60,6 +64,18 @@ def _publish(spark: SparkSession, staged: str, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
+def _restore(spark: SparkSession, parent: str, prefix: str, path: str) -> None:
+    """Put a table back that a run moved aside and never replaced, as it ended between the two renames."""
+    table, files = files_of(spark, path)
+    folder, _ = files_of(spark, parent)
+    if files.exists(table) or not files.exists(folder):
+        return
+    aside = [f.getPath() for f in files.listStatus(folder)]
+    aside = [p for p in aside if p.getName().startswith(prefix) and p.getName().endswith("-old")]
+    if aside:
+        files.rename(aside[0], table)
+
+
 def _replace(path: str, parts: list[DataFrame], *partitions: str) -> None:
     """Replace a table by the given parts, which are written beside it and published in one step.
 
@@ -67,7 +83,9 @@ def _replace(path: str, parts: list[DataFrame], *partitions: str) -> None:
     """
     spark = parts[0].sparkSession
     parent, _, name = path.rstrip("/").rpartition("/")
-    staged = f"{parent}/_staged_{name.replace('=', '-')}_{uuid.uuid4().hex}"
+    prefix = f"_staged_{name.replace('=', '-')}_"
+    _restore(spark, parent, prefix, path)
+    staged = f"{parent}/{prefix}{uuid.uuid4().hex}"
     try:
         for rows in parts:
             writer = rows.write.mode("append")
@@ -84,16 +102,18 @@ def _of_month(path: str, s: Setting) -> str:
     return f"{path}/competencia={s.period.end:%Y%m}"
 
 
+def foreigner_rows(T: Tables, s: Setting) -> DataFrame:
+    return foreigner_cohort(T, s, detail=True).withColumn("dt_carga", _loaded(s))
+
+
 def write_foreigners(T: Tables, s: Setting, path: str) -> str:
     """Foreigners with their checks, by load date."""
-    rows = foreigner_cohort(T, s, detail=True).withColumn("dt_carga", _loaded(s))
-    _replace(path, [rows], "dt_carga")
+    _replace(path, [foreigner_rows(T, s)], "dt_carga")
     return path
 
 
-def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS)) -> str:
-    """Indicators in long form by month of the period's end; the month is replaced as a whole."""
-    parts = [
+def indicator_mart_parts(T: Tables, s: Setting, names=tuple(INDICATORS)) -> list[DataFrame]:
+    return [
         part.select(
             "nu_ine", "cnes", F.upper("indicador").alias("cd_indicador"),
             F.col("numerator").cast("decimal(12,4)").alias("numerador"),
@@ -102,7 +122,11 @@ def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS))
         )
         for part in indicator_parts(T, s, names)
     ]
-    _replace(_of_month(path, s), parts, "cd_indicador")
+
+
+def write_indicators(T: Tables, s: Setting, path: str, names=tuple(INDICATORS)) -> str:
+    """Indicators in long form by month of the period's end; the month is replaced as a whole."""
+    _replace(_of_month(path, s), indicator_mart_parts(T, s, names), "cd_indicador")
     return path
 
 
@@ -141,37 +165,43 @@ def yearly_practice_rows(T: Tables, s: Setting) -> DataFrame:
     )
 
 
-def write_person_practices(T: Tables, s: Setting, path: str, names=tuple(PERSON_PRACTICES)) -> str:
-    """Person, team and indicator with the score and a map of practice to done or not."""
+def person_practice_parts(T: Tables, s: Setting, names=tuple(PERSON_PRACTICES)) -> list[DataFrame]:
     people = T["person"].select("person_id", "cns")
     if set(YEARLY) <= set(names):
         parts = [person_practice_rows(n, T, s) for n in names if n not in YEARLY] + [yearly_practice_rows(T, s)]
     else:
         parts = [person_practice_rows(n, T, s) for n in names]
-    rows = [
+    return [
         part.join(people, "person_id").join(team_names(T), "team_id", "left").select(
             F.col("person_id").alias("paciente_id"), "cns", "nu_ine",
             F.upper("indicador").alias("cd_indicador"), "pontuacao", "boas_praticas", _loaded(s),
         )
         for part in parts
     ]
-    _replace(_of_month(path, s), rows, "cd_indicador")
+
+
+def write_person_practices(T: Tables, s: Setting, path: str, names=tuple(PERSON_PRACTICES)) -> str:
+    """Person, team and indicator with the score and a map of practice to done or not."""
+    _replace(_of_month(path, s), person_practice_parts(T, s, names), "cd_indicador")
     return path
 
 
-def write_outreach(T: Tables, s: Setting, path: str, names=tuple(OUTREACH)) -> str:
-    """Worklists by condition, with the micro-area of the newest registration."""
+def outreach_mart_parts(T: Tables, s: Setting, names=tuple(OUTREACH)) -> list[DataFrame]:
     areas = latest_registration(
         T, s, registrations=T["registration"].select("registration_id", "person_id", "micro_area")
     ).select(F.col("person_id").alias("paciente_id"), "micro_area")
-    parts = [
+    return [
         part.join(areas, "paciente_id", "left").select(
             "paciente_id", "cns", "cpf", "nome", "condicao", "nu_ine", "micro_area", _absent("telefone"),
             _absent("acs_responsavel"), F.lit(0).alias("prioridade"), _loaded(s, "dt_geracao"),
         )
         for part in outreach_parts(T, s, names)
     ]
-    _replace(path, parts, "condicao")
+
+
+def write_outreach(T: Tables, s: Setting, path: str, names=tuple(OUTREACH)) -> str:
+    """Worklists by condition, with the micro-area of the newest registration."""
+    _replace(path, outreach_mart_parts(T, s, names), "condicao")
     return path
 
 
@@ -284,13 +314,21 @@ def write_encounters(T: Tables, s: Setting, path: str, since: date | None = None
     """Encounters by month. With ``since``, only the months from its own on are replaced.
 
     Such a refresh reads no earlier month of the lake. Months of the new rows are put in place when all
-    of them are written; a month that has no rows any more keeps its old ones.
+    of them are written, and a month from ``since`` on that has no rows any more is dropped.
     """
     if since is None:
         _replace(path, [gathered(fato_atendimento(T, s), "competencia")], "competencia")
-    else:
-        rows = gathered(fato_atendimento(T, s, since.replace(day=1)), "competencia")
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("competencia").parquet(path)
+        return path
+    spark = T["encounter"].sparkSession
+    rows = gathered(fato_atendimento(T, s, since.replace(day=1)), "competencia")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("competencia").parquet(path)
+    left = {f"competencia={r[0]}" for r in rows.select("competencia").distinct().collect()}  # one row a month
+    table, files = files_of(spark, path)
+    for folder in [f.getPath() for f in files.listStatus(table)]:
+        name = folder.getName()
+        if name.startswith("competencia=") and name >= f"competencia={since:%Y%m}" and name not in left:
+            files.delete(folder, True)
+    spark.catalog.refreshByPath(path)
     return path
 
 
@@ -304,11 +342,43 @@ def write_conformed(T: Tables, s: Setting, path: str, names=tuple(CONFORMED), si
     return path
 
 
-def refresh_all(T: Tables, s: Setting, root: str, since: date | None = None) -> None:
-    """The nightly run: every mart under one folder; of the encounters the months from ``since`` on."""
-    write_foreigners(T, s, f"{root}/fato_estrangeiros")
-    write_indicators(T, s, f"{root}/fato_indicadores")
-    write_person_practices(T, s, f"{root}/fato_boas_praticas")
-    write_outreach(T, s, f"{root}/busca_ativa")
-    write_inconsistencies(T, s, f"{root}/inconsistencias")
-    write_conformed(T, s, root, since=since)
+def _refreshed(name: str, T: Tables, s: Setting, run: Run, since: date | None) -> None:
+    """One mart of a run."""
+    month = f"{s.period.end:%Y%m}"
+    if name == "fato_estrangeiros":
+        run.whole(name, [foreigner_rows(T, s)], "dt_carga")
+    elif name == "fato_indicadores":
+        run.one_month(name, month, indicator_mart_parts(T, s), "cd_indicador")
+    elif name == "fato_boas_praticas":
+        run.one_month(name, month, person_practice_parts(T, s), "cd_indicador")
+    elif name == "busca_ativa":
+        run.whole(name, outreach_mart_parts(T, s), "condicao")
+    elif name == "inconsistencias":
+        run.whole(name, [inconsistency_rows(T, s)])
+    elif name == "fato_atendimento":
+        first = since and since.replace(day=1)
+        run.months(
+            name, fato_atendimento(T, s, first), f"{since:%Y%m}" if since else None, besides=("dt_carga",),
+            gather=lambda rows: gathered(rows, "competencia"),
+        )
+    else:
+        run.whole(name, [CONFORMED[name](T, s)])
+
+
+def refresh_all(T: Tables, s: Setting, root: str, since: date | None = None, names=tuple(MART_COLUMNS)) -> Published:
+    """The nightly run: the named marts, all of them if none are named, published in one step.
+
+    If one fails, readers stay on the marts of the run before, all of one state. Of the encounters the
+    months that differ from the index are written, and months without rows dropped; with ``since`` earlier
+    months are neither read nor looked at. Indicators and practices replace the month of the period's end.
+    """
+    published = Published(T["person"].sparkSession, root)
+    with published.refresh() as run:
+        for name in names:
+            _refreshed(name, T, s, run, since)
+    return published
+
+
+def read_mart(published: Published, name: str) -> DataFrame:
+    """A published mart with its declared columns and those it carries beside them."""
+    return published.read(name, declared(name))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from carespan.codes import CodeSets
 from carespan.setting import Period, Setting
 from carespan.sources.operational import SOURCE_COLUMNS
-from carespan.sources.schemas import COLUMNS
+from carespan.sources.schemas import COLUMNS, FACTS
 from carespan.sources.tables import Tables
 
 AS_OF = date(2001, 8, 1)
@@ -276,6 +276,28 @@ def open_derived(spark: SparkSession, directory: str) -> Tables:
     return Tables({table: opener(table) for table in COLUMNS})
 
 
+def earlier(tables: Tables) -> Tables:
+    """A state of the source before the one of the test files, to load changes from.
+
+    It lacks the events of July 2001, holds other values in rows of the 15th of a month, and has the
+    events of January 2000 a second time, dated in May 1980 under keys of their own.
+    """
+    changed = {}
+    for name in FACTS:
+        rows = tables[name].where("date_format(event_date, 'yyyy-MM') <> '2001-07'")
+        other = "participants" if name == "group_activity" else "person_id"
+        fifteenth = F.dayofmonth("event_date") == 15
+        rows = rows.withColumn(other, F.when(fifteenth, F.col(other) + 1).otherwise(F.col(other)).cast(COLUMNS[name][other]))
+        gone = tables[name].where("date_format(event_date, 'yyyy-MM') = '2000-01'").withColumn(
+            "event_date", F.make_date(F.lit(1980), F.lit(5), F.dayofmonth("event_date"))
+        )
+        for key in ("encounter_id", "activity_id"):
+            if key in COLUMNS[name]:
+                gone = gone.withColumn(key, F.col(key) + 10**12)
+        changed[name] = rows.unionByName(gone)
+    return tables.replacing(**changed)
+
+
 def operational_reader(tables: Tables) -> Callable[[str], DataFrame]:
     """Reader of operational source tables made back from canonical ones, YYYYMMDD integers for dates."""
     raw = {}

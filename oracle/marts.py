@@ -108,7 +108,46 @@ def home_visits():
       FROM home_visit AS v LEFT JOIN person AS p ON p.person_id = v.person_id"""
 
 
+FACTS = ("encounter", "home_visit", "vaccination", "procedure_event", "dental_procedure", "dental_encounter", "group_activity")
+KEYS = {"encounter": ("encounter_id",), "group_activity": ("activity_id", "practice_id")}
+
+
+def _earlier(name: str) -> str:
+    """The table as it was before: July 2001 missing, the 15th of each month other, January 2000 again in May 1980."""
+    other = "participants" if name == "group_activity" else "person_id"
+    key = KEYS[name][0] if name in KEYS else None
+    moved = "make_date(1980, 5, day(event_date)) AS event_date" + (f", {key} + 1000000000000 AS {key}" if key else "")
+    return f"""SELECT * REPLACE (CASE WHEN day(event_date) = 15 THEN {other} + 1 ELSE {other} END AS {other}) FROM {name}
+        WHERE strftime(event_date, '%Y-%m') <> '2001-07'
+      UNION ALL SELECT * REPLACE ({moved}) FROM {name} WHERE strftime(event_date, '%Y-%m') = '2000-01'"""
+
+
+def lake_changes():
+    parts, selects = [], []
+    for name in ("encounter", "group_activity", "vaccination"):
+        month = "strftime(event_date, '%Y-%m') AS mes"
+        key = KEYS.get(name)
+        parts += [
+            f"old_{name} AS ({_earlier(name)})",
+            f"came_{name} AS (SELECT * FROM {name} EXCEPT ALL SELECT * FROM old_{name})",
+            f"went_{name} AS (SELECT * FROM old_{name} EXCEPT ALL SELECT * FROM {name})",
+        ]
+        if key is None:
+            selects.append(f"""SELECT '{name}' AS tabela, mes, CAST(sum(i) AS BIGINT) AS inserted, CAST(0 AS BIGINT) AS changed, CAST(sum(d) AS BIGINT) AS deleted FROM (
+              SELECT {month}, 1 AS i, 0 AS d FROM came_{name} UNION ALL SELECT {month}, 0, 1 FROM went_{name}) AS x GROUP BY mes""")
+        else:
+            on = " AND ".join(f"o.{k} = c.{k}" for k in key)
+            back = " AND ".join(f"c.{k} = o.{k}" for k in key)
+            selects.append(f"""SELECT '{name}' AS tabela, mes, CAST(sum(i) AS BIGINT) AS inserted, CAST(sum(x) AS BIGINT) AS changed, CAST(sum(d) AS BIGINT) AS deleted FROM (
+              SELECT strftime(c.event_date, '%Y-%m') AS mes, CASE WHEN EXISTS (SELECT 1 FROM went_{name} AS o WHERE {on}) THEN 0 ELSE 1 END AS i,
+                CASE WHEN EXISTS (SELECT 1 FROM went_{name} AS o WHERE {on}) THEN 1 ELSE 0 END AS x, 0 AS d FROM came_{name} AS c
+              UNION ALL SELECT strftime(o.event_date, '%Y-%m'), 0, 0, 1 FROM went_{name} AS o WHERE NOT EXISTS (SELECT 1 FROM came_{name} AS c WHERE {back})) AS y GROUP BY mes""")
+    return parts, " UNION ALL ".join(selects)
+
+
 MARTS = {
+    **{f"lake_{name}": (lambda name=name: ([], f"SELECT * FROM {name}")) for name in FACTS}, "lake_changes": lake_changes,
+    "mart_encounters_refresh": encounters, "mart_declared": inconsistencies,
     "mart_foreigners": foreigners, "mart_indicators": indicators, "mart_person_practices": person_practices,
     "mart_worklists": worklists, "mart_inconsistencies": inconsistencies, "mart_patients": patients, "mart_teams": teams,
     "mart_encounters": encounters, "mart_units": units, "mart_procedures": procedures,
