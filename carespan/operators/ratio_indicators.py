@@ -87,6 +87,57 @@ def contact_indicators(T: Tables, s: Setting) -> DataFrame:
     return counts.select("*", names, band(F.col("value"), BANDS["m1"]).alias("classificacao"))
 
 
+def access_and_contact_counts(T: Tables, s: Setting) -> DataFrame:
+    """Team rows of C1, M1 and M2 from one pass over the encounters, grouped by person first.
+
+    Only rows that count for contacts keep their person; those that count for access alone meet in one
+    row per team before the shuffle.
+    """
+    access = in_list(F.col("occupation_id"), s.codes.med_nurse_ids)
+    contact = in_list(F.col("occupation_id"), s.codes.multi_professional_ids)
+    scheduled = access & in_list(F.col("visit_type_id"), s.codes.scheduled_visit_types)
+    events = in_period(T, "encounter", s).where((access | contact) & in_scope(s)).select(
+        *UNIT_IDS, F.when(contact, F.col("person_id")).alias("person_id"), scheduled.alias("scheduled"),
+        access.alias("access"), contact.alias("contact"),
+    )
+    per_person = unit_keys(events, T).groupBy(*UNIT_IDS, "person_id").agg(
+        *[F.count_if(c).alias(c) for c in ("scheduled", "access", "contact")]
+    )
+    met = (F.col("contact") > 0) & F.col("person_id").isNotNull()
+    counts = per_person.groupBy(*UNIT_IDS).agg(
+        *[F.sum(c).alias(c) for c in ("scheduled", "access", "contact")], F.count_if(met).alias("people"),
+    )
+
+    def row(name, numerator, denominator, events):
+        return F.struct(
+            F.lit(name).alias("indicador"), F.col(numerator).alias("numerator"), F.col(denominator).alias("denominator"),
+            F.col(events).alias("events"),
+        )
+
+    rows = F.explode(F.array(row("c1", "scheduled", "access", "access"), *[
+        row(name, "contact", "people", "contact") for name in ("m1", "m2")
+    ])).alias("r")
+    return named(counts.select(*UNIT_IDS, rows), T).where("r.events > 0").select(
+        "r.indicador", *TEAM, "r.numerator", "r.denominator"
+    )
+
+
+def _valued(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Value and class of rows of several indicators."""
+    value, label = F.lit(None).cast("double"), F.lit(None).cast("string")
+    for name, own in values.items():
+        mine = F.col("indicador") == name
+        value, label = F.when(mine, own).otherwise(value), F.when(mine, band(own, BANDS[name])).otherwise(label)
+    return rows.withColumns({"value": value, "classificacao": label})
+
+
+def access_and_contact_indicators(T: Tables, s: Setting) -> DataFrame:
+    """C1, M1 and M2 at once."""
+    num, den = F.col("numerator"), F.col("denominator")
+    per_person = ratio(num, den, scale=1)
+    return _valued(access_and_contact_counts(T, s), {"c1": ratio(num, den), "m1": per_person, "m2": per_person})
+
+
 def procedures_of(T: Tables, **sets) -> DataFrame:
     """Procedure ids with one 0/1 column per code set, only ids in some set."""
     marks = [flag(in_list(F.col("code"), codes)).alias(name) for name, codes in sets.items()]
@@ -198,6 +249,36 @@ def indicator_b6(T: Tables, s: Setting) -> DataFrame:
     return scored(counts, "b6", ratio(F.col("numerator"), F.col("denominator"), empty=0))
 
 
+def dental_shares(T: Tables, s: Setting) -> DataFrame:
+    """B3, B5 and B6 at once, from one pass over the dental procedures."""
+    codes = s.codes
+    sets = procedures_of(
+        T, extraction=codes.extractions, listed_b3=codes.listed_dental, preventive=codes.preventive_dental,
+        listed=codes.preventive_base, atraumatic=codes.atraumatic, listed_b6=codes.restorative_dental,
+    )
+    by_dentist = in_list(F.col("occupation_id"), codes.dentist_ids)
+    by_either = in_list(F.col("occupation_id"), codes.dentist_ids + codes.dental_technician_ids)
+    shares = {
+        "b3": ("extraction", by_either & (F.col("listed_b3") == 1)),
+        "b5": ("preventive", preventive_base(s)),
+        "b6": ("atraumatic", by_dentist & (F.col("listed_b6") == 1)),
+    }
+    rows = in_period(T, "dental_procedure", s).where(in_scope(s)).join(sets, "procedure_id")
+    counts = rows.groupBy(*UNIT_IDS).agg(
+        *[F.sum(F.when(base, F.col(counted))).alias(f"{name}_numerator") for name, (counted, base) in shares.items()],
+        *[F.count_if(base).alias(f"{name}_denominator") for name, (_, base) in shares.items()],
+    )
+    each = F.explode(F.array(*[
+        F.struct(
+            F.lit(name).alias("indicador"), F.col(f"{name}_numerator").alias("numerator"),
+            F.col(f"{name}_denominator").alias("denominator"),
+        ) for name in shares
+    ])).alias("r")
+    teams = named(counts.select(*UNIT_IDS, each).where("r.denominator > 0"), T, valid_only=True)
+    share = ratio(F.col("numerator"), F.col("denominator"))
+    return _valued(teams.select(*TEAM, "r.*"), {"b3": share, "b5": share, "b6": F.coalesce(share, F.lit(0.0))})
+
+
 def indicator_b4(T: Tables, s: Setting) -> DataFrame:
     """Participants in supervised brushing, against the children of 6 to 12 linked to the facility."""
     dental = s.codes.dentist_ids + s.codes.dental_technician_ids + s.codes.dental_assistant_ids

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.codes import BANDS, ENOUGH, GOOD, GREAT, REGULAR
-from carespan.functions.scalars import band, in_list, ratio
-from carespan.operators.ratio_indicators import first_dental_visits, in_period
+from carespan.functions.scalars import band, ratio
+from carespan.operators.ratio_indicators import access_and_contact_counts, first_dental_visits
 from carespan.operators.units import in_scope, named, unit_keys
 from carespan.setting import Setting
 from carespan.sources.tables import Tables
@@ -33,31 +33,6 @@ def first_visit_counts(T: Tables, s: Setting) -> DataFrame:
     return named(people, T).withColumn("denominator", F.lit(None).cast("long"))
 
 
-def _access_and_contact_counts(T: Tables, s: Setting) -> DataFrame:
-    """Team rows of C1 and M1 from one pass over the encounters, grouped by person first."""
-    by = {
-        "c1": in_list(F.col("occupation_id"), s.codes.med_nurse_ids),
-        "m1": in_list(F.col("occupation_id"), s.codes.multi_professional_ids),
-    }
-    scheduled = by["c1"] & in_list(F.col("visit_type_id"), s.codes.scheduled_visit_types)
-    events = in_period(T, "encounter", s).where((by["c1"] | by["m1"]) & in_scope(s))
-    per_person = unit_keys(events, T).groupBy(*UNIT_IDS, "person_id").agg(
-        F.count_if(scheduled).alias("scheduled"), F.count_if(by["c1"]).alias("access"),
-        F.count_if(by["m1"]).alias("contacts"),
-    )
-    met = (F.col("contacts") > 0) & F.col("person_id").isNotNull()
-    counts = per_person.groupBy(*UNIT_IDS).agg(
-        *[F.sum(c).alias(c) for c in ("scheduled", "access", "contacts")], F.count_if(met).alias("people"),
-    )
-    rows = F.explode(F.array(
-        F.struct(F.lit("c1").alias("indicador"), F.col("scheduled").alias("numerator"), F.col("access").alias("denominator"), F.col("access").alias("events")),
-        F.struct(F.lit("m1").alias("indicador"), F.col("contacts").alias("numerator"), F.col("people").alias("denominator"), F.col("contacts").alias("events")),
-    )).alias("r")
-    return named(counts.select(*UNIT_IDS, rows), T).where("r.events > 0").select(
-        "r.indicador", "unidade_saude", "cnes", "r.numerator", "r.denominator"
-    )
-
-
 def city_summary(T: Tables, s: Setting) -> DataFrame:
     """Units and the city for C1, B1 and M1.
 
@@ -71,7 +46,7 @@ def city_summary(T: Tables, s: Setting) -> DataFrame:
     value = F.when(F.col("indicador") == "c1", ratio(num, den, empty=0)).when(
         F.col("indicador") == "m1", ratio(num, den, scale=1, empty=0)
     )
-    units = _access_and_contact_counts(T, s).unionByName(first).groupBy("indicador", "unidade_saude").agg(
+    units = access_and_contact_counts(T, s).where("indicador <> 'm2'").select(*first.columns).unionByName(first).groupBy("indicador", "unidade_saude").agg(
         F.max("cnes").alias("cnes"), F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"),
     ).withColumn("value", value)
     label = F.lit(None).cast("string")

@@ -27,7 +27,9 @@ INDICATORS = {
 # Indicators that share their pass over the events when several are asked for.
 TOGETHER = {
     ("c4", "c5", "c6"): practice.yearly_indicators,
+    ("c1", "m1", "m2"): ratios.access_and_contact_indicators,
     ("m1", "m2"): ratios.contact_indicators,
+    ("b3", "b5", "b6"): ratios.dental_shares,
 }
 
 
@@ -42,7 +44,7 @@ def indicator_parts(T: Tables, s: Setting, names=tuple(INDICATORS)) -> list[Data
     """The named indicators in the shape all share, in as few tables as their passes allow."""
     left, parts = list(names), []
     for group, build in TOGETHER.items():
-        if len(set(group) & set(left)) > 1:
+        if group[0] in left and len(set(group) & set(left)) > 1:
             rows = build(T, s)
             parts.append(_long(rows.where(F.col("indicador").isin(*left)), s))
             left = [n for n in left if n not in group]
