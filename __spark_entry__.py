@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -12,7 +13,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from carespan.operators import benefits, cohorts, listing, population, quality, rollups, units  # noqa: E402
+from carespan.operators import benefits, cohorts, listing, population, quality, rollups, series, units  # noqa: E402
 from carespan.operators.outreach import OUTREACH, access_gap, outreach_b1, outreach_list  # noqa: E402
 from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_columns  # noqa: E402
 from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all, service_rows  # noqa: E402
@@ -84,6 +85,14 @@ def _benefit_list(T, s) -> BenefitList:
     return _lists[id(T)][1]
 
 
+ENDS = (date(2000, 8, 31), date(2000, 12, 31), date(2001, 3, 15), date(2001, 7, 31))
+MONTH_ENDS = tuple(date(y, m, 1) - timedelta(days=1) for y in (1999, 2000, 2001) for m in range(1, 13))[8:32]
+
+
+def _days(T, days) -> DataFrame:
+    return T["person"].sparkSession.createDataFrame([(d,) for d in days], "dia date")
+
+
 # query name -> function of (tables, setting)
 BUILDS = {
     **{f"ind_{name}": build for name, build in INDICATORS.items()},
@@ -115,6 +124,8 @@ BUILDS = {
     "indicator_long": indicator_long,
     "band_distribution": lambda T, s: rollups.band_distribution(indicator_long(T, s)),
     **{f"practice_flags_{n}": (lambda T, s, n=n: _flags(n, T, s)) for n in PERSON_PRACTICES},
+    "series_yearly": lambda T, s: series.yearly_series(T, s, ENDS),
+    "series_population": lambda T, s: series.population_series(T, s, _days(T, MONTH_ENDS)),
     # the options of operators above
     "ind_c4_integer_gap": lambda T, s: INDICATORS["c4"](T, s.but(gap_mode="yyyymmdd")),
     "ind_c1_period": lambda T, s: INDICATORS["c1"](T, s.but(period=period_bounds("2000-08-01", "2001-07-31"))),

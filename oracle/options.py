@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.base import LINKED, PERIOD, TEAM
-from oracle.indicators import PRACTICE_PARTS, b3, b4, c1, c3, c4, c7, m2
+from oracle.base import END, LINKED, PERIOD, TEAM
+from oracle.indicators import PRACTICE_PARTS, b3, b4, c1, c3, c4, c5, c6, c7, m2
 from oracle.people import cns_quality, conditions, facilities, foreigners, homeless
 from oracle.worklists import CONTACT, o_c1
 
@@ -106,7 +106,34 @@ def as_json():
     return parts, f"""SELECT '{{"id":' || id || ',"nome":"' || nome || '","cnes":"' || cnes || '"}}' AS json FROM ({select}) AS q"""
 
 
+ENDS = ("2000-08-31", "2000-12-31", "2001-03-15", "2001-07-31")
+
+
+def series_yearly():
+    """C4, C5 and C6 once for each end of a period."""
+    each = []
+    for end in ENDS:
+        for name, make in (("c4", c4), ("c5", c5), ("c6", c6)):
+            parts, select = make()
+            text = f"WITH {', '.join(parts)} {select}".replace(END, f"DATE '{end}'")
+            each.append(f"SELECT DATE '{end}' AS fim, '{name}' AS indicador, {TEAM}, numerator, denominator, value, classificacao FROM ({text}) AS q")
+    return [], " UNION ALL ".join(each)
+
+
+def series_population():
+    """Linked people of each team at 24 month ends."""
+    return [f"""days AS (SELECT CAST(last_day(d) AS DATE) AS dia FROM generate_series(DATE '1999-08-01', DATE '2001-07-01', INTERVAL 1 MONTH) AS g(d))"""], f"""
+      SELECT dia, unidade_saude, cnes, no_equipe, nu_ine, count(DISTINCT person_id) AS pessoas FROM (
+        SELECT d.dia, p.person_id, f.facility_name AS unidade_saude, f.cnes, t.team_name AS no_equipe, t.ine AS nu_ine, t.team_id IS NULL AS unknown
+        FROM days AS d JOIN person_link AS l ON l.valid_from <= d.dia AND l.facility_valid_to > d.dia AND l.facility_id < 20
+        JOIN registration AS r ON r.registration_id = l.registration_id JOIN person AS p ON p.person_id = r.person_id
+        JOIN facility AS f ON f.facility_id = l.facility_id LEFT JOIN team AS t ON t.team_id = l.team_id
+        WHERE p.deceased = 0 AND (p.deleted IS NULL OR p.deleted = 0)) AS q
+      GROUP BY dia, unidade_saude, cnes, no_equipe, nu_ine, unknown"""
+
+
 OPTIONS = {
+    "series_yearly": series_yearly, "series_population": series_population,
     **{f"practice_flags_{name}": (lambda name=name: _practices(name)) for name in PRACTICE_PARTS},
     "ind_c4_integer_gap": integer_gap, "quality_cns_strict": strict, "outreach_b1_by_person": by_person,
     "outreach_c1_team": one_team, "benefit_page_unit": unit_page,
