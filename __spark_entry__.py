@@ -7,6 +7,7 @@ import sys
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
+from inspect import signature
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -17,7 +18,7 @@ from carespan.operators import benefits, cohorts, listing, population, quality,
 from carespan.operators.outreach import OUTREACH, access_gap, outreach_b1, outreach_list  # noqa: E402
 from carespan.operators.practice_indicators import PERSON_PRACTICES, practice_columns  # noqa: E402
 from carespan.plans.catalog import INDICATORS, indicator_long, outreach_all, service_rows  # noqa: E402
-from carespan.plans import marts  # noqa: E402
+from carespan.plans import contact_months, marts  # noqa: E402
 from carespan.plans.benefit_list import BenefitList, write_benefit_list  # noqa: E402
 from carespan.session import drop_at_end, shared_folder, tune  # noqa: E402
 from carespan.setting import period_bounds  # noqa: E402
@@ -213,8 +214,23 @@ def _declared_mart(spark, path):
     return spark.read.table(f"{database}.inconsistencias")
 
 
-# query name -> (function that writes the mart under a path, function that reads it back)
+def _contact_months(T, s, path):
+    """Monthly states of contacts, first for an earlier state of the source, then refreshed."""
+    published = Published(T["person"].sparkSession, path)
+    for state in (earlier(T), T):
+        contact_months.refresh_contact_months(state, s, published)
+    return path
+
+
+def _from_months(read) -> Callable:
+    return _contact_months, lambda spark, path, T: read(Published(spark, path), T, SETTING, 200008, 200107)
+
+
+# query name -> (function that writes the mart under a path, function that reads it back, with the tables if it takes them)
 MARTS = {
+    "months_m1": _from_months(contact_months.contacts_between),
+    "months_b1": _from_months(contact_months.first_visits_between),
+    "months_city": _from_months(lambda published, T, *rest: contact_months.people_between(published, *rest)),
     "mart_foreigners": (marts.write_foreigners, None),
     "mart_indicators": (marts.write_indicators, None),
     "mart_person_practices": (marts.write_person_practices, _practices_read),
@@ -255,7 +271,10 @@ def _written(write, read) -> Callable[[SparkSession, str], DataFrame]:
         root = shared_folder(spark)
         path = write(_tables(spark, sf_dir), SETTING, root)
         drop_at_end(spark, root)
-        return read(spark, path) if read else spark.read.parquet(path)
+        if read is None:
+            return spark.read.parquet(path)
+        takes_tables = len(signature(read).parameters) == 3
+        return read(spark, path, _tables(spark, sf_dir)) if takes_tables else read(spark, path)
 
     return run
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle.base import AS_OF, half_up
-from oracle.indicators import PRACTICE_PARTS
+from oracle.base import AS_OF, PERIOD, half_up
+from oracle.indicators import PRACTICE_PARTS, b1, m1
 from oracle.people import IN_FORCE, LIVE, documents, duplicates, foreigners_detail, stale
 from oracle.worklists import _merged, indicator_long, outreach_all
 
@@ -145,7 +145,15 @@ def lake_changes():
     return parts, " UNION ALL ".join(selects)
 
 
+def months_city():
+    return [], f"""SELECT 'contato' AS tipo, count(*) AS numerator, CAST(count(DISTINCT person_id) AS BIGINT) AS people FROM encounter
+        WHERE occupation_id IN (1, 2) AND facility_id < 20 AND event_date {PERIOD}
+      UNION ALL SELECT 'primeira', count(*), count(DISTINCT person_id) FROM dental_procedure
+        WHERE occupation_id = 5 AND procedure_id = 18 AND facility_id < 20 AND event_date {PERIOD}"""
+
+
 MARTS = {
+    "months_m1": m1, "months_b1": b1, "months_city": months_city,
     **{f"lake_{name}": (lambda name=name: ([], f"SELECT * FROM {name}")) for name in FACTS}, "lake_changes": lake_changes,
     "mart_encounters_refresh": encounters, "mart_declared": inconsistencies,
     "mart_foreigners": foreigners, "mart_indicators": indicators, "mart_person_practices": person_practices,
