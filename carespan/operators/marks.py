@@ -69,13 +69,27 @@ def stacked(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def events_of(people: DataFrame, events: DataFrame) -> DataFrame:
-    """Join people (one or few rows each) with their events.
+def events_of(people: DataFrame, *events: DataFrame, heavy: tuple[int, ...] | None = None) -> DataFrame:
+    """Join people (one or few rows each) with their events, whose tables are stacked.
 
-    The key is the person in a struct, so that neither side's layout serves: both reach the join through
-    exchanges of their own, which is what the session's skew rule can split where a person has very
-    many events. What is left, the events of the people asked for, is then combined in map tasks.
+    Where nobody looked for heavy people, the key is the person in a struct, so that neither side's layout serves:
+    both reach the join through exchanges of their own, which is what the session's skew rule can split where a
+    person has very many events.
+
+    Where the heavy people are known, all others join by the plain key, table by table, so events that are
+    bucketed by person stay where they are; only events of the named people take the way through exchanges.
+    Either way the events of the people asked for are then combined in map tasks.
     """
+    if heavy is None:
+        return _split_join(people, stacked(*events))
+    named = F.col("person_id").isin(*heavy) if heavy else F.lit(False)
+    parts = [e.where(F.col("person_id").isNotNull() & ~named).join(people, "person_id") for e in events]
+    if heavy:
+        parts.append(_split_join(people.where(named), stacked(*[e.where(named) for e in events])))
+    return stacked(*parts)
+
+
+def _split_join(people: DataFrame, events: DataFrame) -> DataFrame:
     named = events.where(F.col("person_id").isNotNull()).withColumn("who", F.struct("person_id"))
     who = people.withColumn("who", F.struct("person_id")).drop("person_id")
     return named.join(who, "who").drop("who")

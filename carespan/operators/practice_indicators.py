@@ -328,7 +328,7 @@ def practices_c2(T: Tables, s: Setting) -> DataFrame:
         return F.exists("births", lambda b: (day >= b) & (day <= F.date_add(b, days)))
 
     lived = (
-        events_of(births, stacked(encounters, visits, procedures, doses))
+        events_of(births, encounters, visits, procedures, doses, heavy=T.heavy_people)
         .withColumns({"first_month": flag(by_age(30)), "half_year": flag(by_age(180))})
         .groupBy("person_id", "event_date").agg(
             *[F.sum(k).alias(k) for k in kinds],
@@ -429,10 +429,9 @@ def practices_c3(T: Tables, s: Setting) -> DataFrame:
     ).where("dental_team").select("person_id", "event_date", F.lit(1).alias("dental"))
     kinds = ("seen", "visited", "pressure", "weighed", "test1", "test3", "dtpa", "dental")
     dates = ["start_date", "puerperium_start", "puerperium_end", "pregnant_until"]
-    events = stacked(encounters, visits, procedures, doses, dental)
-    days = events_of(cohort.select(*keys, *dates), events).groupBy(*keys, *dates, "event_date").agg(
-        *[F.sum(k).alias(k) for k in kinds]
-    )
+    events = (encounters, visits, procedures, doses, dental)
+    lived = events_of(cohort.select(*keys, *dates), *events, heavy=T.heavy_people)
+    days = lived.groupBy(*keys, *dates, "event_date").agg(*[F.sum(k).alias(k) for k in kinds])
 
     day, begin = F.col("event_date"), F.col("start_date")
     until = F.col("pregnant_until")

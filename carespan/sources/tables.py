@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame
 
 
 class Tables(Mapping):
-    """Canonical tables by name. A table is opened at first use, so a query opens only what it reads."""
+    """Canonical tables by name. A table is opened at first use, so a query opens only what it reads.
 
-    def __init__(self, openers: Mapping[str, DataFrame | Callable[[], DataFrame]]):
+    ``heavy_people`` names the people with a large share of an event table, where that is known; None says
+    that nobody looked. Joins of people with their events treat them apart.
+    """
+
+    def __init__(
+        self, openers: Mapping[str, DataFrame | Callable[[], DataFrame]], heavy_people: tuple[int, ...] | None = None,
+    ):
         self._openers = dict(openers)
         self._opened: dict[str, DataFrame] = {}
+        self.heavy_people = heavy_people
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._opened:
@@ -28,4 +35,4 @@ class Tables(Mapping):
 
     def replacing(self, **tables: DataFrame) -> "Tables":
         """The same set with some tables exchanged."""
-        return Tables({**self._openers, **tables})
+        return Tables({**self._openers, **tables}, self.heavy_people)
