@@ -23,6 +23,7 @@ from carespan.plans.benefit_list import BenefitList, write_benefit_list  # noqa:
 from carespan.session import drop_at_end, shared_folder, tune  # noqa: E402
 from carespan.setting import period_bounds  # noqa: E402
 from carespan.plans.mart_tables import switch_catalog  # noqa: E402
+from carespan.plans.search_index import write_search_list  # noqa: E402
 from carespan.sources import changes  # noqa: E402
 from carespan.sources.derived import SETTING, earlier, open_derived, operational_reader  # noqa: E402
 from carespan.sources.lake import open_lake, write_lake  # noqa: E402
@@ -90,6 +91,24 @@ ENDS = (date(2000, 8, 31), date(2000, 12, 31), date(2001, 3, 15), date(2001, 7,
 MONTH_ENDS = tuple(date(y, m, 1) - timedelta(days=1) for y in (1999, 2000, 2001) for m in range(1, 13))[8:32]
 
 
+_searches: dict[tuple, tuple] = {}
+
+
+def _search_list(name, T, s):
+    """A list that is searched often: written once with its postings, then read by candidates."""
+    build, columns = {
+        "foreigners": (cohorts.foreigner_cohort, ("nome", "unidade_saude", "pais_origem")),
+        "benefits": (benefits.benefit_conditions, ("nome_esus", "cpf", "cns")),
+    }[name]
+    if (name, id(T)) not in _searches:
+        rows = build(T, s)
+        path = shared_folder(rows.sparkSession)
+        found = write_search_list(rows, path, rows.columns[0], columns)
+        drop_at_end(rows.sparkSession, path)
+        _searches[name, id(T)] = (T, found)
+    return _searches[name, id(T)][1]
+
+
 def _days(T, days) -> DataFrame:
     return T["person"].sparkSession.createDataFrame([(d,) for d in days], "dia date")
 
@@ -142,6 +161,8 @@ BUILDS = {
     # what a reader does with a list
     "list_unit_filter": lambda T, s: listing.filter_unit(INDICATORS["c1"](T, s), "000001"),
     "list_search": lambda T, s: listing.search_rows(cohorts.foreigner_cohort(T, s), "rn c"),
+    "search_foreigners": lambda T, s: _search_list("foreigners", T, s).search("rn c"),
+    "search_benefits": lambda T, s: _search_list("benefits", T, s).search("00001"),
     "list_sorted": lambda T, s: listing.sort_rows(cohorts.homeless_cohort(T, s), "unidade_saude", True),
     "list_ordered": lambda T, s: listing.ordered(INDICATORS["b3"](T, s), "unidade_saude", "no_equipe"),
     "list_sorted_places": lambda T, s: _by_unit_descending(cohorts.homeless_cohort(T, s)),

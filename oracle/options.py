@@ -73,6 +73,12 @@ def search():
     return parts, f"SELECT * FROM ({select}) AS q WHERE {named}"
 
 
+def search_benefits():
+    parts, select = conditions()
+    named = " OR ".join(f"coalesce({c}, '') ILIKE '%00001%'" for c in ("nome_esus", "cpf", "cns"))
+    return parts, f"SELECT * FROM ({select}) AS q WHERE {named}"
+
+
 def masked():
     parts, select = homeless()
 
@@ -139,7 +145,7 @@ OPTIONS = {
     "outreach_c1_team": one_team, "benefit_page_unit": unit_page,
     "benefit_page_number": lambda: numbered_page(20, 40), "benefit_page_number_unit": lambda: numbered_page(5, 5, NATION_1),
     "benefit_totals_unit": unit_totals, "benefit_list": conditions, "list_unit_filter": unit_filter,
-    "list_search": search, "list_sorted": homeless, "list_ordered": b3, "list_masked": masked,
+    "list_search": search, "search_foreigners": search, "search_benefits": search_benefits, "list_sorted": homeless, "list_ordered": b3, "list_masked": masked,
     "list_json": as_json, "ind_c1_period": c1, "lake_b4": b4,
     "list_sorted_places": lambda: _places(homeless, "unidade_saude", descending=True),
     "list_ordered_places": lambda: _places(b3, "unidade_saude", "no_equipe"),
