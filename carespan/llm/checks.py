@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from carespan.llm import mixing, pii, quality_rules, secret_scan
+from carespan.llm import mixing, quality_rules, secret_scan
 
 WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -133,15 +133,9 @@ def _private() -> str:
     digit = "CAST(substr(digits, len(digits) - i, 1) AS INTEGER)"
     luhn = f"""list_sum(list_transform(range(0, len(digits)), lambda i: CASE WHEN i % 2 = 0 THEN {digit}
       WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0"""
-    word, edges = "[^\\x20\\x09-\\x0D]+", _quoted(pii.EDGES)
-    near = " UNION ALL ".join(
-        f"""SELECT row, kind, value, line, {shift} AS shift, regexp_extract_all({part}, '{word}') AS ms, string_split_regex({part}, '{word}') AS ps,
-          {first} AS first, {last} AS last FROM lines""" for part, shift, first, last in (
-            ("head", "a - len(head)", f"greatest(len(regexp_extract_all(head, '{word}')) - {pii.WINDOW_WORDS - 1}, 1)", f"len(regexp_extract_all(head, '{word}'))"),
-            ("tail", "b", "1", f"least({pii.WINDOW_WORDS}, len(regexp_extract_all(tail, '{word}')))"),
-        )
-    )
-    every = (*kinds, *pii.VERDICTS)
+    word = "[^\\x20\\x09-\\x0D]+"
+    edges = _quoted(".,;:!?\"'()[]{}<>|*#$%&")
+    every = (*kinds, "term", "broad")
     return f"""WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
 m AS ({found}),
 o AS (SELECT row, text, place, kind, ms[i] AS hit, regexp_replace(ms[i], '[^0-9]', '', 'g') AS digits, {at} AS a
@@ -149,21 +143,26 @@ o AS (SELECT row, text, place, kind, ms[i] AS hit, regexp_replace(ms[i], '[^0-9]
 base AS (SELECT *, a + len(hit) AS b FROM o WHERE CASE kind WHEN 'email' THEN true
     WHEN 'ip' THEN len(list_filter(string_split(hit, '.'), lambda p: len(ltrim(p, '0')) > 3 OR CAST('0' || right(ltrim(p, '0'), 3) AS INTEGER) > 255)) = 0
     WHEN 'card' THEN len(digits) BETWEEN 12 AND 19 AND {luhn} ELSE len(digits) BETWEEN 9 AND 15 END),
-lines AS (SELECT row, kind, a, b, CASE kind WHEN 'email' THEN lower(hit) WHEN 'ip' THEN hit ELSE digits END AS value,
-    regexp_extract(substr(text, 1, a), '[^\\n]*$') AS head, regexp_extract(substr(text, b + 1), '^[^\\n]*') AS tail, head || hit || tail AS line FROM base),
-beside AS ({near}),
-words AS (SELECT row, kind || ':' || value AS entity, line, ms[i] AS w, shift + {at} AS x
-  FROM beside, LATERAL (SELECT unnest(range(first, last + 1)) AS i)),
-near AS (SELECT row, entity, line, {LOWER.format(f"trim(w, {edges})")} AS term, x + len(w) - len(ltrim(w, {edges})) AS a, a + len(trim(w, {edges})) AS b
-  FROM words WHERE len(trim(w, {edges})) >= {pii.MIN_TERM_CHARS}
+found AS (SELECT row, a, place, kind || ':' || CASE kind WHEN 'email' THEN lower(hit) WHEN 'ip' THEN hit ELSE digits END AS entity,
+    regexp_extract(substr(text, 1, a), '[^\\n]*$') || hit || regexp_extract(substr(text, b + 1), '^[^\\n]*') AS line FROM base),
+held AS (SELECT row, entity, arg_min(line, a * 10 + place) AS line FROM found GROUP BY row, entity),
+cut AS (SELECT row, regexp_extract_all(text, '{word}') AS ms, string_split_regex(text, '{word}') AS ps FROM d WHERE row IN (SELECT row FROM base)),
+words AS (SELECT row, ms[i] AS w, {at} AS x FROM cut, LATERAL (SELECT unnest(range(1, len(ms) + 1)) AS i)),
+near AS (SELECT row, {LOWER.format(f"trim(w, {edges})")} AS term, x + len(w) - len(ltrim(w, {edges})) AS a,
+    x + len(w) - len(ltrim(w, {edges})) + len(trim(w, {edges})) AS b
+  FROM words WHERE len(trim(w, {edges})) > 0
     AND NOT EXISTS (SELECT 1 FROM base AS e WHERE e.row = words.row AND e.a < words.x + len(words.w) AND words.x < e.b)),
-pairs AS (SELECT entity, term, count(DISTINCT row) AS n_both FROM near GROUP BY entity, term HAVING count(DISTINCT line) >= {pii.MIN_LINES}),
-entities AS (SELECT entity, count(DISTINCT row) AS n_entity FROM near GROUP BY entity),
-held AS (SELECT term, count(*) AS n_term FROM (SELECT DISTINCT row, {LOWER.format(f"trim(w, {edges})")} AS term FROM d, LATERAL (SELECT unnest({WORDS.format('text')}) AS w)) AS t GROUP BY term),
-risky AS (SELECT entity, term, ln(n_both * n / (n_term * n_entity)) / ln(n / n_entity) AS disclosed
-  FROM pairs JOIN entities USING (entity) JOIN held USING (term), (SELECT CAST(count(*) AS DOUBLE) AS n FROM d) AS t WHERE n > n_entity),
-more AS (SELECT row, a, min(CASE WHEN disclosed >= {pii.REMOVE_AT} THEN 4 ELSE 5 END) AS place, b
-  FROM near JOIN risky USING (entity, term) WHERE disclosed >= {pii.GENERALISE_AT} GROUP BY row, a, b),
+met AS (SELECT DISTINCT row, term FROM near),
+counts AS (SELECT CAST((SELECT count(*) FROM d) AS DOUBLE) AS n, CAST((SELECT count(*) FROM held JOIN met USING (row)) AS DOUBLE) AS trials),
+owners AS (SELECT entity, count(*) AS n_entity, count(DISTINCT line) AS n_entity_lines FROM held GROUP BY entity),
+pairs AS (SELECT entity, term, count(*) AS n_both, count(DISTINCT line) AS n_lines FROM held JOIN met USING (row) GROUP BY entity, term),
+everywhere AS (SELECT term, count(*) AS n_term FROM (SELECT DISTINCT row, {LOWER.format(f"trim(w, {edges})")} AS term FROM d, LATERAL (SELECT unnest({WORDS.format('text')}) AS w)) AS t GROUP BY term),
+shares AS (SELECT *, n_lines / n_entity_lines AS hit, n_term / n AS share FROM pairs JOIN owners USING (entity) JOIN everywhere USING (term), counts),
+risky AS (SELECT entity, term, ln(n_both * n / (n_term * n_entity)) / ln(n / n_entity) AS disclosed FROM shares
+  WHERE n > n_entity AND hit > share AND trials * exp(-n_entity_lines * (hit * ln(hit / share)
+    + CASE WHEN hit < 1 THEN (1 - hit) * ln((1 - hit) / (1 - share)) ELSE 0 END)) <= 0.05),
+more AS (SELECT near.row, near.a, min(CASE WHEN disclosed >= 0.9 THEN 4 ELSE 5 END) AS place, near.b
+  FROM near JOIN held USING (row) JOIN risky USING (entity, term) WHERE disclosed >= 0.6 GROUP BY near.row, near.a, near.b),
 spans AS (SELECT row, a, place, b, kind FROM base UNION ALL SELECT row, a, place, b, CASE place WHEN 4 THEN 'term' ELSE 'broad' END FROM more),
 joined AS (SELECT row, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place, b) AS spans,
     string_agg(CASE WHEN place < 4 THEN kind || ':' || a || ':' || b END, ',' ORDER BY a, place, b) AS base,

@@ -4,16 +4,23 @@ Entities are found by pattern in every whole text. What a term discloses of an e
 the corpus: pointwise mutual information of term and entity over the information content of the
 entity, from the numbers of documents that hold each and both, wherever they stand there. It is 1 for a
 term that occurs only with the entity and 0 for one that is independent of it. A rare word meets some
-entity by chance, so a pair must also be unlikely among all the terms of its entity. Terms that disclose
-too much are removed in every document that holds the entity, those that disclose much are generalised.
+entity by chance, so a pair must also be unlikely among all pairs of an entity and a term that meet in the
+corpus. Terms that disclose too much are removed in every document that holds the entity, those that disclose
+much are generalised.
+
+What cannot pass this test is left out before pairs are made, with no pair lost: an entity needs a number of
+distinct lines, and a term a number of documents, below which even meeting each time is no evidence among so many
+pairs; a term in too many documents tells too little of any entity. The bounds follow from the counts of the corpus.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -27,13 +34,9 @@ KINDS = ("email", "ip", "card", "phone")
 VERDICTS = ("term", "broad")
 REMOVE_AT = 0.9
 GENERALISE_AT = 0.6
-MAX_CHANCE = 0.05  # of a pair as close among all terms of the entity, if they were dealt at random
+MAX_CHANCE = 0.05  # of a pair as close among all that meet, if terms were dealt at random
 FLUSH_TERMS = 100_000
-
-# Read by the DuckDB text only, whose terms are those near an entity in two lines or more.
-WINDOW_WORDS = 6
-MIN_TERM_CHARS = 4
-MIN_LINES = 2
+SLACK = 1 + 1e-9  # so that rounding leaves no pair out
 
 # The patterns of the base kinds. Digit runs are taken whole, so none is tried twice.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -95,7 +98,7 @@ def term_of(word: str) -> str:
 
 
 def entities(text: str, spans: list[tuple[int, int, int]]) -> dict[str, int]:
-    """The entities of a text, each with the least of the hashes of the lines it stands in."""
+    """The entities of a text, each with the hash of the first line it stands in."""
     found: dict[str, int] = {}
     hashes: dict[int, tuple[int, int]] = {}  # start of a line -> its end and hash
     for start, kind, end in spans:
@@ -108,7 +111,7 @@ def entities(text: str, spans: list[tuple[int, int, int]]) -> dict[str, int]:
             hashes[left] = right, line
         value = text[start:end] if kind == 0 else _NOT_DIGIT.sub("." if kind == 1 else "", text[start:end])
         entity = hashlib.sha256(f"{KINDS[kind]}:{value.lower()}".encode()).hexdigest()[:32]
-        found[entity] = min(line, found.get(entity, line))
+        found.setdefault(entity, line)
     return found
 
 
@@ -136,14 +139,15 @@ def _scan():
         digest = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
         base = [{"start": a, "place": k, "end": b, "kind": KINDS[k]} for a, k, b in spans]
         held = [{"entity": e, "line": line} for e, line in entities(text, spans).items()]
-        return (*[counts[k] for k in range(4)], hashlib.sha256(digest.encode()).hexdigest(), base, held)
+        met = len({t for t, _, _ in terms(text, spans)}) if spans else 0
+        return (*[counts[k] for k in range(4)], hashlib.sha256(digest.encode()).hexdigest(), base, held, met)
 
     return lambda texts: [one(t) for t in texts]
 
 
 FOUND = (
     "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string,"
-    f" base array<{SPAN}>, held array<struct<entity:string,line:bigint>>"
+    f" base array<{SPAN}>, held array<struct<entity:string,line:bigint>>, n_met bigint"
 )
 PAIRS = "entity string, line bigint, term string, n bigint"
 MARKS = "row_key bigint, entity string, term string, start bigint, end bigint"
@@ -153,8 +157,44 @@ def pair_key(entity: str, term: str) -> int:
     return xxhash.xxh64_intdigest(entity + term, 42)
 
 
-def _pair_scan():
-    """(entity, line, term, documents of the task that hold them) of all terms of texts with an entity."""
+def text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text, 42)
+
+
+def _texts_with(batches, rows: bytes | None):
+    """(text, spans) of the rows that a bitmap names (all, without one) and that hold an entity."""
+    for batch in batches:
+        for part in portions(batch, 1):
+            for key, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if rows is None or is_named(rows, key & (1 << 64) - 1):
+                    text = raw.decode()
+                    spans = base_spans(text)
+                    if spans:
+                        yield text, spans
+
+
+def _met_scan(rows: bytes | None):
+    """Hashes of the terms of these rows, those of a task without repeats up to a bound."""
+
+    def run(batches):
+        seen: set[int] = set()
+
+        def flush():
+            keys = np.array(list(seen), np.uint64).view(np.int64)
+            seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+
+        for text, spans in _texts_with(batches, rows):
+            seen.update(text_hash(t) for t, _, _ in terms(text, spans))
+            if len(seen) > FLUSH_TERMS:
+                yield flush()
+        yield flush()
+
+    return run
+
+
+def _pair_scan(rows: bytes | None, whom: bytes | None, what: bytes | None):
+    """(entity, line, term, documents of the task that hold them) of the entities and terms that bitmaps name."""
 
     def run(batches):
         counts = Counter()
@@ -166,26 +206,22 @@ def _pair_scan():
             counts.clear()
             return pa.RecordBatch.from_arrays(arrays, names=["entity", "line", "term", "n"])
 
-        for batch in batches:
-            for part in portions(batch, 0):
-                for raw in part.column(0).to_pylist():
-                    text = raw.decode()
-                    spans = base_spans(text)
-                    if not spans:
-                        continue
-                    words = {t for t, _, _ in terms(text, spans)}
-                    for entity, line in entities(text, spans).items():
-                        for term in words:
-                            counts[entity, line, term] += 1
-                        if len(counts) > FLUSH_TERMS:
-                            yield flush()
+        for text, spans in _texts_with(batches, rows):
+            own = [(e, line) for e, line in entities(text, spans).items() if whom is None or is_named(whom, text_hash(e))]
+            words = {t for t, _, _ in terms(text, spans)} if own else ()
+            words = [t for t in words if what is None or is_named(what, text_hash(t))]
+            for entity, line in own:
+                for term in words:
+                    counts[entity, line, term] += 1
+                if len(counts) > FLUSH_TERMS:
+                    yield flush()
         yield flush()
 
     return run
 
 
-def _mark_scan(wanted: bytes):
-    """Places of the terms in texts that hold an entity of theirs, for pairs that a bitmap names."""
+def _mark_scan(wanted: bytes, chosen: bytes):
+    """Places of the terms in the chosen texts that hold an entity of theirs, for pairs that a bitmap names."""
 
     def run(batches):
         rows: list[tuple] = []
@@ -200,10 +236,10 @@ def _mark_scan(wanted: bytes):
         for batch in batches:
             for part in portions(batch, 1):
                 for key, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    if not is_named(chosen, key & (1 << 64) - 1):
+                        continue
                     text = raw.decode()
                     spans = base_spans(text)
-                    if not spans:
-                        continue
                     places: dict[str, list] = {}
                     for term, a, b in terms(text, spans):
                         places.setdefault(term, []).append((a, b))
@@ -253,43 +289,68 @@ def _term_scan(wanted: bytes):
     return run
 
 
-def _chance(n_lines, n_entity_lines, share, n_terms):
-    """Chernoff's bound on that many of the entity's lines meeting a term of that share, times the terms tried."""
+def _chance(n_lines, n_entity_lines, share, trials: float):
+    """Chernoff's bound on that many of the entity's lines meeting a term of that share, times the pairs tried."""
     miss, met = n_entity_lines - n_lines, n_lines / n_entity_lines
     far = n_lines * F.log(met / share) + F.when(miss > 0, miss * (F.log1p(-met) - F.log1p(-share))).otherwise(0.0)
-    return F.when(met > share, F.least(n_terms * F.exp(-far), F.lit(1.0))).otherwise(1.0)
+    return F.when(met > share, F.least(F.lit(trials) * F.exp(-far), F.lit(1.0))).otherwise(1.0)
+
+
+def least_lines(trials: float, total: float) -> int:
+    """The least number of lines that can be evidence among so many pairs, in a corpus of so many documents.
+
+    With k lines, all of which meet the term, a pair's chance is at least trials (k / total)^k, as the term
+    stands in k documents or more; lines that don't meet it only add to the chance. The bound falls up to
+    k = total / e, so below the first k that passes none can; from total / e on it says nothing.
+    """
+    k = 1
+    while k < total / math.e and trials * (k / total) ** k > MAX_CHANCE * SLACK:
+        k += 1
+    return k
 
 
-def disclosure(found: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+def disclosure(found: DataFrame, docs: DataFrame, text: str = "text", pruned: bool = True) -> DataFrame:
     """entity, term, n_both, n_term, n_entity, disclosed, chance of pairs that two lines or one unlikely one back.
 
-    Counts are of documents and taken over all of them: pairs in the documents that hold an entity, then
-    the documents of their terms in a second pass, thinned by a bitmap of bounded size. Every count is
-    combined in map tasks. `chance` counts distinct lines of the entity instead, as copies of one line
-    prove no more than one.
+    Counts are of documents and taken over all of them, and combined in map tasks. Entities come first, then
+    the documents of the terms that meet them (thinned by a bitmap of bounded size), then the pairs of entities
+    and terms within the bounds. `chance` counts distinct lines of the entity instead of documents, as copies
+    of one line prove no more than one. Without `pruned` all pairs are made.
     """
-    raw = docs.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw"))
-    each = raw.mapInArrow(_pair_scan(), PAIRS).groupBy("entity", "line", "term").agg(F.sum("n").alias("n"))
+    raw = docs.select(
+        F.xxhash64("doc_id", text).alias("row_key"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw")
+    )
+    near = found.where(F.size("held") > 0).select("row_key", F.explode("held").alias("c")).select("row_key", "c.*")
+    lines = near.groupBy("entity", "line").agg(F.count("*").alias("n"))
+    owners = settle(lines.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_entity_lines")))
+    sizes = found.agg(F.count("*"), F.sum(F.size("held") * F.col("n_met"))).first()
+    total, trials = float(max(sizes[0], 1)), float(sizes[1] or 0)
+    rows = whom = what = None
+    low, high = 1, total
+    if pruned:
+        low = least_lines(trials, total)
+        owners = settle(owners.where(F.col("n_entity_lines") >= low))
+        whom = key_bitmap(owners.select(F.xxhash64("entity").alias("key")), "key")
+        # a named entity's rows; the bitmap is of bounded size and names a few others, which bring no pair
+        rows = key_bitmap(near.join(owners.select("entity"), "entity", "left_semi").select("row_key"), "row_key")
+        most = owners.agg(F.max("n_entity")).first()[0] or 0
+        high = total ** (1 - GENERALISE_AT) * most ** GENERALISE_AT * SLACK
+    # terms of all rows with an entity are counted, as many as the corpus has, whatever the bounds let through
+    met = key_bitmap(raw.mapInArrow(_met_scan(key_bitmap(near.select("row_key"), "row_key")), "key bigint"), "key")
+    held = raw.select("raw").mapInArrow(_term_scan(met), "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_term"))
+    held = settle(held.where(F.col("n_term").between(low, high)) if pruned else held)
+    if pruned:
+        what = key_bitmap(held.select(F.xxhash64("term").alias("key")), "key")
+    each = raw.mapInArrow(_pair_scan(rows, whom, what), PAIRS).groupBy("entity", "line", "term").agg(F.sum("n").alias("n"))
+    # settled, so that the joins deal both sides anew and an entity with very many terms can be split
     pairs = settle(each.groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_lines")))
-    tried = pairs.groupBy("entity").agg(F.count("*").alias("n_terms"))
-    near = found.where(F.size("held") > 0).select(F.explode("held").alias("c")).select("c.*")
-    near = near.groupBy("entity", "line").agg(F.count("*").alias("n"))
-    owners = near.groupBy("entity").agg(F.sum("n").alias("n_entity"), F.count("*").alias("n_entity_lines"))
-    # settled, so that the join deals both sides anew and an entity with very many terms can be split
-    owners = settle(owners.join(tried, "entity"))
-    keys = pairs.select(F.xxhash64("term").alias("key"))
-    held = settle(raw.mapInArrow(_term_scan(key_bitmap(keys, "key")), "term string, n bigint").groupBy("term").agg(
-        F.sum("n").alias("n_term")
-    ))
-    total = F.lit(float(max(found.count(), 1)))
-    information = F.log(total / F.col("n_entity"))
+    information = F.log(F.lit(total) / F.col("n_entity"))
     mutual = F.log(F.col("n_both") * total / (F.col("n_term") * F.col("n_entity")))
-    share = F.col("n_term") / total
-    chance = _chance(F.col("n_lines"), F.col("n_entity_lines"), share, F.col("n_terms"))
+    chance = _chance(F.col("n_lines"), F.col("n_entity_lines"), F.col("n_term") / total, trials)
     rows = pairs.join(held, "term").join(owners, "entity").withColumns({
         "disclosed": F.when(information > 0, mutual / information), "chance": chance,
     })
-    return rows.where((F.col("n_lines") > 1) | (F.col("chance") <= MAX_CHANCE)).drop("n_lines", "n_entity_lines", "n_terms")
+    return rows.where((F.col("n_lines") > 1) | (F.col("chance") <= MAX_CHANCE)).drop("n_lines", "n_entity_lines")
 
 
 def _found(docs: DataFrame, text: str) -> DataFrame:
@@ -313,13 +374,15 @@ def pii_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     raw = docs.select(
         F.xxhash64("doc_id", text).alias("row_key"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("raw")
     )
-    marks = settle(raw.mapInArrow(_mark_scan(wanted), MARKS))
+    holders = found.select("row_key", F.explode("held.entity").alias("entity")).join(risky.select("entity").distinct(), "entity", "left_semi")
+    chosen = key_bitmap(holders.select("row_key"), "row_key")
+    marks = settle(raw.mapInArrow(_mark_scan(wanted, chosen), MARKS))
     marked = marks.join(risky, ["entity", "term"]).groupBy("row_key", "start", "end").agg(F.min("place").alias("place"))
     kind = F.when(F.col("place") == len(KINDS), VERDICTS[0]).otherwise(VERDICTS[1])
     more = marked.groupBy("row_key").agg(
         F.collect_list(F.struct("start", F.col("place").cast("int").alias("place"), "end", kind.alias("kind"))).alias("more")
     )
-    rows = found.drop("held").join(settle(more), "row_key", "left")
+    rows = found.drop("held", "n_met").join(settle(more), "row_key", "left")
     extra = F.coalesce("more", F.array().cast(f"array<{SPAN}>"))
 
     def count(name):

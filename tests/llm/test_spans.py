@@ -1,6 +1,7 @@
 """Secrets, personal data, licenses and token counts beside plain definitions."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -117,7 +118,7 @@ def test_disclosing_terms(spark):
 def test_disclosure_by_hand(spark):
     texts = ["Zebra a@b.cc", "Zebra c@d.ee Zebra a@b.cc x", "Zebra a@b.cc y"] + ["Zebra"] * 3 + ["none"] * 4
     found = pii._found(documents(spark, texts), "text")
-    rows = pii.disclosure(found, documents(spark, texts)).where("term = 'zebra'").collect()
+    rows = pii.disclosure(found, documents(spark, texts), pruned=False).where("term = 'zebra'").collect()
     by_count = {r["n_entity"]: r for r in rows}
     import math
 
@@ -157,8 +158,8 @@ def plain_marks(texts):
         own = {}
         for a, kind, b in spans:
             left, right = text.rfind("\n", 0, a) + 1, (text + "\n").find("\n", b)
-            own.setdefault((kind, text[a:b]), []).append(pii.xxhash.xxh3_64_intdigest(text[left:right]) - (1 << 63))
-        held.append({e: min(found) for e, found in own.items()})
+            own.setdefault((kind, text[a:b]), text[left:right])
+        held.append(own)
         words.append({})
         for m in re.finditer(r"[^\x20\x09-\x0D]+", text):
             core = m[0].strip(pii.EDGES)
@@ -166,6 +167,7 @@ def plain_marks(texts):
                 a = m.start() + m[0].index(core)
                 words[-1].setdefault(lower(core), []).append((a, a + len(core)))
     n, found = len(texts), {}
+    trials = sum(len(h) * len(w) for h, w in zip(held, words))
     for entity in {e for h in held for e in h}:
         docs = [i for i in range(n) if entity in held[i]]
         lines = {held[i][entity] for i in docs}
@@ -174,7 +176,7 @@ def plain_marks(texts):
             both, n_term = [i for i in docs if term in words[i]], sum(term in w for w in words)
             met, share = len({held[i][entity] for i in both}) / len(lines), n_term / n
             far = math.log(met / share) * met + (math.log((1 - met) / (1 - share)) * (1 - met) if met < 1 and share < 1 else 0)
-            chance = len(tried) * math.exp(-len(lines) * far) if met > share else 1
+            chance = trials * math.exp(-len(lines) * far) if met > share else 1
             if len(docs) < n and chance <= 0.05:
                 disclosed = math.log(len(both) * n / (n_term * len(docs))) / math.log(n / len(docs))
                 for i in both if disclosed >= 0.6 else ():
@@ -198,6 +200,37 @@ def test_terms_of_whole_documents(spark):
     assert not any(word in ("it", "more", "today") for _, word in shown)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_pruned_pairs_are_all_that_matter(spark, seed):
+    """Bounds on entities and terms leave out no pair that could be marked."""
+    rng = random.Random(seed)
+    people = [f"p{i}@mail.example.com" for i in range(8)]
+    texts = []
+    for i in range(300):
+        words = [rng.choice("abcdefgh") * rng.randint(1, 3) for _ in range(rng.randint(1, 12))]
+        if rng.random() < 0.2:
+            who = rng.choice(people)
+            words += [who, *([f"friend{people.index(who)}"] if rng.random() < 0.8 else [])]
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+    docs = documents(spark, texts)
+    found = pii._found(docs, "text")
+    whole, pruned = (
+        {tuple(r) for r in pii.disclosure(found, docs, pruned=p).where("chance <= 0.05 AND disclosed >= 0.6").collect()}
+        for p in (False, True)
+    )
+    assert whole == pruned and whole
+    got = rows_by(pii.pii_spans(docs))
+    assert {(i, s["kind"], s["start"], s["end"]) for i, r in got.items() for s in r["spans"] if s["kind"] in pii.VERDICTS} == plain_marks(texts)
+
+
+def test_no_mark_from_a_word_of_one_document(spark):
+    """Among many pairs, a word that stands nowhere else is no evidence."""
+    texts = [f"only w{i} knows p{i}@mail.example.com and x{i} of it" for i in range(60)] + ["and of it"] * 200
+    got = rows_by(pii.pii_spans(documents(spark, texts)))
+    assert not any(s["kind"] in pii.VERDICTS for r in got.values() for s in r["spans"])
+
+
 def test_one_line_may_disclose(spark):
     """An entity of one document gets its rare terms where the corpus is large beside that document."""
     texts = ["Quillfeather is q@mail.example.com now"] + ["now it is as it was"] * 199
