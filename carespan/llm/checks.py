@@ -79,7 +79,8 @@ rows AS (SELECT doc_id, w.lang, len(w) AS n_words, coalesce(CAST(list_sum(list_t
 failed AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.REPEAT_PERCENT} * n_words AS base_failed FROM rows)
 SELECT * EXCLUDE (class_chars, lang), NOT base_failed
   AND NOT coalesce(class_chars >= {q.MIN_CHARS_FOR_CLASSES} AND class_distance > {q.MAX_CLASS_DISTANCE}, false)
-  AND NOT coalesce(n_words >= {q.MIN_WORDS_FOR_COMMON} AND lang IS NOT NULL AND common_distance > {q.MAX_COMMON_DISTANCE}, false) AS kept FROM failed"""
+  AND NOT coalesce(n_words >= 40 AND lang IS NOT NULL
+    AND common_distance > sqrt(0.3 * 0.3 + 20 / (8 * ln(2)) * greatest(1.0 / n_words - 1.0 / 120, 0)), false) AS kept FROM failed"""
 
 
 def _similar() -> str:

@@ -364,9 +364,10 @@ def test_repeated_rows_and_groups(spark, awkward):
     assert kept.count(6) == 1 and 7 not in kept and None not in kept
 
 
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
 @pytest.mark.parametrize("name", sorted(TEXTS))
-def test_duckdb_text(spark, name):
-    assert difference(QUERIES[name](spark, SF), database(SF), TEXTS[name]) is None
+def test_duckdb_text(spark, name, sf):
+    assert difference(QUERIES[name](spark, sf), database(sf), TEXTS[name]) is None
 
 
 def test_only_native_operators(spark):
