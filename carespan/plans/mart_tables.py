@@ -110,7 +110,7 @@ def create_tables(spark: SparkSession, database: str, root: str) -> None:
         )
 
 
-def load_partitions(spark: SparkSession, database: str) -> None:
-    """Tell the catalog of the partitions that the batch jobs wrote."""
-    for name in PARTITIONS:
+def load_partitions(spark: SparkSession, database: str, names=tuple(PARTITIONS)) -> None:
+    """Tell the catalog of the partitions that the batch jobs wrote, of all marts or of some."""
+    for name in names:
         spark.catalog.recoverPartitions(f"{database}.{name}")

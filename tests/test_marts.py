@@ -144,7 +144,7 @@ def test_tables_declared_over_single_folders(spark, tmp_path):
         create_tables(spark, "single", str(tmp_path))  # nothing to do the second time
         marts.write_foreigners(T, S, f"{tmp_path}/fato_estrangeiros")
         marts.write_outreach(T, S, f"{tmp_path}/busca_ativa", ("c6", "b1"))
-        load_partitions(spark, "single")
+        load_partitions(spark, "single", ("fato_estrangeiros", "busca_ativa"))
         for name in ("fato_estrangeiros", "busca_ativa"):
             assert dict(spark.read.table(f"single.{name}").dtypes) == dict(spark.read.parquet(f"{tmp_path}/{name}").dtypes)
         assert spark.read.table("single.busca_ativa").where("condicao = 'b1'").count() == 1
