@@ -1,8 +1,9 @@
 """Operator 9: license notices by ordered signature rules.
 
-A rule is a regex over the text's words (lower-cased, joined by one space), a keyword without which it
-can't match, a label and a priority. Rules run only where their keyword occurs. Detections are taken by
-priority, then length; one that lies inside a taken detection is suppressed.
+A rule is a regex over the text's words (lower-cased, joined by one space), keywords of which one stands in
+all that it matches, a label and a priority. Rules run only where a keyword of theirs occurs. Detections are
+taken by priority, then length; one that lies inside a taken detection is suppressed. An identifier line may
+name several licenses; what follows its first one is read on as an expression.
 """
 
 from __future__ import annotations
@@ -63,17 +64,17 @@ LICENSES = {
     "lgpl-2.1": ("lesser general public", f"(?:gnu )?lesser general public {_LIC}{_V} ?2 1"),
     "lgpl-3.0": ("lesser general public", f"(?:gnu )?lesser general public {_LIC}{_V} ?3(?: 0)?"),
     "lgpl": ("general public", f"(?:gnu )?(?:lesser|library) general public {_LIC}"),
-    "mit": ("mit", f"(?:mit|expat)(?: x11)? {_LIC}"),
+    "mit": ("mit|expat|x11", f"(?:mit|expat|x11|mit x11|x11 mit) {_LIC}"),
     "mpl-1.1": ("mozilla public", f"mozilla public {_LIC}{_V} ?1(?: 1)"),
     "mpl-2.0": ("mozilla public", f"mozilla public {_LIC}{_V} ?2(?: 0)?"),
     "ms-pl": ("microsoft public", f"microsoft public {_LIC}"),
     "ncsa": ("ncsa", f"(?:university of illinois )?ncsa(?: open source)? {_LIC}"),
-    "odbl": ("open database", f"open (?:data commons )?(?:open )?database {_LIC}"),
+    "odbl": ("open database|open data commons", f"open (?:data commons )?(?:open )?database {_LIC}"),
     "ofl-1.1": ("open font", f"(?:sil )?open font {_LIC}(?:{_V} ?1(?: 1)?)?"),
     "osl-3.0": ("open software", f"open software {_LIC}{_V} ?3(?: 0)?"),
     "php": ("php", f"php {_LIC}"),
     "postgresql": ("postgresql", f"postgresql {_LIC}"),
-    "psf-2.0": ("python", f"python(?: software foundation)? {_LIC}"),
+    "psf-2.0": ("python software|psf", f"(?:python software foundation|psf) {_LIC}"),
     "sspl-1.0": ("server side public", f"server side public {_LIC}"),
     "unlicense": ("unlicense", "unlicense"),
     "upl-1.0": ("universal permissive", f"universal permissive {_LIC}"),
@@ -83,23 +84,95 @@ LICENSES = {
     "zpl-2.1": ("zope public", f"zope public {_LIC}(?:{_V} ?2(?: [01])?)?"),
 }
 
-# Notices by the words of their texts, label -> (keyword, pattern).
-NOTICES = {
-    "mit": ("permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy"),
-    "bsd": ("redistribution and use", "redistribution and use in source and binary forms with or without modification"),
-    "isc": ("permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose"),
-    "public-domain": ("public domain", "(?:in|into|to) the public domain"),
-    "all-rights-reserved": ("all rights reserved", "all rights reserved"),
-    "proprietary": ("proprietary", "proprietary and confidential"),
+_FAMILY = "(?: (?:only|or later))?"
+
+# Short names as people write them, label -> (keywords, pattern). Names that are words of other kinds, too,
+# count with a version or the word license only.
+SHORT = {
+    "agpl-3.0": ("agpl", f"agpl ?v?3(?: 0)?{_FAMILY}"),
+    "agpl": ("agpl", "(?:gnu )?agpl"),
+    "gpl-2.0": ("gpl", f"(?:gnu )?gpl ?v?2(?: 0)?{_FAMILY}"),
+    "gpl-3.0": ("gpl", f"(?:gnu )?gpl ?v?3(?: 0)?{_FAMILY}"),
+    "gpl": ("gpl", "(?:gnu )?gpl"),
+    "lgpl-2.1": ("lgpl", f"(?:gnu )?lgpl ?v?2 1{_FAMILY}"),
+    "lgpl-3.0": ("lgpl", f"(?:gnu )?lgpl ?v?3(?: 0)?{_FAMILY}"),
+    "lgpl": ("lgpl", "(?:gnu )?lgpl"),
+    "gfdl": ("gfdl", "(?:gnu )?gfdl"),
+    "apache-1.1": ("apache", "apache v?1 1"),
+    "apache-2": ("apache|asl", "(?:apache v?2(?: 0)?|asl ?v?2(?: 0)?|apache2)"),
+    "mpl-1.1": ("mpl", "mpl ?v?1 1"),
+    "mpl-2.0": ("mpl", "mpl ?v?2(?: 0)?"),
+    "epl-1.0": ("epl", "epl ?v?1 0"),
+    "epl-2.0": ("epl", "epl ?v?2 0"),
+    "eupl": ("eupl", "eupl(?: ?v?1 [12])?"),
+    "cddl-1.0": ("cddl", "cddl(?: ?v?1 [01])?"),
+    "bsl-1.0": ("bsl|boost", "(?:bsl|boost) ?v?1 0"),
+    "busl-1.1": ("busl|bsl", "(?:busl ?v?1 1|bsl 1 1)"),
+    "osl-3.0": ("osl", "osl ?v?3 0"),
+    "afl-3.0": ("afl", "afl ?v?3 0"),
+    "ofl-1.1": ("ofl", "(?:sil )?ofl(?: ?v?1 1| license)"),
+    "odbl": ("odbl", "odbl(?: ?v?1 0)?"),
+    "sspl-1.0": ("sspl", "sspl(?: ?v?1(?: 0)?)?"),
+    "wtfpl": ("wtfpl", "wtfpl"),
+    "bsd-2-clause": ("bsd", "bsd ?2"),
+    "bsd-3-clause": ("bsd", "bsd ?3"),
 }
 
+# Notices by the words of their texts, label -> (keywords, pattern).
+NOTICES = [
+    ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy"),
+    ("bsl-1.0", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person or organization obtaining a copy"),
+    ("bsd", "redistribution and use", "redistribution and use in source and binary forms with or without modification"),
+    ("bsd-3-clause", "neither the name of", "neither the name of (?:[^ ]+ ){1,12}nor the names of its contributors may be used to endorse"),
+    ("bsd-4-clause", "all advertising materials", "all advertising materials mentioning features or use of this software must display"),
+    ("isc", "permission to use copy modify", "permission to use copy modify and or distribute this software for any purpose"),
+    ("zlib", "any express or implied warranty", "provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("unlicense", "free and unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("apache-2", "except in compliance with the license", "you may not use this (?:file|work|software) except in compliance with the license"),
+    ("apache-2", "www apache org licenses", "www apache org licenses license 2 0"),
+    ("mpl-2.0", "source code form is subject", "this source code form is subject to the terms of the mozilla public license v ?2 0"),
+    ("mpl-2.0", "mozilla org mpl", "mozilla org mpl 2 0"),
+    ("epl-2.0", "www eclipse org legal epl", "www eclipse org legal epl (?:v20|2 0)"),
+    ("epl-1.0", "www eclipse org legal epl", "www eclipse org legal epl v10"),
+    ("gpl-3.0", "general public license as published", "gnu general public license as published by the free software foundation either version 3"),
+    ("gpl-2.0", "general public license as published", "gnu general public license as published by the free software foundation either version 2"),
+    ("lgpl-3.0", "lesser general public license as published", "gnu lesser general public license as published by the free software foundation either version 3"),
+    ("lgpl-2.1", "lesser general public license as published", "gnu lesser general public license as published by the free software foundation either version 2 1"),
+    ("agpl-3.0", "affero general public license as published", "gnu affero general public license as published by the free software foundation either version 3"),
+    ("wtfpl", "permitted to copy and distribute verbatim", "everyone is permitted to copy and distribute verbatim or modified copies"),
+    ("cc-by", "creativecommons org licenses by", "creativecommons org licenses by(?= [1-4] [05])"),
+    ("cc-by-sa", "creativecommons org licenses by sa", "creativecommons org licenses by sa"),
+    ("cc-by-nc", "creativecommons org licenses by nc", "creativecommons org licenses by nc(?= [1-4] [05])"),
+    ("cc-by-nc-sa", "creativecommons org licenses by nc sa", "creativecommons org licenses by nc sa"),
+    ("cc-by-nc-nd", "creativecommons org licenses by nc nd", "creativecommons org licenses by nc nd"),
+    ("cc-by-nd", "creativecommons org licenses by nd", "creativecommons org licenses by nd"),
+    ("cc0", "creativecommons org publicdomain zero", "creativecommons org publicdomain zero 1 0"),
+    ("ofl-1.1", "scripts sil org ofl", "scripts sil org ofl"),
+    ("unlicense", "unlicense org", "unlicense org"),
+    ("public-domain", "public domain", "(?:in|into|to) the public domain"),
+    ("all-rights-reserved", "all rights reserved", "all rights reserved"),
+    ("proprietary", "proprietary", "proprietary and confidential"),
+]
+
+
+def identifier(label: str) -> str:
+    """How a license is named in an identifier line or field: the words of its label, with a version.
+
+    A label that others continue with a version of theirs takes none itself.
+    """
+    words = " ".join(re.findall(r"[a-z0-9]+", label))
+    if label == "apache-2":
+        return f"{words}(?: 0)?"
+    versioned = any(re.match(rf"{label}-[0-9]", other) for other in LICENSES)
+    return words + _FAMILY if versioned or label[-1].isdigit() else f"{words}(?: [0-9]+){{0,2}}{_FAMILY}"
+
 
 @dataclass(frozen=True)
 class Rule:
     label: str
     priority: int
     score: float
-    keyword: str
+    keywords: tuple
     pattern: str
 
 
@@ -113,20 +186,26 @@ _FORMS = (
 )
 
 
+_CREATIVE = ("cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nc", "cc-by-nd", "cc-by-sa", "cc-by")
+
+
 def rules() -> list[Rule]:
-    """All rules: every license in every form, short Creative Commons names, notices."""
+    """All rules: the names of the licenses in every form, short names, fields, notices."""
     made = []
     for priority, (score, word, form) in enumerate(_FORMS):
-        for label, (keyword, name) in LICENSES.items():
-            words = " ".join(re.findall(r"[a-z0-9]+", label))
-            pattern = form.format(lic=_LIC, id=words, name=f"(?:{name})")
-            made.append(Rule(label, priority, score, word or keyword, pattern))
-        for label in ("cc-by-nc-nd", "cc-by-nc-sa", "cc-by-nc", "cc-by-nd", "cc-by-sa", "cc-by"):
-            if "{name}" in form:
+        for label, (keywords, name) in LICENSES.items():
+            pattern = form.format(lic=_LIC, id=identifier(label), name=f"(?:{name})")
+            made.append(Rule(label, priority, score, tuple((word or keywords).split("|")), pattern))
+        if "{name}" in form:
+            for label in _CREATIVE:
                 name = label.replace("-", " ") + "(?: [1234] 0)?"
-                made.append(Rule(label, priority, score, "cc by", form.format(lic=_LIC, id="", name=name)))
-    for label, (keyword, pattern) in NOTICES.items():
-        made.append(Rule(label, 2, 0.9, keyword, pattern))
+                made.append(Rule(label, priority, score, ("cc by",), form.format(lic=_LIC, id="", name=name)))
+            for label, (keywords, name) in SHORT.items():
+                made.append(Rule(label, priority, score, tuple(keywords.split("|")), form.format(lic=_LIC, id="", name=f"(?:{name})")))
+    for label in (*LICENSES, *_CREATIVE):
+        made.append(Rule(label, 2, 0.9, ("licen",), f"{_LIC} {identifier(label)}"))  # a field: license, then its identifier
+    for label, keywords, pattern in NOTICES:
+        made.append(Rule(label, 2, 0.9, tuple(keywords.split("|")), pattern))
     return made
 
 
@@ -150,21 +229,40 @@ def base_places(joined: str) -> list[tuple[int, str]]:
     return found
 
 
-def compiled(made: list[Rule]) -> dict[str, list[tuple[re.Pattern, Rule]]]:
-    """Rules by keyword. A keyword stands anywhere in the words, the pattern at whole words."""
-    by: dict[str, list] = {}
+def compiled(made: list[Rule]) -> dict[tuple, list[tuple[re.Pattern, Rule]]]:
+    """Rules by keywords. A keyword stands anywhere in the words, the pattern at whole words."""
+    by: dict[tuple, list] = {}
     for rule in made:
-        by.setdefault(rule.keyword, []).append((re.compile(f"(?<= )(?:{rule.pattern})(?= )"), rule))
+        by.setdefault(rule.keywords, []).append((re.compile(f"(?<= )(?:{rule.pattern})(?= )"), rule))
     return by
 
 
+_NEXT = {label: re.compile(f" (?:and|or) {identifier(label)}(?= )") for label in (*LICENSES, *_CREATIVE)}
+
+
+def _expression(joined: str, end: int, rule: Rule) -> list[tuple[int, int, Rule]]:
+    """The licenses that follow the first one of an identifier line, joined by and or or."""
+    found = []
+    while True:
+        hits = [(m.end(), label) for label, pattern in _NEXT.items() if (m := pattern.match(joined, end))]
+        if not hits:
+            return found
+        best = max(hits)
+        found.append((end + 1, best[0], Rule(best[1], rule.priority, rule.score, rule.keywords, rule.pattern)))
+        end = best[0]
+
+
 def detections(joined: str, by_keyword: dict) -> list[tuple[int, int, Rule]]:
-    """Detections that stay: by priority, then length and place; contained ones are suppressed."""
+    """Detections that stay: by priority, then length, place and label; contained ones are suppressed."""
     found = []
-    for keyword, group in by_keyword.items():
-        if keyword in joined:
+    for keywords, group in by_keyword.items():
+        if any(k in joined for k in keywords):
             for pattern, rule in group:
-                found += [(m.start(), m.end(), rule) for m in pattern.finditer(joined)]
+                hits = [(m.start(), m.end(), rule) for m in pattern.finditer(joined)]
+                found += hits
+                if rule.priority == 0:
+                    for _, end, _ in hits:
+                        found += _expression(joined, end, rule)
     found.sort(key=lambda d: (d[2].priority, d[0] - d[1], d[0], d[2].label))
     kept: list[tuple[int, int, Rule]] = []
     starts: list[int] = []  # of kept intervals that no other holds; with them, ends rise as well

@@ -279,6 +279,72 @@ def test_license_labels(text, labels):
     assert license_rules._scan()([text.encode()])[0][5] == (labels or "apache-2" if "Apache" in text else labels)
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Expat License", "mit"), ("GPLv3", "gpl-3.0"), ("under the GPL", "gpl"), ("AGPL", "agpl"), ("LGPL", "lgpl"), ("LGPLv2.1+", "lgpl-2.1"),
+    ("License: MIT", "mit"), ('"license": "ISC"', "isc"), ("Apache 2.0", "apache-2"), ("MPL 2.0", "mpl-2.0"),
+    ("Open Data Commons Database License", "odbl"), ("SPDX-License-Identifier: MIT OR Apache-2.0", "apache-2,mit"),
+    ("SPDX-License-Identifier: GPL-2.0-or-later AND (BSD-3-Clause OR CC-BY-4.0)", "bsd-3-clause,cc-by,gpl-2.0"),
+    ("SPDX-License-Identifier: MIT and so on", "mit"), ("python license", ""), ("Python Software Foundation License", "psf-2.0"),
+    ("a license mitigates", ""), ("https://creativecommons.org/licenses/by-nc/4.0/", "cc-by-nc"),
+    ("Neither the name of the University nor the names of its contributors may be used to endorse", "bsd-3-clause"),
+    ("terms of the GNU General Public License as published by the Free Software Foundation, either version 3", "gpl,gpl-3.0"),
+])
+def test_licenses_as_people_write_them(text, labels):
+    got = set(license_rules._scan()([text.encode()])[0][5].split(","))
+    assert got - {"gpl"} == set(labels.split(",")) - {"gpl"} and ("gpl" in got) <= ("gpl" in labels)
+
+
+MADE = license_rules.rules()
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.sampled_from(MADE).flatmap(lambda r: st.tuples(st.just(r), st.from_regex(r.pattern.replace("[^ ]", "[a-z]"), fullmatch=True))))
+def test_a_keyword_stands_in_every_match(case):
+    rule, text = case
+    assert any(k in f" {text} " for k in rule.keywords)
+
+
+def plain_detections(joined):
+    """All rules without keywords, and suppression by looking at every detection taken."""
+    found = []
+    for rule in MADE:
+        for m in re.compile(f"(?<= )(?:{rule.pattern})(?= )").finditer(joined):
+            found.append((m.start(), m.end(), rule))
+            if rule.priority == 0:
+                found += license_rules._expression(joined, m.end(), rule)
+    kept = []
+    for a, b, rule in sorted(found, key=lambda d: (d[2].priority, d[0] - d[1], d[0], d[2].label)):
+        if not any(x <= a and b <= y for x, y, _ in kept):
+            kept.append((a, b, rule))
+    return [(a, b, r.label, r.score) for a, b, r in kept]
+
+
+PHRASES = st.one_of(
+    st.sampled_from(MADE).flatmap(lambda r: st.from_regex(r.pattern.replace("[^ ]", "[a-z]"), fullmatch=True)),
+    st.sampled_from("licensed under the terms of mit license gpl v3 apache 2 0 cc by nc 4 0 or and spdx license identifier bsd".split()),
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(PHRASES, max_size=8))
+def test_detections_beside_a_plain_version(parts):
+    joined = f" {' '.join(parts)} "
+    got = license_rules.detections(joined, license_rules.compiled(MADE))
+    assert [(a, b, r.label, r.score) for a, b, r in got] == plain_detections(joined)
+
+
+def test_whole_query_beside_a_plain_version(spark, sample):
+    _, rows = sample
+    got = rows_by(license_rules.op9_license_scan(spark, "/root/testdata/sf0.001"))
+    for row in rows:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(row["text"]))
+        plain = plain_detections(f" {' '.join(words)} ")
+        base = set(filter(None, plain_license(row["text"])[4].split(",")))
+        r = got[row["doc_id"]]
+        assert r["labels"] == ",".join(sorted(base | {label for _, _, label, _ in plain})) and r["n_detections"] == len(plain)
+        assert r["score"] == max([s for *_, s in plain] + [0.8] * bool(base), default=0.0)
+
+
 def test_license_rules_are_many_and_gated():
     made = license_rules.rules()
     assert len(made) > 250
