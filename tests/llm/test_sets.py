@@ -1,12 +1,15 @@
 """Quality rules, n-gram join, decontamination, mixing and sharding beside brute force."""
 
 import collections
+import hashlib
 import math
 import re
+import struct
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -334,6 +337,63 @@ def test_sharding_large_group(spark):
     check_shards(rows, [{**got[r["doc_id"]], **placed[r["doc_id"]]} for r in rows])
 
 
+def spark_hash(*values):
+    """xxhash64 of Spark over strings, longs (int) and ints (in a tuple), as a signed number."""
+    seed = 42
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_least_loaded(sizes, bins):
+    loads, placed = [0] * bins, []
+    for size in sizes:
+        at = min(range(bins), key=lambda b: (loads[b], b))
+        loads[at] += size
+        placed.append(at)
+    return placed
+
+
+def plain_shards(rows, shards=8):
+    """doc_id -> (size, shard, slot) by the definition: blocks of groups, bins of blocks, chunks of rows."""
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in rows}
+    groups = collections.Counter()
+    key = {i: hashlib.sha256(t).hexdigest() for i, t in texts.items()}
+    for i, t in texts.items():
+        groups[key[i]] += len(t) + 1
+    blocks = max(sharding.MIN_BLOCKS, min(sharding.MAX_BLOCKS, -(-len(groups) // sharding.BLOCK_GROUPS)))
+    dealt = collections.defaultdict(list)
+    for g, size in groups.items():
+        dealt[spark_hash(g) % blocks].append((-size, g))
+    bin_of, loads = {}, collections.Counter()
+    for block, members in dealt.items():
+        members.sort()
+        for (size, g), b in zip(members, plain_least_loaded([-s for s, _ in members], shards)):
+            bin_of[g] = block, b
+            loads[block, b] -= size
+    order = sorted(loads, key=lambda k: (-loads[k], k))
+    shard_of = dict(zip(order, plain_least_loaded([loads[k] for k in order], shards)))
+    chunks = max(1, -(-len(texts) // (sharding.CHUNK_ROWS * shards)))
+    found, members = {}, collections.defaultdict(list)
+    for i in texts:
+        row_key = spark_hash(i, key[i])
+        members[shard_of[bin_of[key[i]]]].append((spark_hash(row_key, (7,)) % chunks, row_key, i))
+    for shard, own in members.items():
+        for slot, (_, _, i) in enumerate(sorted(own)):
+            found[i] = len(texts[i]) + 1, shard, slot
+    return found
+
+
+@pytest.mark.parametrize("sf, chunk", [("sf0.001", 500), ("sf0.01", 20)])
+def test_sharding_beside_a_plain_version(spark, monkeypatch, sf, chunk):
+    monkeypatch.setattr(sharding, "CHUNK_ROWS", chunk)
+    path = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{path}/documents.parquet").collect()
+    got = {r["doc_id"]: (r["size"], r["shard"], r["slot"]) for r in sharding.op7_sharding(spark, path).collect()}
+    assert got == plain_shards(rows)
+
+
 @pytest.mark.parametrize("run, rows", [
     (quality_rules.judged, len(AWKWARD) + 4), (ngram_join.similarity_classes, len(AWKWARD) + 4),
     (mixing.mixed, len(AWKWARD) + 4), (sharding.sharded, len(AWKWARD) + 4), (sharding.shard_documents, len(AWKWARD) + 4),
