@@ -76,7 +76,8 @@ def test_run(spark, steps):
 def test_registered(spark):
     from carespan.llm.registry import QUERIES
 
-    assert "pipeline" in QUERIES and sum(n.startswith("op") for n in QUERIES) == 10
+    numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
+    assert "pipeline" in QUERIES and numbers == list(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES] and corpus_pipeline.ORACLE_SQL is None
 
 
