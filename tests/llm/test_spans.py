@@ -393,6 +393,71 @@ def test_token_pieces_add_up(text, size):
     )
 
 
+ODD_WORDS = [
+    " a", "\u00a0b", "\u2003\u2003 c", "\x1cd ", "\0e", " f\x85", "<|endoftext|>", " <|endoftext|> g", "\n\n  h's", " 12", "漢 ", "🙂", "\t",
+]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(ODD_WORDS), max_size=12).map("".join), max_size=6), st.integers(1, 30))
+def test_token_counts_of_any_texts(texts, size):
+    from tokenizers import Tokenizer
+
+    global _TOKENIZER
+    _TOKENIZER = globals().get("_TOKENIZER") or Tokenizer.from_file(token_counts.vocabulary_path())
+    count = token_counts._encoder(None, size, 64)()
+    assert count([t.encode() for t in texts]) == [
+        (len(t.encode()), len(_TOKENIZER.encode(t, add_special_tokens=False).ids)) for t in texts
+    ]
+
+
+def test_words_seen_are_not_encoded_again(monkeypatch):
+    """What reaches the library grows with the words that are new, not with the texts."""
+    import tokenizers
+
+    handed = []
+
+    class Watched:
+        def __init__(self, made):
+            self.made = made
+
+        def __getattr__(self, name):
+            return getattr(self.made, name)
+
+        def encode_batch_fast(self, texts, **options):
+            handed.append(sum(map(len, texts)))
+            return self.made.encode_batch_fast(texts, **options)
+
+    class Library:
+        @staticmethod
+        def from_file(path):
+            return Watched(library.from_file(path))
+
+    library = tokenizers.Tokenizer
+    monkeypatch.setattr(token_counts, "_counters", {}, raising=False)
+    monkeypatch.setattr(tokenizers, "Tokenizer", Library)
+    texts = [" ".join(f"wort{(i * k) % 50}" for i in range(400)) for k in range(1, 40)]
+    found = token_counts._encoder(None, token_counts.PIECE_CHARS, token_counts.BATCH_BYTES)()([t.encode() for t in texts])
+    plain = library.from_file(token_counts.vocabulary_path())
+    assert [n for _, n in found] == [len(plain.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sum(handed) < 5000 < sum(map(len, texts)) / 10
+
+
+def test_words_do_not_add_up_in_every_vocabulary(tokenizer):
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    def other():
+        return Tokenizer.from_str(tokenizer.to_str())
+
+    assert token_counts.adds_up(tokenizer)
+    spaced, split, wide, folded = other(), other(), other(), other()
+    spaced.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=True)
+    split.pre_tokenizer = pre_tokenizers.Whitespace()
+    wide.add_special_tokens([AddedToken("<|x|>", rstrip=True)])
+    folded.normalizer = normalizers.Lowercase()
+    assert not any(map(token_counts.adds_up, (spaced, split, wide, folded)))
+
+
 @pytest.mark.parametrize("run", [
     secret_scan.secret_scan, pii.pii_spans, license_rules.license_scan, token_counts.token_counts, pii.sanitised,
 ])
