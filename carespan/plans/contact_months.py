@@ -1,10 +1,11 @@
 """Distinct people over any months, from written monthly states instead of events.
 
 People have dense numbers, ordered by the facility and team of their newest link, so a team's people lie
-close together. Per kind of contact, unit and month the numbers are kept as exact bitmaps (32,768 people
-each) with the number of events. Bitmaps of several months are merged by OR and counted: the result is
-that of a distinct count over the events, for any run of months, and no event is read. Most bitmaps of a
-unit are full or nearly empty, which Parquet's compression makes use of.
+close together. Per kind of contact, unit and month the numbers are kept as exact bitmaps with the number
+of events. Bitmaps of several months are merged by OR and counted: the result is that of a distinct count
+over the events, for any run of months, and no event is read. A bitmap is one long of 64 people, and only
+those with a person in them are kept: a unit that meets few people of the city takes a row for each of
+them at most, one that meets its own people a row for 64.
 
 States are published by month like the marts: a refresh writes the months whose states changed. Numbers are
 never given anew; people who are seen for the first time get the next ones.
@@ -27,8 +28,10 @@ from carespan.sources.published import Published
 from carespan.sources.tables import Tables
 
 MONTH = "competencia"
+STATES = "contatos_64"  # named by what a row holds: states of other bitmaps are not read as these
+BITS = 6  # of a number, its place in the bitmap
 STATE = (
-    "tipo string, facility_id int, team_id bigint, faixa bigint, eventos bigint, pessoas binary, competencia int"
+    "tipo string, facility_id int, team_id bigint, faixa bigint, eventos bigint, pessoas bigint, competencia int"
 )
 NUMBERS = "person_id bigint, numero bigint"
 
@@ -64,27 +67,26 @@ def refresh_contact_months(T: Tables, s: Setting, published: Published) -> dict[
     events = written(contacts(T, s))
     numbers = written(_numbers(T, s, events, published.read("pessoas", NUMBERS)))
     at = F.col("numero")
-    states = events.join(numbers, "person_id", "left").select(
-        "tipo", *UNIT_IDS, MONTH, "eventos", F.bitmap_bucket_number(at).alias("faixa"),
-        F.bitmap_bit_position(at).alias("bit"),
+    bit = F.expr(f"shiftleft(1L, cast(numero & {(1 << BITS) - 1} AS INT))")
+    # events without a person count, but for nobody: their bitmap is null
+    states = written(events.join(numbers, "person_id", "left").select(
+        "tipo", *UNIT_IDS, MONTH, "eventos", F.shiftright(at, BITS).alias("faixa"), bit.alias("bit"),
     ).groupBy("tipo", *UNIT_IDS, MONTH, "faixa").agg(
-        F.sum("eventos").alias("eventos"), F.bitmap_construct_agg("bit").alias("pessoas")
-    )
-    # events without a person count, but for nobody
-    states = states.withColumn("pessoas", F.when(F.col("faixa").isNotNull(), F.col("pessoas")))
+        F.sum("eventos").alias("eventos"), F.bit_or("bit").alias("pessoas")
+    ))
     with published.refresh() as run:
         run.whole_if_changed("pessoas", numbers)
-        return run.months("contatos", states, gather=lambda rows: gathered(rows, MONTH))
+        return run.months(STATES, states, gather=lambda rows: gathered(rows, MONTH))
 
 
 def _merged(published: Published, kind: str, first: int, last: int, keys, prepare=None) -> DataFrame:
     """Events and distinct people per key over the months, both included."""
-    rows = published.read("contatos", STATE).where(
+    rows = published.read(STATES, STATE).where(
         (F.col("tipo") == kind) & F.col(MONTH).between(first, last)
     )
     rows = rows if prepare is None else prepare(rows)
     ranges = rows.groupBy(*keys, "faixa").agg(
-        F.sum("eventos").alias("eventos"), F.bitmap_count(F.bitmap_or_agg("pessoas")).alias("pessoas")
+        F.sum("eventos").alias("eventos"), F.bit_count(F.bit_or("pessoas")).alias("pessoas")
     )
     return ranges.groupBy(*keys).agg(
         F.sum("eventos").alias("numerator"), F.sum(F.when(F.col("faixa").isNotNull(), F.col("pessoas")).otherwise(0)).alias("people")

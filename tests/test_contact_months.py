@@ -72,6 +72,20 @@ def test_numbers_are_dense_and_stay(spark, tmp_path):
     assert not told["written"] and not told["dropped"]
 
 
+def test_a_state_is_as_large_as_its_people(states):
+    """However many people the city has, a person of a unit's month takes 8 bytes of bitmap at most."""
+    T, published = states
+    people = cm.contacts(T, SETTING).where("person_id IS NOT NULL")
+    met = people.groupBy("tipo", *cm.UNIT_IDS, cm.MONTH).agg(F.countDistinct("person_id").alias("n"), F.sum("eventos").alias("e"))
+    rows = published.read(cm.STATES, cm.STATE).where("faixa IS NOT NULL")
+    kept = rows.groupBy("tipo", *cm.UNIT_IDS, cm.MONTH).agg(
+        F.sum(F.bit_count("pessoas")).alias("n"), F.sum("eventos").alias("e")
+    )
+    assert same(met.withColumn("n", F.col("n").cast("long")), kept.withColumn("n", F.col("n").cast("long")))
+    held = rows.agg(F.sum(F.octet_length(F.to_binary(F.hex("pessoas"), F.lit("hex"))))).first()[0]
+    assert 0 < held <= 8 * met.agg(F.sum("n")).first()[0]
+
+
 def test_no_event_is_read(states):
     T, published = states
     plan = cm.contacts_between(published, T, SETTING, 200008, 200107)._jdf.queryExecution().executedPlan().toString()
