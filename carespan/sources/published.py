@@ -19,7 +19,6 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,6 +57,11 @@ def fingerprint(columns) -> list[Column]:
     ]
 
 
+def _is_one_of(value: Column, wanted: list) -> Column:
+    """Whether the value is among those wanted, one of which may be None: a lookup, however many they are."""
+    return F.when(value.isNull(), F.lit(None in wanted)).otherwise(value.isin([w for w in wanted if w is not None]))
+
+
 class Published:
     """Reader and writer of a set of published tables under one folder."""
 
@@ -204,8 +208,7 @@ class Run:
         written = sorted((m for m in new if m not in old or old[m].mark != new[m]), key=lambda m: m or "")
         dropped = sorted((m for m in old if m not in new), key=lambda m: m or "")
         if written:
-            hits = [F.col(month).cast("string").eqNullSafe(F.lit(m)) for m in written]
-            chosen = rows if len(written) == len(new) else rows.where(reduce(Column.__or__, hits))
+            chosen = rows if len(written) == len(new) else rows.where(_is_one_of(F.col(month).cast("string"), written))
             self._write(table, [gather(chosen) if gather else chosen], (month,))
             files = spark.read.schema(rows.schema).parquet(f"{self.tables.root}/{table}/run={self.name}")
             stands = marks(files)

@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from carespan.sources import published as module
 from carespan.sources.published import Published
 
 ROW = "k int, v string, competencia int"
@@ -47,6 +48,41 @@ def test_months_follow_the_source(spark, tmp_path, seed):
             rows = [r for r in rows if r[2] != month] or rows[:1]
 
 
+MONTHS = [100 * y + m for y in range(1990, 2000) for m in range(1, 13)]
+
+
+@pytest.mark.parametrize("changed", [[None], [199005], MONTHS[1:], [None, *MONTHS[1:]], [None, *MONTHS]])
+def test_many_months_are_chosen(spark, tmp_path, changed):
+    published = Published(spark, str(tmp_path))
+    rows = [(m or 0, "a", m) for m in (None, *MONTHS)]
+    refreshed(published, spark.createDataFrame(rows, ROW))
+    rows = [(k, "b" if m in changed else v, m) for k, v, m in rows]
+    told = refreshed(published, spark.createDataFrame(rows, ROW))
+    assert {None if m is None else int(m) for m in told["written"]} == set(changed)
+    assert len(told["kept"]) == len(rows) - len(changed)
+    assert rows_of(published.read("t", ROW)) == sorted(rows, key=repr)
+
+
+def test_changed_months_are_looked_up(spark, tmp_path, monkeypatch):
+    """A row's month is made out once, not once per changed month: the plan doesn't grow with these."""
+    seen = []
+    write = module.Run._write
+    monkeypatch.setattr(module.Run, "_write", lambda run, table, parts, *rest: (seen.extend(parts), write(run, table, parts, *rest))[1])
+    published = Published(spark, str(tmp_path))
+    days = [(i, "a", i) for i in range(1, 121)]
+
+    def by_month(word):
+        made = F.expr("competencia % 120 + 199000").cast("int")
+        df = spark.createDataFrame([(k, v if k == 7 else word, c) for k, v, c in days], ROW)
+        return df.withColumn("competencia", made)
+
+    refreshed(published, by_month("a"))
+    told = refreshed(published, by_month("b"))
+    assert len(told["written"]) == 119
+    plan = seen[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("% 120") <= 4
+
+
 def test_pairs_of_equal_rows_show(spark, tmp_path):
     """Two pairs of equal rows have the same number and the same XOR; their sum tells them apart."""
     published = Published(spark, str(tmp_path))
